@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
+from jobloom.functions.common import let
 
 _ASCII_ONLY = r"^[\x00-\x7F]*$"
 
@@ -35,10 +36,9 @@ def unicode_rstrip(c) -> Column:
 
 def nfc(c) -> Column:
     """Unicode NFC composition."""
-    c = _col(c)
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(F.regexp_like(c, F.lit(_ASCII_ONLY)), c)
-            .otherwise(_reflect("com.ibm.icu.text.Normalizer", "compose", c, F.lit(False))))
+    return let(_col(c), lambda v: F.when(v.isNull(), F.lit(None).cast("string"))
+               .when(F.regexp_like(v, F.lit(_ASCII_ONLY)), v)
+               .otherwise(_reflect("com.ibm.icu.text.Normalizer", "compose", v, F.lit(False))))
 
 
 def casefold(c) -> Column:
@@ -46,18 +46,16 @@ def casefold(c) -> Column:
 
     Note: ``lower(upper(x))`` is not a substitute; the optimizer rewrites it to ``lower(x)``.
     """
-    c = _col(c)
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(F.regexp_like(c, F.lit(_ASCII_ONLY)), F.lower(c))
-            .otherwise(_reflect("com.ibm.icu.lang.UCharacter", "foldCase", c, F.lit(True))))
+    return let(_col(c), lambda v: F.when(v.isNull(), F.lit(None).cast("string"))
+               .when(F.regexp_like(v, F.lit(_ASCII_ONLY)), F.lower(v))
+               .otherwise(_reflect("com.ibm.icu.lang.UCharacter", "foldCase", v, F.lit(True))))
 
 
 def html_unescape(c) -> Column:
     """Decode character references (named HTML 4 entities, decimal and hex)."""
-    c = _col(c)
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(~c.contains("&"), c)
-            .otherwise(_reflect("org.apache.commons.text.StringEscapeUtils", "unescapeHtml4", c)))
+    return let(_col(c), lambda v: F.when(v.isNull(), F.lit(None).cast("string"))
+               .when(~v.contains("&"), v)
+               .otherwise(_reflect("org.apache.commons.text.StringEscapeUtils", "unescapeHtml4", v)))
 
 
 def normalize_title(c, max_chars: int = V.TITLE_MAX_CHARS) -> Column:
@@ -75,7 +73,8 @@ def normalize_title(c, max_chars: int = V.TITLE_MAX_CHARS) -> Column:
     t = nfc(t)
     t = unicode_strip(F.regexp_replace(t, r"(?U)\s+", " "))
     t = unicode_strip(F.regexp_replace(t, "(?iU)" + V.TITLE_SUFFIX, ""))
-    return F.when(F.length(t) > max_chars, unicode_rstrip(F.substring(t, 1, max_chars))).otherwise(t)
+    # t has no outer white space, so cutting and right-stripping is a no-op when short
+    return unicode_rstrip(F.substring(t, 1, max_chars))
 
 
 def title_from_slug(c) -> Column:
@@ -112,24 +111,23 @@ def _strip_underscores(c: Column) -> Column:
 
 def safe_key(key) -> Column:
     """Storage-safe message key (TXT-5): bytes decoded with replacement, max 100 chars."""
-    k = _col(key)
-    text = F.when(k.isNull() | (F.octet_length(k) == 0), F.lit("message")).otherwise(
-        F.make_valid_utf8(k.cast("string")))
+    text = let(_col(key), lambda k: F.when(k.isNull() | (F.octet_length(k) == 0), F.lit("message")).otherwise(
+        F.make_valid_utf8(k.cast("string"))))
     s = F.substring(_strip_underscores(_unsafe_to_underscore(text)), 1, V.KEY_NAME_MAX)
-    return F.when(s == "", F.lit("message")).otherwise(s)
+    return let(s, lambda v: F.when(v == "", F.lit("message")).otherwise(v))
 
 
 def safe_topic(topic) -> Column:
     """Storage-safe topic (TXT-5): not stripped of ``_``, max 80 chars."""
     s = F.substring(_unsafe_to_underscore(F.coalesce(_col(topic), F.lit(""))), 1, V.TOPIC_NAME_MAX)
-    return F.when(s == "", F.lit("topic")).otherwise(s)
+    return let(s, lambda v: F.when(v == "", F.lit("topic")).otherwise(v))
 
 
 def safe_label(label) -> Column:
     """Storage-safe page label (TXT-5): stripped of ``_``, max 80 chars."""
     s = F.substring(_strip_underscores(_unsafe_to_underscore(F.coalesce(_col(label), F.lit("")))),
                     1, V.LABEL_NAME_MAX)
-    return F.when(s == "", F.lit("listing")).otherwise(s)
+    return let(s, lambda v: F.when(v == "", F.lit("listing")).otherwise(v))
 
 
 def blob_prefix(prefix: str | None = V.DEFAULT_BLOB_PREFIX) -> str:

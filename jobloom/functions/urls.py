@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
+from jobloom.functions.common import let
 from jobloom.functions.text import unicode_strip
 
 _SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -34,16 +35,16 @@ def split_url(url) -> Column:
     authority from no authority; a URL that is ``//host...`` gets scheme ``https``.
     """
     u = F.regexp_replace(unicode_strip(_col(url)), r"[\t\r\n]", "")
-    u = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).otherwise(u)
-    after_scheme = F.regexp_replace(u, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "")
-    return F.struct(
-        F.lower(_part(u, 1)).alias("scheme"),
-        after_scheme.startswith("//").alias("has_netloc"),
-        _part(u, 2).alias("netloc"),
-        _part(u, 3).alias("path"),
-        _part(u, 4).alias("query"),
-        _part(u, 5).alias("fragment"),
-    )
+    u = let(u, lambda v: F.when(v.startswith("//"), F.concat(F.lit("https:"), v)).otherwise(v))
+    return let(u, lambda v: F.struct(
+        F.lower(_part(v, 1)).alias("scheme"),
+        F.regexp_replace(v, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "").startswith("//").alias("has_netloc"),
+        _part(v, 2).alias("netloc"),
+        _drop_params(_part(v, 3)).alias("path"),
+        _part(v, 4).alias("query"),
+        _part(v, 5).alias("fragment"),
+        _part(v, 3).alias("raw_path"),
+    ))
 
 
 def _drop_params(path: Column) -> Column:
@@ -97,6 +98,10 @@ def strip_tracking(query, keep_all: bool = False) -> Column:
     return F.array_join(encoded, "&")
 
 
+def _scheme(p: Column) -> Column:
+    return F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
+
+
 def canonical_url(url, keep_all_query_params: bool = False) -> Column:
     """Stable job URL for dedupe (URL-1), null when not an http(s) URL with a host.
 
@@ -105,38 +110,37 @@ def canonical_url(url, keep_all_query_params: bool = False) -> Column:
     empty path -> ``/``, tracking query keys removed. Compare URLs with
     ``lower(canonical_url(u))``; store the canonical form as is.
     """
-    raw = unicode_strip(F.coalesce(_col(url), F.lit("")))
-    p = split_url(raw)
-    scheme = F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
-    path = _drop_params(p["path"])
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    path = F.when((path != "/") & path.endswith("/"), F.regexp_replace(path, "/+$", "")).otherwise(path)
-    query = strip_tracking(p["query"], keep_all_query_params)
-    lowered = F.lower(raw)
-    bad_prefix = F.lit(False)
-    for prefix in V.NON_HTTP_PREFIXES:
-        bad_prefix = bad_prefix | lowered.startswith(prefix)
-    valid = ((raw != "") & ~bad_prefix & p["has_netloc"] & (p["netloc"] != "")
-             & scheme.isin("http", "https") & _netloc_ok(p["netloc"]))
-    out = F.concat(scheme, F.lit("://"), F.lower(p["netloc"]), path,
-                   F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
-    return F.when(valid, out)
+    def body(raw: Column) -> Column:
+        def parts(p: Column) -> Column:
+            scheme = _scheme(p)
+            path = F.when(p["path"] == "", F.lit("/")).when(
+                (p["path"] != "/") & p["path"].endswith("/"), F.regexp_replace(p["path"], "/+$", "")
+            ).otherwise(p["path"])
+            lowered = F.lower(raw)
+            bad_prefix = F.lit(False)
+            for prefix in V.NON_HTTP_PREFIXES:
+                bad_prefix = bad_prefix | lowered.startswith(prefix)
+            valid = ((raw != "") & ~bad_prefix & p["has_netloc"] & (p["netloc"] != "")
+                     & scheme.isin("http", "https") & _netloc_ok(p["netloc"]))
+            query = let(strip_tracking(p["query"], keep_all_query_params),
+                        lambda qs: F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit("")))
+            return F.when(valid, F.concat(scheme, F.lit("://"), F.lower(p["netloc"]), path, query))
+        return let(split_url(raw), parts)
+    return let(unicode_strip(F.coalesce(_col(url), F.lit(""))), body)
 
 
 def site_origin(url) -> Column:
     """``scheme://host`` lower-cased (URL-3); null without host or for non-http(s)."""
-    p = split_url(_col(url))
-    scheme = F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
-    valid = p["has_netloc"] & (p["netloc"] != "") & scheme.isin("http", "https")
-    return F.when(valid, F.concat(scheme, F.lit("://"), F.lower(p["netloc"])))
+    def body(p: Column) -> Column:
+        scheme = _scheme(p)
+        valid = p["has_netloc"] & (p["netloc"] != "") & scheme.isin("http", "https")
+        return F.when(valid, F.concat(scheme, F.lit("://"), F.lower(p["netloc"])))
+    return let(split_url(_col(url)), body)
 
 
 def listing_url_ok(url) -> Column:
     """True when the listing URL has a host and an http(s) (or no) scheme (URL-6)."""
-    p = split_url(_col(url))
-    scheme = F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
-    return F.coalesce(p["has_netloc"] & (p["netloc"] != "") & scheme.isin("http", "https"),
-                      F.lit(False))
+    return F.coalesce(site_origin(url).isNotNull(), F.lit(False))
 
 
 def _resolve_dots(segments: Column) -> Column:
@@ -150,52 +154,54 @@ def _resolve_dots(segments: Column) -> Column:
     return F.when(tail_dot, F.array_append(resolved, F.lit(""))).otherwise(resolved)
 
 
+def _unparse(sch, netloc, path, query, fragment, params=None) -> Column:
+    if params is not None:
+        path = F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path)
+    return let(path, lambda pth: F.concat(
+        sch, F.lit("://"), netloc,
+        F.when((pth != "") & ~pth.startswith("/"), F.concat(F.lit("/"), pth)).otherwise(pth),
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit(""))))
+
+
 def resolve_href(base, href) -> Column:
     """Join a link to its base URL the way ``urljoin`` does (URL-4).
 
     The base is the site origin plus ``/``, so relative paths resolve against the
     root; ``//host`` links keep their host, links with another scheme are kept.
     """
-    b, h = _col(base), unicode_strip(F.coalesce(_col(href), F.lit("")))
-    bp, hp = split_url(b), split_url(h)
-    h_has_scheme = F.regexp_like(h, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:"))
-    scheme = F.when(h_has_scheme, hp["scheme"]).otherwise(bp["scheme"])
-    h_path_full = hp["path"]
-    h_params = F.when(F.regexp_like(h_path_full, F.lit(";[^/]*$")),
-                      F.regexp_extract(h_path_full, ";([^/]*)$", 1)).otherwise(F.lit(""))
-    h_path = _drop_params(h_path_full)
-    b_path = _drop_params(bp["path"])
-
-    def unparse(sch, netloc, path, query, fragment, params=F.lit("")):
-        path = F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path)
-        path = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-        return F.concat(sch, F.lit("://"), netloc, path,
-                        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-                        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")))
-
-    base_segs = F.split(b_path, "/", -1)
-    base_segs = F.when(F.try_element_at(base_segs, F.lit(-1)) != "", F.slice(base_segs, 1, F.size(base_segs) - 1)) \
-        .otherwise(base_segs)
-    rel = F.concat(base_segs, F.split(h_path, "/", -1))
-    n = F.size(rel)
-    rel = F.when(n > 2, F.concat(F.slice(rel, 1, 1),
-                                 F.filter(F.slice(rel, 2, n - 2), lambda s: s != ""),
-                                 F.slice(rel, -1, 1))).otherwise(rel)
-    segs = F.when(h_path.startswith("/"), F.split(h_path, "/", -1)).otherwise(rel)
-    joined = F.array_join(_resolve_dots(segs), "/")
-    joined = F.when(joined == "", F.lit("/")).otherwise(joined)
-
-    no_path = (h_path == "") & (h_params == "")
-    return (
-        F.when(h == "", b)
-        .when(scheme != bp["scheme"], h)
-        .when(hp["has_netloc"] & (hp["netloc"] != ""), unparse(scheme, hp["netloc"], h_path, hp["query"],
-                                                        hp["fragment"], h_params))
-        .when(no_path, unparse(scheme, bp["netloc"], b_path,
-                               F.when(hp["query"] != "", hp["query"]).otherwise(bp["query"]),
-                               hp["fragment"]))
-        .otherwise(unparse(scheme, bp["netloc"], joined, hp["query"], hp["fragment"], h_params))
-    )
+    h0 = unicode_strip(F.coalesce(_col(href), F.lit("")))
+    pair = F.struct(_col(base).alias("b"), h0.alias("h"))
+
+    def body(x: Column) -> Column:
+        def with_parts(y: Column) -> Column:
+            b, h, bp, hp = x["b"], x["h"], y["bp"], y["hp"]
+            h_has_scheme = F.regexp_like(h, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:"))
+            scheme = F.when(h_has_scheme, hp["scheme"]).otherwise(bp["scheme"])
+            h_params = F.when(F.regexp_like(hp["raw_path"], F.lit(";[^/]*$")),
+                              F.regexp_extract(hp["raw_path"], ";([^/]*)$", 1)).otherwise(F.lit(""))
+            h_path = hp["path"]
+            base_segs = let(F.split(bp["path"], "/", -1), lambda bs: F.when(
+                F.try_element_at(bs, F.lit(-1)) != "", F.slice(bs, 1, F.size(bs) - 1)).otherwise(bs))
+            rel = let(F.concat(base_segs, F.split(h_path, "/", -1)), lambda r: F.when(
+                F.size(r) > 2,
+                F.concat(F.slice(r, 1, 1), F.filter(F.slice(r, 2, F.size(r) - 2), lambda s: s != ""),
+                         F.slice(r, -1, 1))).otherwise(r))
+            segs = F.when(h_path.startswith("/"), F.split(h_path, "/", -1)).otherwise(rel)
+            joined = let(F.array_join(_resolve_dots(segs), "/"),
+                         lambda j: F.when(j == "", F.lit("/")).otherwise(j))
+            no_path = (h_path == "") & (h_params == "")
+            return (
+                F.when(h == "", b)
+                .when(scheme != bp["scheme"], h)
+                .when(hp["has_netloc"] & (hp["netloc"] != ""),
+                      _unparse(scheme, hp["netloc"], h_path, hp["query"], hp["fragment"], h_params))
+                .when(no_path, _unparse(scheme, bp["netloc"], bp["path"],
+                                        F.when(hp["query"] != "", hp["query"]).otherwise(bp["query"]),
+                                        hp["fragment"]))
+                .otherwise(_unparse(scheme, bp["netloc"], joined, hp["query"], hp["fragment"], h_params)))
+        return let(F.struct(split_url(x["b"]).alias("bp"), split_url(x["h"]).alias("hp")), with_parts)
+    return let(pair, body)
 
 
 def job_slug(href, marker: str = V.JOB_PATH_MARKER) -> Column:
@@ -205,16 +211,20 @@ def job_slug(href, marker: str = V.JOB_PATH_MARKER) -> Column:
     """
     path = F.regexp_extract(F.coalesce(_col(href), F.lit("")), r"^([^#?]*)", 1)
     parts = F.filter(F.split(path, "/", -1), lambda p: p != "")
-    idx = F.array_position(F.transform(parts, F.lower), F.lit(marker.lower()))
-    slug = F.when((idx > 0) & (idx < F.size(parts)), F.try_element_at(parts, (idx + 1).cast("int")))
-    return F.when(~F.lower(slug).isin(*V.NOT_A_SLUG), slug)
+
+    def body(ps: Column) -> Column:
+        idx = F.array_position(F.transform(ps, F.lower), F.lit(marker.lower()))
+        slug = let(idx, lambda i: F.when((i > 0) & (i < F.size(ps)), F.try_element_at(ps, (i + 1).cast("int"))))
+        return let(slug, lambda sl: F.when(~F.lower(sl).isin(*V.NOT_A_SLUG), sl))
+    return let(parts, body)
 
 
 def is_job_href(href, marker: str = V.JOB_PATH_MARKER) -> Column:
     """Link that may point at one job page (FLT-2)."""
-    h = F.lower(unicode_strip(F.coalesce(_col(href), F.lit(""))))
-    bad = h == ""
-    for prefix in V.NON_HTTP_PREFIXES + ("#",):
-        bad = bad | h.startswith(prefix)
-    good = h.contains(f"/{marker}/") | (h.startswith(f"{marker}/") & ~h.startswith(f"{marker}s/"))
-    return ~bad & good
+    def body(h: Column) -> Column:
+        bad = h == ""
+        for prefix in V.NON_HTTP_PREFIXES + ("#",):
+            bad = bad | h.startswith(prefix)
+        good = h.contains(f"/{marker}/") | (h.startswith(f"{marker}/") & ~h.startswith(f"{marker}s/"))
+        return ~bad & good
+    return let(F.lower(unicode_strip(F.coalesce(_col(href), F.lit("")))), body)

@@ -151,3 +151,13 @@ def extract_metrics(pages: DataFrame, html: str = "html", keep: list[str] | tupl
         F.size(rows).alias("total_rows"),
         ((F.length(F.col(html)) < V.SHORT_PAGE_CHARS) & (F.size(rows) < V.SHORT_PAGE_ROWS)).alias("short_page"),
     )
+
+
+def page_anchors(pages: DataFrame, html: str = "html", keep: list[str] | tuple = ("page_id", "url")) -> DataFrame:
+    """Every anchor outside comments/scripts/styles as a row:
+    ``keep..., pos, href (decoded, stripped; null without href), text``."""
+    visible = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN_MARKUP, "<!>")
+    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
+    return pages.select(*keep, F.posexplode(anchors).alias("pos", "_a")).select(
+        *keep, "pos", _anchor_href(F.col("_a")).alias("href"),
+        anchor_text(F.regexp_extract(F.col("_a"), ANCHOR_INNER, 1)).alias("text"))

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobloom.functions import text as TX
+from jobloom.functions import urls as U
+from jobloom.operators import extract as EX
 from jobloom.operators.enrich import enrich, score_parts, with_combined_text
 from jobloom.plans import fixtures as FX
 
@@ -46,6 +49,82 @@ def enrich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(FX.document_jobs(spark, sf_dir))
 
 
+
+# --------------------------------------------------------------------------- URL functions
+def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL-1 on every page URL (null when not canonicalizable)."""
+    return FX.table(spark, sf_dir, "pages").select("page_id", "url", U.canonical_url("url").alias("canonical_url"))
+
+
+def strip_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL-2 on the query of every page URL."""
+    q = U.split_url("url")["query"]
+    return FX.table(spark, sf_dir, "pages").select(
+        "page_id", q.alias("query"), U.strip_tracking(q).alias("kept_query"))
+
+
+def site_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL-3 and URL-6 on every page URL."""
+    return FX.table(spark, sf_dir, "pages").select(
+        "page_id", U.site_origin("url").alias("origin"), U.listing_url_ok("url").alias("listing_ok"))
+
+
+def job_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2 and URL-5 on every anchor of the career pages."""
+    a = EX.page_anchors(FX.career_pages(spark, sf_dir))
+    return a.select("page_id", "pos", "href", U.is_job_href("href").alias("is_job_href"),
+                    U.job_slug("href").alias("slug"))
+
+
+def resolve_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL-4 then URL-1: every anchor joined to its page origin, then canonical."""
+    a = EX.page_anchors(FX.career_pages(spark, sf_dir))
+    base = F.concat(U.site_origin("url"), F.lit("/"))
+    return (a.select("page_id", "pos", "href", U.resolve_href(base, F.col("href")).alias("resolved"))
+            .withColumn("canonical_url", U.canonical_url("resolved")))
+
+
+# --------------------------------------------------------------------------- text functions
+def normalize_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-1 once and three times (the producer applies it three times)."""
+    t = FX.dirty_titles(spark, sf_dir)
+    once = TX.normalize_title("title")
+    return t.select("id", once.alias("title"),
+                    TX.normalize_title(TX.normalize_title(once)).alias("title3"))
+
+
+def title_from_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-2 on every /career/ slug found in the raw career pages."""
+    slugs = F.regexp_extract_all("html", F.lit(EX.career_slug_pattern()), F.lit(1))
+    return (FX.career_pages(spark, sf_dir).select("page_id", F.posexplode(slugs).alias("pos", "slug"))
+            .withColumn("title", TX.title_from_slug("slug")))
+
+
+def casefold_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-3 on the text of every anchor (German, French, Spanish words)."""
+    a = EX.page_anchors(FX.table(spark, sf_dir, "pages"))
+    return a.select("page_id", "pos", "text", TX.casefold("text").alias("folded"))
+
+
+def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-5 key/topic/label rules on every page URL."""
+    return FX.table(spark, sf_dir, "pages").select(
+        "page_id", TX.safe_key(F.encode("url", "UTF-8")).alias("key_name"),
+        TX.safe_topic("url").alias("topic_name"), TX.safe_label("url").alias("label"))
+
+
+def blob_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-6 object names of the job messages, raw and enriched."""
+    batches = FX.jobs(spark, sf_dir).select(F.expr(f"Index div {FX.MESSAGE_ROWS}").alias("offset")).distinct()
+    m = batches.select(
+        F.lit(FX.MESSAGE_TOPIC).alias("topic"), (F.col("offset") % FX.MESSAGE_PARTITIONS).cast("int").alias("partition"),
+        "offset", F.encode(F.concat(F.lit("jobs "), F.col("offset").cast("string"), F.lit("!")), "UTF-8").alias("key"),
+        F.timestamp_millis(F.lit(1735689600000) + F.col("offset") * 1001).alias("ts"))
+    return m.select("offset", TX.blob_name("topic", "partition", "offset", "key", "ts").alias("raw_name"),
+                    TX.blob_name("topic", "partition", "offset", "key", "ts", enriched=True,
+                                 prefix="  pre/fix  ").alias("enriched_name"))
+
+
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (temporary): enriched titles."""
     return enrich_descriptions(spark, sf_dir)
@@ -58,4 +137,14 @@ REGISTRY = {
     "category_counts": category_counts,
     "seniority_counts": seniority_counts,
     "enrich_documents": enrich_documents,
+    "canonical_urls": canonical_urls,
+    "strip_tracking": strip_tracking,
+    "site_origins": site_origins,
+    "job_slugs": job_slugs,
+    "resolve_hrefs": resolve_hrefs,
+    "normalize_titles": normalize_titles,
+    "title_from_slugs": title_from_slugs,
+    "casefold_texts": casefold_texts,
+    "safe_names": safe_names,
+    "blob_names": blob_names,
 }

@@ -1,20 +1,22 @@
 """DuckDB SQL that recomputes every registered query independently.
 
 The patterns come from the same rule vocabulary as the Spark code, rendered for
-RE2 (``rule_patterns("re2")``). Two deliberate differences from the Spark side:
+RE2 (``rule_patterns("re2")``). Deliberate differences from the Spark side:
 
 * RE2's ``\\b``, ``\\w``, ``\\d`` are ASCII while the word-scoring rules treat
   letters of every script as word characters. All non-ASCII characters in the
   test texts are letters, so the oracle maps them to ``x`` before those rules.
 * DuckDB has no full case folding; ``lower`` plus ``ß -> ss`` covers the
   alphabet of the test tables.
+* No entity decoding: the anchors of the test pages hold no ``&``.
 """
 
 from __future__ import annotations
 
 from jobloom.functions import vocab as V
 from jobloom.functions.scoring import rule_patterns
-from jobloom.plans.fixtures import EXTRAS, LEVELS, ROLES
+from jobloom.operators import extract as EX
+from jobloom.plans.fixtures import EXTRAS, LEVELS, MESSAGE_PARTITIONS, MESSAGE_ROWS, MESSAGE_TOPIC, ROLES
 
 P = rule_patterns("re2")
 
@@ -52,17 +54,19 @@ DOC_JOBS = (f"SELECT doc_id AS \"Index\", {job_title('doc_id')} AS \"Position ti
             f"text AS job_description FROM documents")
 
 
-def scored(source_sql: str, with_description: bool) -> str:
-    """SELECT of Index, Position title, the four signals, score, category, seniority."""
+# ------------------------------------------------------------------ enrichment
+def scored(source_sql: str, with_description: bool, keep: str = "") -> str:
+    """SELECT of keep, Index, Position title, the four signals, score, category, seniority."""
     title = strip("coalesce(CAST(\"Position title\" AS VARCHAR), 'None')")
     desc = strip("coalesce(CAST(job_description AS VARCHAR), 'None')")
     text = f"{title} || chr(10) || {desc}" if with_description else title
     years_items = ", ".join(
         f"regexp_extract_all(ta, {q(p)}, {g})"
         for p in P["years"] for g in range(1, p.count("(") - p.count("(?") + 1))
+    k = f"{keep}, " if keep else ""
     return f"""
     WITH src AS ({source_sql}),
-    t AS (SELECT "Index", "Position title", {text} AS t FROM src),
+    t AS (SELECT {k}"Index", "Position title", {text} AS t FROM src),
     ta AS (SELECT *, {ascii_letters('t')} AS ta FROM t),
     s1 AS (SELECT *,
         CAST(CASE WHEN t = '' THEN {V.LEADERSHIP_EMPTY_TEXT}
@@ -76,7 +80,7 @@ def scored(source_sql: str, with_description: bool) -> str:
         CAST(CASE WHEN t = '' OR explicit_years > 0 THEN 0
              ELSE {first_match('lower(ta)', P['inferred'], V.INFERRED_YEARS_DEFAULT)} END AS INTEGER) AS inferred_years
       FROM s1)
-    SELECT "Index", "Position title", leadership, explicit_years, inferred_years, skills,
+    SELECT {k}"Index", "Position title", leadership, explicit_years, inferred_years, skills,
         CAST(least({V.SCORE_CAP}, leadership + least(greatest(explicit_years, inferred_years) * {V.YEARS_WEIGHT},
              {V.YEARS_POINTS_CAP}) + least(skills * {V.SKILL_WEIGHT}, {V.SKILL_POINTS_CAP})) AS INTEGER)
              AS complexity_score,
@@ -87,9 +91,191 @@ def scored(source_sql: str, with_description: bool) -> str:
 
 ENRICHED = 'SELECT "Index", "Position title", complexity_score, category, seniority_level FROM ({})'
 
+# ------------------------------------------------------------------ URLs and text
+SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+NONPRINT = (r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}-\x{9F}\p{Cf}\p{Co}\p{Cs}\p{Zl}\p{Zp}"
+            r"\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]")
+CAREER = "SELECT page_id, url, replace(html, 'href=\"/', 'href=\"/career/') AS html FROM pages"
+
+
+def url_parts(inner: str, url: str, p: str) -> str:
+    """Adds {p}raw, {p}scheme, {p}netloc, {p}path (params dropped), {p}path0, {p}query,
+    {p}fragment, {p}has_netloc to the rows of ``inner``."""
+    raw = strip(f"coalesce({url}, '')")
+    sp = q(SPLIT)
+    return f"""(SELECT *, CASE WHEN {p}s0 = '' THEN 'https' ELSE {p}s0 END AS {p}scheme,
+                regexp_replace({p}path0, ';[^/]*$', '') AS {p}path
+       FROM (SELECT *, lower(regexp_extract({p}u, {sp}, 1)) AS {p}s0,
+                    regexp_extract({p}u, {sp}, 2) AS {p}netloc,
+                    regexp_extract({p}u, {sp}, 3) AS {p}path0,
+                    regexp_extract({p}u, {sp}, 4) AS {p}query,
+                    regexp_extract({p}u, {sp}, 5) AS {p}fragment,
+                    starts_with(regexp_replace({p}u, {q(SCHEME)}, ''), '//') AS {p}has_netloc
+             FROM (SELECT *, CASE WHEN starts_with({p}c, '//') THEN 'https:' || {p}c ELSE {p}c END AS {p}u
+                   FROM (SELECT *, {raw} AS {p}raw,
+                                regexp_replace({raw}, '[\\t\\r\\n]', '', 'g') AS {p}c FROM {inner}))))"""
+
+
+def strip_tracking_sql(query: str) -> str:
+    def dec(x):
+        return f"url_decode(replace({x}, '+', ' '))"
+
+    def enc(x):
+        return f"replace(url_encode({x}), '%20', '+')"
+
+    keys = ", ".join(q(k) for k in V.TRACKING_QUERY_KEYS)
+    prefixes = " OR ".join(f"starts_with(lower(kv.k), {q(x)})" for x in V.TRACKING_QUERY_PREFIXES)
+    value = "CASE WHEN instr(t, '=') > 0 THEN substr(t, instr(t, '=') + 1) ELSE '' END"
+    name = "split_part(t, '=', 1)"
+    pairs = (f"list_transform(list_filter(string_split(coalesce({query}, ''), '&'), lambda t: t <> ''), "
+             f"lambda t: {{'k': {dec(name)}, 'v': {dec(value)}}})")
+    kept = f"list_filter({pairs}, lambda kv: NOT (lower(kv.k) IN ({keys}) OR {prefixes}))"
+    return (f"array_to_string(list_transform(list_sort({kept}), "
+            f"lambda kv: {enc('kv.k')} || '=' || {enc('kv.v')}), '&')")
+
+
+def canonical_sql(inner: str, url: str, keep: str, p: str = "_c_", out: str = "canonical_url") -> str:
+    bad = " OR ".join(f"starts_with(lower({p}raw), {q(x)})" for x in V.NON_HTTP_PREFIXES)
+    bracket = r"[[](?:[0-9A-Fa-f:.]+|[vV][0-9A-Fa-f]+[.][^]]+)[]]"
+    netloc_ok = (f"((NOT contains({p}netloc, '[') AND NOT contains({p}netloc, ']')) OR "
+                 f"(contains({p}netloc, '[') AND contains({p}netloc, ']') AND "
+                 f"regexp_matches({p}netloc, {q(bracket)})))")
+    return f"""SELECT {keep}, CASE WHEN {p}raw <> '' AND NOT ({bad}) AND {p}has_netloc AND {p}netloc <> ''
+                 AND {p}scheme IN ('http', 'https') AND {netloc_ok}
+            THEN {p}scheme || '://' || lower({p}netloc) || {p}path2
+                 || CASE WHEN {p}q2 <> '' THEN '?' || {p}q2 ELSE '' END END AS {out}
+    FROM (SELECT *, CASE WHEN {p}path = '' THEN '/'
+                         WHEN {p}path <> '/' AND ends_with({p}path, '/') THEN regexp_replace({p}path, '/+$', '')
+                         ELSE {p}path END AS {p}path2,
+                 {strip_tracking_sql(p + 'query')} AS {p}q2
+          FROM {url_parts(inner, url, p)})"""
+
+
+def origin_expr(p: str) -> str:
+    return (f"CASE WHEN {p}has_netloc AND {p}netloc <> '' AND {p}scheme IN ('http', 'https') "
+            f"THEN {p}scheme || '://' || lower({p}netloc) END")
+
+
+def anchors_sql(pages_sql: str) -> str:
+    hr = q(EX.ANCHOR_HREF)
+    pick = (f"CASE WHEN regexp_extract(a, {hr}, 1) <> '' THEN regexp_extract(a, {hr}, 1) "
+            f"WHEN regexp_extract(a, {hr}, 2) <> '' THEN regexp_extract(a, {hr}, 2) "
+            f"ELSE regexp_extract(a, {hr}, 3) END")
+    href = f"CASE WHEN regexp_matches(a, {hr}) THEN {strip(pick)} END"
+    text = (f"array_to_string(list_filter(list_transform(regexp_split_to_array("
+            f"regexp_extract(a, {q(EX.ANCHOR_INNER)}, 1), {q(EX.TAG)}), lambda x: {strip('x')}), "
+            f"lambda x: x <> ''), ' ')")
+    return f"""(SELECT page_id, url, pos, {href} AS href, {text} AS text
+      FROM (SELECT page_id, url, unnest(al) AS a, generate_subscripts(al, 1) - 1 AS pos
+            FROM (SELECT page_id, url, regexp_extract_all(regexp_replace(coalesce(html, ''),
+                      {q(EX.HIDDEN_MARKUP)}, '<!>', 'g'), {q(EX.ANCHOR)}, 0) AS al FROM ({pages_sql}))))"""
+
+
+def is_job_href_sql(href: str) -> str:
+    h = "lower(" + strip(f"coalesce({href}, '')") + ")"
+    bad = " OR ".join(f"starts_with({h}, {q(x)})" for x in V.NON_HTTP_PREFIXES + ("#",))
+    return (f"(NOT ({h} = '' OR {bad}) AND (contains({h}, '/career/') OR "
+            f"(starts_with({h}, 'career/') AND NOT starts_with({h}, 'careers/'))))")
+
+
+def job_slug_sql(href: str) -> str:
+    parts = (f"list_filter(string_split(regexp_extract(coalesce({href}, ''), '^([^#?]*)', 1), '/'), "
+             f"lambda x: x <> '')")
+    idx = f"list_position(list_transform({parts}, lambda x: lower(x)), 'career')"
+    slug = f"CASE WHEN {idx} IS NOT NULL AND {idx} < len({parts}) THEN {parts}[{idx} + 1] END"
+    return f"CASE WHEN lower({slug}) NOT IN ('career', 'careers') THEN {slug} END"
+
+
+def resolve_sql(base: str, href: str, inner: str, keep: str, out: str = "resolved") -> str:
+    """urljoin(base, href) for an http(s) base URL."""
+    b = url_parts(inner, base, "_b_")
+    h = url_parts(b, href, "_h_")
+    hp = "_h_path"
+    params = ("CASE WHEN regexp_matches(_h_path0, ';[^/]*$') "
+              "THEN regexp_extract(_h_path0, ';([^/]*)$', 1) ELSE '' END")
+    base_segs = ("CASE WHEN string_split(_b_path, '/')[-1] <> '' THEN string_split(_b_path, '/')[1:-2] "
+                 "ELSE string_split(_b_path, '/') END")
+    rel = f"list_concat({base_segs}, string_split({hp}, '/'))"
+    rel_f = (f"CASE WHEN len({rel}) > 2 THEN list_concat({rel}[1:1], list_filter({rel}[2:-2], lambda x: x <> ''), "
+             f"{rel}[-1:]) ELSE {rel} END")
+    segs = f"CASE WHEN starts_with({hp}, '/') THEN string_split({hp}, '/') ELSE {rel_f} END"
+    dots = (f"list_reduce({segs}, lambda acc, x: CASE WHEN x = '..' THEN acc[1:len(acc) - 1] "
+            f"WHEN x = '.' THEN acc ELSE list_append(acc, x) END, []::VARCHAR[])")
+    dots = f"CASE WHEN ({segs})[-1] IN ('.', '..') THEN list_append({dots}, '') ELSE {dots} END"
+    joined = f"array_to_string({dots}, '/')"
+
+    def unparse(netloc, path, query, frag, par="''"):
+        pth = f"(CASE WHEN {par} <> '' THEN {path} || ';' || {par} ELSE {path} END)"
+        pth = f"(CASE WHEN {pth} <> '' AND NOT starts_with({pth}, '/') THEN '/' || {pth} ELSE {pth} END)"
+        return (f"_sch || '://' || {netloc} || {pth} || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END "
+                f"|| CASE WHEN {frag} <> '' THEN '#' || {frag} ELSE '' END")
+
+    base_query = "CASE WHEN _h_query <> '' THEN _h_query ELSE _b_query END"
+    rel_path = f"CASE WHEN {joined} = '' THEN '/' ELSE {joined} END"
+    return f"""SELECT {keep}, CASE
+        WHEN _h_raw = '' THEN _b_raw
+        WHEN _sch <> _b_scheme THEN _h_raw
+        WHEN _h_has_netloc AND _h_netloc <> '' THEN {unparse('_h_netloc', hp, '_h_query', '_h_fragment', '_par')}
+        WHEN {hp} = '' AND _par = '' THEN {unparse('_b_netloc', '_b_path', base_query, '_h_fragment')}
+        ELSE {unparse('_b_netloc', rel_path, '_h_query', '_h_fragment', '_par')}
+      END AS {out}
+    FROM (SELECT *, CASE WHEN regexp_matches(_h_raw, {q(SCHEME)}) THEN _h_scheme ELSE _b_scheme END AS _sch,
+                 {params} AS _par FROM {h})"""
+
+
+def normalize_sql(x: str) -> str:
+    t = f"replace(coalesce({x}, ''), chr(160), ' ')"
+    t = f"nfc_normalize(regexp_replace({t}, {q(NONPRINT)}, '', 'g'))"
+    t = strip(f"regexp_replace({t}, '\\s+', ' ', 'g')")
+    t = strip(f"regexp_replace({t}, {q('(?i)' + V.TITLE_SUFFIX)}, '')")
+    return f"rtrim(substr({t}, 1, {V.TITLE_MAX_CHARS}))"
+
+
+DIRTY = f"""SELECT "Index" AS id, CASE WHEN "Index" % 7 = 0 THEN upper(d) ELSE d END AS title FROM (
+    SELECT "Index", '  ' || t2 || chr(160) || ' View Position ' AS d FROM (
+      SELECT "Index", CASE WHEN "Index" % 13 = 0 THEN regexp_replace(t1, '^([^ ]*) ', '\\1' || chr(8201))
+                      ELSE t1 END AS t2 FROM (
+        SELECT "Index", CASE WHEN "Index" % 11 = 0 THEN replace("Position title", ' ', chr(8203) || ' ')
+                        ELSE "Position title" END AS t1 FROM ({JOBS}))))"""
+
+
+def title_case_sql(x: str) -> str:
+    t = strip(f"regexp_replace({x}, '[-_]+', ' ', 'g')")
+    return (f"array_to_string(list_transform(regexp_extract_all({t}, '[A-Za-z]+|[^A-Za-z]+', 0), "
+            f"lambda r: upper(r[1]) || lower(r[2:])), '')")
+
+
+def casefold_sql(x: str) -> str:
+    return f"replace(lower({x}), 'ß', 'ss')"
+
+
+def safe_sql(x: str, strip_us: bool, limit: int, default: str) -> str:
+    s = f"regexp_replace(coalesce({x}, ''), '[^a-zA-Z0-9._-]+', '_', 'g')"
+    if strip_us:
+        s = f"regexp_replace({s}, '^_+|_+$', '', 'g')"
+    s = f"left({s}, {limit})"
+    return f"CASE WHEN {s} = '' THEN {q(default)} ELSE {s} END"
+
+
+def blob_names_sql() -> str:
+    ts = ("strftime(epoch_ms(1735689600000 + \"offset\" * 1001), '%Y%m%dT%H%M%S') || "
+          "lpad(CAST((\"offset\" * 1001) % 1000 AS VARCHAR), 3, '0') || 'Z'")
+    key = safe_sql("'jobs ' || CAST(\"offset\" AS VARCHAR) || '!'", True, V.KEY_NAME_MAX, "message")
+    topic = safe_sql(q(MESSAGE_TOPIC), False, V.TOPIC_NAME_MAX, "topic")
+    tail = (f"{topic} || '/' || {ts} || '_p' || CAST(\"offset\" % {MESSAGE_PARTITIONS} AS VARCHAR) || '_o' || "
+            f"CAST(\"offset\" AS VARCHAR) || '_' || {key}")
+    return (f"SELECT \"offset\", {q(V.DEFAULT_BLOB_PREFIX)} || {tail} || '.parquet' AS raw_name, "
+            f"'pre/fix/' || {tail} || '_enriched.parquet' AS enriched_name "
+            f"FROM (SELECT DISTINCT p_partkey // {MESSAGE_ROWS} AS \"offset\" FROM part)")
+
 
 def oracle() -> dict[str, str]:
     titles_only = f'SELECT "Index", "Position title" FROM ({JOBS})'
+    career_anchors = anchors_sql(CAREER)
+    with_origin = f"(SELECT *, {origin_expr('_o_')} AS _o_origin FROM {url_parts(career_anchors, 'url', '_o_')})"
+    resolved = "(" + resolve_sql("_o_origin || '/'", "href", with_origin, "page_id, pos, href") + ")"
+    slug_p = q(EX.career_slug_pattern().replace("(?iu)", "(?i)"))
     out = {
         "enrich_titles": ENRICHED.format(scored(titles_only, False)),
         "enrich_descriptions": ENRICHED.format(scored(JOBS, True)),
@@ -99,5 +285,25 @@ def oracle() -> dict[str, str]:
         "seniority_counts": (f"SELECT seniority_level, count(*) AS n FROM ({scored(JOBS, True)}) "
                              f"GROUP BY seniority_level"),
         "enrich_documents": ENRICHED.format(scored(DOC_JOBS, True)),
+        "canonical_urls": canonical_sql("pages", "url", "page_id, url"),
+        "strip_tracking": (f"SELECT page_id, _s_query AS query, {strip_tracking_sql('_s_query')} AS kept_query "
+                           f"FROM {url_parts('pages', 'url', '_s_')}"),
+        "site_origins": (f"SELECT page_id, {origin_expr('_s_')} AS origin, "
+                         f"coalesce({origin_expr('_s_')} IS NOT NULL, false) AS listing_ok "
+                         f"FROM {url_parts('pages', 'url', '_s_')}"),
+        "job_slugs": (f"SELECT page_id, pos, href, {is_job_href_sql('href')} AS is_job_href, "
+                      f"{job_slug_sql('href')} AS slug FROM {career_anchors}"),
+        "resolve_hrefs": canonical_sql(resolved, "resolved", "page_id, pos, href, resolved"),
+        "normalize_titles": (f"SELECT id, {normalize_sql('title')} AS title, "
+                             f"{normalize_sql(normalize_sql(normalize_sql('title')))} AS title3 FROM ({DIRTY})"),
+        "title_from_slugs": (f"SELECT page_id, pos, slug, {title_case_sql('slug')} AS title FROM ("
+                             f"SELECT page_id, unnest(sl) AS slug, generate_subscripts(sl, 1) - 1 AS pos FROM ("
+                             f"SELECT page_id, regexp_extract_all(html, {slug_p}, 1) AS sl FROM ({CAREER})))"),
+        "casefold_texts": (f"SELECT page_id, pos, text, {casefold_sql('text')} AS folded "
+                           f"FROM {anchors_sql('SELECT page_id, url, html FROM pages')}"),
+        "safe_names": (f"SELECT page_id, {safe_sql('url', True, V.KEY_NAME_MAX, 'message')} AS key_name, "
+                       f"{safe_sql('url', False, V.TOPIC_NAME_MAX, 'topic')} AS topic_name, "
+                       f"{safe_sql('url', True, V.LABEL_NAME_MAX, 'listing')} AS label FROM pages"),
+        "blob_names": blob_names_sql(),
     }
     return out
