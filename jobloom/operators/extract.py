@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
+from jobloom.functions.common import let
 from jobloom.functions.text import html_unescape, normalize_title, title_from_slug, unicode_strip
 from jobloom.functions.urls import canonical_url, is_job_href, job_slug, resolve_href, site_origin
 
@@ -100,6 +101,16 @@ def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column |
     return df
 
 
+def unique_slugs(slugs: Column) -> Column:
+    """First occurrence of every slug compared case-insensitively (AGG-3):
+    array<struct<pos, slug>> in document order."""
+    keyed = F.array_sort(F.transform(slugs, lambda s, i: F.struct(F.lower(s).alias("key"), i.alias("pos"),
+                                                                   s.alias("slug"))))
+    firsts = let(keyed, lambda k: F.filter(k, lambda x, i: F.when(i == 0, F.lit(True)).otherwise(
+        k[i - 1]["key"] != x["key"])))
+    return F.array_sort(F.transform(firsts, lambda x: F.struct(x["pos"].alias("pos"), x["slug"].alias("slug"))))
+
+
 def _first_per_key(col: str) -> Column:
     return F.filter(F.col(col), lambda x, i: F.when(i == 0, F.lit(True)).otherwise(
         F.col(col)[i - 1]["key"] != x["key"]))
@@ -107,10 +118,13 @@ def _first_per_key(col: str) -> Column:
 
 def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
                   url: str = "url", marker: str = V.JOB_PATH_MARKER,
-                  title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
+                  title_max_chars: int = V.TITLE_MAX_CHARS, include_slugs: bool = True) -> DataFrame:
     """Per page: the ordered job rows (``rows``: phase, pos, position_title, job_url)
-    plus the counters of AGG-6. Blank pages give no rows (FLT-1)."""
+    plus the arrays behind the counters of AGG-6. Blank pages give no rows (FLT-1).
+    ``include_slugs=False`` gives the anchor rows alone (AGG-2)."""
     df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker)
+    if not include_slugs:
+        df = df.withColumn("slug_links", F.array().cast(df.schema["slug_links"].dataType))
     anchor_c = F.transform(F.col("job_links"), lambda x: F.struct(
         F.lower(x["url"]).alias("key"), F.lit(0).alias("phase"), x["pos"].alias("pos"),
         x["url"].alias("url"), x["inner"].alias("text")))

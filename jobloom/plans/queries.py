@@ -125,6 +125,41 @@ def blob_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  prefix="  pre/fix  ").alias("enriched_name"))
 
 
+
+# --------------------------------------------------------------------------- extraction
+def nonblank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1 flag per page."""
+    return FX.table(spark, sf_dir, "pages").select("page_id", EX.nonblank(F.col("html")).alias("nonblank"))
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-2 with FLT-2..5: job anchors per page, first per URL, non-empty titles."""
+    pages = EX.extract_pages(FX.career_pages(spark, sf_dir), include_slugs=False)
+    return pages.select("page_id", F.inline("rows")).drop("phase")
+
+
+def slug_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-3: unique /career/ slugs per page in first-seen order."""
+    pages = EX.page_candidates(FX.career_pages(spark, sf_dir))
+    return pages.select("page_id", F.inline(EX.unique_slugs(F.col("slugs"))))
+
+
+def unseen_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-2: slug-scan jobs whose URL no anchor of the page claimed."""
+    jobs = EX.extract_jobs(FX.career_pages(spark, sf_dir))
+    return jobs.filter(F.col("phase") == 1).select("page_id", "pos", "position_title", "job_url")
+
+
+def extract_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET-3: all job rows of every page, anchors first then slugs."""
+    return EX.extract_jobs(FX.career_pages(spark, sf_dir))
+
+
+def extract_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6: per-page counters and the short-page flag."""
+    return EX.extract_metrics(FX.career_pages(spark, sf_dir))
+
+
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (temporary): enriched titles."""
     return enrich_descriptions(spark, sf_dir)
@@ -147,4 +182,10 @@ REGISTRY = {
     "casefold_texts": casefold_texts,
     "safe_names": safe_names,
     "blob_names": blob_names,
+    "nonblank_pages": nonblank_pages,
+    "page_links": page_links,
+    "slug_scan": slug_scan,
+    "unseen_slugs": unseen_slugs,
+    "extract_jobs": extract_jobs,
+    "extract_metrics": extract_metrics,
 }

@@ -157,7 +157,7 @@ def origin_expr(p: str) -> str:
             f"THEN {p}scheme || '://' || lower({p}netloc) END")
 
 
-def anchors_sql(pages_sql: str) -> str:
+def anchors_sql(pages_sql: str, extra: str = "") -> str:
     hr = q(EX.ANCHOR_HREF)
     pick = (f"CASE WHEN regexp_extract(a, {hr}, 1) <> '' THEN regexp_extract(a, {hr}, 1) "
             f"WHEN regexp_extract(a, {hr}, 2) <> '' THEN regexp_extract(a, {hr}, 2) "
@@ -166,9 +166,10 @@ def anchors_sql(pages_sql: str) -> str:
     text = (f"array_to_string(list_filter(list_transform(regexp_split_to_array("
             f"regexp_extract(a, {q(EX.ANCHOR_INNER)}, 1), {q(EX.TAG)}), lambda x: {strip('x')}), "
             f"lambda x: x <> ''), ' ')")
-    return f"""(SELECT page_id, url, pos, {href} AS href, {text} AS text
-      FROM (SELECT page_id, url, unnest(al) AS a, generate_subscripts(al, 1) - 1 AS pos
-            FROM (SELECT page_id, url, regexp_extract_all(regexp_replace(coalesce(html, ''),
+    ex = f"{extra}, " if extra else ""
+    return f"""(SELECT page_id, url, {ex}pos, {href} AS href, {text} AS text
+      FROM (SELECT page_id, url, {ex}unnest(al) AS a, CAST(generate_subscripts(al, 1) - 1 AS INTEGER) AS pos
+            FROM (SELECT page_id, url, {ex}regexp_extract_all(regexp_replace(coalesce(html, ''),
                       {q(EX.HIDDEN_MARKUP)}, '<!>', 'g'), {q(EX.ANCHOR)}, 0) AS al FROM ({pages_sql}))))"""
 
 
@@ -270,6 +271,64 @@ def blob_names_sql() -> str:
             f"FROM (SELECT DISTINCT p_partkey // {MESSAGE_ROWS} AS \"offset\" FROM part)")
 
 
+# ------------------------------------------------------------------ extraction
+SLUG_P = q(EX.career_slug_pattern().replace("(?iu)", "(?i)"))
+
+
+def pages_with_origin(pages_sql: str) -> str:
+    return (f"(SELECT page_id, url, html, origin FROM (SELECT *, {origin_expr('_g_')} AS origin "
+            f"FROM {url_parts('(' + pages_sql + ')', 'url', '_g_')}) "
+            f"WHERE regexp_matches(coalesce(html, ''), '\\S'))")
+
+
+def job_links_sql(pages_o: str) -> str:
+    cand = f"(SELECT * FROM {anchors_sql(pages_o, 'origin')} WHERE {is_job_href_sql('href')})"
+    with_slug = f"(SELECT *, {job_slug_sql('href')} AS slug FROM {cand})"
+    resolved = "(" + resolve_sql("origin || '/'", "href", with_slug, "page_id, pos, href, text, slug") + ")"
+    canon = "(" + canonical_sql(resolved, "resolved", "page_id, pos, text, slug", p="_k_", out="job_url") + ")"
+    return f"(SELECT page_id, pos, text, job_url FROM {canon} WHERE slug IS NOT NULL AND job_url IS NOT NULL)"
+
+
+def slugs_sql(pages_o: str) -> str:
+    raw = (f"(SELECT page_id, origin, unnest(sl) AS slug, generate_subscripts(sl, 1) AS rpos FROM "
+           f"(SELECT page_id, origin, regexp_extract_all(coalesce(html, ''), {SLUG_P}, 1) AS sl FROM {pages_o}))")
+    return (f"(SELECT page_id, origin, slug, CAST(row_number() OVER (PARTITION BY page_id ORDER BY rpos) - 1 "
+            f"AS INTEGER) AS pos FROM {raw} WHERE lower(slug) NOT IN ('career', 'careers'))")
+
+
+def slug_links_sql(pages_o: str) -> str:
+    resolved = "(" + resolve_sql("origin || '/'", "'career/' || slug || '/'", slugs_sql(pages_o),
+                                 "page_id, pos, slug") + ")"
+    return "(" + canonical_sql(resolved, "resolved", "page_id, pos, slug", p="_k_", out="job_url") + ")"
+
+
+def extract_sql(pages_sql: str, include_slugs: bool = True) -> str:
+    po = pages_with_origin(pages_sql)
+    slug_part = (f" UNION ALL SELECT page_id, 1 AS phase, pos, job_url, slug AS text FROM {slug_links_sql(po)} "
+                 f"WHERE job_url IS NOT NULL") if include_slugs else ""
+    return f"""SELECT page_id, phase, pos, position_title, job_url FROM (
+      SELECT page_id, phase, pos,
+             CASE WHEN phase = 0 THEN {normalize_sql('text')} ELSE {title_case_sql('text')} END AS position_title,
+             job_url
+      FROM (SELECT * FROM (SELECT page_id, 0 AS phase, pos, job_url, text FROM {job_links_sql(po)}{slug_part})
+            QUALIFY row_number() OVER (PARTITION BY page_id, lower(job_url) ORDER BY phase, pos) = 1))
+    WHERE position_title <> ''"""
+
+
+def metrics_sql(pages_sql: str) -> str:
+    po = pages_with_origin(pages_sql)
+    cand = f"(SELECT page_id, count(*) AS n FROM {anchors_sql(po, 'origin')} WHERE {is_job_href_sql('href')} GROUP BY page_id)"
+    us = f"(SELECT page_id, count(DISTINCT lower(slug)) AS n FROM {slugs_sql(po)} GROUP BY page_id)"
+    rows = (f"(SELECT page_id, count(*) FILTER (WHERE phase = 0) AS a, count(*) AS t "
+            f"FROM ({extract_sql(pages_sql)}) GROUP BY page_id)")
+    return f"""SELECT p.page_id, CAST(length(p.html) AS INTEGER) AS html_chars,
+        CAST(coalesce(us.n, 0) AS INTEGER) AS unique_slugs, CAST(coalesce(cand.n, 0) AS INTEGER) AS anchor_candidates,
+        CAST(coalesce(r.a, 0) AS INTEGER) AS rows_from_anchors, CAST(coalesce(r.t, 0) AS INTEGER) AS total_rows,
+        length(p.html) < {V.SHORT_PAGE_CHARS} AND coalesce(r.t, 0) < {V.SHORT_PAGE_ROWS} AS short_page
+      FROM {po} p LEFT JOIN {cand} cand ON cand.page_id = p.page_id LEFT JOIN {us} us ON us.page_id = p.page_id
+      LEFT JOIN {rows} r ON r.page_id = p.page_id"""
+
+
 def oracle() -> dict[str, str]:
     titles_only = f'SELECT "Index", "Position title" FROM ({JOBS})'
     career_anchors = anchors_sql(CAREER)
@@ -305,5 +364,13 @@ def oracle() -> dict[str, str]:
                        f"{safe_sql('url', False, V.TOPIC_NAME_MAX, 'topic')} AS topic_name, "
                        f"{safe_sql('url', True, V.LABEL_NAME_MAX, 'listing')} AS label FROM pages"),
         "blob_names": blob_names_sql(),
+        "nonblank_pages": "SELECT page_id, coalesce(regexp_matches(html, '\\S'), false) AS nonblank FROM pages",
+        "page_links": f"SELECT page_id, pos, position_title, job_url FROM ({extract_sql(CAREER, False)})",
+        "slug_scan": (f"SELECT page_id, pos, slug FROM {slugs_sql(pages_with_origin(CAREER))} "
+                      f"QUALIFY row_number() OVER (PARTITION BY page_id, lower(slug) ORDER BY pos) = 1"),
+        "unseen_slugs": (f"SELECT page_id, pos, position_title, job_url FROM ({extract_sql(CAREER)}) "
+                         f"WHERE phase = 1"),
+        "extract_jobs": extract_sql(CAREER),
+        "extract_metrics": metrics_sql(CAREER),
     }
     return out
