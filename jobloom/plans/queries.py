@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 from jobloom.functions import text as TX
 from jobloom.functions import urls as U
 from jobloom.operators import extract as EX
+from jobloom.operators import ordering as ORD
+from jobloom.operators import sanitize as SAN
 from jobloom.operators.enrich import enrich, score_parts, with_combined_text
 from jobloom.plans import fixtures as FX
+from jobloom.plans import produce as PR
+from jobloom.sources import config as SRC
+from jobloom.sources import pages as PG
+
+BATCH_ROWS = 500  # several batches at test scale; the producer default is 2000
+BODY_CAP = 8192  # a cap that some test pages exceed; the default is 15 MiB
 
 
 # --------------------------------------------------------------------------- enrichment
@@ -160,6 +168,95 @@ def extract_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EX.extract_metrics(FX.career_pages(spark, sf_dir))
 
 
+
+# --------------------------------------------------------------------------- sources
+def cap_body_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2: page byte size and whether it is within the cap."""
+    return PG.with_body_cap(FX.table(spark, sf_dir, "pages"), max_bytes=BODY_CAP).select(
+        "page_id", "n_bytes", "accepted")
+
+
+def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6: every page URL as primary, with a merge list of repeats, blanks and its origin."""
+    pages = FX.table(spark, sf_dir, "pages")
+    extras = F.concat(F.lit(" "), F.col("url"), F.lit(" ,, "), U.site_origin("url"), F.lit(", "), F.col("url"))
+    return SRC.listing_urls(pages, "url", extras, keep=["page_id"])
+
+
+def attach_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 / JN-1: career pages joined to their source (one source per origin)."""
+    pages = FX.career_pages(spark, sf_dir).withColumn("origin", U.site_origin("url"))
+    return SRC.attach_source(pages, FX.page_sources(pages), on="origin").select("page_id", "source")
+
+
+def _sources(pages: DataFrame) -> DataFrame:
+    return FX.page_sources(pages).withColumn("pos", F.col("id"))
+
+
+def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET-2: job rows of all sources, tagged with their source."""
+    pages = FX.career_pages(spark, sf_dir)
+    return PR.gather_records(pages, _sources(pages)).select(
+        "source", "page_id", "phase", "pos", "position_title", "job_url")
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-7: clean rows per source."""
+    pages = FX.career_pages(spark, sf_dir)
+    recs = PR.clean_records(PR.gather_records(pages, _sources(pages)))
+    return recs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------- keep-first, order
+def sanitize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-4: re-normalized records, first per canonical URL / nourl / bad-URL key."""
+    recs = SAN.sanitize_records(FX.records(spark, sf_dir), order="id")
+    return recs.select("id", "source", "position_title", "job_url")
+
+
+def dedupe_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-5 + WIN-1: title-only output, first per case-folded title, numbered A-Z."""
+    t = SAN.dedupe_titles(FX.dirty_titles(spark, sf_dir), order="id")
+    n = ORD.global_index(t, ORD.title_sort_key("title"), index_col="Index")
+    return n.select("Index", F.col("title").alias("Position title"))
+
+
+def _clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PR.clean_records(FX.records(spark, sf_dir), order=["id"])
+
+
+def global_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-1 + WIN-1: cleaned records numbered 1..n by case-folded title (two-pass)."""
+    n = ORD.global_index(_clean_records(spark, sf_dir),
+                         ORD.title_sort_key("position_title", "job_url", "source", "id"), index_col="Index")
+    return n.select("Index", F.col("position_title").alias("Position title"))
+
+
+def batch_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-2: the same order cut into batches, Index restarting per batch."""
+    n = ORD.global_index(_clean_records(spark, sf_dir),
+                         ORD.title_sort_key("position_title", "job_url", "source", "id"), index_col="rn")
+    return ORD.batch_index(n, BATCH_ROWS).select("batch_no", "Index",
+                                                  F.col("position_title").alias("Position title"))
+
+
+# --------------------------------------------------------------------------- producer
+def _produce(spark: SparkSession, sf_dir: str) -> PR.ProduceResult:
+    pages = FX.career_pages(spark, sf_dir)
+    return PR.produce(pages, _sources(pages), rows_per_batch=BATCH_ROWS)
+
+
+def produce_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer, merged output (SNK-1): pages -> jobs -> clean x2 -> Index, Position title."""
+    return _produce(spark, sf_dir).merged
+
+
+def produce_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer, batched payloads (WIN-2, SNK-2, SNK-3): one message per batch."""
+    msgs = PR.messages(_produce(spark, sf_dir).batches, topic=FX.MESSAGE_TOPIC)
+    return msgs.select("batch_no", F.col("key").cast("string").alias("key"), "n_rows")
+
+
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (temporary): enriched titles."""
     return enrich_descriptions(spark, sf_dir)
@@ -188,4 +285,15 @@ REGISTRY = {
     "unseen_slugs": unseen_slugs,
     "extract_jobs": extract_jobs,
     "extract_metrics": extract_metrics,
+    "cap_body_size": cap_body_size,
+    "listing_urls": listing_urls,
+    "attach_source": attach_source,
+    "source_records": source_records,
+    "run_counts": run_counts,
+    "sanitize_records": sanitize_records,
+    "dedupe_titles": dedupe_titles,
+    "global_index": global_index,
+    "batch_index": batch_index,
+    "produce_merged": produce_merged,
+    "produce_batches": produce_batches,
 }

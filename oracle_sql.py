@@ -329,6 +329,81 @@ def metrics_sql(pages_sql: str) -> str:
       LEFT JOIN {rows} r ON r.page_id = p.page_id"""
 
 
+# ------------------------------------------------------------------ sources, keep-first, order
+BATCH_ROWS = 500
+BODY_CAP = 8192
+RECORDS = f"""SELECT d.id, 'src' || CAST(d.id % 4 AS VARCHAR) AS source, d.title AS position_title,
+       CASE WHEN d.id % 5 = 0 THEN NULL WHEN d.id % 17 = 0 THEN 'mailto:x' ELSE p.url END AS job_url
+    FROM ({DIRTY}) d JOIN pages p ON p.page_id = d.id % (SELECT count(*) FROM pages)"""
+
+
+def sanitize_sql(inner: str, cols: str, order: str) -> str:
+    """One cleaning pass: normalize title, drop empty, first row per record key by ``order``.
+    ``cols`` lists the columns of ``inner`` to carry besides position_title and job_url."""
+    staged = (f"(SELECT {cols}, {normalize_sql('position_title')} AS _t, coalesce(job_url, '') AS _ju "
+              f"FROM ({inner}))")
+    canon = canonical_sql(f"(SELECT * FROM {staged} WHERE _t <> '')", "_ju", f"{cols}, _t, _ju",
+                          p="_z_", out="_canon")
+    src = "coalesce(CAST(source AS VARCHAR), '')"
+    key = (f"CASE WHEN _ju = '' THEN 'nourl:' || {src} || ':' || {casefold_sql('_t')} "
+           f"WHEN _canon IS NULL THEN lower({strip('_ju')}) || '|' || {src} || '|' || {casefold_sql('_t')} "
+           f"ELSE lower(_canon) END")
+    return (f"SELECT {cols}, _t AS position_title, _ju AS job_url FROM ({canon}) "
+            f"QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1")
+
+
+def numbered_sql(inner: str, ties: str) -> str:
+    return (f"SELECT *, row_number() OVER (ORDER BY {casefold_sql('position_title')}, position_title, {ties}) "
+            f"AS rn FROM ({inner})")
+
+
+CLEAN = sanitize_sql(sanitize_sql(RECORDS, "id, source", "id"), "id, source", "id")
+PAGE_ORIGIN = (f"SELECT page_id, url, html, {origin_expr('_w_')} AS origin "
+               f"FROM {url_parts('(' + CAREER + ')', 'url', '_w_')}")
+SOURCE_RECORDS = (f"SELECT o.origin AS source, o.origin AS source_order, e.page_id, e.phase, e.pos, "
+                  f"e.position_title, e.job_url FROM ({extract_sql(CAREER)}) e "
+                  f"JOIN ({PAGE_ORIGIN}) o ON o.page_id = e.page_id")
+REC_ORDER = "source_order, page_id, phase, pos"
+REC_COLS = "source, source_order, page_id, phase, pos"
+PRODUCED = numbered_sql(sanitize_sql(sanitize_sql(SOURCE_RECORDS, REC_COLS, REC_ORDER), REC_COLS, REC_ORDER),
+                        "job_url, source")
+
+
+def listing_urls_sql() -> str:
+    parts = (f"list_concat([url], string_split(' ' || url || ' ,, ' || _v_origin || ', ' || url, ','))")
+    exploded = (f"SELECT page_id, {strip('v0')} AS v, i FROM (SELECT page_id, unnest(parts) AS v0, "
+                f"generate_subscripts(parts, 1) AS i FROM (SELECT page_id, {parts} AS parts FROM "
+                f"(SELECT *, {origin_expr('_v_')} AS _v_origin FROM {url_parts('pages', 'url', '_v_')})))")
+    firsts = f"SELECT * FROM ({exploded}) WHERE v <> '' QUALIFY row_number() OVER (PARTITION BY page_id, v ORDER BY i) = 1"
+    return (f"SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos, "
+            f"v AS listing_url FROM ({firsts})")
+
+
+def group3() -> dict[str, str]:
+    return {
+        "cap_body_size": (f"SELECT page_id, CAST(strlen(html) AS INTEGER) AS n_bytes, "
+                          f"coalesce(strlen(html) <= {BODY_CAP}, true) AS accepted FROM pages"),
+        "listing_urls": listing_urls_sql(),
+        "attach_source": f"SELECT page_id, origin AS source FROM ({PAGE_ORIGIN}) WHERE origin IS NOT NULL",
+        "source_records": f"SELECT source, page_id, phase, pos, position_title, job_url FROM ({SOURCE_RECORDS})",
+        "run_counts": (f"SELECT source, count(*) AS n FROM ("
+                       f"{sanitize_sql(sanitize_sql(SOURCE_RECORDS, REC_COLS, REC_ORDER), REC_COLS, REC_ORDER)}) "
+                       f"GROUP BY source"),
+        "sanitize_records": f"SELECT id, source, position_title, job_url FROM ({sanitize_sql(RECORDS, 'id, source', 'id')})",
+        "dedupe_titles": (f"SELECT row_number() OVER (ORDER BY {casefold_sql('t')}, t) AS \"Index\", "
+                          f"t AS \"Position title\" FROM (SELECT * FROM (SELECT id, {normalize_sql('title')} AS t "
+                          f"FROM ({DIRTY})) WHERE t <> '' "
+                          f"QUALIFY row_number() OVER (PARTITION BY {casefold_sql('t')} ORDER BY id) = 1)"),
+        "global_index": f"SELECT rn AS \"Index\", position_title AS \"Position title\" FROM ({numbered_sql(CLEAN, 'job_url, source, id')})",
+        "batch_index": (f"SELECT (rn - 1) // {BATCH_ROWS} AS batch_no, (rn - 1) % {BATCH_ROWS} + 1 AS \"Index\", "
+                        f"position_title AS \"Position title\" FROM ({numbered_sql(CLEAN, 'job_url, source, id')})"),
+        "produce_merged": f"SELECT rn AS \"Index\", position_title AS \"Position title\" FROM ({PRODUCED})",
+        "produce_batches": (f"SELECT (rn - 1) // {BATCH_ROWS} AS batch_no, "
+                            f"'parquet-batch-' || CAST((rn - 1) // {BATCH_ROWS} AS VARCHAR) AS key, "
+                            f"count(*) AS n_rows FROM ({PRODUCED}) GROUP BY 1, 2"),
+    }
+
+
 def oracle() -> dict[str, str]:
     titles_only = f'SELECT "Index", "Position title" FROM ({JOBS})'
     career_anchors = anchors_sql(CAREER)
@@ -372,5 +447,6 @@ def oracle() -> dict[str, str]:
                          f"WHERE phase = 1"),
         "extract_jobs": extract_sql(CAREER),
         "extract_metrics": metrics_sql(CAREER),
+        **group3(),
     }
     return out
