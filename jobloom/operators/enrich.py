@@ -60,3 +60,38 @@ def enrich(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         S.category(t).alias("category"),
         S.seniority_level(t).alias("seniority_level"),
     )
+
+
+def enrich_payload_rows(unpacked: DataFrame, coords: Sequence[str] = ("topic", "partition", "offset")) -> DataFrame:
+    """SCR-9 over unpacked message rows (``plans.payload.unpack_payloads``), decided per message:
+
+    * a payload that already has ``complexity_score`` keeps its values unchanged;
+    * otherwise the text is the title, plus the description when the payload has
+      a ``job_description`` column, and the rows are scored.
+
+    Output: ``coords..., Index, Position title, complexity_score, category,
+    seniority_level, enriched_before``. A payload that is not Parquet or lacks
+    ``Index``/``Position title`` fails the job, as a bad message stops a consumer.
+    """
+    coords = list(coords)
+    cols = F.col("payload_columns")
+    has = lambda c: F.coalesce(F.array_contains(cols, c), F.lit(False))
+    done = has("complexity_score")
+    ok = F.col("payload_error").isNull() & (done | (has(INDEX) & has(TITLE)))
+    checked = unpacked.filter(F.assert_true(ok, F.concat(
+        F.lit("payload is not a producer Parquet payload (needs Index and Position title): "),
+        F.coalesce(F.col("payload_error"), F.array_join(cols, ",")))).isNull())
+    title = combined_text(F.col(TITLE))
+    text = F.when(done, F.lit(None).cast("string")).when(
+        has(DESCRIPTION), combined_text(F.col(TITLE), F.col(DESCRIPTION))).otherwise(title)
+    parts = score_parts(checked.withColumn(TEXT, text).withColumn("enriched_before", done))
+    t = F.col(TEXT)
+    fresh_score = S.complexity_score(F.col("leadership"), F.col("explicit_years"), F.col("inferred_years"),
+                                     F.col("skills"))
+    return parts.select(
+        *coords, INDEX, TITLE,
+        F.when(F.col("enriched_before"), F.col("complexity_score")).otherwise(fresh_score).alias("complexity_score"),
+        F.when(F.col("enriched_before"), F.col("category")).otherwise(S.category(t)).alias("category"),
+        F.when(F.col("enriched_before"), F.col("seniority_level")).otherwise(S.seniority_level(t))
+        .alias("seniority_level"),
+        "enriched_before")

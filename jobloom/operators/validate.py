@@ -108,12 +108,43 @@ def violations(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] =
 
 def assert_valid(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] = ()) -> None:
     """Raise ``ValidationError`` naming the first failing check; one aggregation pass."""
-    v = violations(producer, enriched, coords)
-    summary = v.groupBy("rule_no").agg(F.count(F.lit(1)).alias("n"),
-                                       F.min_by(F.struct("Index", "value"), "Index").alias("first"))
+    msg = first_violation(violations(producer, enriched, coords))
+    if msg:
+        raise ValidationError(msg)
+
+
+def label_violations(enriched: DataFrame, coords: Sequence[str] = ()) -> DataFrame:
+    """Checks 4-9 alone: row-local, no join, no shuffle.
+
+    When the enriched rows are a projection of the producer rows (as in
+    ``enrich``), keys and row counts are preserved by construction and only the
+    label checks can fail; a streaming consumer runs this form per micro-batch.
+    """
+    for col in KEYS + LABELS:
+        if col not in enriched.columns:
+            raise ValidationError(f"validate: enriched data missing column {col!r}")
+    score = F.col("complexity_score").cast("string").try_cast("double")
+    cat, sen = _as_text(F.col("category")), _as_text(F.col("seniority_level"))
+    checks = [
+        (4, score.isNull(), F.col("complexity_score").cast("string")),
+        (5, score.isNotNull() & ((score < 0) | (score > 100)), F.col("complexity_score").cast("string")),
+        (6, cat == "", cat), (7, (cat != "") & ~cat.isin(*V.ALLOWED_CATEGORIES), cat),
+        (8, sen == "", sen), (9, (sen != "") & ~sen.isin(*V.ALLOWED_SENIORITY), sen),
+    ]
+    found = F.filter(F.array(*[
+        F.when(c, F.struct(F.lit(n).alias("rule_no"), F.lit(RULES[n][0]).alias("rule"), v.alias("value")))
+        for n, c, v in checks]), lambda x: x.isNotNull())
+    return enriched.select(*coords, F.col("Index").cast("long").alias("Index"), F.explode(found).alias("_v")) \
+        .select(*coords, "Index", "_v.rule_no", "_v.rule", "_v.value")
+
+
+def first_violation(violation_rows: DataFrame) -> str | None:
+    """Message of the lowest failing rule (one aggregation), or None when all checks pass."""
+    summary = violation_rows.groupBy("rule_no").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by(F.struct("Index", "value"), "Index").alias("first"))
     first = summary.orderBy("rule_no").limit(1).collect()
-    if first:
-        r = first[0]
-        name, msg = RULES[r["rule_no"]]
-        raise ValidationError(f"validate: {msg} ({r['n']} row(s); first Index={r['first']['Index']}, "
-                              f"value={r['first']['value']!r})")
+    if not first:
+        return None
+    r = first[0]
+    return (f"validate: {RULES[r['rule_no']][1]} ({r['n']} row(s); first Index={r['first']['Index']}, "
+            f"value={r['first']['value']!r})")

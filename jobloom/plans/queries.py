@@ -17,7 +17,11 @@ from jobloom.operators import sanitize as SAN
 from jobloom.operators.enrich import enrich, score_parts, with_combined_text
 from jobloom.plans import fixtures as FX
 from jobloom.plans import produce as PR
+from jobloom.operators import validate as VAL
+from jobloom.operators.enrich import enrich_payload_rows
+from jobloom.plans import payload as PL
 from jobloom.sources import config as SRC
+from jobloom.sources import messages as MSG
 from jobloom.sources import pages as PG
 
 BATCH_ROWS = 500  # several batches at test scale; the producer default is 2000
@@ -257,6 +261,76 @@ def produce_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msgs.select("batch_no", F.col("key").cast("string").alias("key"), "n_rows")
 
 
+
+# --------------------------------------------------------------------------- messages and payloads
+COORDS = ["topic", "partition", "offset"]
+
+
+def unpack_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9 after SNK-2: rows read back from the Parquet payload of every message."""
+    rows = PL.unpack_payloads(FX.messages(spark, sf_dir), ["Index", "Position title", "job_description"])
+    return rows.select(*COORDS, "Index", "Position title", "job_description")
+
+
+def payload_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footer-only row count per message (null when the value is not Parquet)."""
+    return PL.payload_row_counts(FX.messages(spark, sf_dir))
+
+
+def nonempty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-6: messages with a value."""
+    return MSG.nonempty_messages(FX.messages(spark, sf_dir)).select(*COORDS)
+
+
+def max_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIM-1: the first 10 non-empty messages in (partition, offset) order."""
+    return MSG.first_messages(FX.messages(spark, sf_dir), 10).select(*COORDS)
+
+
+def enrich_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCR-9 per message: unpack, enrich (title + description), keep coordinates."""
+    rows = PL.unpack_payloads(FX.messages(spark, sf_dir))
+    return enrich_payload_rows(rows, COORDS).drop("enriched_before")
+
+
+def payload_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: byte size of every payload and whether it fits the message cap (no SQL oracle:
+    Parquet bytes are writer-specific)."""
+    return PL.with_size_check(FX.messages(spark, sf_dir).filter(F.col("value").isNotNull())).select(
+        *COORDS, "n_bytes", "fits")
+
+
+def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-8 / JN-3: every failed check of a faulty enrichment against the producer rows."""
+    producer = FX.jobs(spark, sf_dir).select("Index", "Position title")
+    return VAL.violations(producer, FX.faulty_enriched(spark, sf_dir))
+
+
+def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-8: failed rows per check."""
+    return violations(spark, sf_dir).groupBy("rule_no", "rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1..6: the streaming consumer over the job messages (file stream with the Kafka
+    row shape), enrichment on, stored per message and read back."""
+    import uuid
+
+    from jobloom.session import checkpoint_dir
+    from jobloom.streaming.consumer import ConsumerConfig, consume
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/consume_stream-{uuid.uuid4().hex}"
+    FX.messages(spark, sf_dir).withColumn("timestamp", F.lit(None).cast("timestamp")) \
+        .write.mode("overwrite").parquet(f"{base}/in")
+    cfg = ConsumerConfig(output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
+                         failures_path=f"{base}/failures", enrich=True)
+    consume(spark, MSG.read_messages(spark, path=f"{base}/in"), cfg)
+    out = spark.read.parquet(cfg.output_path)
+    return out.select("topic", F.col("partition").cast("int").alias("partition"),
+                      F.col("offset").cast("long").alias("offset"), "Index", "Position title",
+                      "complexity_score", "category", "seniority_level")
+
+
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (temporary): enriched titles."""
     return enrich_descriptions(spark, sf_dir)
@@ -296,4 +370,13 @@ REGISTRY = {
     "batch_index": batch_index,
     "produce_merged": produce_merged,
     "produce_batches": produce_batches,
+    "unpack_payloads": unpack_payloads,
+    "payload_row_counts": payload_row_counts,
+    "nonempty_messages": nonempty_messages,
+    "max_messages": max_messages,
+    "enrich_payloads": enrich_payloads,
+    "payload_sizes": payload_sizes,
+    "violations": violations,
+    "validation_summary": validation_summary,
+    "consume_stream": consume_stream,
 }

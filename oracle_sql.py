@@ -404,6 +404,69 @@ def group3() -> dict[str, str]:
     }
 
 
+# ------------------------------------------------------------------ messages, validation
+MSG_ROWS = (f"SELECT {q(MESSAGE_TOPIC)} AS topic, CAST((p_partkey // {MESSAGE_ROWS}) % {MESSAGE_PARTITIONS} "
+            f"AS INTEGER) AS partition, p_partkey // {MESSAGE_ROWS} AS \"offset\", "
+            f"p_partkey % {MESSAGE_ROWS} + 1 AS \"Index\", {job_title('p_partkey')} AS \"Position title\", "
+            f"{lst(EXTRAS)}[p_partkey % {len(EXTRAS)} + 1] AS job_description FROM part")
+MSG_COORDS = "topic, partition, \"offset\""
+LAST = f"(SELECT max(p_partkey) // {MESSAGE_ROWS} FROM part)"
+FAULTY = f"""SELECT "Index",
+    CASE WHEN "Index" % 10 = 5 THEN "Position title" || ' (edited)' ELSE "Position title" END AS "Position title",
+    CAST(CASE WHEN "Index" % 10 = 1 THEN 101 WHEN "Index" % 10 = 2 THEN NULL ELSE complexity_score END AS INTEGER)
+      AS complexity_score,
+    CASE WHEN "Index" % 10 = 3 THEN 'Legal' ELSE category END AS category,
+    CASE WHEN "Index" % 10 = 4 THEN ' ' ELSE seniority_level END AS seniority_level
+  FROM ({scored(JOBS, True)}) WHERE "Index" % 10 <> 6"""
+
+
+def violations_sql() -> str:
+    txt = lambda x: strip(f"coalesce(CAST({x} AS VARCHAR), 'None')")
+    cats = ", ".join(q(c) for c in V.ALLOWED_CATEGORIES)
+    sens = ", ".join(q(c) for c in V.ALLOWED_SENIORITY)
+    score = "TRY_CAST(CAST(e.complexity_score AS VARCHAR) AS DOUBLE)"
+    cat, sen = txt("e.category"), txt("e.seniority_level")
+    checks = [
+        (2, "p.\"Index\" IS NULL OR e.\"Index\" IS NULL", txt("coalesce(p.\"Index\", e.\"Index\")")),
+        (3, f"p.\"Index\" IS NOT NULL AND e.\"Index\" IS NOT NULL AND {txt('p.\"Position title\"')} <> "
+            f"{txt('e.\"Position title\"')}", f"{txt('p.\"Position title\"')} || ' vs ' || {txt('e.\"Position title\"')}"),
+        (4, f"e.\"Index\" IS NOT NULL AND {score} IS NULL", "CAST(e.complexity_score AS VARCHAR)"),
+        (5, f"{score} IS NOT NULL AND ({score} < 0 OR {score} > 100)", "CAST(e.complexity_score AS VARCHAR)"),
+        (6, f"e.\"Index\" IS NOT NULL AND {cat} = ''", cat),
+        (7, f"e.\"Index\" IS NOT NULL AND {cat} <> '' AND {cat} NOT IN ({cats})", cat),
+        (8, f"e.\"Index\" IS NOT NULL AND {sen} = ''", sen),
+        (9, f"e.\"Index\" IS NOT NULL AND {sen} <> '' AND {sen} NOT IN ({sens})", sen),
+    ]
+    from jobloom.operators.validate import RULES
+    arms = " UNION ALL ".join(
+        f"SELECT CAST(coalesce(p.\"Index\", e.\"Index\") AS BIGINT) AS \"Index\", {n} AS rule_no, "
+        f"{q(RULES[n][0])} AS rule, {v} AS value FROM j p FULL OUTER JOIN f e ON p.\"Index\" = e.\"Index\" WHERE {c}"
+        for n, c, v in checks)
+    return f"""WITH j AS (SELECT "Index", "Position title" FROM ({JOBS})), f AS ({FAULTY}),
+      n AS (SELECT (SELECT count(*) FROM j) AS np, (SELECT count(*) FROM f) AS ne)
+    SELECT CAST(NULL AS BIGINT) AS "Index", 1 AS rule_no, {q(RULES[1][0])} AS rule,
+           CAST(np AS VARCHAR) || ' vs ' || CAST(ne AS VARCHAR) AS value FROM n WHERE np <> ne
+    UNION ALL {arms}"""
+
+
+def group4() -> dict[str, str]:
+    empties = (f"SELECT {q(MESSAGE_TOPIC)} AS topic, 0 AS partition, {LAST} + 1 AS \"offset\" UNION ALL "
+               f"SELECT {q(MESSAGE_TOPIC)}, 0, {LAST} + 2")
+    enriched = ENRICHED.replace('SELECT "Index"', f'SELECT {MSG_COORDS}, "Index"')
+    return {
+        "unpack_payloads": f"SELECT {MSG_COORDS}, \"Index\", \"Position title\", job_description FROM ({MSG_ROWS})",
+        "payload_row_counts": (f"SELECT {MSG_COORDS}, count(*) AS n_rows FROM ({MSG_ROWS}) GROUP BY ALL "
+                               f"UNION ALL SELECT topic, partition, \"offset\", NULL FROM ({empties})"),
+        "nonempty_messages": f"SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})",
+        "max_messages": (f"SELECT * FROM (SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})) "
+                         f"ORDER BY partition, \"offset\" LIMIT 10"),
+        "enrich_payloads": enriched.format(scored(MSG_ROWS, True, keep=MSG_COORDS)),
+        "violations": violations_sql(),
+        "validation_summary": f"SELECT rule_no, rule, count(*) AS n FROM ({violations_sql()}) GROUP BY ALL",
+        "consume_stream": enriched.format(scored(MSG_ROWS, True, keep=MSG_COORDS)),
+    }
+
+
 def oracle() -> dict[str, str]:
     titles_only = f'SELECT "Index", "Position title" FROM ({JOBS})'
     career_anchors = anchors_sql(CAREER)
@@ -448,5 +511,6 @@ def oracle() -> dict[str, str]:
         "extract_jobs": extract_sql(CAREER),
         "extract_metrics": metrics_sql(CAREER),
         **group3(),
+        **group4(),
     }
     return out
