@@ -74,6 +74,10 @@ def enrich_payload_rows(unpacked: DataFrame, coords: Sequence[str] = ("topic", "
     ``Index``/``Position title`` fails the job, as a bad message stops a consumer.
     """
     coords = list(coords)
+    optional = {DESCRIPTION: "string", "complexity_score": "int", "category": "string", "seniority_level": "string"}
+    for name, dtype in optional.items():
+        if name not in unpacked.columns:
+            unpacked = unpacked.withColumn(name, F.lit(None).cast(dtype))
     cols = F.col("payload_columns")
     has = lambda c: F.coalesce(F.array_contains(cols, c), F.lit(False))
     done = has("complexity_score")

@@ -332,8 +332,11 @@ def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship (temporary): enriched titles."""
-    return enrich_descriptions(spark, sf_dir)
+    """Flagship: listing pages -> jobs -> clean -> numbered batches -> Parquet payloads ->
+    unpacked and enriched rows, as the producer and the enriching consumer do."""
+    msgs = PR.messages(_produce(spark, sf_dir).batches, topic=FX.MESSAGE_TOPIC)
+    rows = PL.unpack_payloads(msgs, ["Index", "Position title"], keep=["batch_no"])
+    return enrich_payload_rows(rows, ["batch_no"]).drop("enriched_before")
 
 
 REGISTRY = {
@@ -379,4 +382,5 @@ REGISTRY = {
     "violations": violations,
     "validation_summary": validation_summary,
     "consume_stream": consume_stream,
+    "produce_enriched": produce_enriched,
 }

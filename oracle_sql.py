@@ -512,5 +512,8 @@ def oracle() -> dict[str, str]:
         "extract_metrics": metrics_sql(CAREER),
         **group3(),
         **group4(),
+        "produce_enriched": ENRICHED.replace('SELECT "Index"', 'SELECT batch_no, "Index"').format(
+            scored(f"SELECT (rn - 1) // {BATCH_ROWS} AS batch_no, (rn - 1) % {BATCH_ROWS} + 1 AS \"Index\", "
+                   f"position_title AS \"Position title\" FROM ({PRODUCED})", False, keep="batch_no")),
     }
     return out
