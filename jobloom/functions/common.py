@@ -21,3 +21,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     plan linear in size and evaluates it once.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+_BUILT: dict = {}
+
+
+def built_once(key: tuple, builder: Callable[[], object]):
+    """Reuse Column expressions that are costly to build from Python.
+
+    A Column built from many small functions takes thousands of calls into the
+    JVM to construct. Columns that refer only to fixed internal column names can
+    be built once per SparkContext and parameter set and reused by every plan.
+    """
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    full = (id(sc), key)
+    if full not in _BUILT:
+        _BUILT[full] = builder()
+    return _BUILT[full]

@@ -15,6 +15,8 @@ the oracle SQL in ``__spark_entry__`` uses.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,11 +37,40 @@ def _any_of(terms: list[str]) -> str:
     return "|".join(terms)
 
 
+_WORD_CHAR = re.compile(r"[A-Za-z0-9_]")
+
+
+def _ascii_boundaries(fragment: str) -> str:
+    """Rewrite ``\\b`` (ASCII word boundary) for Java.
+
+    Next to a literal word character a boundary is one look-around: before it,
+    "no word character behind"; after it, "no word character ahead". Anywhere
+    else (e.g. after an optional ``.``) the two-sided form is used.
+    """
+    out, i = [], 0
+    while i < len(fragment):
+        if fragment.startswith(r"\b", i):
+            nxt = fragment[i + 2:i + 3]
+            prev = fragment[i - 1:i] if i else ""
+            prev_escaped = i >= 2 and fragment[i - 2] == "\\"
+            if nxt and _WORD_CHAR.match(nxt) and not fragment.startswith(r"\b", i + 2):
+                out.append(f"(?<!{_ASCII_WORD})")
+            elif prev and _WORD_CHAR.match(prev) and not prev_escaped:
+                out.append(f"(?!{_ASCII_WORD})")
+            else:
+                out.append(_ASCII_BOUNDARY)
+            i += 2
+        else:
+            out.append(fragment[i])
+            i += 1
+    return "".join(out)
+
+
 def rule_patterns(dialect: str = "java") -> dict:
     """Regex text of every rule, for ``java`` (Spark) or ``re2`` (DuckDB)."""
     java = dialect == "java"
     uni = _UNICODE_FLAGS if java else ""
-    ascii_b = (lambda p: "(?d)" + p.replace(r"\b", _ASCII_BOUNDARY)) if java else (lambda p: p)
+    ascii_b = (lambda p: "(?d)" + "|".join(_ascii_boundaries(t) for t in p.split("|"))) if java else (lambda p: p)
     return {
         "leadership": [(score, uni + _whole_words(terms)) for score, terms in V.LEADERSHIP_TIERS],
         "inferred": [(yrs, uni + _whole_words(terms)) for yrs, terms in V.INFERRED_YEARS_TIERS],
@@ -61,10 +92,12 @@ def _first_match(text: Column, rules: list, default) -> Column:
     return expr.otherwise(F.lit(default))
 
 
-def leadership_score(text: Column) -> Column:
-    """0-40 leadership signal; empty text scores 10 (SCR-1)."""
+def leadership_score(text: Column, lowered: Column | None = None) -> Column:
+    """0-40 leadership signal; empty text scores 10 (SCR-1). ``lowered`` = ``lower(text)``
+    when the caller already has it."""
+    lc = F.lower(text) if lowered is None else lowered
     return F.when(text == "", F.lit(V.LEADERSHIP_EMPTY_TEXT)).otherwise(
-        _first_match(F.lower(text), _P["leadership"], V.LEADERSHIP_DEFAULT)
+        _first_match(lc, _P["leadership"], V.LEADERSHIP_DEFAULT)
     )
 
 
@@ -83,10 +116,11 @@ def max_years(text: Column) -> Column:
     return F.least(best, F.lit(V.YEARS_CAP))
 
 
-def inferred_years(text: Column, explicit_years: Column | None = None) -> Column:
+def inferred_years(text: Column, explicit_years: Column | None = None, lowered: Column | None = None) -> Column:
     """Years guessed from seniority words when none are stated (SCR-3)."""
     explicit_years = max_years(text) if explicit_years is None else explicit_years
-    guess = _first_match(F.lower(text), _P["inferred"], V.INFERRED_YEARS_DEFAULT)
+    lc = F.lower(text) if lowered is None else lowered
+    guess = _first_match(lc, _P["inferred"], V.INFERRED_YEARS_DEFAULT)
     return F.when((text == "") | (explicit_years > 0), F.lit(0)).otherwise(guess)
 
 
@@ -103,14 +137,14 @@ def complexity_score(lead: Column, years: Column, inferred: Column, skills: Colu
     return F.least(F.lit(V.SCORE_CAP), lead + years_pts + skill_pts).cast("int")
 
 
-def category(text: Column) -> Column:
+def category(text: Column, lowered: Column | None = None) -> Column:
     """Job family label (SCR-6)."""
-    return _first_match(F.lower(text), _P["category"], V.CATEGORY_DEFAULT)
+    return _first_match(F.lower(text) if lowered is None else lowered, _P["category"], V.CATEGORY_DEFAULT)
 
 
-def seniority_level(text: Column) -> Column:
+def seniority_level(text: Column, lowered: Column | None = None) -> Column:
     """Seniority label (SCR-7)."""
-    return _first_match(F.lower(text), _P["seniority"], V.SENIORITY_DEFAULT)
+    return _first_match(F.lower(text) if lowered is None else lowered, _P["seniority"], V.SENIORITY_DEFAULT)
 
 
 def _sql_first_match(text: str, rules: list, default) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import scoring as S
 from jobloom.functions.text import combined_text
+from jobloom.operators.partitioning import ensure_parallelism
 
 INDEX, TITLE, DESCRIPTION, TEXT = "Index", "Position title", "job_description", "combined_text"
 ENRICHED_COLUMNS = (INDEX, TITLE, "complexity_score", "category", "seniority_level")
@@ -34,13 +35,19 @@ def require_columns(df: DataFrame, cols: Sequence[str], what: str) -> None:
         raise ValueError(f"{what}: missing columns {missing}; got {df.columns}")
 
 
+LOWER = "_text_lc"
+
+
 def score_parts(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """Adds the four signals: ``leadership``, ``explicit_years``, ``inferred_years``, ``skills``."""
+    """Adds the four signals: ``leadership``, ``explicit_years``, ``inferred_years``, ``skills``
+    (and ``_text_lc``, the lower-cased text shared by the word rules)."""
     t = F.col(text)
-    return (df.withColumn("leadership", S.leadership_score(t))
+    df = df.withColumn(LOWER, F.lower(t)) if LOWER not in df.columns else df
+    lc = F.col(LOWER)
+    return (df.withColumn("leadership", S.leadership_score(t, lc))
               .withColumn("explicit_years", S.max_years(t))
               .withColumn("skills", S.count_skills(t))
-              .withColumn("inferred_years", S.inferred_years(t, F.col("explicit_years"))))
+              .withColumn("inferred_years", S.inferred_years(t, F.col("explicit_years"), lc)))
 
 
 def enrich(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -50,15 +57,15 @@ def enrich(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     Every other column is dropped, the title is passed through unchanged.
     """
     require_columns(df, [INDEX, TITLE], "enrich")
-    src = with_combined_text(df)
+    src = ensure_parallelism(with_combined_text(df))
     parts = score_parts(src.select(*keep, INDEX, TITLE, TEXT))
-    t = F.col(TEXT)
+    t, lc = F.col(TEXT), F.col(LOWER)
     return parts.select(
         *keep, INDEX, TITLE,
         S.complexity_score(F.col("leadership"), F.col("explicit_years"), F.col("inferred_years"),
                            F.col("skills")).alias("complexity_score"),
-        S.category(t).alias("category"),
-        S.seniority_level(t).alias("seniority_level"),
+        S.category(t, lc).alias("category"),
+        S.seniority_level(t, lc).alias("seniority_level"),
     )
 
 
@@ -89,13 +96,13 @@ def enrich_payload_rows(unpacked: DataFrame, coords: Sequence[str] = ("topic", "
     text = F.when(done, F.lit(None).cast("string")).when(
         has(DESCRIPTION), combined_text(F.col(TITLE), F.col(DESCRIPTION))).otherwise(title)
     parts = score_parts(checked.withColumn(TEXT, text).withColumn("enriched_before", done))
-    t = F.col(TEXT)
+    t, lc = F.col(TEXT), F.col(LOWER)
     fresh_score = S.complexity_score(F.col("leadership"), F.col("explicit_years"), F.col("inferred_years"),
                                      F.col("skills"))
     return parts.select(
         *coords, INDEX, TITLE,
         F.when(F.col("enriched_before"), F.col("complexity_score")).otherwise(fresh_score).alias("complexity_score"),
-        F.when(F.col("enriched_before"), F.col("category")).otherwise(S.category(t)).alias("category"),
-        F.when(F.col("enriched_before"), F.col("seniority_level")).otherwise(S.seniority_level(t))
+        F.when(F.col("enriched_before"), F.col("category")).otherwise(S.category(t, lc)).alias("category"),
+        F.when(F.col("enriched_before"), F.col("seniority_level")).otherwise(S.seniority_level(t, lc))
         .alias("seniority_level"),
         "enriched_before")

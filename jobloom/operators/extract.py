@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
-from jobloom.functions.common import let
+from jobloom.functions.common import built_once, let
 from jobloom.functions.text import html_unescape, normalize_title, title_from_slug, unicode_strip
 from jobloom.functions.urls import canonical_url, is_job_href, job_slug, resolve_href, site_origin
+from jobloom.operators.partitioning import ensure_parallelism
 
 # Markup whose text is not page text: comments, scripts, styles. Replaced by an
 # empty tag so that text on both sides stays two separate text nodes.
@@ -64,6 +65,29 @@ def nonblank(html: Column) -> Column:
     return F.coalesce(F.regexp_like(html, F.lit(r"(?U)\S")), F.lit(False))
 
 
+def _candidate_columns(marker: str) -> dict:
+    """The per-page arrays as Columns over ``_html`` and ``_origin`` (built once)."""
+    html = F.coalesce(F.col("_html"), F.lit(""))
+    base = F.concat(F.regexp_replace(F.col("_origin"), "/+$", ""), F.lit("/"))
+    visible = F.regexp_replace(html, HIDDEN_MARKUP, "<!>")
+    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
+    anchor_links = F.filter(F.transform(anchors, lambda a, i: F.struct(
+        i.alias("pos"), _anchor_href(a).alias("href"),
+        F.regexp_extract(a, ANCHOR_INNER, 1).alias("inner"))),
+        lambda x: x["href"].isNotNull() & is_job_href(x["href"], marker))
+    job_links = F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
+        x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"),
+        job_slug(x["href"], marker).alias("slug"),
+        canonical_url(resolve_href(base, x["href"])).alias("url"))),
+        lambda x: x["slug"].isNotNull() & x["url"].isNotNull())
+    raw_slugs = F.regexp_extract_all(html, F.lit(career_slug_pattern(marker)), F.lit(1))
+    slugs = F.filter(raw_slugs, lambda s: ~F.lower(s).isin(*V.NOT_A_SLUG))
+    slug_links = F.transform(F.col("slugs"), lambda s, i: F.struct(
+        i.alias("pos"), s.alias("slug"),
+        canonical_url(resolve_href(base, F.concat(F.lit(marker + "/"), s, F.lit("/")))).alias("url")))
+    return {"anchor_links": anchor_links, "job_links": job_links, "slugs": slugs, "slug_links": slug_links}
+
+
 def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
                     url: str = "url", marker: str = V.JOB_PATH_MARKER) -> DataFrame:
     """Adds per-page arrays: ``anchor_links`` (candidates after FLT-2), ``job_links``
@@ -73,32 +97,11 @@ def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column |
     """
     origin_col = (site_origin(F.col(url)) if origin is None
                   else (F.col(origin) if isinstance(origin, str) else origin))
-    base = F.concat(F.regexp_replace(F.col("_origin"), "/+$", ""), F.lit("/"))
-    visible = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN_MARKUP, "<!>")
-    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
-
-    df = pages.withColumn("_origin", origin_col).withColumn(
-        "anchor_links",
-        F.filter(F.transform(anchors, lambda a, i: F.struct(
-            i.alias("pos"), _anchor_href(a).alias("href"),
-            F.regexp_extract(a, ANCHOR_INNER, 1).alias("inner"))),
-            lambda x: x["href"].isNotNull() & is_job_href(x["href"], marker)))
-    df = df.withColumn(
-        "job_links",
-        F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
-            x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"),
-            job_slug(x["href"], marker).alias("slug"),
-            canonical_url(resolve_href(base, x["href"])).alias("url"))),
-            lambda x: x["slug"].isNotNull() & x["url"].isNotNull()))
-    raw_slugs = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")),
-                                     F.lit(career_slug_pattern(marker)), F.lit(1))
-    df = df.withColumn("slugs", F.filter(raw_slugs, lambda s: ~F.lower(s).isin(*V.NOT_A_SLUG)))
-    df = df.withColumn(
-        "slug_links",
-        F.transform(F.col("slugs"), lambda s, i: F.struct(
-            i.alias("pos"), s.alias("slug"),
-            canonical_url(resolve_href(base, F.concat(F.lit(marker + "/"), s, F.lit("/")))).alias("url"))))
-    return df
+    cols = built_once(("page_candidates", marker), lambda: _candidate_columns(marker))
+    df = pages.withColumn("_origin", origin_col).withColumn("_html", F.col(html))
+    for name in ("anchor_links", "job_links", "slugs", "slug_links"):
+        df = df.withColumn(name, cols[name])
+    return df.drop("_html")
 
 
 def unique_slugs(slugs: Column) -> Column:
@@ -116,22 +119,14 @@ def _first_per_key(col: str) -> Column:
         F.col(col)[i - 1]["key"] != x["key"]))
 
 
-def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
-                  url: str = "url", marker: str = V.JOB_PATH_MARKER,
-                  title_max_chars: int = V.TITLE_MAX_CHARS, include_slugs: bool = True) -> DataFrame:
-    """Per page: the ordered job rows (``rows``: phase, pos, position_title, job_url)
-    plus the arrays behind the counters of AGG-6. Blank pages give no rows (FLT-1).
-    ``include_slugs=False`` gives the anchor rows alone (AGG-2)."""
-    df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker)
-    if not include_slugs:
-        df = df.withColumn("slug_links", F.array().cast(df.schema["slug_links"].dataType))
+def _row_columns(title_max_chars: int) -> dict:
     anchor_c = F.transform(F.col("job_links"), lambda x: F.struct(
         F.lower(x["url"]).alias("key"), F.lit(0).alias("phase"), x["pos"].alias("pos"),
         x["url"].alias("url"), x["inner"].alias("text")))
     slug_c = F.transform(F.col("slug_links"), lambda x: F.struct(
         F.lower(x["url"]).alias("key"), F.lit(1).alias("phase"), x["pos"].alias("pos"),
         x["url"].alias("url"), x["slug"].alias("text")))
-    df = df.withColumn("_by_key", F.array_sort(F.concat(anchor_c, F.filter(slug_c, lambda x: x["url"].isNotNull()))))
+    by_key = F.array_sort(F.concat(anchor_c, F.filter(slug_c, lambda x: x["url"].isNotNull())))
     firsts = F.transform(_first_per_key("_by_key"), lambda x: F.struct(
         x["phase"].alias("phase"), x["pos"].alias("pos"), x["url"].alias("job_url"), x["text"].alias("text")))
     titled = F.transform(F.array_sort(firsts), lambda x: F.struct(
@@ -139,6 +134,21 @@ def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | N
         F.when(x["phase"] == 0, normalize_title(anchor_text(x["text"]), title_max_chars))
         .otherwise(title_from_slug(x["text"])).alias("position_title"),
         x["job_url"].alias("job_url")))
+    return {"by_key": by_key, "titled": titled}
+
+
+def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
+                  url: str = "url", marker: str = V.JOB_PATH_MARKER,
+                  title_max_chars: int = V.TITLE_MAX_CHARS, include_slugs: bool = True) -> DataFrame:
+    """Per page: the ordered job rows (``rows``: phase, pos, position_title, job_url)
+    plus the arrays behind the counters of AGG-6. Blank pages give no rows (FLT-1).
+    ``include_slugs=False`` gives the anchor rows alone (AGG-2)."""
+    df = page_candidates(ensure_parallelism(pages.filter(nonblank(F.col(html)))), html, origin, url, marker)
+    if not include_slugs:
+        df = df.withColumn("slug_links", F.array().cast(df.schema["slug_links"].dataType))
+    cols = built_once(("extract_rows", title_max_chars), lambda: _row_columns(title_max_chars))
+    df = df.withColumn("_by_key", cols["by_key"])
+    titled = cols["titled"]
     df = df.withColumn("rows", F.filter(titled, lambda r: r["position_title"] != ""))
     return df.drop("_by_key")
 

@@ -1,0 +1,22 @@
+"""Parallelism guard for CPU-heavy row operators.
+
+Regex extraction and scoring are CPU-bound per row. On a cluster, inputs come
+as many files and splits, and Spark already runs one task per split. A small
+input stored as one large row group, however, arrives as one or two
+partitions; then the work is spread round-robin over the available cores. The
+guard only ever raises the partition count up to the cluster's parallelism, so
+it never adds a shuffle to an input that is already split.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # streaming frames have no static partitioning
+        return df
+    return df.repartition(target) if current < target else df

@@ -27,6 +27,9 @@ def get_spark(app: str = "jobloom", master: str | None = None, shuffle_partition
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # the operators build large expression trees; capturing the Python call site of
+        # every Column call costs seconds per plan and only improves error messages
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
