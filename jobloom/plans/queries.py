@@ -326,8 +326,7 @@ def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                          failures_path=f"{base}/failures", enrich=True)
     consume(spark, MSG.read_messages(spark, path=f"{base}/in"), cfg)
     out = spark.read.parquet(cfg.output_path)
-    return out.select("topic", F.col("partition").cast("int").alias("partition"),
-                      F.col("offset").cast("long").alias("offset"), "Index", "Position title",
+    return out.select("topic", "partition", "offset", "Index", "Position title",
                       "complexity_score", "category", "seniority_level")
 
 

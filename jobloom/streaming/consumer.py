@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.operators.enrich import enrich_payload_rows
+from jobloom.operators.partitioning import ensure_parallelism
 from jobloom.operators.validate import ValidationError, first_violation, label_violations
 from jobloom.plans.payload import unpack_payloads
 from jobloom.session import checkpoint_dir
@@ -36,11 +37,17 @@ class PayloadError(ValueError):
 
 @dataclass
 class ConsumerConfig:
+    """``layout``: ``"batch"`` stores each micro-batch under ``topic=/batch_id=`` (rows keep
+    their partition and offset): few large files, and a replayed epoch (same id, same
+    offsets) overwrites its own directory. ``"message"`` stores every message under
+    ``topic=/partition=/offset=`` like one object per message; at millions of messages
+    that is millions of small files, so it is the opt-in layout."""
     output_path: str
     checkpoint_path: str | None = None
     failures_path: str | None = None
     enrich: bool = True
     blob_prefix: str | None = None
+    layout: str = "batch"
 
 
 def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None = None) -> None:
@@ -48,7 +55,8 @@ def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None =
     spark = batch.sparkSession
     msgs = nonempty_messages(batch)
     keep = COORDS + (["key"] if "key" in batch.columns else [])
-    rows = unpack_payloads(msgs, RAW_COLUMNS, keep=keep).persist()
+    rows = ensure_parallelism(unpack_payloads(msgs, RAW_COLUMNS, keep=keep)).persist()
+    out = None
     try:
         bad = (rows.filter(F.col("payload_error").isNotNull()
                            | ~(F.array_contains("payload_columns", "complexity_score")
@@ -61,18 +69,28 @@ def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None =
             record_failure(spark, cfg.failures_path, "message", err, coords=[tuple(r[c] for c in COORDS) for r in bad])
             raise err
         if cfg.enrich:
-            out = enrich_payload_rows(rows, COORDS + (["key"] if "key" in keep else [])).drop("enriched_before")
+            out = enrich_payload_rows(rows, keep).drop("enriched_before").persist()
             msg = first_violation(label_violations(out, COORDS))
             if msg:
                 err = ValidationError(msg)
                 record_failure(spark, cfg.failures_path, "validation", err)
                 raise err
+            stored = out
         else:
-            out = rows.drop("payload_columns", "payload_error")
-        out = with_object_name(out, enriched=cfg.enrich, **({"prefix": cfg.blob_prefix} if cfg.blob_prefix else {}))
-        store_messages(out.drop("key") if "key" in out.columns else out, cfg.output_path)
+            stored = rows.drop("payload_columns", "payload_error")
+        stored = with_object_name(stored, enriched=cfg.enrich,
+                                  **({"prefix": cfg.blob_prefix} if cfg.blob_prefix else {}))
+        if "key" in stored.columns:
+            stored = stored.drop("key")
+        if cfg.layout == "message":
+            store_messages(stored, cfg.output_path)
+        else:
+            store_messages(stored.withColumn("batch_id", F.lit(int(epoch_id or 0)).cast("long")),
+                           cfg.output_path, partition_cols=("topic", "batch_id"))
     finally:
         rows.unpersist()
+        if out is not None:
+            out.unpersist()
 
 
 def consume(spark: SparkSession, messages: DataFrame, cfg: ConsumerConfig, available_now: bool = True,

@@ -1,10 +1,11 @@
 """Storage of consumed messages and of failure records (SNK-6, SNK-8).
 
-Each message's rows are stored under ``topic=/partition=/offset=`` with dynamic
-partition overwrite: storing the same message again replaces exactly its own
-partition, so a replayed micro-batch leaves one copy (the documented
-"redelivery overwrites" behaviour, which a name with a wall-clock part cannot
-give). The object name of the message (TXT-6) is kept as a column.
+Rows are stored with dynamic partition overwrite, by micro-batch
+(``topic=/batch_id=``) or by message (``topic=/partition=/offset=``): storing
+the same batch or message again replaces exactly its own partition, so a replay
+leaves one copy (the documented "redelivery overwrites" behaviour, which a name
+with a wall-clock part cannot give). The object name of each message (TXT-6) is
+kept as a column.
 """
 
 from __future__ import annotations
