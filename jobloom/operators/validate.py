@@ -141,10 +141,11 @@ def label_violations(enriched: DataFrame, coords: Sequence[str] = ()) -> DataFra
 def first_violation(violation_rows: DataFrame) -> str | None:
     """Message of the lowest failing rule (one aggregation), or None when all checks pass."""
     summary = violation_rows.groupBy("rule_no").agg(
-        F.count(F.lit(1)).alias("n"), F.min_by(F.struct("Index", "value"), "Index").alias("first"))
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(F.col("Index").isNull().alias("no_index"), "Index", "value")).alias("first"))
     first = summary.orderBy("rule_no").limit(1).collect()
     if not first:
         return None
     r = first[0]
-    return (f"validate: {RULES[r['rule_no']][1]} ({r['n']} row(s); first Index={r['first']['Index']}, "
-            f"value={r['first']['value']!r})")
+    where = "" if r["first"]["Index"] is None else f"first Index={r['first']['Index']}, "
+    return f"validate: {RULES[r['rule_no']][1]} ({r['n']} row(s); {where}value={r['first']['value']!r})"
