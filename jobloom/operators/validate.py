@@ -69,19 +69,22 @@ def violations(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] =
     p = producer.select(*coords, F.col("Index").alias("_pi"), F.col("Position title").alias("_pt"))
     e = enriched.select(*coords, F.col("Index").alias("_ei"), F.col("Position title").alias("_et"),
                         *LABELS)
-    # (1) per-payload counts; one small row per payload on each side
-    group = coords or [F.lit(0).alias("_all")]
-    on = coords or ["_all"]
-    pc = producer.groupBy(*group).agg(F.count(F.lit(1)).alias("_np"))
-    ec = enriched.groupBy(*group).agg(F.count(F.lit(1)).alias("_ne"))
-    counts = pc.join(ec, on, "full")
-    count_rows = counts.filter(F.coalesce(F.col("_np"), F.lit(0)) != F.coalesce(F.col("_ne"), F.lit(0))).select(
+    # (1) rows per payload on each side: one tagged union, one aggregation (no join)
+    sides = (producer.select(*coords, F.lit(1).alias("_p"), F.lit(0).alias("_e"))
+             .unionByName(enriched.select(*coords, F.lit(0).alias("_p"), F.lit(1).alias("_e"))))
+    counts = sides.groupBy(*coords).agg(F.sum("_p").alias("_np"), F.sum("_e").alias("_ne"))
+    count_rows = counts.filter(F.col("_np") != F.col("_ne")).select(
         *coords, F.lit(None).cast("long").alias("Index"), F.lit(1).alias("rule_no"),
         F.lit(RULES[1][0]).alias("rule"),
-        F.concat_ws(" vs ", F.coalesce(F.col("_np"), F.lit(0)).cast("string"),
-                    F.coalesce(F.col("_ne"), F.lit(0)).cast("string")).alias("value"))
-    # (2)-(9) row level, matched on coordinates + Index
-    cond = [p[c].eqNullSafe(e[c]) for c in coords] + [_as_text(p["_pi"]) == _as_text(e["_ei"])]
+        F.concat_ws(" vs ", F.col("_np").cast("string"), F.col("_ne").cast("string")).alias("value"))
+    # (2)-(9) row level, matched on coordinates + Index (compared as text, like the
+    # producer's string cast; integer keys compare by value, which is the same thing)
+    integral = ("tinyint", "smallint", "int", "bigint")
+    if dict(producer.dtypes)["Index"] in integral and dict(enriched.dtypes)["Index"] in integral:
+        key_eq = p["_pi"].cast("long") == e["_ei"].cast("long")
+    else:
+        key_eq = _as_text(p["_pi"]) == _as_text(e["_ei"])
+    cond = [p[c].eqNullSafe(e[c]) for c in coords] + [key_eq]
     j = p.join(e, cond, "full")
     co = [F.coalesce(p[c], e[c]).alias(c) for c in coords]
     idx = F.coalesce(p["_pi"].cast("long"), e["_ei"].cast("long"))

@@ -330,6 +330,71 @@ def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "complexity_score", "category", "seniority_level")
 
 
+
+# --------------------------------------------------------------------------- reads, writes, SQL API
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from jobloom.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: pages read with only the needed columns."""
+    pages = PG.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
+    return pages.select("page_id", "url", F.length("html").alias("n_chars"))
+
+
+def decode_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3: page bodies as UTF-8 bytes decoded back with replacement of bad bytes."""
+    pages = FX.table(spark, sf_dir, "pages")
+    decoded = PG.decode_body(F.encode("html", "UTF-8"))
+    return pages.select("page_id", F.length(decoded).alias("n_chars"), (decoded == F.col("html")).alias("same"))
+
+
+def write_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1: the producer's merged output written as Parquet and read back."""
+    path = _scratch(spark, "merged")
+    PR.write_merged(_produce(spark, sf_dir).merged, path)
+    return spark.read.parquet(path)
+
+
+def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4: batched payload messages published (to a Parquet sink here) and read back."""
+    from jobloom.sinks.kafka import publish
+
+    path = _scratch(spark, "published")
+    publish(PR.messages(_produce(spark, sf_dir).batches, topic=FX.MESSAGE_TOPIC), sink_path=path)
+    sent = spark.read.parquet(path)
+    counts = PL.payload_row_counts(sent.withColumn("offset", F.lit(0).cast("long"))
+                                   .withColumn("partition", F.lit(0)), keep=("topic", "key"))
+    return counts.select("topic", F.col("key").cast("string").alias("key"), "n_rows")
+
+
+def land_raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7: raw pages kept under storage-safe labels (page origin), read back as counts."""
+    path = _scratch(spark, "raw_pages")
+    pages = FX.table(spark, sf_dir, "pages").withColumn("host", U.site_origin("url"))
+    PG.land_raw_pages(pages, path, label="host")
+    return spark.read.parquet(path).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sql_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-1: the scorers as SQL functions in a SQL query."""
+    from jobloom.functions.scoring import register_sql_functions
+
+    register_sql_functions(spark)
+    with_combined_text(FX.jobs(spark, sf_dir)).createOrReplaceTempView("jobloom_jobs")
+    return spark.sql("""
+        SELECT Index, leadership_kw_score(combined_text) AS leadership,
+               max_years(combined_text) AS explicit_years,
+               inferred_years_if_missing(combined_text) AS inferred_years,
+               count_skills(combined_text) AS skills,
+               job_category(combined_text) AS category, job_seniority(combined_text) AS seniority_level
+        FROM jobloom_jobs""")
+
+
 def produce_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: listing pages -> jobs -> clean -> numbered batches -> Parquet payloads ->
     unpacked and enriched rows, as the producer and the enriching consumer do."""
@@ -382,4 +447,10 @@ REGISTRY = {
     "validation_summary": validation_summary,
     "consume_stream": consume_stream,
     "produce_enriched": produce_enriched,
+    "read_pages": read_pages,
+    "decode_body": decode_body,
+    "write_merged": write_merged,
+    "publish_messages": publish_messages,
+    "land_raw_pages": land_raw_pages,
+    "sql_scores": sql_scores,
 }

@@ -467,6 +467,22 @@ def group4() -> dict[str, str]:
     }
 
 
+def group5() -> dict[str, str]:
+    label = safe_sql(origin_expr("_l_"), True, V.LABEL_NAME_MAX, "listing")
+    return {
+        "read_pages": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages",
+        "decode_body": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, true AS same FROM pages",
+        "write_merged": f"SELECT rn AS \"Index\", position_title AS \"Position title\" FROM ({PRODUCED})",
+        "publish_messages": (f"SELECT {q(MESSAGE_TOPIC)} AS topic, "
+                             f"'parquet-batch-' || CAST((rn - 1) // {BATCH_ROWS} AS VARCHAR) AS key, "
+                             f"count(*) AS n_rows FROM ({PRODUCED}) GROUP BY 1, 2"),
+        "land_raw_pages": (f"SELECT {label} AS label, count(*) AS n FROM {url_parts('pages', 'url', '_l_')} "
+                           f"GROUP BY 1"),
+        "sql_scores": (f"SELECT \"Index\", leadership, explicit_years, inferred_years, skills, category, "
+                       f"seniority_level FROM ({scored(JOBS, True)})"),
+    }
+
+
 def oracle() -> dict[str, str]:
     titles_only = f'SELECT "Index", "Position title" FROM ({JOBS})'
     career_anchors = anchors_sql(CAREER)
@@ -512,6 +528,7 @@ def oracle() -> dict[str, str]:
         "extract_metrics": metrics_sql(CAREER),
         **group3(),
         **group4(),
+        **group5(),
         "produce_enriched": ENRICHED.replace('SELECT "Index"', 'SELECT batch_no, "Index"').format(
             scored(f"SELECT (rn - 1) // {BATCH_ROWS} AS batch_no, (rn - 1) % {BATCH_ROWS} + 1 AS \"Index\", "
                    f"position_title AS \"Position title\" FROM ({PRODUCED})", False, keep="batch_no")),
