@@ -102,6 +102,27 @@ def _scheme(p: Column) -> Column:
     return F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
 
 
+def _canonical_from_parts(scheme: Column, netloc: Column, path: Column, query: Column, ok: Column,
+                          keep_all_query_params: bool = False) -> Column:
+    """Canonical URL from parsed parts (path without params); null unless ``ok`` and http(s)
+    with a host."""
+    path = F.when(path == "", F.lit("/")).when(
+        (path != "/") & path.endswith("/"), F.regexp_replace(path, "/+$", "")).otherwise(path)
+    valid = ok & (netloc != "") & scheme.isin("http", "https") & _netloc_ok(netloc)
+    tail = F.when(query == "", F.lit("")).otherwise(
+        let(strip_tracking(query, keep_all_query_params),
+            lambda qs: F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit(""))))
+    return F.when(valid, F.concat(scheme, F.lit("://"), F.lower(netloc), path, tail))
+
+
+def _not_special(raw: Column) -> Column:
+    lowered = F.lower(raw)
+    bad = F.lit(False)
+    for prefix in V.NON_HTTP_PREFIXES:
+        bad = bad | lowered.startswith(prefix)
+    return (raw != "") & ~bad
+
+
 def canonical_url(url, keep_all_query_params: bool = False) -> Column:
     """Stable job URL for dedupe (URL-1), null when not an http(s) URL with a host.
 
@@ -111,24 +132,50 @@ def canonical_url(url, keep_all_query_params: bool = False) -> Column:
     ``lower(canonical_url(u))``; store the canonical form as is.
     """
     def body(raw: Column) -> Column:
-        def parts(p: Column) -> Column:
-            scheme = _scheme(p)
-            path = F.when(p["path"] == "", F.lit("/")).when(
-                (p["path"] != "/") & p["path"].endswith("/"), F.regexp_replace(p["path"], "/+$", "")
-            ).otherwise(p["path"])
-            lowered = F.lower(raw)
-            bad_prefix = F.lit(False)
-            for prefix in V.NON_HTTP_PREFIXES:
-                bad_prefix = bad_prefix | lowered.startswith(prefix)
-            valid = ((raw != "") & ~bad_prefix & p["has_netloc"] & (p["netloc"] != "")
-                     & scheme.isin("http", "https") & _netloc_ok(p["netloc"]))
-            query = let(strip_tracking(p["query"], keep_all_query_params),
-                        lambda qs: F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit("")))
-            return F.when(valid, F.concat(scheme, F.lit("://"), F.lower(p["netloc"]), path, query))
-        return let(split_url(raw), parts)
+        return let(split_url(raw), lambda p: _canonical_from_parts(
+            _scheme(p), p["netloc"], p["path"], p["query"], _not_special(raw) & p["has_netloc"],
+            keep_all_query_params))
     return let(unicode_strip(F.coalesce(_col(url), F.lit(""))), body)
 
 
+def canonical_join(base_parts: Column, href, keep_all_query_params: bool = False) -> Column:
+    """``canonical_url(resolve_href(base, href))`` computed from the parts of the base
+    (``split_url(base)``, parsed once per page) and of the link, without building and
+    re-parsing the joined URL string."""
+    def body(x: Column) -> Column:
+        h, hp, bp = x["h"], x["hp"], base_parts
+        h_has_scheme = F.regexp_like(h, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:"))
+        scheme = F.when(h_has_scheme, hp["scheme"]).otherwise(bp["scheme"])
+        h_params = F.regexp_like(hp["raw_path"], F.lit(";[^/]*$"))
+        base_segs = let(F.split(bp["path"], "/", -1), lambda bs: F.when(
+            F.try_element_at(bs, F.lit(-1)) != "", F.slice(bs, 1, F.size(bs) - 1)).otherwise(bs))
+        rel = let(F.concat(base_segs, F.split(hp["path"], "/", -1)), lambda r: F.when(
+            F.size(r) > 2,
+            F.concat(F.slice(r, 1, 1), F.filter(F.slice(r, 2, F.size(r) - 2), lambda s: s != ""),
+                     F.slice(r, -1, 1))).otherwise(r))
+        segs = F.when(hp["path"].startswith("/"), F.split(hp["path"], "/", -1)).otherwise(rel)
+        joined = F.array_join(_resolve_dots(segs), "/")
+        return (
+            F.when(h == "", _canonical_from_parts(_scheme(bp), bp["netloc"], bp["path"], bp["query"],
+                                                  bp["has_netloc"], keep_all_query_params))
+            .when(scheme != bp["scheme"], _canonical_from_parts(_scheme(hp), hp["netloc"], hp["path"], hp["query"],
+                                                                _not_special(h) & hp["has_netloc"],
+                                                                keep_all_query_params))
+            .when(hp["has_netloc"] & (hp["netloc"] != ""),
+                  _canonical_from_parts(scheme, hp["netloc"], hp["path"], hp["query"], F.lit(True),
+                                        keep_all_query_params))
+            .when((hp["path"] == "") & ~h_params,
+                  _canonical_from_parts(scheme, bp["netloc"], bp["path"],
+                                        F.when(hp["query"] != "", hp["query"]).otherwise(bp["query"]),
+                                        F.lit(True), keep_all_query_params))
+            .otherwise(let(joined, lambda j: _canonical_from_parts(
+                scheme, bp["netloc"],
+                F.when(j == "", F.lit("/")).when(~j.startswith("/"), F.concat(F.lit("/"), j)).otherwise(j),
+                hp["query"], F.lit(True), keep_all_query_params))))
+    h0 = unicode_strip(F.coalesce(_col(href), F.lit("")))
+    return let(h0, lambda h: let(F.struct(h.alias("h"), split_url(h).alias("hp")), body))
+
+
 def site_origin(url) -> Column:
     """``scheme://host`` lower-cased (URL-3); null without host or for non-http(s)."""
     def body(p: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import vocab as V
 from jobloom.functions.common import built_once, let
 from jobloom.functions.text import html_unescape, normalize_title, title_from_slug, unicode_strip
-from jobloom.functions.urls import canonical_url, is_job_href, job_slug, resolve_href, site_origin
+from jobloom.functions.urls import canonical_join, is_job_href, job_slug, site_origin, split_url
 from jobloom.operators.partitioning import ensure_parallelism
 
 # Markup whose text is not page text: comments, scripts, styles. Replaced by an
@@ -66,9 +66,9 @@ def nonblank(html: Column) -> Column:
 
 
 def _candidate_columns(marker: str) -> dict:
-    """The per-page arrays as Columns over ``_html`` and ``_origin`` (built once)."""
+    """The per-page arrays as Columns over ``_html`` and ``_base_parts`` (built once)."""
     html = F.coalesce(F.col("_html"), F.lit(""))
-    base = F.concat(F.regexp_replace(F.col("_origin"), "/+$", ""), F.lit("/"))
+    base = F.col("_base_parts")  # split_url(origin + "/"), parsed once per page
     visible = F.regexp_replace(html, HIDDEN_MARKUP, "<!>")
     anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
     anchor_links = F.filter(F.transform(anchors, lambda a, i: F.struct(
@@ -78,13 +78,13 @@ def _candidate_columns(marker: str) -> dict:
     job_links = F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
         x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"),
         job_slug(x["href"], marker).alias("slug"),
-        canonical_url(resolve_href(base, x["href"])).alias("url"))),
+        canonical_join(base, x["href"]).alias("url"))),
         lambda x: x["slug"].isNotNull() & x["url"].isNotNull())
     raw_slugs = F.regexp_extract_all(html, F.lit(career_slug_pattern(marker)), F.lit(1))
     slugs = F.filter(raw_slugs, lambda s: ~F.lower(s).isin(*V.NOT_A_SLUG))
     slug_links = F.transform(F.col("slugs"), lambda s, i: F.struct(
         i.alias("pos"), s.alias("slug"),
-        canonical_url(resolve_href(base, F.concat(F.lit(marker + "/"), s, F.lit("/")))).alias("url")))
+        canonical_join(base, F.concat(F.lit(marker + "/"), s, F.lit("/"))).alias("url")))
     return {"anchor_links": anchor_links, "job_links": job_links, "slugs": slugs, "slug_links": slug_links}
 
 
@@ -98,10 +98,11 @@ def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column |
     origin_col = (site_origin(F.col(url)) if origin is None
                   else (F.col(origin) if isinstance(origin, str) else origin))
     cols = built_once(("page_candidates", marker), lambda: _candidate_columns(marker))
-    df = pages.withColumn("_origin", origin_col).withColumn("_html", F.col(html))
+    base = F.concat(F.regexp_replace(origin_col, "/+$", ""), F.lit("/"))
+    df = pages.withColumn("_html", F.col(html)).withColumn("_base_parts", split_url(base))
     for name in ("anchor_links", "job_links", "slugs", "slug_links"):
         df = df.withColumn(name, cols[name])
-    return df.drop("_html")
+    return df.drop("_html", "_base_parts")
 
 
 def unique_slugs(slugs: Column) -> Column:

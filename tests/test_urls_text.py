@@ -116,3 +116,15 @@ def test_blob_name_layout(spark):
     assert r["a"] == "prefix/my-topic/20250101T120000123Z_p2_o99_key-1.parquet"
     assert r["b"].startswith("pre/fix/my-topic/") and r["b"].endswith("_message_enriched.parquet")
     assert TX.blob_prefix(None) == "careers-parquet/" and TX.blob_prefix("") == ""
+
+
+def test_canonical_join_equals_join_then_canonical(spark):
+    hrefs = ["", "career/three/", "/career/a/../b", "../../career/x", "//other.example/career/x",
+             "http://other.example/career/x", "?q=1&utm_source=z", "#frag", "./career/./y/.", "mailto:x",
+             "HTTPS://Up.Example/A/?b=2&a=1", "/career/x;jsessionid=1?x=1", ";p", "/a//b/", "https:/x", "//",
+             "///x", "career/a?", "  /career/z#t ", "https://[::1]/career/a", "https://[bad/x", "a/b/..", "/.."]
+    rows = [(b, h) for b in ("https://wsc-sports.com/", "http://h.example/", "https://h.example/sub/") for h in hrefs]
+    df = spark.createDataFrame(rows, "b string, h string")
+    got = df.select(U.canonical_url(U.resolve_href(F.col("b"), F.col("h"))).alias("two_step"),
+                    U.canonical_join(U.split_url(F.col("b")), F.col("h")).alias("joined")).collect()
+    assert all(r["two_step"] == r["joined"] for r in got)
