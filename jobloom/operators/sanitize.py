@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
+from jobloom.functions.common import built_once
 from jobloom.functions.text import casefold, normalize_title, unicode_strip
 from jobloom.functions.urls import canonical_url
 from jobloom.operators.dedupe import keep_first
+from jobloom.operators.partitioning import ensure_parallelism
 
 
 def record_key(title: Column, job_url: Column, source: Column,
@@ -40,20 +42,26 @@ def sanitize_records(records: DataFrame, order: str | Column | Sequence,
     ``order`` gives "first" (e.g. source position, page, phase, position). Output
     has the input columns with ``title`` normalized and ``url`` as a string.
     """
-    src = F.col(source) if source and source in records.columns else F.lit(None).cast("string")
-    cleaned = (records
-               .withColumn(title, normalize_title(F.col(title), title_max_chars))
+    has_source = bool(source and source in records.columns)
+    title_col = built_once(("normalize_title", title, title_max_chars),
+                           lambda: normalize_title(F.col(title), title_max_chars))
+    key = built_once(("record_key", title, url, source if has_source else None, keep_all_query_params),
+                     lambda: record_key(F.col(title), F.col(url),
+                                        F.col(source) if has_source else F.lit(None).cast("string"),
+                                        keep_all_query_params))
+    # title cleaning and the URL key are CPU-heavy and run before the shuffle
+    cleaned = (ensure_parallelism(records)
+               .withColumn(title, title_col)
                .filter(F.col(title) != "")
                .withColumn(url, F.coalesce(F.col(url).cast("string"), F.lit(""))))
-    if source and source in records.columns:
+    if has_source:
         cleaned = cleaned.withColumn(source, F.col(source).cast("string"))
-    key = record_key(F.col(title), F.col(url), src, keep_all_query_params)
     return keep_first(cleaned, key, order)
 
 
 def dedupe_titles(titles: DataFrame, order: str | Column | Sequence, title: str = "title",
                   title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
     """Normalized, non-empty titles, first of each case-folded title kept (AGG-5)."""
-    cleaned = (titles.withColumn(title, normalize_title(F.col(title), title_max_chars))
+    cleaned = (ensure_parallelism(titles).withColumn(title, normalize_title(F.col(title), title_max_chars))
                .filter(F.col(title) != ""))
     return keep_first(cleaned, casefold(F.col(title)), order)
