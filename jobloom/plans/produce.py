@@ -110,7 +110,23 @@ def produce(pages: DataFrame, sources: DataFrame | None = None, rows_per_batch:
     return ProduceResult(records=recs, merged=merged(num), batches=batches(num, rows_per_batch))
 
 
-def write_merged(merged_rows: DataFrame, path: str) -> None:
-    """One sorted two-column Parquet output; overwrite; an empty result keeps the schema."""
-    # rows are already range-partitioned by Index; keep files internally sorted
-    merged_rows.sortWithinPartitions("Index").write.mode("overwrite").parquet(path)
+def titles_output(titles: DataFrame, order, title: str = "title",
+                  title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
+    """Title-only output (AGG-5 + WIN-1): normalized titles, first of each case-folded
+    title kept, numbered A-Z: ``Index, Position title``."""
+    from jobloom.operators.sanitize import dedupe_titles
+
+    unique = dedupe_titles(titles, order, title=title, title_max_chars=title_max_chars)
+    n = global_index(unique, title_sort_key(title), index_col="Index")
+    return n.select("Index", F.col(title).alias("Position title"))
+
+
+def write_merged(merged_rows: DataFrame, path: str, single_file: bool = False) -> None:
+    """The sorted two-column Parquet output; overwrite; an empty result keeps the schema.
+
+    Rows are range-partitioned by ``Index`` already, so every file is one sorted
+    slice and the part files are in order. ``single_file=True`` writes one file
+    through one task -- for outputs known to be small only.
+    """
+    out = merged_rows.coalesce(1) if single_file else merged_rows
+    out.sortWithinPartitions("Index").write.mode("overwrite").parquet(path)

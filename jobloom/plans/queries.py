@@ -220,9 +220,7 @@ def sanitize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-5 + WIN-1: title-only output, first per case-folded title, numbered A-Z."""
-    t = SAN.dedupe_titles(FX.dirty_titles(spark, sf_dir), order="id")
-    n = ORD.global_index(t, ORD.title_sort_key("title"), index_col="Index")
-    return n.select("Index", F.col("title").alias("Position title"))
+    return PR.titles_output(FX.dirty_titles(spark, sf_dir), order="id")
 
 
 def _clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
