@@ -42,14 +42,20 @@ def get_spark(app: str = "jobloom", master: str | None = None, shuffle_partition
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster names
-    one; otherwise (local tests only) a fresh folder under the system temp dir."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir`` as the cluster names it.
+
+    Only a local-mode session (tests, benchmarks) without that setting gets a
+    fresh folder under the system temp dir; a cluster session without it is an
+    error, because a machine-local folder does not survive an executor loss.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this job")
         configured = tempfile.mkdtemp(prefix="jobloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,7 +8,13 @@ from tests.conftest import SF_SMOKE
 
 
 def physical(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_hot_key_keep_first_is_exact_and_partial(spark):
