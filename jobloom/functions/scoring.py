@@ -111,7 +111,7 @@ def max_years(text: Column) -> Column:
     for p in _P["years"]:
         for g in range(1, _years_groups(p) + 1):
             found.append(F.regexp_extract_all(text, F.lit(p), F.lit(g)))
-    numbers = F.transform(F.concat(*found), lambda s: s.try_cast("int"))
+    numbers = F.concat(*found).try_cast("array<int>")  # element-wise; no lambda, stays in codegen
     best = F.coalesce(F.array_max(numbers), F.lit(0))
     return F.least(best, F.lit(V.YEARS_CAP))
 
@@ -124,10 +124,14 @@ def inferred_years(text: Column, explicit_years: Column | None = None, lowered:
     return F.when((text == "") | (explicit_years > 0), F.lit(0)).otherwise(guess)
 
 
-def count_skills(text: Column) -> Column:
-    """Number of distinct skill tokens, compared lower-case (SCR-4)."""
-    hits = F.regexp_extract_all(text, F.lit(_P["skills"]), F.lit(0))
-    return F.size(F.array_distinct(F.transform(hits, F.lower)))
+def count_skills(text: Column, lowered: Column | None = None) -> Column:
+    """Number of distinct skill tokens, compared lower-case (SCR-4).
+
+    Matching the case-insensitive pattern on the lower-cased text finds the same
+    tokens, already lower-cased, so no per-match lambda is needed.
+    """
+    lc = F.lower(text) if lowered is None else lowered
+    return F.size(F.array_distinct(F.regexp_extract_all(lc, F.lit(_P["skills"]), F.lit(0))))
 
 
 def complexity_score(lead: Column, years: Column, inferred: Column, skills: Column) -> Column:
@@ -158,16 +162,15 @@ def sql_bodies() -> dict[str, tuple[str, str]]:
     years_items = ", ".join(
         f"regexp_extract_all(t, r'{p}', {g})"
         for p in _P["years"] for g in range(1, _years_groups(p) + 1))
-    years = (f"least(coalesce(array_max(transform(concat({years_items}), "
-             f"x -> try_cast(x AS INT))), 0), {V.YEARS_CAP})")
+    years = (f"least(coalesce(array_max(try_cast(concat({years_items}) AS ARRAY<INT>)), 0), "
+             f"{V.YEARS_CAP})")
     return {
         "leadership_kw_score": ("INT", f"CASE WHEN t = '' THEN {V.LEADERSHIP_EMPTY_TEXT} ELSE "
                                 f"{_sql_first_match('lower(t)', _P['leadership'], V.LEADERSHIP_DEFAULT)} END"),
         "max_years": ("INT", years),
         "inferred_years_if_missing": ("INT", f"CASE WHEN t = '' OR {years} > 0 THEN 0 ELSE "
                                       f"{_sql_first_match('lower(t)', _P['inferred'], V.INFERRED_YEARS_DEFAULT)} END"),
-        "count_skills": ("INT", f"size(array_distinct(transform(regexp_extract_all(t, r'{_P['skills']}', 0), "
-                         f"x -> lower(x))))"),
+        "count_skills": ("INT", f"size(array_distinct(regexp_extract_all(lower(t), r'{_P['skills']}', 0)))"),
         "job_category": ("STRING", _sql_first_match("lower(t)", _P["category"], V.CATEGORY_DEFAULT)),
         "job_seniority": ("STRING", _sql_first_match("lower(t)", _P["seniority"], V.SENIORITY_DEFAULT)),
     }

@@ -46,7 +46,7 @@ def score_parts(df: DataFrame, text: str = TEXT) -> DataFrame:
     lc = F.col(LOWER)
     return (df.withColumn("leadership", S.leadership_score(t, lc))
               .withColumn("explicit_years", S.max_years(t))
-              .withColumn("skills", S.count_skills(t))
+              .withColumn("skills", S.count_skills(t, lc))
               .withColumn("inferred_years", S.inferred_years(t, F.col("explicit_years"), lc)))
 
 
