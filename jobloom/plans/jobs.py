@@ -13,7 +13,6 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
 from jobloom.plans import produce as PR

@@ -28,12 +28,6 @@ PAYLOAD_FIELDS = {
     "category": pa.string(),
     "seniority_level": pa.string(),
 }
-SPARK_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string"}
-
-
-def _ddl(name: str, t: pa.DataType) -> str:
-    return f"`{name}` {SPARK_TYPES[t]}"
-
 
 def pack_payloads(rows: DataFrame, batch_cols: Sequence[str], columns: Sequence[str],
                   order_by: str = "Index") -> DataFrame:
