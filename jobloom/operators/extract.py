@@ -36,9 +36,16 @@ from jobloom.operators.partitioning import ensure_parallelism
 # empty tag so that text on both sides stays two separate text nodes.
 HIDDEN_MARKUP = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)"
                  r"|<style\b[^>]*>.*?(?:</style\s*>|\z)")
+# An anchor runs from an opening <a ...> to the first </a> after it (later <a> starts
+# inside are text of the same anchor). As one lazy regex that is quadratic for
+# unclosed anchors, so extraction splits on the closing tags instead: in every
+# piece before a closing tag, the anchor is the first opening tag to the end.
 ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+ANCHOR_CLOSE = r"(?i)</a\s*>"
+ANCHOR_FROM_OPEN = r"(?is)(<a\b[^>]*>.*)$"
 ANCHOR_HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 ANCHOR_INNER = r"(?is)^<a\b[^>]*>(.*)</a\s*>$"
+OPEN_INNER = r"(?is)^<a\b[^>]*>(.*)$"
 TAG = r"<[^>]*>"
 
 
@@ -60,6 +67,15 @@ def _anchor_href(a: Column) -> Column:
     return F.when(has_href, unicode_strip(html_unescape(raw)))
 
 
+def anchor_spans(visible_html: Column) -> Column:
+    """array<string>: every anchor as its opening tag plus inner HTML (no closing tag),
+    in document order; linear in the page length."""
+    pieces = F.split(visible_html, ANCHOR_CLOSE, -1)
+    before_close = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    opened = F.transform(before_close, lambda p: F.regexp_extract(p, ANCHOR_FROM_OPEN, 1))
+    return F.filter(opened, lambda a: a != "")
+
+
 def nonblank(html: Column) -> Column:
     """FLT-1: page text is not null, empty or only white space."""
     return F.coalesce(F.regexp_like(html, F.lit(r"(?U)\S")), F.lit(False))
@@ -70,10 +86,10 @@ def _candidate_columns(marker: str) -> dict:
     html = F.coalesce(F.col("_html"), F.lit(""))
     base = F.col("_base_parts")  # split_url(origin + "/"), parsed once per page
     visible = F.regexp_replace(html, HIDDEN_MARKUP, "<!>")
-    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
+    anchors = anchor_spans(visible)
     anchor_links = F.filter(F.transform(anchors, lambda a, i: F.struct(
         i.alias("pos"), _anchor_href(a).alias("href"),
-        F.regexp_extract(a, ANCHOR_INNER, 1).alias("inner"))),
+        F.regexp_extract(a, OPEN_INNER, 1).alias("inner"))),
         lambda x: x["href"].isNotNull() & is_job_href(x["href"], marker))
     job_links = F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
         x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"),
@@ -182,7 +198,6 @@ def page_anchors(pages: DataFrame, html: str = "html", keep: list[str] | tuple =
     """Every anchor outside comments/scripts/styles as a row:
     ``keep..., pos, href (decoded, stripped; null without href), text``."""
     visible = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN_MARKUP, "<!>")
-    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(0))
-    return pages.select(*keep, F.posexplode(anchors).alias("pos", "_a")).select(
+    return pages.select(*keep, F.posexplode(anchor_spans(visible)).alias("pos", "_a")).select(
         *keep, "pos", _anchor_href(F.col("_a")).alias("href"),
-        anchor_text(F.regexp_extract(F.col("_a"), ANCHOR_INNER, 1)).alias("text"))
+        anchor_text(F.regexp_extract(F.col("_a"), OPEN_INNER, 1)).alias("text"))

@@ -92,3 +92,23 @@ def test_extraction_does_not_depend_on_partitioning(spark, parts):
     base = sorted(map(tuple, EX.extract_jobs(pages).collect()))
     again = sorted(map(tuple, EX.extract_jobs(pages.repartition(parts)).collect()))
     assert base == again and base
+
+
+def test_nested_anchor_is_text_of_the_outer_one(spark):
+    html = '<a href="/career/a/">A <a href="/career/b/">B</a> tail'
+    # the outer anchor ends at the first </a>; /career/b is only found by the slug scan
+    assert jobs_of(spark, html) == [("A B", "https://wsc-sports.com/career/a"),
+                                    ("B", "https://wsc-sports.com/career/b")]
+
+
+def test_many_unclosed_anchors_stay_linear(spark):
+    import time
+
+    html = '<p>' + '<a href="/career/x/">x ' * 20000 + '</p><a href="/career/last/">Last</a>'
+    t0 = time.perf_counter()
+    got = jobs_of(spark, html)
+    assert time.perf_counter() - t0 < 60
+    assert got[0][0].startswith("x x x") and got[0][1] == "https://wsc-sports.com/career/x"
+    # "Last" is text of the first anchor (cut to 2000 characters); no anchor claims
+    # /career/last, so the slug scan adds it
+    assert len(got[0][0]) <= 2000 and got[1:] == [("Last", "https://wsc-sports.com/career/last")]
