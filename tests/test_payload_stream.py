@@ -109,3 +109,17 @@ def test_consumer_without_enrichment_stores_raw_rows(spark, tmp_path):
     out = spark.read.parquet(cfg.output_path)
     assert out.select("Index").collect()[0][0] == 1 and "complexity_score" in out.columns
     assert out.select("object_name").collect()[0][0].endswith("_k.parquet")
+
+
+def test_consumer_several_micro_batches(spark, tmp_path):
+    inp = str(tmp_path / "in")
+    for f in range(3):  # three files -> three epochs with maxFilesPerTrigger=1
+        _write_messages(spark, inp, [parquet_bytes(pa.table({"Index": [1, 2, 3], "Position title": ["a", "b", "c"]}))],
+                        start=10 * f)
+    cfg = ConsumerConfig(output_path=str(tmp_path / "out"), checkpoint_path=str(tmp_path / "ck"))
+    consume(spark, MSG.read_messages(spark, path=inp, max_files_per_trigger=1), cfg)
+    out = spark.read.parquet(cfg.output_path)
+    # epoch ids come from the stream (empty part files make empty epochs); three carry rows
+    assert out.select("batch_id").distinct().count() == 3
+    assert sorted(r[0] for r in out.select("offset").distinct().collect()) == [0, 10, 20]
+    assert out.count() == 9
