@@ -52,10 +52,11 @@ def casefold(c) -> Column:
 
 
 def html_unescape(c) -> Column:
-    """Decode character references (named HTML 4 entities, decimal and hex)."""
+    """Decode character references: named HTML 4 entities, ``&apos;``, decimal and hex."""
     return let(_col(c), lambda v: F.when(v.isNull(), F.lit(None).cast("string"))
                .when(~v.contains("&"), v)
-               .otherwise(_reflect("org.apache.commons.text.StringEscapeUtils", "unescapeHtml4", v)))
+               .otherwise(_reflect("org.apache.commons.text.StringEscapeUtils", "unescapeHtml4",
+                                   F.replace(v, F.lit("&apos;"), F.lit("&#39;")))))
 
 
 def normalize_title(c, max_chars: int = V.TITLE_MAX_CHARS) -> Column:

@@ -128,3 +128,9 @@ def test_canonical_join_equals_join_then_canonical(spark):
     got = df.select(U.canonical_url(U.resolve_href(F.col("b"), F.col("h"))).alias("two_step"),
                     U.canonical_join(U.split_url(F.col("b")), F.col("h")).alias("joined")).collect()
     assert all(r["two_step"] == r["joined"] for r in got)
+
+
+@pytest.mark.parametrize("raw,text", [("R&amp;D", "R&D"), ("it&apos;s", "it's"), ("&amp;apos;", "&apos;"),
+                                      ("&#233;t&#xE9;", "été"), ("caf&eacute;", "café"), ("plain", "plain")])
+def test_html_unescape(spark, raw, text):
+    assert one(spark, TX.html_unescape, raw) == text
