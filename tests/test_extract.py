@@ -112,3 +112,18 @@ def test_many_unclosed_anchors_stay_linear(spark):
     # "Last" is text of the first anchor (cut to 2000 characters); no anchor claims
     # /career/last, so the slug scan adds it
     assert len(got[0][0]) <= 2000 and got[1:] == [("Last", "https://wsc-sports.com/career/last")]
+
+
+@pytest.mark.parametrize("html,expected", [
+    ('<A HREF="/career/up/">Upper</A>', [("Upper", "https://wsc-sports.com/career/up")]),
+    ("<a href='/career/sq/'>Single</a>", [("Single", "https://wsc-sports.com/career/sq")]),
+    ('<a href=/career/bare/ class=x>Bare</a>', [("Bare", "https://wsc-sports.com/career/bare")]),
+    ('<a\n  class="c"\n  href = "/career/nl/"\n>New\nline</a >', [("New line", "https://wsc-sports.com/career/nl")]),
+    ('<a data-href="/jobs" href="/career/real/">Real</a>', [("Real", "https://wsc-sports.com/career/real")]),
+    ('<script>var s = \'<a href="/career/js/">JS</a>\';</script>', [("Js", "https://wsc-sports.com/career/js")]),
+    ('<abbr href="/career/no/">Abbr</abbr>', [("No", "https://wsc-sports.com/career/no")]),
+    ('<a name="top">Top</a><a href="">Empty</a>', []),
+])
+def test_markup_variants(spark, html, expected):
+    # anchors in scripts and non-anchor tags are not links; the slug scan still sees their URLs
+    assert jobs_of(spark, html) == expected
