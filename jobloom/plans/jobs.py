@@ -41,6 +41,8 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
     sources = (load_sources(spark, sources_json, fallback_url)
                if (sources_json or fallback_url) else None)
     result = PR.produce(pages, sources, rows_per_batch=rows_per_batch, on=join_on)
+    # a count over the checkpointed numbering (cheap); DataFrame.observe upstream of the
+    # range sort would count twice, because the sort samples its input in a separate job
     n = result.merged.count()
     if n == 0:
         raise EmptyRunError("no open positions from any source; check the sources and the page markup")
