@@ -42,6 +42,9 @@ def global_index(df: DataFrame, order: str | Column | Sequence, index_col: str =
     """Adds ``index_col`` = 1..n following ``order`` (ascending, nulls first).
 
     ``order`` should be a total order (add tie-breakers) for a deterministic result.
+    The range shuffle samples its input in a separate job, which recomputes the
+    input back to the previous shuffle; after a keep-first (as in the producer)
+    that is only the aggregation's output. Persist an expensive narrow input first.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
