@@ -66,3 +66,14 @@ def test_batches_restart_index(spark):
     assert got == [(0, 1), (0, 2), (1, 1), (1, 2), (2, 1)]
     with pytest.raises(ValueError, match=">= 1"):
         ORD.batch_index(df, 0)
+
+
+def test_cleaning_independent_of_input_partitioning(spark):
+    from jobloom.plans.fixtures import records
+    from tests.conftest import SF_SMOKE
+
+    recs = records(spark, SF_SMOKE)
+    base = sorted(map(tuple, SAN.sanitize_records(recs, "id").collect()))
+    for parts in (1, 5, 13):
+        again = sorted(map(tuple, SAN.sanitize_records(recs.repartition(parts), "id").collect()))
+        assert again == base
