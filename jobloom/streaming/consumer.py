@@ -48,6 +48,7 @@ class ConsumerConfig:
     enrich: bool = True
     blob_prefix: str | None = None
     layout: str = "batch"
+    failure_recorded: bool = False  # set when a batch wrote its own failure record
 
 
 def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None = None) -> None:
@@ -67,6 +68,7 @@ def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None =
             err = PayloadError(f"{len(bad)} message(s) are not producer payloads; first "
                                f"{tuple(bad[0][c] for c in COORDS)}: {bad[0]['payload_error'] or 'missing columns'}")
             record_failure(spark, cfg.failures_path, "message", err, coords=[tuple(r[c] for c in COORDS) for r in bad])
+            cfg.failure_recorded = True
             raise err
         if cfg.enrich:
             out = enrich_payload_rows(rows, keep).drop("enriched_before").persist()
@@ -74,6 +76,7 @@ def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None =
             if msg:
                 err = ValidationError(msg)
                 record_failure(spark, cfg.failures_path, "validation", err)
+                cfg.failure_recorded = True
                 raise err
             stored = out
         else:
@@ -105,7 +108,8 @@ def consume(spark: SparkSession, messages: DataFrame, cfg: ConsumerConfig, avail
     query = writer.start()
     try:
         query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-    except Exception as exc:  # the query failed: keep a record, surface the error
-        record_failure(spark, cfg.failures_path, "query", exc)
+    except Exception as exc:  # the query failed: keep a record (once), surface the error
+        if not cfg.failure_recorded:
+            record_failure(spark, cfg.failures_path, "query", exc)
         raise
     return query
