@@ -3,18 +3,28 @@
 Regex extraction and scoring are CPU-bound per row. On a cluster, inputs come
 as many files and splits, and Spark already runs one task per split. A small
 input stored as one large row group, however, arrives as one or two
-partitions; then the work is spread round-robin over the available cores. The
-guard only ever raises the partition count up to the cluster's parallelism, so
-it never adds a shuffle to an input that is already split.
+partitions; then the work is spread round-robin over the available cores.
+
+The guard triggers only when the input has fewer partitions than the cluster
+has cores, i.e. for inputs smaller than about cores x split size (128 MiB by
+default): a round-robin shuffle of such an input costs less than leaving most
+cores idle for the whole CPU-bound stage. Inputs with at least one split per
+core are never reshuffled. Set ``spark.jobloom.ensureParallelism=false`` to
+turn the guard off.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+CONF_KEY = "spark.jobloom.ensureParallelism"
+
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if str(spark.conf.get(CONF_KEY, "true")).lower() == "false":
+        return df
+    target = min_partitions or spark.sparkContext.defaultParallelism
     try:
         current = df.rdd.getNumPartitions()
     except Exception:  # streaming frames have no static partitioning
