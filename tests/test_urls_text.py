@@ -134,3 +134,12 @@ def test_canonical_join_equals_join_then_canonical(spark):
                                       ("&#233;t&#xE9;", "été"), ("caf&eacute;", "café"), ("plain", "plain")])
 def test_html_unescape(spark, raw, text):
     assert one(spark, TX.html_unescape, raw) == text
+
+
+def test_keep_all_query_params(spark):
+    df = spark.createDataFrame([("https://H.example/a/?utm_source=x&b=2&a=1",)], "u string")
+    r = df.select(U.canonical_url("u").alias("clean"), U.canonical_url("u", keep_all_query_params=True).alias("all"),
+                  U.canonical_join(U.split_url(F.lit("https://h.example/")), F.col("u"), True).alias("joined")
+                  ).collect()[0]
+    assert r["clean"] == "https://h.example/a?a=1&b=2"
+    assert r["all"] == r["joined"] == "https://h.example/a?utm_source=x&b=2&a=1"
