@@ -13,17 +13,17 @@ def recs(spark, rows):
 
 
 def test_same_title_different_urls_kept(spark):
-    df = recs(spark, [("Same", "https://wsc-sports.com/career/a/", None),
-                      ("SAME", "https://wsc-sports.com/career/b/", None),
-                      ("Other", "https://wsc-sports.com/career/c/", None)])
+    df = recs(spark, [("Same", "https://jobs-site.example/career/a/", None),
+                      ("SAME", "https://jobs-site.example/career/b/", None),
+                      ("Other", "https://jobs-site.example/career/c/", None)])
     assert SAN.sanitize_records(df, "id").count() == 3
 
 
 def test_same_url_with_tracking_first_wins(spark):
-    df = recs(spark, [("First", "https://wsc-sports.com/career/a/", None),
-                      ("Second pass", "https://WSC-Sports.com/career/a?utm_source=x", None)])
+    df = recs(spark, [("First", "https://jobs-site.example/career/a/", None),
+                      ("Second pass", "https://Jobs-Site.example/career/a?utm_source=x", None)])
     out = SAN.sanitize_records(df, "id").collect()
-    assert [(r["position_title"], r["job_url"]) for r in out] == [("First", "https://wsc-sports.com/career/a/")]
+    assert [(r["position_title"], r["job_url"]) for r in out] == [("First", "https://jobs-site.example/career/a/")]
 
 
 def test_keys_without_and_with_bad_urls(spark):

@@ -12,7 +12,7 @@ PIECES = ["", "career", "Career", "a", "b-c", "..", ".", "x;p=1", "?q=1", "?utm_
           "http:", "https:", "/", "//", "mailto:x", "%41", "a b"]
 hrefs = st.lists(st.sampled_from(PIECES), min_size=1, max_size=6).map(lambda xs: "".join(
     p if i == 0 or p.startswith(("?", "#", "/", ";")) else "/" + p for i, p in enumerate(xs)))
-BASES = ["https://wsc-sports.com/", "http://h.example/", "https://h.example/sub/"]
+BASES = ["https://jobs-site.example/", "http://h.example/", "https://h.example/sub/"]
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))

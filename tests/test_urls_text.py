@@ -13,9 +13,9 @@ def one(spark, col_fn, value, dtype="string"):
 
 
 @pytest.mark.parametrize("url,expected", [
-    ("https://WSC-Sports.com/career/foo/?utm_source=Email&utm_medium=mail", "https://wsc-sports.com/career/foo"),
-    ("https://wsc-sports.com/career/foo/", "https://wsc-sports.com/career/foo"),
-    ("https://wsc-sports.com/career/foo", "https://wsc-sports.com/career/foo"),
+    ("https://Jobs-Site.example/career/foo/?utm_source=Email&utm_medium=mail", "https://jobs-site.example/career/foo"),
+    ("https://jobs-site.example/career/foo/", "https://jobs-site.example/career/foo"),
+    ("https://jobs-site.example/career/foo", "https://jobs-site.example/career/foo"),
     ("//Host.example/a/b/?b=2&a=1&fbclid=x#frag", "https://host.example/a/b?a=1&b=2"),
     ("http://h.example:8080/x;jsessionid=1", "http://h.example:8080/x"),
     ("https://h.example", "https://h.example/"),
@@ -30,7 +30,7 @@ def test_canonical_url(spark, url, expected):
 
 
 @pytest.mark.parametrize("href,slug", [
-    ("https://wsc-sports.com/career/one/", "one"), ("https://wsc-sports.com/Career/two/", "two"),
+    ("https://jobs-site.example/career/one/", "one"), ("https://jobs-site.example/Career/two/", "two"),
     ("career/three/", "three"), ("/career/", None), ("/careers/x", None), ("/career/careers/", None),
     ("/career/x?y=/career/z", "x"), ("/en/career/foo", "foo"), ("/?next=/career/x", None),
 ])
@@ -47,22 +47,22 @@ def test_is_job_href(spark, href, ok):
 
 
 @pytest.mark.parametrize("href,expected", [
-    ("career/three/", "https://wsc-sports.com/career/three/"),
-    ("/career/a/../b", "https://wsc-sports.com/career/b"),
-    ("../../career/x", "https://wsc-sports.com/career/x"),
+    ("career/three/", "https://jobs-site.example/career/three/"),
+    ("/career/a/../b", "https://jobs-site.example/career/b"),
+    ("../../career/x", "https://jobs-site.example/career/x"),
     ("//other.example/career/x", "https://other.example/career/x"),
     ("http://other.example/career/x", "http://other.example/career/x"),
-    ("?q=1", "https://wsc-sports.com/?q=1"),
-    ("./career/./y/.", "https://wsc-sports.com/career/y/"),
+    ("?q=1", "https://jobs-site.example/?q=1"),
+    ("./career/./y/.", "https://jobs-site.example/career/y/"),
 ])
 def test_resolve_href(spark, href, expected):
     df = spark.createDataFrame([(href,)], "h string")
-    got = df.select(U.resolve_href(F.lit("https://wsc-sports.com/"), F.col("h")).alias("r")).collect()[0]["r"]
+    got = df.select(U.resolve_href(F.lit("https://jobs-site.example/"), F.col("h")).alias("r")).collect()[0]["r"]
     assert got == expected
 
 
 @pytest.mark.parametrize("url,origin", [
-    ("https://WSC-Sports.com/Careers", "https://wsc-sports.com"), ("//a.example/x", "https://a.example"),
+    ("https://Jobs-Site.example/Careers", "https://jobs-site.example"), ("//a.example/x", "https://a.example"),
     ("ftp://a.example/x", None), ("a.example/x", None),
 ])
 def test_site_origin(spark, url, origin):
@@ -123,7 +123,7 @@ def test_canonical_join_equals_join_then_canonical(spark):
              "http://other.example/career/x", "?q=1&utm_source=z", "#frag", "./career/./y/.", "mailto:x",
              "HTTPS://Up.Example/A/?b=2&a=1", "/career/x;jsessionid=1?x=1", ";p", "/a//b/", "https:/x", "//",
              "///x", "career/a?", "  /career/z#t ", "https://[::1]/career/a", "https://[bad/x", "a/b/..", "/.."]
-    rows = [(b, h) for b in ("https://wsc-sports.com/", "http://h.example/", "https://h.example/sub/") for h in hrefs]
+    rows = [(b, h) for b in ("https://jobs-site.example/", "http://h.example/", "https://h.example/sub/") for h in hrefs]
     df = spark.createDataFrame(rows, "b string, h string")
     got = df.select(U.canonical_url(U.resolve_href(F.col("b"), F.col("h"))).alias("two_step"),
                     U.canonical_join(U.split_url(F.col("b")), F.col("h")).alias("joined")).collect()
