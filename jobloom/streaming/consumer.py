@@ -1,12 +1,13 @@
 """Structured Streaming consumer of payload messages (STR-1 .. STR-6).
 
     messages (Kafka rows) -> drop empty values (FLT-6) -> unpack Parquet payloads
-    -> optional enrichment (STR-6) -> validation -> store per message (SNK-6)
+    -> optional enrichment (STR-6) -> validation -> store per micro-batch or per
+    message (SNK-6)
 
 Delivery (STR-2): the micro-batch is stored before its offsets are committed to
-the checkpoint, and storage overwrites by message coordinates, so a batch that
-is replayed after a failure or an executor loss replaces its own output:
-effectively once. Fail-stop (STR-3): a bad payload or a validation failure is
+the checkpoint, and storage overwrites by epoch id (or message coordinates), so
+a batch that is replayed after a failure or an executor loss replaces its own
+output: effectively once. Fail-stop (STR-3): a bad payload or a validation failure is
 written to the failures table and fails the query without a commit; restarting
 from the checkpoint retries the same messages. The consumer is stateless: no
 watermark, no state store.
