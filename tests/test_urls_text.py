@@ -143,3 +143,10 @@ def test_keep_all_query_params(spark):
                   ).collect()[0]
     assert r["clean"] == "https://h.example/a?a=1&b=2"
     assert r["all"] == r["joined"] == "https://h.example/a?utm_source=x&b=2&a=1"
+
+
+def test_safe_key_with_invalid_utf8(spark):
+    df = spark.createDataFrame([(b"\xffkey\xfe!",), (b"\xe2\x82",)], "k binary")
+    got = [r[0] for r in df.select(TX.safe_key("k")).collect()]
+    # bytes decode with replacement, unsafe runs become "_", the ends are stripped
+    assert got == ["key", "message"]
