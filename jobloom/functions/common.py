@@ -36,7 +36,10 @@ def built_once(key: tuple, builder: Callable[[], object]):
     from pyspark import SparkContext
 
     sc = SparkContext._active_spark_context
-    full = (id(sc), key)
+    # application id + start time identify a context; a Python id() can be reused
+    # by a new context after an old one is stopped
+    ctx = (sc.applicationId, sc.startTime) if sc is not None else None
+    full = (ctx, key)
     if full not in _BUILT:
         _BUILT[full] = builder()
     return _BUILT[full]
