@@ -1 +1,8 @@
 """Operators for preparing language-model training data at scale."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

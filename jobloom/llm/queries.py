@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import block_naming
+from . import block_naming, mixing
 
 REGISTRY = {
     "op6_block_naming": block_naming.op6_block_naming,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE = {
     "op6_block_naming": block_naming.SQL,
+    "op10_mixing": mixing.SQL,
 }
