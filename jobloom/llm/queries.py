@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import block_naming, mixing
+from . import block_naming, cutting_stock, mixing, url_automaton, warc
 
 REGISTRY = {
+    "op1_warc": warc.op1_warc,
     "op6_block_naming": block_naming.op6_block_naming,
+    "op7_url_automaton": url_automaton.op7_url_automaton,
+    "op8_cutting_stock": cutting_stock.op8_cutting_stock,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE = {
     "op6_block_naming": block_naming.SQL,
+    "op7_url_automaton": url_automaton.SQL,
     "op10_mixing": mixing.SQL,
 }
