@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import block_naming, cutting_stock, mixing, url_automaton, warc
+from . import block_naming, cutting_stock, mixing, token_combinations, url_automaton, warc
 
 REGISTRY = {
     "op1_warc": warc.op1_warc,
     "op6_block_naming": block_naming.op6_block_naming,
     "op7_url_automaton": url_automaton.op7_url_automaton,
     "op8_cutting_stock": cutting_stock.op8_cutting_stock,
+    "op9_token_combinations": token_combinations.op9_token_combinations,
     "op10_mixing": mixing.op10_mixing,
 }
 
