@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import block_naming, cutting_stock, mixing, one_permutation, token_combinations, url_automaton, warc, weak_labels
+from . import block_naming, credentials, cutting_stock, gear_chunks, mixing, one_permutation, token_combinations, url_automaton, warc, weak_labels
 
 REGISTRY = {
     "op1_warc": warc.op1_warc,
+    "op2_credentials": credentials.op2_credentials,
+    "op3_gear_chunks": gear_chunks.op3_gear_chunks,
     "op4_weak_labels": weak_labels.op4_weak_labels,
     "op5_one_permutation": one_permutation.op5_one_permutation,
     "op6_block_naming": block_naming.op6_block_naming,
