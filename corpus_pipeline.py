@@ -1,19 +1,46 @@
-"""The corpus pipeline over ``documents``; its stages apply operators of ``jobloom.llm``."""
+"""The corpus pipeline over ``documents``; its stages apply operators of ``jobloom.llm``.
+
+Every stage but the last returns the columns of its documents, extra ones included. Stages that drop documents decide
+by doc_id: a null doc_id is an id like any other, and of rows that repeat doc_id and text one stays.
+Empty tables stay empty through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import block_naming
+from jobloom.llm import block_naming, cutting_stock, mixing, token_combinations, weak_labels
 from jobloom.llm.common import keep_documents, table, written
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches the threshold go. The model is fitted on the labelled rows among ``docs``."""
+    score = weak_labels.scored(weak_labels.fit(docs, table(spark, sf_dir, "labels")))
+    return docs.filter(score("text") < weak_labels.THRESHOLD)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest doc_id stays."""
     return keep_documents(docs, block_naming.exact_duplicates(docs).filter("kept"))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by Jaccard similarities of 0.75 or more on 5-word shingles the smallest doc_id stays."""
+    found = token_combinations.jaccard_components(docs)
+    return keep_documents(docs, found.filter("doc_id <=> component_id"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the last one of a source may be cut to its first words."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of at most 2048 tokens."""
+    return cutting_stock.pack(docs)
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("pack", pack)]
 
 #: packing tokenizes, which SQL cannot express; tests compare the stages with brute force instead
 ORACLE_SQL = None
