@@ -65,7 +65,8 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("scope", pa.int32())])
-_SPANS = "array<struct<start: bigint, kind: int, end: bigint, scope: int>>"
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
+                                   T.StructField("end", T.LongType()), T.StructField("scope", T.IntegerType())]))
 
 
 def _scan(batches):
@@ -116,7 +117,7 @@ def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     needs doc_id and text; other columns are not read. No rows give no rows.
     """
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [
-        T.StructField(c, T._parse_datatype_string(_SPANS)) for c in ("base", "weak")])
+        T.StructField(c, _SPANS) for c in ("base", "weak")])
     found = written(docs.select("doc_id", "text").mapInArrow(_scan, schema), "secrets")
     parts = found.filter("size(weak) > 0").select("row", F.inline(F.concat("base", "weak")))
     extra = linked_parts(parts, reach).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("extra"))

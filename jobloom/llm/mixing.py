@@ -102,7 +102,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> Da
     if there is such a column, is then that of the shorter text). Extra columns stay as they are."""
     sized = written(docs.select("doc_id", *_source(), count_words("text").alias("size")), "sizes")
     plan = mix_plan(sized, weights, most, seed)
-    own = [F.col(c) for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in docs.columns]
     # everything the mix adds travels in one struct whose name no column of the input has
     mark = "mix_" + "_" * max(len(c) for c in docs.columns)
     work = docs.select(F.struct(*own).alias("row"), "doc_id", *_source(), count_words("text").alias("size"))

@@ -172,7 +172,7 @@ def _keys(sets: DataFrame, rare: int) -> DataFrame:
         F.expr("xxhash64(sid) / 18446744073709551616.0D + 0.5D").alias("pri"))
 
 
-@arrow_udf("boolean")
+@arrow_udf(T.BooleanType())
 def _similar(x: pa.Array, y: pa.Array) -> pa.Array:
     out, last, right = [], None, None
     for p, q in zip(x, y, strict=True):

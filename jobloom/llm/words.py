@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -43,13 +44,13 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-@arrow_udf("long")
+@arrow_udf(T.LongType())
 def count_words(texts: pa.Array) -> pa.Array:
     _, _, first = word_spans(*text_bytes(texts))
     return pa.array(np.diff(first))
 
 
-@arrow_udf("string")
+@arrow_udf(T.StringType())
 def first_words(texts: pa.Array, n: pa.Array) -> pa.Array:
     """The text up to the end of its n-th word; null for null."""
     flat, offsets = text_bytes(texts)
