@@ -128,32 +128,32 @@ class Model:
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Posterior of the latent label, vote rates (2, voters), correlations given the label.
+    """Posterior of the latent label, vote rates (2, voters), correlations of the voters given the label.
 
-    ``start`` is a first guess of the label of each row. Correlated voters share their weight: a voter's
-    evidence is divided by one plus the sum of its positive correlations with the others.
+    ``start`` is the known label of each row; it gives the correlations and half of the weight in each estimate of the rates, which keeps the latent
+    label the one that is meant. Correlated voters share their weight: a voter's evidence is divided by the root of one plus
+    its correlations with the others, as far as they exceed what chance explains.
     """
-    votes, posterior = votes.astype(float), start.astype(float)
+    votes, start = votes.astype(float), start.astype(float)
+    together, posterior = np.zeros((votes.shape[1],) * 2), start
+    for weight in (start, 1 - start):
+        apart = votes - (weight @ votes + 0.5) / (weight.sum() + 1)
+        spread = (apart * weight[:, None]).T @ apart
+        scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
+        found = spread / scale[:, None] / scale
+        together += np.where(np.abs(found) > 0.1 + 2 / np.sqrt(max(weight.sum(), 1)), found, 0) / 2
+    np.fill_diagonal(together, 0)
+    share = 1 / np.sqrt(1 + np.maximum(together, 0).sum(axis=1))
     for _ in range(rounds):
-        rates, share, together = [], [], np.zeros((votes.shape[1],) * 2)
-        for weight in (posterior, 1 - posterior):
-            total = weight.sum()
-            rate = (weight @ votes + 0.5) / (total + 1.0)
-            apart = votes - rate
-            spread = (apart * weight[:, None]).T @ apart
-            scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
-            together += spread / scale[:, None] / scale / 2
-            rates.append(rate)
-            share.append((total + 1) / (len(votes) + 2))
-        np.fill_diagonal(together, 0)
-        weight = 1 / (1 + np.maximum(together, 0).sum(axis=1))
-        toxic, clean = rates
-        log = np.log(share[0] / share[1]) + votes @ (weight * np.log(toxic / clean)) + (1 - votes) @ (weight * np.log((1 - toxic) / (1 - clean)))
-        new = 1 / (1 + np.exp(-np.clip(log, -50, 50)))
+        belief = (start + posterior) / 2
+        toxic, clean = ((w @ votes + 0.5) / (w.sum() + 1) for w in (belief, 1 - belief))
+        odds = np.log((belief.sum() + 1) / ((1 - belief).sum() + 1))
+        odds = odds + votes @ (share * np.log(toxic / clean)) + (1 - votes) @ (share * np.log((1 - toxic) / (1 - clean)))
+        new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
         done, posterior = np.abs(new - posterior).max() < 1e-4, new
         if done:
             break
-    return posterior, np.stack(rates), together
+    return posterior, np.stack([toxic, clean]), together
 
 
 def _fit_linear(row: np.ndarray, term: np.ndarray, strength: np.ndarray, n: int, terms: int, target: np.ndarray, penalty: float = 1e-4,
@@ -204,8 +204,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     ranked = np.array([r["term"] for r in best], dtype=np.int64).view(np.uint64)
     names = np.sort(ranked)
     model = Model(names, np.zeros(len(names)), 0.0, np.empty((2, 0)), np.empty((0, 0)))
-    voter = np.empty(len(names), dtype=np.int64)
-    voter[np.searchsorted(names, ranked)] = np.arange(len(names)) % voters
     patterns = pattern_votes(pa.array([""])).shape[1]
 
     def votes(batches):
@@ -223,12 +221,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     seen.sort(key=lambda r: (r["toxic"], r["terms"], r["strengths"], r["patterns"]))
     row = np.repeat(np.arange(len(seen)), [len(r["terms"]) for r in seen])
     term = np.array([t for r in seen for t in r["terms"]], dtype=np.int64)
-    matrix = np.zeros((len(seen), voters + patterns), dtype=bool)
     strength = np.array([x for r in seen for x in r["strengths"]])
+    voter = np.empty(len(names), dtype=np.int64)
+    voter[np.searchsorted(names, ranked)] = np.arange(len(names)) % voters
     told = np.zeros((len(seen), voters))
     np.add.at(told, (row, voter[term]), strength)
-    matrix[:, :voters] = told >= LEAST_STRENGTH
-    matrix[:, voters:] = np.array([r["patterns"] for r in seen])
+    matrix = np.concatenate([told >= LEAST_STRENGTH, np.array([r["patterns"] for r in seen]).reshape(-1, patterns)], axis=1)
     posterior, model.accuracies, model.correlations = label_model(matrix, np.array([r["toxic"] for r in seen]))
     model.weights, model.bias = _fit_linear(row, term, strength, len(seen), len(names), posterior)
     return model
