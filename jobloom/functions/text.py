@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from jobloom.functions import vocab as V
 from jobloom.functions.common import let
 
+# fixed values: the characters with the Unicode property White_Space
+WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 _ASCII_ONLY = r"^[\x00-\x7F]*$"
 
 
@@ -26,12 +29,12 @@ def _reflect(cls: str, method: str, *args: Column) -> Column:
 
 
 def unicode_strip(c) -> Column:
-    """Strip leading/trailing Unicode white space (``str.strip()``); ``trim`` only drops ' '."""
-    return F.regexp_replace(_col(c), r"(?U)\A\s+|\s+\z", "")
+    """Strip leading/trailing Unicode white space; linear in the text, runs of inner white space included."""
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def unicode_rstrip(c) -> Column:
-    return F.regexp_replace(_col(c), r"(?U)\s+\z", "")
+    return F.rtrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def nfc(c) -> Column:

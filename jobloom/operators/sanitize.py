@@ -19,7 +19,6 @@ from jobloom.functions.common import built_once
 from jobloom.functions.text import casefold, normalize_title, unicode_strip
 from jobloom.functions.urls import canonical_url
 from jobloom.operators.dedupe import keep_first
-from jobloom.operators.partitioning import ensure_parallelism
 
 
 def record_key(title: Column, job_url: Column, source: Column,
@@ -50,7 +49,7 @@ def sanitize_records(records: DataFrame, order: str | Column | Sequence,
                                         F.col(source) if has_source else F.lit(None).cast("string"),
                                         keep_all_query_params))
     # title cleaning and the URL key are CPU-heavy and run before the shuffle
-    cleaned = (ensure_parallelism(records)
+    cleaned = (records
                .withColumn(title, title_col)
                .filter(F.col(title) != "")
                .withColumn(url, F.coalesce(F.col(url).cast("string"), F.lit(""))))
@@ -62,6 +61,6 @@ def sanitize_records(records: DataFrame, order: str | Column | Sequence,
 def dedupe_titles(titles: DataFrame, order: str | Column | Sequence, title: str = "title",
                   title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
     """Normalized, non-empty titles, first of each case-folded title kept (AGG-5)."""
-    cleaned = (ensure_parallelism(titles).withColumn(title, normalize_title(F.col(title), title_max_chars))
+    cleaned = (titles.withColumn(title, normalize_title(F.col(title), title_max_chars))
                .filter(F.col(title) != ""))
     return keep_first(cleaned, casefold(F.col(title)), order)

@@ -1,7 +1,7 @@
 """Checks that enrichment kept every producer row and produced valid labels (AGG-8, JN-3).
 
-Rows are matched on ``(coordinates..., Index)``: inside one payload ``Index`` is
-unique, across payloads the payload coordinates tell rows apart. The checks, in
+Rows are matched on ``(coordinates..., Index)``, null matching null; rows that repeat an
+``Index`` are matched in the order of their titles. The checks, in
 the order a failure is reported:
 
  1 row count      rows per payload differ
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
@@ -51,6 +51,22 @@ def _as_text(c: Column) -> Column:
     return unicode_strip(F.coalesce(c.cast("string"), F.lit("None")))
 
 
+def _score() -> Column:
+    """The score as a number; null where it is null, not numeric or NaN."""
+    number = F.col("complexity_score").cast("string").try_cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def _label_checks() -> list[tuple[int, Column, Column]]:
+    """Checks 6-9: blank ignores outer white space, the allowed sets do not."""
+    out = []
+    for no, name, allowed in ((6, "category", V.ALLOWED_CATEGORIES), (8, "seniority_level", V.ALLOWED_SENIORITY)):
+        text = F.coalesce(F.col(name).cast("string"), F.lit("None"))
+        blank = unicode_strip(text) == ""
+        out += [(no, blank, F.lit("")), (no + 1, ~blank & ~text.isin(*allowed), text)]
+    return out
+
+
 def _check_schema(producer: DataFrame, enriched: DataFrame) -> None:
     for col in KEYS:
         if col not in producer.columns:
@@ -66,9 +82,13 @@ def violations(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] =
     """One row per failed check: ``coords..., Index, rule_no, rule, value``."""
     _check_schema(producer, enriched)
     coords = list(coords)
-    p = producer.select(*coords, F.col("Index").alias("_pi"), F.col("Position title").alias("_pt"))
-    e = enriched.select(*coords, F.col("Index").alias("_ei"), F.col("Position title").alias("_et"),
+    p = producer.select(*coords, F.lit(True).alias("_ph"), F.col("Index").alias("_pi"), F.col("Position title").alias("_pt"))
+    e = enriched.select(*coords, F.lit(True).alias("_eh"), F.col("Index").alias("_ei"), F.col("Position title").alias("_et"),
                         *LABELS)
+    # rows that share an Index are matched in the order of their titles
+    nth = lambda d, i, t: d.withColumn("_nth", F.row_number().over(
+        Window.partitionBy(*coords, i).orderBy(_as_text(F.col(t)))))
+    p, e = nth(p, "_pi", "_pt"), nth(e, "_ei", "_et")
     # (1) rows per payload on each side: one tagged union, one aggregation (no join)
     sides = (producer.select(*coords, F.lit(1).alias("_p"), F.lit(0).alias("_e"))
              .unionByName(enriched.select(*coords, F.lit(0).alias("_p"), F.lit(1).alias("_e"))))
@@ -81,25 +101,21 @@ def violations(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] =
     # producer's string cast; integer keys compare by value, which is the same thing)
     integral = ("tinyint", "smallint", "int", "bigint")
     if dict(producer.dtypes)["Index"] in integral and dict(enriched.dtypes)["Index"] in integral:
-        key_eq = p["_pi"].cast("long") == e["_ei"].cast("long")
+        key_eq = p["_pi"].cast("long").eqNullSafe(e["_ei"].cast("long"))
     else:
         key_eq = _as_text(p["_pi"]) == _as_text(e["_ei"])
-    cond = [p[c].eqNullSafe(e[c]) for c in coords] + [key_eq]
+    cond = [p[c].eqNullSafe(e[c]) for c in coords] + [key_eq, p["_nth"] == e["_nth"]]
     j = p.join(e, cond, "full")
     co = [F.coalesce(p[c], e[c]).alias(c) for c in coords]
     idx = F.coalesce(p["_pi"].cast("long"), e["_ei"].cast("long"))
-    score = F.col("complexity_score").cast("string").try_cast("double")
-    cat, sen = _as_text(F.col("category")), _as_text(F.col("seniority_level"))
+    score = _score()
     checks = [
-        (2, p["_pi"].isNull() | e["_ei"].isNull(), _as_text(F.coalesce(p["_pi"], e["_ei"]))),
-        (3, p["_pi"].isNotNull() & e["_ei"].isNotNull() & (_as_text(p["_pt"]) != _as_text(e["_et"])),
+        (2, p["_ph"].isNull() | e["_eh"].isNull(), _as_text(F.coalesce(p["_pi"], e["_ei"]))),
+        (3, p["_ph"].isNotNull() & e["_eh"].isNotNull() & (_as_text(p["_pt"]) != _as_text(e["_et"])),
          F.concat_ws(" vs ", _as_text(p["_pt"]), _as_text(e["_et"]))),
-        (4, e["_ei"].isNotNull() & score.isNull(), F.col("complexity_score").cast("string")),
+        (4, e["_eh"].isNotNull() & score.isNull(), F.col("complexity_score").cast("string")),
         (5, score.isNotNull() & ((score < 0) | (score > 100)), F.col("complexity_score").cast("string")),
-        (6, e["_ei"].isNotNull() & (cat == ""), cat),
-        (7, e["_ei"].isNotNull() & (cat != "") & ~cat.isin(*V.ALLOWED_CATEGORIES), cat),
-        (8, e["_ei"].isNotNull() & (sen == ""), sen),
-        (9, e["_ei"].isNotNull() & (sen != "") & ~sen.isin(*V.ALLOWED_SENIORITY), sen),
+        *[(n, e["_eh"].isNotNull() & c, v) for n, c, v in _label_checks()],
     ]
     found = F.filter(F.array(*[
         F.when(c, F.struct(F.lit(n).alias("rule_no"), F.lit(RULES[n][0]).alias("rule"), v.alias("value")))
@@ -126,13 +142,11 @@ def label_violations(enriched: DataFrame, coords: Sequence[str] = ()) -> DataFra
     for col in KEYS + LABELS:
         if col not in enriched.columns:
             raise ValidationError(f"validate: enriched data missing column {col!r}")
-    score = F.col("complexity_score").cast("string").try_cast("double")
-    cat, sen = _as_text(F.col("category")), _as_text(F.col("seniority_level"))
+    score = _score()
     checks = [
         (4, score.isNull(), F.col("complexity_score").cast("string")),
         (5, score.isNotNull() & ((score < 0) | (score > 100)), F.col("complexity_score").cast("string")),
-        (6, cat == "", cat), (7, (cat != "") & ~cat.isin(*V.ALLOWED_CATEGORIES), cat),
-        (8, sen == "", sen), (9, (sen != "") & ~sen.isin(*V.ALLOWED_SENIORITY), sen),
+        *_label_checks(),
     ]
     found = F.filter(F.array(*[
         F.when(c, F.struct(F.lit(n).alias("rule_no"), F.lit(RULES[n][0]).alias("rule"), v.alias("value")))

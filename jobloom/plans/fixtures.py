@@ -123,7 +123,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def faulty_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched ``jobs`` with one fault per ``Index % 10``: 1 score 101, 2 score null,
-    3 category Legal, 4 blank seniority, 5 changed title, 6 row missing."""
+    3 category Legal, 4 blank seniority, 5 changed title, 6 row missing, 7 padded category, 8 padded
+    seniority; every 50th row comes twice."""
     e = enrich(jobs(spark, sf_dir))
     m = F.col("Index") % 10
     return (e.filter(m != 6).select(
@@ -132,5 +133,9 @@ def faulty_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("Position title")).alias("Position title"),
         F.when(m == 1, F.lit(101)).when(m == 2, F.lit(None)).otherwise(
             F.col("complexity_score")).cast("int").alias("complexity_score"),
-        F.when(m == 3, F.lit("Legal")).otherwise(F.col("category")).alias("category"),
-        F.when(m == 4, F.lit(" ")).otherwise(F.col("seniority_level")).alias("seniority_level")))
+        F.when(m == 3, F.lit("Legal")).when(m == 7, F.concat(F.lit(" "), F.col("category"), F.lit(" ")))
+        .otherwise(F.col("category")).alias("category"),
+        F.when(m == 4, F.lit(" ")).when(m == 8, F.concat(F.lit(" "), F.col("seniority_level")))
+        .otherwise(F.col("seniority_level")).alias("seniority_level"),
+        F.explode(F.when(F.col("Index") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+        .drop("copy"))

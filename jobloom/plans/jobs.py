@@ -23,6 +23,10 @@ from jobloom.sources.pages import cap_body_size, read_pages
 from jobloom.streaming.consumer import ConsumerConfig, consume
 
 
+#: messages (or files of a file stream) of one micro-batch
+BATCH_MESSAGES = 10_000
+
+
 class EmptyRunError(RuntimeError):
     """The run produced no job rows (a failed run)."""
 
@@ -59,7 +63,7 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
 def consume_job(spark: SparkSession, *, out_path: str, messages_path: str | None = None,
                 kafka: dict | None = None, topic: str | None = None, starting_offsets: str = "earliest",
                 enrich: bool = True, failures_path: str | None = None, checkpoint_path: str | None = None,
-                max_offsets_per_trigger: int | None = None, blob_prefix: str | None = None,
+                max_offsets_per_trigger: int | None = BATCH_MESSAGES, timeout_s: float | None = None, blob_prefix: str | None = None,
                 layout: str = "batch", available_now: bool = True):
     """Messages (Kafka or a Parquet file stream with the Kafka row shape) -> stored rows."""
     if kafka:
@@ -70,7 +74,7 @@ def consume_job(spark: SparkSession, *, out_path: str, messages_path: str | None
         stream = read_messages(spark, path=messages_path, max_files_per_trigger=max_offsets_per_trigger)
     cfg = ConsumerConfig(output_path=out_path, checkpoint_path=checkpoint_path, failures_path=failures_path,
                          enrich=enrich, blob_prefix=blob_prefix, layout=layout)
-    return consume(spark, stream, cfg, available_now=available_now)
+    return consume(spark, stream, cfg, available_now=available_now, timeout_s=timeout_s)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -97,7 +101,9 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--starting-offsets", default="earliest")
     c.add_argument("--no-enrich", action="store_true")
     c.add_argument("--failures")
-    c.add_argument("--checkpoint")
+    c.add_argument("--checkpoint", required=True)
+    c.add_argument("--batch-messages", type=int, default=BATCH_MESSAGES)
+    c.add_argument("--timeout", type=float)
     args = ap.parse_args(argv)
     spark = get_spark()
     broker = None
@@ -112,7 +118,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         consume_job(spark, out_path=args.out, messages_path=args.messages, kafka=broker, topic=args.topic,
                     starting_offsets=args.starting_offsets, enrich=not args.no_enrich,
-                    failures_path=args.failures, checkpoint_path=args.checkpoint)
+                    failures_path=args.failures, checkpoint_path=args.checkpoint,
+                    max_offsets_per_trigger=args.batch_messages, timeout_s=args.timeout)
     return 0
 
 

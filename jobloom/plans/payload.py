@@ -142,6 +142,38 @@ def payload_row_counts(messages: DataFrame, keep: Sequence[str] = ("topic", "par
     return messages.select(*keep, value).mapInArrow(count, out_schema)
 
 
+def payload_info(messages: DataFrame, keep: Sequence[str] = ("topic", "partition", "offset"),
+                 value: str = "value") -> DataFrame:
+    """One row per message, from the Parquet footer alone: ``keep..., value, n_rows, payload_columns, payload_error``.
+
+    A payload without rows has its row here too (``n_rows`` 0); a value that is not Parquet has ``payload_error``.
+    """
+    keep = list(keep)
+    kept_fields = [f for f in messages.schema.fields if f.name in keep]
+    out_schema = T.StructType(kept_fields + [
+        T.StructField(value, T.BinaryType()), T.StructField("n_rows", T.LongType()),
+        T.StructField("payload_columns", T.ArrayType(T.StringType())), T.StructField("payload_error", T.StringType())])
+    arrow_out = pa.schema([(f.name, _arrow_type(f.dataType)) for f in out_schema.fields])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, names, errors = [], [], []
+            for data in batch.column(value).to_pylist():
+                try:
+                    footer = pq.ParquetFile(io.BytesIO(data or b""))
+                    found = (footer.metadata.num_rows, footer.schema_arrow.names, None)
+                except Exception as exc:  # not a Parquet file
+                    found = (None, None, f"{type(exc).__name__}: {exc}")
+                for column, part in zip((rows, names, errors), found, strict=True):
+                    column.append(part)
+            cols = {k: batch.column(k).cast(arrow_out.field(k).type) for k in (*keep, value)}
+            cols |= {"n_rows": pa.array(rows, pa.int64()), "payload_columns": pa.array(names, pa.list_(pa.string())),
+                     "payload_error": pa.array(errors, pa.string())}
+            yield pa.RecordBatch.from_pydict(cols, schema=arrow_out)
+
+    return messages.select(*keep, value).mapInArrow(read, out_schema)
+
+
 def max_payload_bytes(limit: int | None = None) -> int:
     return max(V.MAX_MESSAGE_BYTES_FLOOR, int(limit if limit is not None else V.MAX_MESSAGE_BYTES))
 

@@ -292,10 +292,11 @@ def enrich_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-3: byte size of every payload and whether it fits the message cap (no SQL oracle:
-    Parquet bytes are writer-specific)."""
-    return PL.with_size_check(FX.messages(spark, sf_dir).filter(F.col("value").isNotNull())).select(
-        *COORDS, "n_bytes", "fits")
+    """SNK-3: byte size of every page body as a payload, and whether it fits the default message cap and the
+    least cap that can be set."""
+    pages = FX.table(spark, sf_dir, "pages").select("page_id", F.repeat(F.col("html"), F.lit(10)).cast("binary").alias("value"))
+    least = PL.with_size_check(pages, limit=1).withColumnRenamed("fits", "fits_least").drop("n_bytes")
+    return PL.with_size_check(least).select("page_id", "n_bytes", "fits", "fits_least")
 
 
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,18 @@
 """Structured Streaming consumer of payload messages (STR-1 .. STR-6).
 
-    messages (Kafka rows) -> drop empty values (FLT-6) -> unpack Parquet payloads
-    -> optional enrichment (STR-6) -> validation -> store per micro-batch or per
-    message (SNK-6)
-
-Delivery (STR-2): the micro-batch is stored before its offsets are committed to
-the checkpoint, and storage overwrites by epoch id (or message coordinates), so
-a batch that is replayed after a failure or an executor loss replaces its own
-output: effectively once. Fail-stop (STR-3): a bad payload or a validation failure is
-written to the failures table and fails the query without a commit; restarting
-from the checkpoint retries the same messages. The consumer is stateless: no
-watermark, no state store.
+    messages (Kafka rows) -> drop empty values (FLT-6)
+      enrichment off: every value is stored as it came, Parquet or not
+      enrichment on:  footers checked -> rows unpacked, enriched, validated, stored;
+                      payloads that were enriched before are also kept as they came
+
+Every message, a payload without rows included, has its row in the messages table
+(``messages_path``). Delivery (STR-2): the micro-batch is stored before its offsets
+are committed, and storage replaces what the same batch wrote before: a
+batch is named by the coordinates of its first message, so a replay after a failure
+overwrites itself, and another run, also one with a new checkpoint, never overwrites other
+messages. Fail-stop (STR-3): bad payloads and validation failures are
+written to the failures table, all of them, and fail the query without a commit. The
+consumer is stateless: no watermark, no state store.
 """
 
 from __future__ import annotations
@@ -21,12 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.operators.enrich import enrich_payload_rows
-from jobloom.operators.partitioning import ensure_parallelism
 from jobloom.operators.validate import ValidationError, first_violation, label_violations
-from jobloom.plans.payload import unpack_payloads
-from jobloom.session import checkpoint_dir
+from jobloom.plans.payload import payload_info, unpack_payloads
 from jobloom.sources.messages import nonempty_messages
-from jobloom.streaming.storage import record_failure, store_messages, with_object_name
+from jobloom.streaming.storage import record_failure, record_failures, store_messages, with_object_name
 
 COORDS = ["topic", "partition", "offset"]
 RAW_COLUMNS = ["Index", "Position title", "job_description", "complexity_score", "category", "seniority_level"]
@@ -38,8 +38,8 @@ class PayloadError(ValueError):
 
 @dataclass
 class ConsumerConfig:
-    """``layout``: ``"batch"`` stores each micro-batch under ``topic=/batch_id=`` (rows keep
-    their partition and offset): few large files, and a replayed epoch (same id, same
+    """``layout``: ``"batch"`` stores each micro-batch under ``topic=/first_message=`` (rows keep
+    their partition and offset): few large files, and a replayed batch (same
     offsets) overwrites its own directory. ``"message"`` stores every message under
     ``topic=/partition=/offset=`` like one object per message; at millions of messages
     that is millions of small files, so it is the opt-in layout."""
@@ -49,50 +49,60 @@ class ConsumerConfig:
     enrich: bool = True
     blob_prefix: str | None = None
     layout: str = "batch"
+    messages_path: str | None = None  # default: output_path with "-messages" behind
     failure_recorded: bool = False  # set when a batch wrote its own failure record
 
 
+def _store(df: DataFrame, cfg: ConsumerConfig, path: str, first: dict) -> None:
+    df = with_object_name(df, enriched=cfg.enrich, **({"prefix": cfg.blob_prefix} if cfg.blob_prefix else {}))
+    df = df.drop("key") if "key" in df.columns else df
+    if cfg.layout == "message":
+        store_messages(df, path)
+    elif first:
+        names = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+        store_messages(df.withColumn("first_message", names[F.col("topic")]), path, partition_cols=("topic", "first_message"))
+
+
 def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None = None) -> None:
     """Handle one micro-batch (also usable on a bounded DataFrame)."""
     spark = batch.sparkSession
-    msgs = nonempty_messages(batch)
     keep = COORDS + (["key"] if "key" in batch.columns else [])
-    rows = ensure_parallelism(unpack_payloads(msgs, RAW_COLUMNS, keep=keep)).persist()
+    messages_path = cfg.messages_path or f"{cfg.output_path.rstrip('/')}-messages"
+    msgs = nonempty_messages(batch).select(*keep, "value").persist()
     out = None
     try:
-        bad = (rows.filter(F.col("payload_error").isNotNull()
-                           | ~(F.array_contains("payload_columns", "complexity_score")
-                               | (F.array_contains("payload_columns", "Index")
-                                  & F.array_contains("payload_columns", "Position title"))))
-               .select(*COORDS, "payload_error").distinct().orderBy(*COORDS).limit(100).collect())
-        if bad:
-            err = PayloadError(f"{len(bad)} message(s) are not producer payloads; first "
-                               f"{tuple(bad[0][c] for c in COORDS)}: {bad[0]['payload_error'] or 'missing columns'}")
-            record_failure(spark, cfg.failures_path, "message", err, coords=[tuple(r[c] for c in COORDS) for r in bad])
+        # one row per subscribed topic: the batch's name, the same whenever it is replayed
+        first = {r["topic"]: f"{r['m']['partition']}-{r['m']['offset']}" for r in
+                 msgs.groupBy("topic").agg(F.min(F.struct("partition", "offset")).alias("m")).collect()}
+        if not cfg.enrich:
+            _store(msgs.withColumn("enriched_before", F.lit(None).cast("boolean")).withColumn("n_rows", F.lit(None).cast("long")),
+                   cfg, messages_path, first)
+            return
+        info = payload_info(msgs, keep)
+        has = lambda c: F.array_contains("payload_columns", c)
+        usable = F.col("payload_error").isNull() & (has("complexity_score") | (has("Index") & has("Position title")))
+        bad = info.filter(~F.coalesce(usable, F.lit(False))).select(
+            *COORDS, F.coalesce("payload_error", F.lit("missing columns")).alias("why"))
+        seen = bad.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*COORDS, "why")).alias("first")).first()
+        if seen["n"]:
+            err = PayloadError(f"{seen['n']} message(s) are not producer payloads; first "
+                               f"{tuple(seen['first'][c] for c in COORDS)}: {seen['first']['why']}")
+            record_failures(bad, cfg.failures_path, "message", err)
+            cfg.failure_recorded = True
+            raise err
+        out = enrich_payload_rows(unpack_payloads(msgs, RAW_COLUMNS, keep=keep), keep).drop("enriched_before").persist()
+        msg = first_violation(label_violations(out, COORDS))
+        if msg:
+            err = ValidationError(msg)
+            record_failure(spark, cfg.failures_path, "validation", err)
             cfg.failure_recorded = True
             raise err
-        if cfg.enrich:
-            out = enrich_payload_rows(rows, keep).drop("enriched_before").persist()
-            msg = first_violation(label_violations(out, COORDS))
-            if msg:
-                err = ValidationError(msg)
-                record_failure(spark, cfg.failures_path, "validation", err)
-                cfg.failure_recorded = True
-                raise err
-            stored = out
-        else:
-            stored = rows.drop("payload_columns", "payload_error")
-        stored = with_object_name(stored, enriched=cfg.enrich,
-                                  **({"prefix": cfg.blob_prefix} if cfg.blob_prefix else {}))
-        if "key" in stored.columns:
-            stored = stored.drop("key")
-        if cfg.layout == "message":
-            store_messages(stored, cfg.output_path)
-        else:
-            store_messages(stored.withColumn("batch_id", F.lit(int(epoch_id or 0)).cast("long")),
-                           cfg.output_path, partition_cols=("topic", "batch_id"))
+        _store(out, cfg, cfg.output_path, first)
+        before = F.array_contains("payload_columns", "complexity_score")
+        _store(info.select(*keep, F.when(before, F.col("value")).alias("value"), before.alias("enriched_before"), "n_rows"),
+               cfg, messages_path, first)
     finally:
-        rows.unpersist()
+        msgs.unpersist()
         if out is not None:
             out.unpersist()
 
@@ -100,15 +110,20 @@ def process_batch(batch: DataFrame, cfg: ConsumerConfig, epoch_id: int | None =
 def consume(spark: SparkSession, messages: DataFrame, cfg: ConsumerConfig, available_now: bool = True,
             processing_time: str | None = None, timeout_s: float | None = None):
     """Start the consumer on a streaming ``messages`` frame; with ``available_now`` the
-    query processes what is there and stops (a bounded run, STR-5)."""
-    ckpt = cfg.checkpoint_path or f"{checkpoint_dir(spark).rstrip('/')}/consumer"
+    query processes what is there and stops (a bounded run, STR-5); ``timeout_s`` ends the wait, and the query with it.
+    The checkpoint path is required: a restart resumes from it."""
+    if not cfg.checkpoint_path:
+        raise ValueError("the consumer needs a checkpoint path that outlives the run")
     writer = (messages.writeStream.foreachBatch(lambda df, eid: process_batch(df, cfg, eid))
-              .option("checkpointLocation", ckpt))
+              .option("checkpointLocation", cfg.checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "10 seconds")
     query = writer.start()
     try:
-        query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+        if timeout_s and not query.awaitTermination(timeout_s):
+            query.stop()
+        elif not timeout_s:
+            query.awaitTermination()
     except Exception as exc:  # the query failed: keep a record (once), surface the error
         if not cfg.failure_recorded:
             record_failure(spark, cfg.failures_path, "query", exc)

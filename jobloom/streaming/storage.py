@@ -1,7 +1,7 @@
 """Storage of consumed messages and of failure records (SNK-6, SNK-8).
 
 Rows are stored with dynamic partition overwrite, by micro-batch
-(``topic=/batch_id=``) or by message (``topic=/partition=/offset=``): storing
+(``topic=/first_message=``) or by message (``topic=/partition=/offset=``): storing
 the same batch or message again replaces exactly its own partition, so a replay
 leaves one copy (the documented "redelivery overwrites" behaviour, which a name
 with a wall-clock part cannot give). The object name of each message (TXT-6) is
@@ -54,3 +54,11 @@ def record_failure(spark: SparkSession, path: str | None, kind: str, exc: BaseEx
     """Append failure records (kinds: startup, message, validation, query)."""
     if path:
         failure_rows(spark, kind, exc, message, coords).write.mode("append").parquet(path)
+
+
+def record_failures(bad: DataFrame, path: str | None, kind: str, exc: BaseException) -> None:
+    """Append one failure record per row of ``bad`` (topic, partition, offset, why), however many there are."""
+    if path:
+        bad.select(F.lit(kind).alias("kind"), "topic", F.col("partition").cast("int").alias("partition"), "offset",
+                   F.lit(type(exc).__name__).alias("error_type"), F.lit(str(exc)).alias("message"), F.col("why").alias("detail"),
+                   F.current_timestamp().alias("at")).write.mode("append").parquet(path)

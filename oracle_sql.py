@@ -415,36 +415,38 @@ FAULTY = f"""SELECT "Index",
     CASE WHEN "Index" % 10 = 5 THEN "Position title" || ' (edited)' ELSE "Position title" END AS "Position title",
     CAST(CASE WHEN "Index" % 10 = 1 THEN 101 WHEN "Index" % 10 = 2 THEN NULL ELSE complexity_score END AS INTEGER)
       AS complexity_score,
-    CASE WHEN "Index" % 10 = 3 THEN 'Legal' ELSE category END AS category,
-    CASE WHEN "Index" % 10 = 4 THEN ' ' ELSE seniority_level END AS seniority_level
-  FROM ({scored(JOBS, True)}) WHERE "Index" % 10 <> 6"""
+    CASE WHEN "Index" % 10 = 3 THEN 'Legal' WHEN "Index" % 10 = 7 THEN ' ' || category || ' ' ELSE category END AS category,
+    CASE WHEN "Index" % 10 = 4 THEN ' ' WHEN "Index" % 10 = 8 THEN ' ' || seniority_level ELSE seniority_level END AS seniority_level
+  FROM (SELECT *, unnest(CASE WHEN "Index" % 50 = 0 THEN [1, 2] ELSE [1] END) FROM ({scored(JOBS, True)})) WHERE "Index" % 10 <> 6"""
 
 
 def violations_sql() -> str:
     txt = lambda x: strip(f"coalesce(CAST({x} AS VARCHAR), 'None')")
+    raw = lambda x: f"coalesce(CAST({x} AS VARCHAR), 'None')"
     cats = ", ".join(q(c) for c in V.ALLOWED_CATEGORIES)
     sens = ", ".join(q(c) for c in V.ALLOWED_SENIORITY)
     score = "TRY_CAST(CAST(e.complexity_score AS VARCHAR) AS DOUBLE)"
-    cat, sen = txt("e.category"), txt("e.seniority_level")
+    both, there = "p.nth IS NOT NULL AND e.nth IS NOT NULL", "e.nth IS NOT NULL"
     checks = [
-        (2, "p.\"Index\" IS NULL OR e.\"Index\" IS NULL", txt("coalesce(p.\"Index\", e.\"Index\")")),
-        (3, f"p.\"Index\" IS NOT NULL AND e.\"Index\" IS NOT NULL AND {txt('p.\"Position title\"')} <> "
-            f"{txt('e.\"Position title\"')}", f"{txt('p.\"Position title\"')} || ' vs ' || {txt('e.\"Position title\"')}"),
-        (4, f"e.\"Index\" IS NOT NULL AND {score} IS NULL", "CAST(e.complexity_score AS VARCHAR)"),
-        (5, f"{score} IS NOT NULL AND ({score} < 0 OR {score} > 100)", "CAST(e.complexity_score AS VARCHAR)"),
-        (6, f"e.\"Index\" IS NOT NULL AND {cat} = ''", cat),
-        (7, f"e.\"Index\" IS NOT NULL AND {cat} <> '' AND {cat} NOT IN ({cats})", cat),
-        (8, f"e.\"Index\" IS NOT NULL AND {sen} = ''", sen),
-        (9, f"e.\"Index\" IS NOT NULL AND {sen} <> '' AND {sen} NOT IN ({sens})", sen),
+        (2, "Index", "p.nth IS NULL OR e.nth IS NULL", txt("coalesce(p.\"Index\", e.\"Index\")")),
+        (3, "Position title", f"{both} AND {txt('p.\"Position title\"')} <> {txt('e.\"Position title\"')}",
+         f"{txt('p.\"Position title\"')} || ' vs ' || {txt('e.\"Position title\"')}"),
+        (4, "score missing", f"{there} AND ({score} IS NULL OR isnan({score}))", "CAST(e.complexity_score AS VARCHAR)"),
+        (5, "score range", f"NOT isnan({score}) AND ({score} < 0 OR {score} > 100)", "CAST(e.complexity_score AS VARCHAR)"),
+        (6, "category blank", f"{there} AND {txt('e.category')} = ''", "''"),
+        (7, "category unknown", f"{there} AND {txt('e.category')} <> '' AND {raw('e.category')} NOT IN ({cats})", raw("e.category")),
+        (8, "seniority blank", f"{there} AND {txt('e.seniority_level')} = ''", "''"),
+        (9, "seniority unknown", f"{there} AND {txt('e.seniority_level')} <> '' AND {raw('e.seniority_level')} NOT IN ({sens})",
+         raw("e.seniority_level")),
     ]
-    from jobloom.operators.validate import RULES
     arms = " UNION ALL ".join(
-        f"SELECT CAST(coalesce(p.\"Index\", e.\"Index\") AS BIGINT) AS \"Index\", {n} AS rule_no, "
-        f"{q(RULES[n][0])} AS rule, {v} AS value FROM j p FULL OUTER JOIN f e ON p.\"Index\" = e.\"Index\" WHERE {c}"
-        for n, c, v in checks)
-    return f"""WITH j AS (SELECT "Index", "Position title" FROM ({JOBS})), f AS ({FAULTY}),
+        f"SELECT CAST(coalesce(p.\"Index\", e.\"Index\") AS BIGINT) AS \"Index\", {n} AS rule_no, {q(rule)} AS rule, {v} AS value "
+        f"FROM j p FULL OUTER JOIN f e ON p.\"Index\" IS NOT DISTINCT FROM e.\"Index\" AND p.nth = e.nth WHERE {c}"
+        for n, rule, c, v in checks)
+    nth = f"row_number() OVER (PARTITION BY \"Index\" ORDER BY {txt('\"Position title\"')}) AS nth"
+    return f"""WITH j AS (SELECT "Index", "Position title", {nth} FROM ({JOBS})), f AS (SELECT *, {nth} FROM ({FAULTY})),
       n AS (SELECT (SELECT count(*) FROM j) AS np, (SELECT count(*) FROM f) AS ne)
-    SELECT CAST(NULL AS BIGINT) AS "Index", 1 AS rule_no, {q(RULES[1][0])} AS rule,
+    SELECT CAST(NULL AS BIGINT) AS "Index", 1 AS rule_no, 'row count' AS rule,
            CAST(np AS VARCHAR) || ' vs ' || CAST(ne AS VARCHAR) AS value FROM n WHERE np <> ne
     UNION ALL {arms}"""
 
@@ -458,6 +460,8 @@ def group4() -> dict[str, str]:
         "payload_row_counts": (f"SELECT {MSG_COORDS}, count(*) AS n_rows FROM ({MSG_ROWS}) GROUP BY ALL "
                                f"UNION ALL SELECT topic, partition, \"offset\", NULL FROM ({empties})"),
         "nonempty_messages": f"SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})",
+        "payload_sizes": ("SELECT page_id, CAST(10 * strlen(html) AS BIGINT) AS n_bytes, 10 * strlen(html) <= 1048576 AS fits, "
+                          "10 * strlen(html) <= 1024 AS fits_least FROM pages"),
         "max_messages": (f"SELECT * FROM (SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})) "
                          f"ORDER BY partition, \"offset\" LIMIT 10"),
         "enrich_payloads": enriched.format(scored(MSG_ROWS, True, keep=MSG_COORDS)),

@@ -1,68 +1,80 @@
-"""Enrichment validation: the reference cases and the row-local form."""
+"""Validation of enriched rows: each check on a row made for it, and the row-local form."""
 
 import pytest
 
-from jobloom.operators.validate import ValidationError, assert_valid, label_violations, violations
 from jobloom.functions import vocab as V
+from jobloom.operators.validate import ValidationError, assert_valid, label_violations, violations
 
-PROD = "Index long, `Position title` string"
-ENR = "Index long, `Position title` string, complexity_score int, category string, seniority_level string"
-
-
-def frames(spark, prod_rows, enr_rows):
-    return spark.createDataFrame(prod_rows, PROD), spark.createDataFrame(enr_rows, ENR)
-
-
-def test_passes_identical_keys(spark):
-    p, e = frames(spark, [(1, "A"), (2, "B")], [(1, "A", 50, "Engineering", "Mid"), (2, "B", 50, "Engineering", "Mid")])
-    assert_valid(p, e)
+PRODUCER = "Index long, `Position title` string"
+ENRICHED = PRODUCER + ", complexity_score {}, category string, seniority_level string"
+GOOD = (7, "Baker", 41, "Design", "Senior")
 
 
-def test_empty_frames(spark):
-    p, e = frames(spark, [], [])
-    assert_valid(p, e)
+def _rules(spark, producer, enriched, score="int"):
+    p = spark.createDataFrame(producer, PRODUCER)
+    e = spark.createDataFrame(enriched, ENRICHED.format(score))
+    return sorted(((r["Index"], r["rule_no"]) for r in violations(p, e).collect()), key=lambda x: (x[0] is not None, x))
 
 
-def test_row_count(spark):
-    p, e = frames(spark, [(1, "A")], [(1, "A", 50, "Engineering", "Mid"), (2, "B", 50, "Engineering", "Mid")])
-    with pytest.raises(ValueError, match="row count"):
-        assert_valid(p, e)
+def _with(**changes):
+    row = dict(zip(("index", "title", "score", "category", "seniority"), GOOD)) | changes
+    return tuple(row.values())
 
 
-def test_key_drift(spark):
-    p, e = frames(spark, [(1, "A")], [(1, "B", 50, "Engineering", "Mid")])
-    with pytest.raises(ValueError, match="altered producer"):
-        assert_valid(p, e)
+@pytest.mark.parametrize("row, found", [
+    (GOOD, []),
+    (_with(title="\u2003Baker\n"), []),
+    (_with(title="Butcher"), [(7, 3)]),
+    (_with(title="baker"), [(7, 3)]),
+    (_with(score=0), []), (_with(score=100), []),
+    (_with(score=-1), [(7, 5)]), (_with(score=250), [(7, 5)]), (_with(score=None), [(7, 4)]),
+    (_with(category="\t"), [(7, 6)]), (_with(category="Astronomy"), [(7, 7)]), (_with(category=" Design "), [(7, 7)]),
+    (_with(category=None), [(7, 7)]),
+    (_with(seniority=""), [(7, 8)]), (_with(seniority=" Senior"), [(7, 9)]), (_with(seniority="senior"), [(7, 9)]),
+    (_with(score=101, category="", seniority="Chief"), [(7, 5), (7, 6), (7, 9)]),
+])
+def test_each_check(spark, row, found):
+    assert _rules(spark, [GOOD[:2]], [row]) == found
 
 
-def test_score_range(spark):
-    p, e = frames(spark, [(1, "X")], [(1, "X", 101, "Engineering", "Mid")])
-    with pytest.raises(ValueError, match="range"):
-        assert_valid(p, e)
+def test_scores_that_are_not_numbers(spark):
+    assert _rules(spark, [GOOD[:2]], [_with(score=float("nan"))], "double") == [(7, 4)]
+    assert _rules(spark, [GOOD[:2]], [_with(score="high")], "string") == [(7, 4)]
+    assert _rules(spark, [GOOD[:2]], [_with(score=" 12.5 ")], "string") == []
+    e = spark.createDataFrame([_with(score=float("nan"))], ENRICHED.format("double"))
+    assert [r["rule_no"] for r in label_violations(e).collect()] == [4]
 
 
-def test_unknown_category(spark):
-    p, e = frames(spark, [(1, "X")], [(1, "X", 50, "Legal", "Mid")])
-    with pytest.raises(ValidationError, match="unknown category"):
-        assert_valid(p, e)
+def test_rows_lost_and_added(spark):
+    assert _rules(spark, [GOOD[:2], (8, "Miller")], [GOOD]) == [(None, 1), (8, 2)]
+    assert _rules(spark, [GOOD[:2]], [GOOD, _with(index=9)]) == [(None, 1), (9, 2)]
+    assert _rules(spark, [], []) == []
 
 
-def test_null_label_is_unknown_not_blank(spark):
-    p, e = frames(spark, [(1, "X")], [(1, "X", 50, None, "Mid")])
-    rules = {r["rule"] for r in violations(p, e).collect()}
-    assert rules == {"category unknown"}
+def test_repeated_and_missing_indexes_match_row_by_row(spark):
+    twice = [(7, "Baker"), (7, "Miller"), (None, "Tanner"), (None, "Tanner")]
+    rows = [(i, t, *GOOD[2:]) for i, t in reversed(twice)]
+    assert _rules(spark, twice, rows) == []
+    assert _rules(spark, twice, rows[1:]) == [(None, 1), (None, 2)]
+    assert _rules(spark, twice, [*rows[:3], (7, "Cooper", *GOOD[2:])]) == [(7, 3)]
 
 
-def test_stripped_keys_and_null_titles_match(spark):
-    p, e = frames(spark, [(1, " A "), (2, None)], [(1, "A", 50, "Other", "Lead"), (2, None, 20, "Other", "Mid")])
-    assert_valid(p, e)
+def test_first_failing_check_is_raised(spark):
+    p = spark.createDataFrame([GOOD[:2]], PRODUCER)
+    bad = spark.createDataFrame([_with(score=777, seniority="Chief")], ENRICHED.format("int"))
+    with pytest.raises(ValidationError, match="out of range"):
+        assert_valid(p, bad)
+    with pytest.raises(ValidationError, match="missing column 'category'"):
+        assert_valid(p, bad.drop("category"))
+    assert_valid(p, spark.createDataFrame([GOOD], ENRICHED.format("int")))
 
 
-def test_label_violations_row_local(spark):
-    e = spark.createDataFrame([(1, "X", None, " ", "Boss")], ENR)
-    rules = sorted(r["rule_no"] for r in label_violations(e).collect())
-    assert rules == [4, 6, 9]
+def test_row_local_form_agrees(spark):
+    rows = [_with(index=i, score=s, category=c) for i, (s, c) in enumerate([(5, "Design"), (None, "Design"), (500, " "), (5, "Law")])]
+    e = spark.createDataFrame(rows, ENRICHED.format("int"))
+    local = sorted((r["Index"], r["rule_no"]) for r in label_violations(e).collect())
+    assert local == _rules(spark, [r[:2] for r in rows], rows) == [(1, 4), (2, 5), (2, 6), (3, 7)]
 
 
-def test_allowed_sets():
-    assert "Engineering" in V.ALLOWED_CATEGORIES and "Lead" in V.ALLOWED_SENIORITY
+def test_good_row_uses_allowed_labels():
+    assert GOOD[3] in V.ALLOWED_CATEGORIES and GOOD[4] in V.ALLOWED_SENIORITY
