@@ -61,8 +61,9 @@ def _netloc_ok(netloc: Column) -> Column:
 
 
 def _decode_component(s: Column) -> Column:
-    # '+' is a space; a malformed escape leaves the token as it was
-    return F.coalesce(F.try_url_decode(s), F.regexp_replace(s, r"\+", " "))
+    # '+' is a space; a '%' that begins no escape stands for itself, bytes that are no UTF-8 for U+FFFD
+    whole = F.regexp_replace(s, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.make_valid_utf8(F.url_decode(whole))
 
 
 def _encode_component(s: Column) -> Column:

@@ -16,10 +16,11 @@ from pyspark.sql import SparkSession
 
 from jobloom.functions import vocab as V
 from jobloom.plans import produce as PR
-from jobloom.sinks.kafka import publish, publish_options
-from jobloom.sources.config import load_sources
+from jobloom.functions.urls import site_origin
+from jobloom.sinks.kafka import include_headers, publish, publish_options
+from jobloom.sources.config import load_sources, sources_without_pages
 from jobloom.sources.messages import broker_options, consumer_options, read_messages
-from jobloom.sources.pages import cap_body_size, read_pages
+from jobloom.sources.pages import cap_body_size, read_pages, rejected_pages
 from jobloom.streaming.consumer import ConsumerConfig, consume
 
 
@@ -35,15 +36,27 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
                 fallback_url: str | None = None, rows_per_batch: int = V.ROWS_PER_PAYLOAD,
                 max_response_bytes: int | None = None, topic: str | None = None, sink_path: str | None = None,
                 kafka: dict | None = None, event_hubs: bool = False, max_message_bytes: int | None = None,
-                join_on: str = "url") -> dict:
+                join_on: str = "url", rejects_path: str | None = None, single_message: bool = False) -> dict:
     """Pages -> merged Parquet output (+ batched messages). Returns run counts.
 
     With ``sources_json`` (or ``fallback_url``) pages are matched to sources on
-    ``join_on``; otherwise every page is its own source. Zero rows fail the run.
+    ``join_on``; otherwise every page is its own source. Zero rows fail the run. Pages over the byte cap are left
+    out, counted and, with ``rejects_path``, listed; a run over one listing (``fallback_url`` alone) fails on them. Sources without
+    an accepted page are counted. ``single_message`` publishes the whole output as one message.
     """
-    pages = cap_body_size(read_pages(spark, pages_path), max_bytes=max_response_bytes)
+    landed = read_pages(spark, pages_path)
+    pages = cap_body_size(landed, max_bytes=max_response_bytes)
     sources = (load_sources(spark, sources_json, fallback_url)
                if (sources_json or fallback_url) else None)
+    rejects = rejected_pages(landed, max_bytes=max_response_bytes)
+    if rejects_path:
+        rejects.write.mode("overwrite").parquet(rejects_path)
+        rejects = spark.read.parquet(rejects_path)
+    n_rejected = rejects.count()
+    if n_rejected and sources is not None and not sources_json:
+        raise EmptyRunError(f"{n_rejected} page(s) of the listing are over the byte cap")
+    n_failed = 0 if sources is None else sources_without_pages(pages.withColumn(
+        "origin", site_origin("url")) if join_on == "origin" else pages, sources, join_on).count()
     result = PR.produce(pages, sources, rows_per_batch=rows_per_batch, on=join_on)
     # a count over the checkpointed numbering (cheap); DataFrame.observe upstream of the
     # range sort would count twice, because the sort samples its input in a separate job
@@ -53,11 +66,13 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
     PR.write_merged(result.merged, merged_path)
     n_batches = 0
     if topic and (sink_path or kafka):
-        msgs = PR.messages(result.batches, topic=topic, max_message_bytes=max_message_bytes)
+        msgs = PR.single_message(result.merged, topic, max_message_bytes) if single_message else \
+            PR.messages(result.batches, topic=topic)
         opts = publish_options(kafka, event_hubs=event_hubs) if kafka else None
-        publish(msgs, options=opts, sink_path=sink_path, max_message_bytes=max_message_bytes)
-        n_batches = result.batches.select("batch_no").distinct().count()
-    return {"rows": n, "batches": n_batches}
+        publish(msgs, options=opts, sink_path=sink_path, with_headers=include_headers(event_hubs),
+                max_message_bytes=max_message_bytes)
+        n_batches = 1 if single_message else -(-n // rows_per_batch)
+    return {"rows": n, "batches": n_batches, "rejected_pages": n_rejected, "failed_sources": n_failed}
 
 
 def consume_job(spark: SparkSession, *, out_path: str, messages_path: str | None = None,

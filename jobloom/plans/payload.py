@@ -174,6 +174,10 @@ def payload_info(messages: DataFrame, keep: Sequence[str] = ("topic", "partition
     return messages.select(*keep, value).mapInArrow(read, out_schema)
 
 
+class PayloadTooLarge(ValueError):
+    """A payload exceeds the message cap."""
+
+
 def max_payload_bytes(limit: int | None = None) -> int:
     return max(V.MAX_MESSAGE_BYTES_FLOOR, int(limit if limit is not None else V.MAX_MESSAGE_BYTES))
 

@@ -28,7 +28,7 @@ from jobloom.functions.urls import site_origin
 from jobloom.operators.extract import extract_jobs
 from jobloom.operators.ordering import batch_index, global_index, title_sort_key
 from jobloom.operators.sanitize import sanitize_records
-from jobloom.plans.payload import check_payload_size, pack_payloads
+from jobloom.plans.payload import PayloadTooLarge, max_payload_bytes, pack_payloads
 from jobloom.sources.config import attach_source
 
 RECORD_ORDER = ("source_order", "page_id", "phase", "pos")
@@ -79,10 +79,9 @@ def batches(numbered_records: DataFrame, rows_per_batch: int = V.ROWS_PER_PAYLOA
     return b.select("batch_no", "Index", F.col("position_title").alias("Position title"))
 
 
-def messages(batch_rows: DataFrame, topic: str, max_message_bytes: int | None = None,
-             headers: bool = True) -> DataFrame:
+def messages(batch_rows: DataFrame, topic: str, headers: bool = True) -> DataFrame:
     """Kafka sink rows ``topic, key, value, headers, batch_no, n_rows``: one Parquet
-    payload per batch, key ``parquet-batch-{batch_no}``; fails if any payload is too big."""
+    payload per batch, key ``parquet-batch-{batch_no}``. ``publish`` checks the sizes."""
     packed = pack_payloads(batch_rows, ["batch_no"], ["Index", "Position title"])
     hdr = (F.array(F.struct(F.lit("format").alias("key"), F.lit(b"parquet").cast("binary").alias("value")),
                    F.struct(F.lit("content-type").alias("key"),
@@ -92,7 +91,18 @@ def messages(batch_rows: DataFrame, topic: str, max_message_bytes: int | None =
         F.lit(topic).alias("topic"),
         F.encode(F.concat(F.lit("parquet-batch-"), F.col("batch_no").cast("string")), "UTF-8").alias("key"),
         "value", hdr.alias("headers"), "batch_no", "n_rows")
-    return check_payload_size(out, max_message_bytes)
+    return out
+
+
+def single_message(merged_rows: DataFrame, topic: str, max_message_bytes: int | None = None) -> DataFrame:
+    """The whole merged output as one message with the key ``open_positions`` (SNK-4). A message has a size cap, so one
+    task may hold it; an output whose titles alone are far over the cap is refused before any packing."""
+    cap = max_payload_bytes(max_message_bytes)
+    size = merged_rows.agg(F.sum(F.octet_length("Position title"))).first()[0] or 0
+    if size > 16 * cap:
+        raise PayloadTooLarge(f"the titles have {size} bytes, one message holds {cap}; publish batches instead")
+    out = messages(merged_rows.withColumn("batch_no", F.lit(0).cast("long")), topic)
+    return out.withColumn("key", F.encode(F.lit(V.TITLE_ONLY_KEY), "UTF-8"))
 
 
 @dataclass

@@ -180,6 +180,30 @@ def cap_body_size(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "n_bytes", "accepted")
 
 
+def rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2: the pages over the byte cap, which a run lists and counts."""
+    return PG.rejected_pages(FX.table(spark, sf_dir, "pages"), max_bytes=BODY_CAP).select("page_id", "url", "n_bytes")
+
+
+def failed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: configured sources without an accepted page: here those whose pages are all over the cap."""
+    pages = FX.table(spark, sf_dir, "pages")
+    sources = pages.select(F.col("page_id").cast("string").alias("id"), "url")
+    return SRC.sources_without_pages(PG.cap_body_size(pages, max_bytes=BODY_CAP), sources).select("id", "url")
+
+
+def publish_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4: a whole (small) run as one message, published and read back."""
+    from jobloom.sinks.kafka import publish
+
+    path = _scratch(spark, "single")
+    rows = _produce(spark, sf_dir).merged
+    publish(PR.single_message(rows, topic=FX.MESSAGE_TOPIC), sink_path=path)
+    sent = spark.read.parquet(path)
+    back = PL.unpack_payloads(sent, ["Index", "Position title"], keep=["topic", "key"])
+    return back.select(F.col("key").cast("string").alias("key"), "Index", "Position title")
+
+
 def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-6: every page URL as primary, with a merge list of repeats, blanks and its origin."""
     pages = FX.table(spark, sf_dir, "pages")
@@ -332,11 +356,9 @@ def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- reads, writes, SQL API
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from jobloom.session import checkpoint_dir
+    from jobloom.session import scratch_path
 
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,6 +448,9 @@ REGISTRY = {
     "extract_jobs": extract_jobs,
     "extract_metrics": extract_metrics,
     "cap_body_size": cap_body_size,
+    "rejected_pages": rejected_pages,
+    "failed_sources": failed_sources,
+    "publish_single": publish_single,
     "listing_urls": listing_urls,
     "attach_source": attach_source,
     "source_records": source_records,

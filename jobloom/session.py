@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,11 @@ def get_spark(app: str = "jobloom", master: str | None = None, shuffle_partition
     return spark
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` as the cluster names it.
 

@@ -10,7 +10,7 @@ part of plain PySpark).
 
 from __future__ import annotations
 
-import re
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,60 +18,55 @@ from pyspark.sql import functions as F
 MESSAGE_SCHEMA = ("key binary, value binary, topic string, partition int, offset long, "
                   "timestamp timestamp")
 EVENT_HUBS_PORT = 9093
+LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
 class BrokerConfigError(ValueError):
     """Broker settings cannot be resolved."""
 
 
-def parse_eventhub_bootstrap(connection_string: str) -> str:
-    """``Endpoint=sb://<host>/...`` -> ``<host>:9093`` (case-insensitive key, host case kept)."""
-    m = re.search(r"Endpoint=sb://([^/]+)/", connection_string or "", re.IGNORECASE)
-    if not m:
-        raise BrokerConfigError(
-            "Event Hubs connection string must contain Endpoint=sb://<namespace>.servicebus.windows.net/")
-    return f"{m.group(1)}:{EVENT_HUBS_PORT}"
+def server_list(text: str | None) -> list[str]:
+    """The servers of a comma-separated list; blanks between commas do not count."""
+    return [server for server in map(str.strip, (text or "").split(",")) if server]
 
 
-def parse_bootstrap_servers(raw: str) -> list[str]:
-    return [h.strip() for h in (raw or "").split(",") if h.strip()]
-
-
-def _jaas(user: str, password: str) -> str:
-    esc = lambda s: s.replace("\\", "\\\\").replace('"', '\\"')
-    return ('org.apache.kafka.common.security.plain.PlainLoginModule required '
-            f'username="{esc(user)}" password="{esc(password)}";')
+def connection_host(connection_string: str) -> str:
+    """Host and port of the namespace that an Event Hubs connection string (``Key=value;...``) names."""
+    fields = {k.strip().lower(): v for k, _, v in (part.partition("=") for part in connection_string.split(";"))}
+    endpoint = urlsplit(fields.get("endpoint", "").strip())
+    if endpoint.scheme != "sb" or not endpoint.netloc:
+        raise BrokerConfigError("the connection string names no Endpoint=sb://... namespace")
+    return f"{endpoint.netloc}:{EVENT_HUBS_PORT}"
 
 
 def broker_options(*, eventhub_connection_string: str | None = None, bootstrap_servers: str | None = None,
                    client_id: str = "jobloom", security_protocol: str | None = None,
                    sasl_mechanism: str | None = None, sasl_username: str | None = None,
                    sasl_password: str | None = None) -> dict[str, str]:
-    """``kafka.*`` options shared by the Kafka source and sink (SRC-8).
+    """``kafka.*`` options shared by the Kafka source and sink (SRC-8); blank settings are left out.
 
-    An Event Hubs connection string gives SASL_SSL / PLAIN with user
-    ``$ConnectionString`` and the whole string as password; ``bootstrap_servers``
-    overrides the derived host. Without it, plain Kafka with optional SASL.
+    A connection string signs in with itself as the password over TLS, whatever else is set, and names the server unless
+    ``bootstrap_servers`` does.
     """
-    conn = (eventhub_connection_string or "").strip()
-    bootstrap = (bootstrap_servers or "").strip()
-    cid = (client_id or "").strip() or "jobloom"
-    if conn:
-        servers = parse_bootstrap_servers(bootstrap or parse_eventhub_bootstrap(conn))
-        return {"kafka.bootstrap.servers": ",".join(servers), "kafka.security.protocol": "SASL_SSL",
-                "kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": _jaas("$ConnectionString", conn),
-                "kafka.client.id": cid}
-    if not bootstrap:
-        raise BrokerConfigError("Set an Event Hubs connection string or bootstrap servers")
-    opts = {"kafka.bootstrap.servers": ",".join(parse_bootstrap_servers(bootstrap)), "kafka.client.id": cid}
-    if (security_protocol or "").strip():
-        opts["kafka.security.protocol"] = security_protocol.strip()
-    if (sasl_mechanism or "").strip():
-        opts["kafka.sasl.mechanism"] = sasl_mechanism.strip()
-    user, password = (sasl_username or "").strip(), (sasl_password or "").strip()
-    if user or password:
-        opts["kafka.sasl.jaas.config"] = _jaas(user, password)
-    return opts
+    given = {name: (value or "").strip() for name, value in {
+        "connection": eventhub_connection_string, "servers": bootstrap_servers, "client": client_id,
+        "protocol": security_protocol, "mechanism": sasl_mechanism, "user": sasl_username, "password": sasl_password}.items()}
+    if given["connection"]:
+        given |= {"protocol": "SASL_SSL", "mechanism": "PLAIN", "user": "$ConnectionString", "password": given["connection"],
+                  "servers": given["servers"] or connection_host(given["connection"])}
+    servers = server_list(given["servers"])
+    if not servers:
+        raise BrokerConfigError("no broker: give bootstrap servers or an Event Hubs connection string")
+    quoted = {name: given[name].replace("\\", "\\\\").replace('"', '\\"') for name in ("user", "password")}
+    login = f'{LOGIN_MODULE} required username="{quoted["user"]}" password="{quoted["password"]}";'
+    options = {
+        "kafka.bootstrap.servers": ",".join(servers),
+        "kafka.client.id": given["client"] or "jobloom",
+        "kafka.security.protocol": given["protocol"],
+        "kafka.sasl.mechanism": given["mechanism"],
+        "kafka.sasl.jaas.config": login if given["user"] or given["password"] else "",
+    }
+    return {name: value for name, value in options.items() if value}
 
 
 def consumer_options(topic: str, *, starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,

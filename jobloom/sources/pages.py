@@ -62,6 +62,11 @@ def cap_body_size(pages: DataFrame, html: str = "html", max_bytes: int | None =
     return pages.filter(F.coalesce(F.octet_length(F.col(html)) <= cap, F.lit(True)))
 
 
+def rejected_pages(pages: DataFrame, html: str = "html", max_bytes: int | None = None) -> DataFrame:
+    """The pages over the byte cap, without their bodies (SRC-2)."""
+    return with_body_cap(pages, html, max_bytes).filter(~F.col("accepted")).drop("accepted", html)
+
+
 def land_raw_pages(pages: DataFrame, path: str, label: str | Column = "url", html: str = "html") -> None:
     """Keep a copy of the raw HTML under a storage-safe label (SNK-7); rewrites the labels
     it writes and leaves other labels in place."""

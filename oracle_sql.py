@@ -383,6 +383,11 @@ def group3() -> dict[str, str]:
     return {
         "cap_body_size": (f"SELECT page_id, CAST(strlen(html) AS INTEGER) AS n_bytes, "
                           f"coalesce(strlen(html) <= {BODY_CAP}, true) AS accepted FROM pages"),
+        "rejected_pages": f"SELECT page_id, url, CAST(strlen(html) AS INTEGER) AS n_bytes FROM pages WHERE strlen(html) > {BODY_CAP}",
+        "failed_sources": (f"SELECT CAST(page_id AS VARCHAR) AS id, url FROM pages WHERE url NOT IN "
+                           f"(SELECT url FROM pages WHERE coalesce(strlen(html) <= {BODY_CAP}, true))"),
+        "publish_single": (f"SELECT 'open_positions' AS key, rn AS \"Index\", position_title AS \"Position title\" "
+                           f"FROM ({PRODUCED})"),
         "listing_urls": listing_urls_sql(),
         "attach_source": f"SELECT page_id, origin AS source FROM ({PAGE_ORIGIN}) WHERE origin IS NOT NULL",
         "source_records": f"SELECT source, page_id, phase, pos, position_title, job_url FROM ({SOURCE_RECORDS})",
