@@ -35,16 +35,17 @@ from jobloom.functions.urls import canonical_join, is_job_href, job_slug, site_o
 # empty tag so that text on both sides stays two separate text nodes.
 HIDDEN_MARKUP = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)"
                  r"|<style\b[^>]*>.*?(?:</style\s*>|\z)")
-# An anchor runs from an opening <a ...> to the first </a> after it (later <a> starts
+# An anchor runs from an opening <a ...> to the first </a> after it, or to the end of the page (later <a> starts
 # inside are text of the same anchor). As one lazy regex that is quadratic for
 # unclosed anchors, so extraction splits on the closing tags instead: in every
-# piece before a closing tag, the anchor is the first opening tag to the end.
-ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+# piece, the anchor is the first opening tag to the end. In an opening tag a quote counts only behind "=", and
+# a quoted value may hold ">"; possessive quantifiers, and no "<" outside quotes, keep the match linear.
 ANCHOR_CLOSE = r"(?i)</a\s*>"
-ANCHOR_FROM_OPEN = r"(?is)(<a\b[^>]*>.*)$"
-ANCHOR_HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-ANCHOR_INNER = r"(?is)^<a\b[^>]*>(.*)</a\s*>$"
-OPEN_INNER = r"(?is)^<a\b[^>]*>(.*)$"
+ANCHOR_OPEN = r"""<a(?:[\s/][^<>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^<>=]*+)*+)?>"""
+ANCHOR_FROM_OPEN = "(?is)(" + ANCHOR_OPEN + ".*)$"
+ANCHOR_HREF = (r"""(?is)^<a(?:[^<>=]*?=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*?[^<>=]*?"""
+               r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+OPEN_INNER = "(?is)^" + ANCHOR_OPEN + "(.*)$"
 TAG = r"<[^>]*>"
 
 
@@ -70,8 +71,7 @@ def anchor_spans(visible_html: Column) -> Column:
     """array<string>: every anchor as its opening tag plus inner HTML (no closing tag),
     in document order; linear in the page length."""
     pieces = F.split(visible_html, ANCHOR_CLOSE, -1)
-    before_close = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    opened = F.transform(before_close, lambda p: F.regexp_extract(p, ANCHOR_FROM_OPEN, 1))
+    opened = F.transform(pieces, lambda p: F.regexp_extract(p, ANCHOR_FROM_OPEN, 1))
     return F.filter(opened, lambda a: a != "")
 
 

@@ -157,20 +157,28 @@ def origin_expr(p: str) -> str:
             f"THEN {p}scheme || '://' || lower({p}netloc) END")
 
 
+# written out for this dialect: an opening tag with quoted values, the anchor up to its end, its inner text, its href
+A_OPEN = r"""<a(?:[\s/][^<>=]*(?:=\s*(?:"[^"]*"|'[^']*')?[^<>=]*)*)?>"""
+A_WHOLE = "(?is)" + A_OPEN + r".*?(?:</a\s*>|\z)"
+A_INNER = "(?is)^" + A_OPEN + r"(.*?)(?:</a\s*>)?\z"
+A_HREF = (r"""(?is)^<a(?:[^<>=]*?=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*?[^<>=]*?"""
+          r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
 def anchors_sql(pages_sql: str, extra: str = "") -> str:
-    hr = q(EX.ANCHOR_HREF)
+    hr = q(A_HREF)
     pick = (f"CASE WHEN regexp_extract(a, {hr}, 1) <> '' THEN regexp_extract(a, {hr}, 1) "
             f"WHEN regexp_extract(a, {hr}, 2) <> '' THEN regexp_extract(a, {hr}, 2) "
             f"ELSE regexp_extract(a, {hr}, 3) END")
     href = f"CASE WHEN regexp_matches(a, {hr}) THEN {strip(pick)} END"
     text = (f"array_to_string(list_filter(list_transform(regexp_split_to_array("
-            f"regexp_extract(a, {q(EX.ANCHOR_INNER)}, 1), {q(EX.TAG)}), lambda x: {strip('x')}), "
+            f"regexp_extract(a, {q(A_INNER)}, 1), {q(EX.TAG)}), lambda x: {strip('x')}), "
             f"lambda x: x <> ''), ' ')")
     ex = f"{extra}, " if extra else ""
     return f"""(SELECT page_id, url, {ex}pos, {href} AS href, {text} AS text
       FROM (SELECT page_id, url, {ex}unnest(al) AS a, CAST(generate_subscripts(al, 1) - 1 AS INTEGER) AS pos
             FROM (SELECT page_id, url, {ex}regexp_extract_all(regexp_replace(coalesce(html, ''),
-                      {q(EX.HIDDEN_MARKUP)}, '<!>', 'g'), {q(EX.ANCHOR)}, 0) AS al FROM ({pages_sql}))))"""
+                      {q(EX.HIDDEN_MARKUP)}, '<!>', 'g'), {q(A_WHOLE)}, 0) AS al FROM ({pages_sql}))))"""
 
 
 def is_job_href_sql(href: str) -> str:

@@ -92,6 +92,26 @@ def test_nested_anchor_is_text_of_the_outer_one(spark):
                                     ("B", "https://jobs-site.example/career/b")]
 
 
+@pytest.mark.parametrize("html, found", [
+    ('<a title="a > b" href="/career/gt-role/">Great Role</a>', [("Great Role", "gt-role")]),
+    ("<a data-x='</b> href=\"/career/no\"' href=/career/yes>Yes</a>", [("Yes", "yes"), ("No", "no")]),
+    ('<a-card href="/career/card/">Card <a href="/career/real/">Real</a>', [("Real", "real"), ("Card", "card")]),
+    ('<a href="/career/first/">First</a> and <a href="/career/open/">Open <b>end', [("First", "first"), ("Open end", "open")]),
+    ('<a class=5" href="/career/inch/">Inch</a><a href="/career/two">Two</a>', [("Inch", "inch"), ("Two", "two")]),
+    ('<a>none</a><A HREF = "/career/caps">Caps</A >', [("Caps", "caps")]),
+])
+def test_opening_tags(spark, html, found):
+    assert jobs_of(spark, html) == [(t, f"{ORIGIN}/career/{s}") for t, s in found]
+
+
+def test_an_opening_tag_that_never_ends_is_cheap(spark):
+    import time
+
+    start = time.perf_counter()
+    assert jobs_of(spark, "<a x = " * 30000 + '</a><a href="/career/z">Z</a>')[-1][0] == "Z"
+    assert time.perf_counter() - start < 60
+
+
 def test_many_unclosed_anchors_stay_linear(spark):
     import time
 
