@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         # large star: every larger neighbour of u goes to the smallest around u
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = written(large, "large-star")
         # small star: u and its smaller neighbours go to the smallest of them

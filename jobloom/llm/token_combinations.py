@@ -7,9 +7,10 @@
    common shingles are frequent. At most D = floor(n / 3) shingles of the two together are not common, so among the first
    2 D + 2 of the merged sequence two common ones are neighbours; adjacent frequent shingles are indexed as
    combinations of two, in the extended prefix of 2 floor(n / 3) + 2.
-3. Documents under one key are compared with a few pivots of the key, not pair by pair; found links are joined into
-   components. Keys whose documents are in one component are done. For the rest the number of pivots grows eightfold a round until every pair
-   of different components has been compared. Every candidate is verified on the whole sets.
+3. Documents under one key are compared with one pivot of the key, not pair by pair; found links are joined into
+   components. Keys whose documents are in one component are done. For the rest the number of pivots grows 64-fold a round until every pair
+   of different components has been compared. Exact bounds (sizes, shared shingles, places in the order, and the distance of 512-bit
+   parity sketches, which is at most the symmetric difference) drop pairs inside the join. What passes is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ RARE = 8
 SCREENED = 0.4
 #: rows of 64 bits of the filter that passes over documents out of the screen; a bounded broadcast
 FILTER_WORDS = 1 << 16
+#: how many more pivots each round compares
+GROWTH = 64
+SKETCH = [f"s{i}" for i in range(8)]
 
 _LEFT = T.StructType([T.StructField(c, T.LongType()) for c in ("token", "cls", "w")])
 _VOTE = T.StructType([T.StructField("cls", T.LongType()), T.StructField("v", T.LongType())])
@@ -156,8 +160,19 @@ def _unpacked(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid))], ["token", "sid"])
 
 
+def _sketches(batches):
+    """(sid, s0..s7): for each of 512 classes of shingles whether their number is odd."""
+    for batch in batches:
+        bits = np.zeros((batch.num_rows, 512), dtype=bool)
+        for i, tokens in enumerate(batch.column(1)):
+            x = np.frombuffer(tokens.as_buffer(), dtype=np.uint64)
+            bits[i] = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
+        words = np.packbits(bits, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(words[:, k].copy()) for k in range(8))], ["sid", *SKETCH])
+
+
 def _keys(sets: DataFrame, rare: int) -> DataFrame:
-    """The index: (k1, k2, sid, n, shared, pri)."""
+    """The index: (k1, k2, sid, n, shared, place, pri)."""
     tokens = sets.select("sid", "tokens").mapInArrow(_unpacked, "token long, sid long")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     order = Window.partitionBy("sid").orderBy("df", "token")
@@ -168,7 +183,7 @@ def _keys(sets: DataFrame, rare: int) -> DataFrame:
     single = F.expr(f"df <= {rare} and place <= n div 4 + 1")
     double = F.expr(f"df > {rare} and next is not null and place + 1 <= 2 * (n div 3) + 2")
     return ranked.filter(single | double).select(
-        F.col("token").alias("k1"), F.when(double, F.col("next")).otherwise(F.lit(0)).alias("k2"), "sid", "n", "shared",
+        F.col("token").alias("k1"), F.when(double, F.col("next")).otherwise(F.lit(0)).alias("k2"), "sid", "n", "shared", "place",
         F.expr("xxhash64(sid) / 18446744073709551616.0D + 0.5D").alias("pri"))
 
 
@@ -198,30 +213,37 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _linked(sets: DataFrame, rare: int) -> DataFrame:
     """(v, label): the sets that have links, and the component of each."""
     keys, labels, links, reach = _keys(sets, rare), None, None, 1
+    sketches = sets.select("sid", "tokens").mapInArrow(_sketches, "sid long, " + ", ".join(f"{c} long" for c in SKETCH))
     while True:
-        keys = keys.withColumn("comp", F.col("sid")) if labels is None else \
-            keys.drop("comp").join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("comp", F.coalesce("label", "sid")).drop("label")
-        keys = written(keys.drop("c", "least"), "keys")
+        if labels is None:
+            keys = written(keys.withColumn("comp", F.col("sid")), "keys")
+        else:
+            keys = keys.drop("comp", "c", "least").join(labels.withColumnRenamed("v", "sid"), "sid", "left") \
+                .withColumn("comp", F.coalesce("label", "sid")).drop("label")
         busy = keys.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c"), F.min("pri").alias("least"),
                                             F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").drop("c0", "c1")
-        keys = written(keys.join(busy, ["k1", "k2"]), "busy-keys")
+        keys = keys.join(busy, ["k1", "k2"])
+        keys = written(keys.join(sketches, "sid") if labels is None else keys, "busy-keys")
         most = keys.agg(F.max("c")).first()[0]
         if not most:
             return labels
-        # pivots of this round: all under a rare key; else the first by hashed priority, then about 8, 64, ... of them
-        pivot = f"c <= {rare} or pri = least" if reach == 1 else f"c > {rare} and pri * c < {reach} and pri * c >= {reach // 8 if reach > 8 else 0}"
-        left = keys.select("k1", "k2", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"),
-                           F.col("pri").alias("pa"), F.col("comp").alias("ca"))
-        right = keys.filter(pivot).select("k1", "k2", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"),
-                                          F.col("pri").alias("pb"), F.col("comp").alias("cb"))
-        pairs = left.join(right, ["k1", "k2"]).filter(
-            "(pa > pb or (pa = pb and a > b)) and ca <> cb and 4 * na >= 3 * nb and 4 * nb >= 3 * na and 7 * least(sa, sb) >= 3 * (na + nb)")
+        # pivots of this round: all under a rare key; else the first by hashed priority, then about 64, 4096, ... of them
+        pivot = f"c <= {rare} or pri = least" if reach == 1 else f"c > {rare} and pri * c < {reach} and pri * c >= {reach // GROWTH if reach > GROWTH else 0}"
+        short = {"sid": "", "n": "n", "shared": "h", "place": "p", "pri": "r", "comp": "c"}
+        side = lambda df, x: df.select("k1", "k2", *[F.col(c).alias(x + v) for c, v in short.items()], *[F.col(c).alias(x + c) for c in SKETCH])
+        differ = " + ".join(f"bit_count(a{c} ^ b{c})" for c in SKETCH)
+        pairs = side(keys, "a").join(side(keys.filter(pivot), "b"), ["k1", "k2"]).filter(
+            "(ar > br or (ar = br and a > b)) and ac <> bc and 4 * an >= 3 * bn and 4 * bn >= 3 * an and 7 * least(ah, bh) >= 3 * (an + bn) "
+            f"and 7 * (least(ap - 1, bp - 1) + least(an - ap + 1, bn - bp + 1)) >= 3 * (an + bn) and 7 * ({differ}) <= an + bn")
         found = _verified(written(pairs.select("a", "b").distinct(), "pairs"), sets)
-        links = found if links is None else links.union(found)
-        labels = written(components(links), "labels")
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = written(components(links), "labels")
+        elif labels is None:
+            labels = written(sets.select(F.col("sid").alias("v"), F.col("sid").alias("label")).filter("false"), "labels")
         if max(reach, rare) >= most:
             return labels
-        reach *= 8
+        reach *= GROWTH
 
 
 def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
@@ -241,7 +263,7 @@ def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     sets = written(sets, "sets")
     labels = _linked(sets, rare)
     if labels is None:
-        labels = sets.select(F.col("sid").alias("v"), F.col("sid").alias("label")).limit(0)
+        labels = sets.select(F.col("sid").alias("v"), F.col("sid").alias("label")).filter("false")
     classes = shingled.filter("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("own"))
     named = sets.select("c1", "c2", "sid").join(labels.withColumnRenamed("v", "sid"), "sid").select("c1", "c2", "label")
     classes = written(classes.join(named, ["c1", "c2"], "left"), "classes")
