@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table, written
+from .shingles import slices
 from .tokenizing import Encoder, vocabulary
 
 CAPACITY = 2048
 GRAIN = 8
 END = 1
+#: bytes of text encoded at a time
+ENCODED = 1 << 22
 
 
 # ---------------------------------------------------------------- the linear program (driver, bounded)
@@ -140,31 +143,33 @@ def _pieces(path: str, capacity: int, grain: int):
         encoder = Encoder.of(path)
         task = TaskContext.get().partitionId()
         ranks = np.zeros(capacity // grain + 1, dtype=np.int64)
-        for batch in batches:
-            ids, bounds = encoder.encode(batch.column(1))
-            own = bounds[1:] - bounds[:-1] + 1  # with the id that ends a document
-            n = (own + capacity - 1) // capacity
-            doc = np.repeat(np.arange(len(own)), n)
-            start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * capacity
-            length = np.minimum(own[doc] - start, capacity)
-            end = np.uint32(END).tobytes()
-            crc = np.empty(len(doc), dtype=np.int64)
-            for i, (d, s, size) in enumerate(zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)):
-                last = s + size == own[d]
-                a = int(bounds[d]) + s
-                value = zlib.crc32(ids[a:a + size - last])
-                crc[i] = zlib.crc32(end, value) if last else value
-            size_class = (length + grain - 1) // grain
-            order = np.argsort(size_class, kind="stable")
-            sorted_class = size_class[order]
-            first = np.searchsorted(sorted_class, sorted_class)
-            rank = np.empty(len(doc), dtype=np.int64)
-            rank[order] = np.arange(len(doc)) - first + ranks[sorted_class]
-            ranks += np.bincount(size_class, minlength=len(ranks))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc), pa.array(own[doc]),
-                 pa.array(np.full(len(doc), task)), pa.array(size_class), pa.array(rank)],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "size_class", "rank"])
+        for whole in batches:
+            for a, b in slices(whole.column(1), ENCODED):
+                batch = whole.slice(a, b - a)
+                ids, bounds = encoder.encode(batch.column(1))
+                own = bounds[1:] - bounds[:-1] + 1  # with the id that ends a document
+                n = (own + capacity - 1) // capacity
+                doc = np.repeat(np.arange(len(own)), n)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * capacity
+                length = np.minimum(own[doc] - start, capacity)
+                end = np.uint32(END).tobytes()
+                crc = np.empty(len(doc), dtype=np.int64)
+                for i, (d, s, size) in enumerate(zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)):
+                    last = s + size == own[d]
+                    at = int(bounds[d]) + s
+                    value = zlib.crc32(ids[at:at + size - last])
+                    crc[i] = zlib.crc32(end, value) if last else value
+                size_class = (length + grain - 1) // grain
+                order = np.argsort(size_class, kind="stable")
+                sorted_class = size_class[order]
+                first = np.searchsorted(sorted_class, sorted_class)
+                rank = np.empty(len(doc), dtype=np.int64)
+                rank[order] = np.arange(len(doc)) - first + ranks[sorted_class]
+                ranks += np.bincount(size_class, minlength=len(ranks))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc), pa.array(own[doc]),
+                     pa.array(np.full(len(doc), task)), pa.array(size_class), pa.array(rank)],
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "size_class", "rank"])
     return run
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from jobloom.operators.joins import join_small
 
-from .common import running_totals, table, written
+from .common import WORD, running_totals, table, written
 from .words import count_words, first_words
 
 WEIGHTS = (1, 2, 3)
@@ -98,20 +98,25 @@ def mixed_sizes(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int =
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """The mixed documents, with the columns of ``docs``: a document comes once for each pass that takes it
-    whole, and once more with its first words only if its source's budget ends inside it (its ``n_chars``,
+    whole (one without words may come once more), and once more with its first words only if its source's budget ends inside it (its ``n_chars``,
     if there is such a column, is then that of the shorter text). Extra columns stay as they are."""
     sized = written(docs.select("doc_id", *_source(), count_words("text").alias("size")), "sizes")
     plan = mix_plan(sized, weights, most, seed)
     own = [F.col(f"`{c}`") for c in docs.columns]
-    # everything the mix adds travels in one struct whose name no column of the input has
+    # all columns of a document travel in one struct, so that none can clash with what the mix adds
     mark = "mix_" + "_" * max(len(c) for c in docs.columns)
-    work = docs.select(F.struct(*own).alias("row"), "doc_id", *_source(), count_words("text").alias("size"))
-    last, passes = _taken(seed)
-    work = join_small(work, plan, SOURCE).select("row", "size", passes.cast("int").alias("passes"), last.alias("last"))
-    copies = F.concat(F.array_repeat("size", F.col("passes")),
-                      F.when(F.col("last") > 0, F.array("last")).otherwise(F.array().cast("array<long>")))
-    work = work.select("row", "size", F.explode(copies).alias(mark))
-    is_cut = F.col(mark) < F.col("size")
+    work = join_small(docs.select(F.struct(*own).alias("row"), "doc_id", *_source()), plan, SOURCE).withColumn("key", _key(seed))
+    # only rows with the key of the cut need their words counted; 0 stands for a whole copy
+    size = F.when(F.col("key") == F.col("cut.key"), F.size(F.regexp_extract_all(
+        F.coalesce("row.text", F.lit("")), F.lit(WORD), F.lit(0)))).otherwise(F.lit(0)).cast("long")
+    work = work.withColumn("size", size)
+    place = F.struct("key", "doc_id", "size")
+    whole, none = F.array(F.lit(0).cast("long")), F.array().cast("array<long>")
+    last = F.when((place < F.col("cut")) | ((place == F.col("cut")) & (F.col("cut_words") >= F.col("size"))), whole) \
+        .when((place == F.col("cut")) & (F.col("cut_words") > 0), F.array(F.col("cut_words").cast("long"))).otherwise(none)
+    copies = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("passes").cast("int")), last)
+    work = work.select("row", F.explode(copies).alias(mark))
+    is_cut = F.col(mark) > 0
     work = work.select("row", first_words(F.when(is_cut, F.col("row.text")), F.when(is_cut, F.col(mark))).alias(mark))
     out = []
     for field in docs.schema.fields:

@@ -5,10 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .words import text_bytes, word_spans
+from .words import STEP, slices, text_bytes, word_spans  # noqa: F401
 
-#: bytes hashed at a time
-STEP = 1 << 21
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -68,13 +66,3 @@ def set_digest(tokens: np.ndarray) -> tuple[int, int]:
     a = tokens.sum(dtype=np.uint64)
     b = np.bitwise_xor.reduce(mixed(tokens + _STEP)) if len(tokens) else np.uint64(0)
     return int(np.array(a, np.uint64).view(np.int64)), int(np.array(b, np.uint64).view(np.int64))
-
-
-def slices(texts: pa.Array, step: int = STEP):
-    """Row ranges of about ``step`` bytes of text."""
-    _, offsets = text_bytes(texts)
-    a = 0
-    while a < len(texts):
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + step, side="right")) - 1)
-        yield a, b
-        a = b

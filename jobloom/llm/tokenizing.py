@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: distinct pieces whose ids a worker process remembers
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: fixed value: how the byte-level pre-tokenizer splits text
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LOOSE = r"[\x09-\x0D\x20\x{85}\p{Z}] | [\x09-\x0D\x20\x{85}\p{Z}]|^ | $"
@@ -29,9 +29,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark uses all cores already
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None
         self.ranked, self.special = _ranked(path)
         self.known, self.ids, self.ends = pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64)
 
@@ -48,6 +46,10 @@ class Encoder:
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         if self.ranked is None or self.special and any(self.special.search(t) for t in texts):
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_file(self.path)
             return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return [np.array(self.ranked[0].encode_ordinary(t), dtype="<u4") for t in texts]
 

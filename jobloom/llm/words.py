@@ -6,12 +6,16 @@ occur inside a multi-byte character, so words by bytes and words by code points
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+#: bytes of text worked on at a time
+STEP = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -44,16 +48,35 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between batches and stages, beside a JVM that needs it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc
+        trim(0)
+
+
+def slices(texts: pa.Array, step: int = STEP):
+    """Row ranges of about ``step`` bytes of text."""
+    _, offsets = text_bytes(texts)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + step, side="right")) - 1)
+        yield a, b
+        a = b
+    give_back()
+
+
 @arrow_udf(T.LongType())
 def count_words(texts: pa.Array) -> pa.Array:
-    _, _, first = word_spans(*text_bytes(texts))
-    return pa.array(np.diff(first))
+    counts = [np.diff(word_spans(*text_bytes(texts.slice(a, b - a)))[2]) for a, b in slices(texts)]
+    return pa.array(np.concatenate(counts) if counts else np.empty(0, np.int64))
 
 
 @arrow_udf(T.StringType())
 def first_words(texts: pa.Array, n: pa.Array) -> pa.Array:
     """The text up to the end of its n-th word; null for null."""
-    flat, offsets = text_bytes(texts)
+    flat, offsets = text_bytes(texts)  # only texts to be cut are not null
     _, ends, first = word_spans(flat, offsets)
     out = []
     for r, (valid, k) in enumerate(zip(texts.is_valid().to_pylist(), n.to_pylist(), strict=True)):
