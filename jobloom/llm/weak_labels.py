@@ -24,7 +24,8 @@ from .common import table, written
 from .shingles import _BYTE, _STEP, mixed, slices, word_hashes
 from .words import text_bytes
 
-#: the fit sees at most about this many labelled rows, chosen by a hash of their id
+#: label model and classifier see at most about this many labelled rows: up to half of either class, and what one class leaves of the
+#: other, chosen by a hash of their id and weighted by their class's share of all. The terms come from all labelled rows.
 SAMPLE_ROWS = 8000
 #: terms of the classifier, and how many voters they are dealt to
 TERMS = 1024
@@ -127,14 +128,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -700, 700)))
 
 
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50,
+                counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of the latent label, vote rates (2, voters), correlations of the voters given the label.
 
     ``start`` is the known label of each row; it gives the correlations and half of the weight in each estimate of the rates, which keeps the latent
     label the one that is meant. Correlated voters share their weight: a voter's evidence is divided by the root of one plus
-    its correlations with the others, as far as they exceed what chance explains.
+    its correlations with the others, as far as they exceed what chance explains. ``counts`` says for how many rows each stands, the
+    same for all rows of a known label, so that it does not matter to the correlations.
     """
     votes, start = votes.astype(float), start.astype(float)
+    counts = np.ones(len(start)) if counts is None else counts
     together, posterior = np.zeros((votes.shape[1],) * 2), start
     for weight in (start, 1 - start):
         apart = votes - (weight @ votes + 0.5) / (weight.sum() + 1)
@@ -146,8 +150,8 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple
     share = 1 / np.sqrt(1 + np.maximum(together, 0).sum(axis=1))
     for _ in range(rounds):
         belief = (start + posterior) / 2
-        toxic, clean = ((w @ votes + 0.5) / (w.sum() + 1) for w in (belief, 1 - belief))
-        odds = np.log((belief.sum() + 1) / ((1 - belief).sum() + 1))
+        toxic, clean = ((w @ votes + 0.5) / (w.sum() + 1) for w in (counts * belief, counts * (1 - belief)))
+        odds = np.log((counts @ belief + 1) / (counts @ (1 - belief) + 1))
         odds = odds + votes @ (share * np.log(toxic / clean)) + (1 - votes) @ (share * np.log((1 - toxic) / (1 - clean)))
         new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
         done, posterior = np.abs(new - posterior).max() < 1e-4, new
@@ -156,10 +160,10 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 50) -> tuple
     return posterior, np.stack([toxic, clean]), together
 
 
-def _fit_linear(row: np.ndarray, term: np.ndarray, strength: np.ndarray, n: int, terms: int, target: np.ndarray, penalty: float = 1e-4,
-                steps: int = 1500):
-    """Logistic regression on soft labels by accelerated gradient steps; both classes weigh the same."""
-    weight = np.where(target >= 0.5, 0.5 / max(target.sum(), 1), 0.5 / max((1 - target).sum(), 1))
+def _fit_linear(row: np.ndarray, term: np.ndarray, strength: np.ndarray, n: int, terms: int, target: np.ndarray, counts: np.ndarray,
+                penalty: float = 1e-4, steps: int = 1500):
+    """Logistic regression on soft labels by accelerated gradient steps; both classes weigh the same. A row stands for ``counts`` rows."""
+    weight = counts * np.where(target >= 0.5, 0.5 / max(counts @ target, 1), 0.5 / max(counts @ (1 - target), 1))
     w, b, back_w, back_b = np.zeros(terms), 0.0, np.zeros(terms), 0.0
     most = np.bincount(row, weights=strength ** 2, minlength=n).max(initial=0) + 1
     rate = 4.0 / most
@@ -173,27 +177,34 @@ def _fit_linear(row: np.ndarray, term: np.ndarray, strength: np.ndarray, n: int,
     return w, b
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(text, toxic): labelled rows of the training folds, about ``rows`` of them, chosen by a hash of their id."""
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): the labels of the training folds."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")) \
         .filter(~held_out(F.col("doc_id")))
-    known = written(known, "labels")
-    share = min(1.0, rows / max(known.count(), 1))
-    chosen = lambda c: F.xxhash64(c) / F.lit(2.0 ** 64) + 0.5 < share
-    picked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(chosen("doc_id"))
-    return written(picked.join(known.filter(chosen("doc_id")), "doc_id").select("text", "toxic"), "training-rows")
+    return written(known, "labels")
+
+
+def sample_sizes(toxic: int, clean: int, rows: int) -> tuple[int, int]:
+    """How many rows of either class the sample has: half of ``rows`` each, and what one class leaves for the other."""
+    return min(toxic, max(rows // 2, rows - clean)), min(clean, max(rows // 2, rows - toxic))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int = TERMS, voters: int = VOTERS) -> Model:
     """The model. Without labelled rows of both classes it has no terms and scores every text 0."""
-    sample = training_rows(docs, labels, rows)
-    counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    known = known_labels(labels)
+    texts = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counts = {r["toxic"]: r["count"] for r in texts.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
     toxic, clean = counts.get(True, 0), counts.get(False, 0)
     nothing = Model(np.empty(0, np.uint64), np.empty(0), -1e3, np.empty((2, 0)), np.empty((0, 0)))
     if not toxic or not clean:
         return nothing
-    found = sample.mapInArrow(_document_counts, "term long, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    share = [n / m for n, m in zip(sample_sizes(toxic, clean, rows), (toxic, clean), strict=True)]
+    place = F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5
+    chosen = known.filter(place < F.when(F.col("toxic"), share[0]).otherwise(share[1]))
+    # the sample's ids are about ``rows`` at any size; all labels are not bounded, so that join is dealt at every size alike
+    sample = written(texts.filter(place < max(share)).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "training-rows")
+    found = texts.join(known.hint("merge"), "doc_id").select("text", "toxic").mapInArrow(_document_counts, "term long, toxic long, clean long") \
+        .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     expected = f"(a + b) * {toxic / (toxic + clean)}D"
     part = lambda x, e: f"{x} * ln(greatest({x}, 1e-9D) / greatest({e}, 1e-9D))"
     found = found.filter(f"a >= {LEAST_TEXTS} and (a + 0.5D) / {toxic + 1} >= {LEAST_LIFT} * (b + 0.5D) / {clean + 1}").withColumn(
@@ -227,8 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     told = np.zeros((len(seen), voters))
     np.add.at(told, (row, voter[term]), strength)
     matrix = np.concatenate([told >= LEAST_STRENGTH, np.array([r["patterns"] for r in seen]).reshape(-1, patterns)], axis=1)
-    posterior, model.accuracies, model.correlations = label_model(matrix, np.array([r["toxic"] for r in seen]))
-    model.weights, model.bias = _fit_linear(row, term, strength, len(seen), len(names), posterior)
+    start = np.array([r["toxic"] for r in seen], dtype=bool)
+    each = np.where(start, toxic / max(start.sum(), 1), clean / max((~start).sum(), 1))
+    posterior, model.accuracies, model.correlations = label_model(matrix, start, counts=each)
+    model.weights, model.bias = _fit_linear(row, term, strength, len(seen), len(names), posterior, each)
     return model
 
 
