@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import block_naming, conversation_repair, credentials, cutting_stock, gear_chunks, mixing, one_permutation, periodic_runs, token_combinations, url_automaton, warc, weak_labels
+from . import bbit_minhash, block_naming, conversation_repair, credentials, cutting_stock, gear_chunks, mixing, one_permutation, periodic_runs, token_combinations, url_automaton, warc, weak_labels
 
 REGISTRY = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ REGISTRY = {
     "op8_cutting_stock": cutting_stock.op8_cutting_stock,
     "op9_token_combinations": token_combinations.op9_token_combinations,
     "op10_mixing": mixing.op10_mixing,
+    "op11_bbit_minhash": bbit_minhash.op11_bbit_minhash,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }

@@ -20,6 +20,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _places(n: int) -> np.ndarray:
+    """An odd factor for each place of a word. They follow no power law: words that cancel under powers modulo 2^64 do not here."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
+
+
 def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word with A-Z lower-cased. Words are hashed in steps of bounded memory."""
     out = np.empty(len(starts), dtype=np.uint64)
@@ -32,8 +37,7 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
         data = flat[np.repeat(starts[a:b], length) + place]
         data = np.where((data >= 65) & (data <= 90), data + 32, data)
-        power = np.cumprod(np.full(int(length.max()), _STEP, dtype=np.uint64))
-        out[a:b] = np.add.reduceat(_BYTE[data] * power[place], np.cumsum(length) - length)
+        out[a:b] = np.add.reduceat(_BYTE[data] * _places(int(length.max()))[place], np.cumsum(length) - length)
         a = b
     return mixed(out + size.astype(np.uint64) * _STEP)
 

@@ -7,10 +7,11 @@
    common shingles are frequent. At most D = floor(n / 3) shingles of the two together are not common, so among the first
    2 D + 2 of the merged sequence two common ones are neighbours; adjacent frequent shingles are indexed as
    combinations of two, in the extended prefix of 2 floor(n / 3) + 2.
-3. Documents under one key are compared with one pivot of the key, not pair by pair; found links are joined into
-   components. Keys whose documents are in one component are done. For the rest the number of pivots grows 64-fold a round until every pair
-   of different components has been compared. Exact bounds (sizes, shared shingles, places in the order, and the distance of 512-bit
+3. Documents under one key are compared with one pivot of the key, not pair by pair, and then as ``set_links`` says until every pair of
+   different components under a key has been compared. Exact bounds (sizes, shared shingles, places in the order, and the distance of 512-bit
    parity sketches, which is at most the symmetric difference) drop pairs inside the join. What passes is verified on the whole sets.
+
+Sets are compared as sets of 64-bit hashes. Two different shingles of the documents compared share a hash with a probability of about 2^-63.
 """
 
 from __future__ import annotations
@@ -20,21 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 
 from .common import table, written
-from .components import components
+from .set_links import filter_bits, linked, named_rows, pivoted, priority, similar, token_sets
 from .shingles import set_digest, shingle_sets, slices
 
 #: shingles in at most this many documents are indexed singly
 RARE = 8
 #: share of the hash space that the screen counts
 SCREENED = 0.4
-#: rows of 64 bits of the filter that passes over documents out of the screen; a bounded broadcast
-FILTER_WORDS = 1 << 16
-#: how many more pivots each round compares
-GROWTH = 64
 SKETCH = [f"s{i}" for i in range(8)]
+#: what links under a key keep: sizes, and enough shared shingles before and after the places of the key
+BOUND = ("4 * {a}n >= 3 * {b}n and 4 * {b}n >= 3 * {a}n and 7 * least({a}shared, {b}shared) >= 3 * ({a}n + {b}n) "
+         "and 7 * (least({a}place - 1, {b}place - 1) + least({a}n - {a}place + 1, {b}n - {b}place + 1)) >= 3 * ({a}n + {b}n)")
+#: what all links keep: the parities differ in no more classes than the sets differ in shingles
+NEAR = "7 * (" + " + ".join(f"bit_count({{a}}{c} ^ {{b}}{c})" for c in SKETCH) + ") <= {a}n + {b}n"
 
 _LEFT = T.StructType([T.StructField(c, T.LongType()) for c in ("token", "cls", "w")])
 _VOTE = T.StructType([T.StructField("cls", T.LongType()), T.StructField("v", T.LongType())])
@@ -115,135 +116,43 @@ def _votes(batches):
 
 
 def _screen(texts: DataFrame) -> DataFrame:
-    """(cls): digests of the sets that may have a partner. Copies of a set vote alike, so the sign of the sum is that of one."""
+    """(c1): digests of the sets that may have a partner. Copies of a set vote alike, so the sign of the sum is that of one."""
     rows = texts.mapInArrow(_screen_rows, _LEFT).repartition("token").sortWithinPartitions("token")
-    return written(rows.mapInArrow(_votes, _VOTE).groupBy("cls").agg(F.sum("v").alias("v")).filter("v >= 0").select("cls"), "screened")
-
-
-def _sets(texts: DataFrame, screened: DataFrame) -> DataFrame:
-    """(doc_id, c1, c2, n, tokens): one row per document; tokens (packed) once a task for each set that may be in the screen."""
-    words = screened.groupBy(F.shiftrightunsigned("cls", 48).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(cls & 63 as int)))").alias("bits"))
-    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
-    for row in words.collect():  # FILTER_WORDS rows at most
-        bits[row["word"]] = row["bits"]
-    bits = bits.view(np.uint64)
-
-    def run(batches):
-        sent = set()
-        for batch in batches:
-            for a, b in slices(batch.column(1)):
-                found = shingle_sets(batch.column(1).slice(a, b - a))
-                c1, c2, packed = [], [], []
-                for s in found:
-                    digest = set_digest(s)
-                    u = digest[0] & (1 << 64) - 1
-                    hit = len(s) and digest not in sent and int(bits[u >> 48]) >> (u & 63) & 1
-                    if hit:
-                        sent.add(digest)
-                    c1.append(digest[0])
-                    c2.append(digest[1])
-                    packed.append(s.tobytes() if hit else None)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
-                     pa.array([len(s) for s in found], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "c1", "c2", "n", "tokens"])
-
-    schema = T.StructType([T.StructField("doc_id", texts.schema["doc_id"].dataType)] + [
-        T.StructField(c, T.LongType()) for c in ("c1", "c2", "n")] + [T.StructField("tokens", T.BinaryType())])
-    return written(texts.select("doc_id", "text").mapInArrow(run, schema), "shingle-sets")
+    return written(rows.mapInArrow(_votes, _VOTE).groupBy("cls").agg(F.sum("v").alias("v")).filter("v >= 0").select(F.col("cls").alias("c1")), "screened")
 
 
 def _unpacked(batches):
+    """(token, sid, n): the shingles of sets (sid, n, tokens)."""
     for batch in batches:
-        for sid, tokens in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for sid, n, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             x = np.frombuffer(tokens.as_buffer(), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid))], ["token", "sid"])
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid)), pa.array(np.full(len(x), n))], ["token", "sid", "n"])
 
 
-def _sketches(batches):
-    """(sid, s0..s7): for each of 512 classes of shingles whether their number is odd."""
+def _sketched(batches):
+    """Sets (..., tokens) with s0..s7: for each of 512 classes of shingles whether their number is odd."""
     for batch in batches:
         bits = np.zeros((batch.num_rows, 512), dtype=bool)
-        for i, tokens in enumerate(batch.column(1)):
+        for i, tokens in enumerate(batch.column(batch.num_columns - 1)):
             x = np.frombuffer(tokens.as_buffer(), dtype=np.uint64)
             bits[i] = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
         words = np.packbits(bits, axis=1).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(words[:, k].copy()) for k in range(8))], ["sid", *SKETCH])
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(words[:, k].copy()) for k in range(8))], [*batch.schema.names, *SKETCH])
 
 
 def _keys(sets: DataFrame, rare: int) -> DataFrame:
-    """The index: (k1, k2, sid, n, shared, place, pri)."""
-    tokens = sets.select("sid", "tokens").mapInArrow(_unpacked, "token long, sid long")
+    """The index: (key, sid, pri, n, shared, place)."""
+    tokens = sets.select("sid", "n", "tokens").mapInArrow(_unpacked, "token long, sid long, n long")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     order = Window.partitionBy("sid").orderBy("df", "token")
     ranked = tokens.join(counts, "token").select(
-        "sid", "token", "df", F.row_number().over(order).alias("rank"), F.lead("token").over(order).alias("next"),
+        "sid", "n", "token", "df", F.row_number().over(order).alias("rank"), F.lead("token").over(order).alias("next"),
         F.count(F.lit(1)).over(Window.partitionBy("sid")).alias("shared"))
-    ranked = ranked.join(sets.select("sid", "n"), "sid").filter("4 * shared >= 3 * n").withColumn("place", F.expr("n - shared + rank"))
+    ranked = ranked.filter("4 * shared >= 3 * n").withColumn("place", F.expr("n - shared + rank"))
     single = F.expr(f"df <= {rare} and place <= n div 4 + 1")
     double = F.expr(f"df > {rare} and next is not null and place + 1 <= 2 * (n div 3) + 2")
     return ranked.filter(single | double).select(
-        F.col("token").alias("k1"), F.when(double, F.col("next")).otherwise(F.lit(0)).alias("k2"), "sid", "n", "shared", "place",
-        F.expr("xxhash64(sid) / 18446744073709551616.0D + 0.5D").alias("pri"))
-
-
-@arrow_udf(T.BooleanType())
-def _similar(x: pa.Array, y: pa.Array) -> pa.Array:
-    out, last, right = [], None, None
-    for p, q in zip(x, y, strict=True):
-        q = q.as_buffer()
-        if last is None or not q.equals(last):
-            last, right = q, np.frombuffer(q, dtype=np.uint64)
-        left = np.frombuffer(p.as_buffer(), dtype=np.uint64)
-        if not len(left) or not len(right):
-            out.append(False)
-            continue
-        at = np.searchsorted(right, left)
-        both = int((right[np.minimum(at, len(right) - 1)] == left).sum())
-        out.append(100 * both >= 75 * (len(left) + len(right) - both))
-    return pa.array(out, pa.bool_())
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    x = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("ta"))
-    y = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("tb"))
-    return written(pairs.join(x, "a").join(y, "b").filter(_similar("ta", "tb")).select("a", "b"), "links")
-
-
-def _linked(sets: DataFrame, rare: int) -> DataFrame:
-    """(v, label): the sets that have links, and the component of each."""
-    keys, labels, links, reach = _keys(sets, rare), None, None, 1
-    sketches = sets.select("sid", "tokens").mapInArrow(_sketches, "sid long, " + ", ".join(f"{c} long" for c in SKETCH))
-    while True:
-        if labels is None:
-            keys = written(keys.withColumn("comp", F.col("sid")), "keys")
-        else:
-            keys = keys.drop("comp", "c", "least").join(labels.withColumnRenamed("v", "sid"), "sid", "left") \
-                .withColumn("comp", F.coalesce("label", "sid")).drop("label")
-        busy = keys.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("c"), F.min("pri").alias("least"),
-                                            F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").drop("c0", "c1")
-        keys = keys.join(busy, ["k1", "k2"])
-        keys = written(keys.join(sketches, "sid") if labels is None else keys, "busy-keys")
-        most = keys.agg(F.max("c")).first()[0]
-        if not most:
-            return labels
-        # pivots of this round: all under a rare key; else the first by hashed priority, then about 64, 4096, ... of them
-        pivot = f"c <= {rare} or pri = least" if reach == 1 else f"c > {rare} and pri * c < {reach} and pri * c >= {reach // GROWTH if reach > GROWTH else 0}"
-        short = {"sid": "", "n": "n", "shared": "h", "place": "p", "pri": "r", "comp": "c"}
-        side = lambda df, x: df.select("k1", "k2", *[F.col(c).alias(x + v) for c, v in short.items()], *[F.col(c).alias(x + c) for c in SKETCH])
-        differ = " + ".join(f"bit_count(a{c} ^ b{c})" for c in SKETCH)
-        pairs = side(keys, "a").join(side(keys.filter(pivot), "b"), ["k1", "k2"]).filter(
-            "(ar > br or (ar = br and a > b)) and ac <> bc and 4 * an >= 3 * bn and 4 * bn >= 3 * an and 7 * least(ah, bh) >= 3 * (an + bn) "
-            f"and 7 * (least(ap - 1, bp - 1) + least(an - ap + 1, bn - bp + 1)) >= 3 * (an + bn) and 7 * ({differ}) <= an + bn")
-        found = _verified(written(pairs.select("a", "b").distinct(), "pairs"), sets)
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = written(components(links), "labels")
-        elif labels is None:
-            labels = written(sets.select(F.col("sid").alias("v"), F.col("sid").alias("label")).filter("false"), "labels")
-        if max(reach, rare) >= most:
-            return labels
-        reach *= GROWTH
+        F.when(double, F.xxhash64("token", "next")).otherwise(F.col("token")).alias("key"), "sid", priority().alias("pri"), "n", "shared", "place")
 
 
 def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
@@ -257,21 +166,13 @@ def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     """
     texts = docs.select("doc_id", "text")
     screened = _screen(texts.select("text"))
-    shingled = _sets(texts, screened)
-    sets = shingled.filter("tokens is not null").join(screened.withColumnRenamed("cls", "c1"), "c1", "left_semi") \
+    shingled = token_sets(texts, filter_bits(screened), 5, "shingle-sets")
+    sets = shingled.filter("tokens is not null").join(screened, "c1", "left_semi") \
         .dropDuplicates(["c1", "c2"]).select(F.monotonically_increasing_id().alias("sid"), "c1", "c2", "n", "tokens")
-    sets = written(sets, "sets")
-    labels = _linked(sets, rare)
-    if labels is None:
-        labels = sets.select(F.col("sid").alias("v"), F.col("sid").alias("label")).filter("false")
-    classes = shingled.filter("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("own"))
-    named = sets.select("c1", "c2", "sid").join(labels.withColumnRenamed("v", "sid"), "sid").select("c1", "c2", "label")
-    classes = written(classes.join(named, ["c1", "c2"], "left"), "classes")
-    joined = classes.filter("label is not null").groupBy("label").agg(F.min("own").alias("group"))
-    ids = classes.join(joined, "label", "left").select("c1", "c2", F.coalesce("group", "own").alias("component_id"))
-    rows = shingled.select("doc_id", F.col("n").alias("n_shingles"), "c1", "c2")
-    out = rows.filter("n_shingles > 0").join(ids, ["c1", "c2"]).select("doc_id", "n_shingles", "component_id")
-    return out.union(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    sketched = T.StructType([*sets.schema.fields, *(T.StructField(c, T.LongType()) for c in SKETCH)])
+    sets = written(sets.mapInArrow(_sketched, sketched), "sets")
+    labels = linked(pivoted(_keys(sets, rare), "keys"), sets.select("sid", "n", "tokens", *SKETCH), BOUND, NEAR, similar(75), SKETCH)
+    return named_rows(shingled, sets, labels)
 
 
 def op9_token_combinations(spark, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def shingles(text: str | None, width: int = 5, lower: bool = True) -> frozenset:
     return frozenset([tuple(w)]) if w else frozenset()
 
 
-def components(sets: list[tuple[int | None, frozenset]]) -> list:
+def components(sets: list[tuple[int | None, frozenset]], percent: int = 75) -> list:
     """Smallest id reachable for each row, by all pairs."""
     group = list(range(len(sets)))
 
@@ -53,7 +53,7 @@ def components(sets: list[tuple[int | None, frozenset]]) -> list:
 
     for i, (_, a) in enumerate(sets):
         for j, (_, b) in enumerate(sets[:i]):
-            if a and b and root(i) != root(j) and 4 * min(len(a), len(b)) >= 3 * max(len(a), len(b)) and 100 * len(a & b) >= 75 * len(a | b):
+            if a and b and root(i) != root(j) and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
                 group[root(i)] = root(j)
     ids: dict[int, list] = {}
     for i, (d, _) in enumerate(sets):

@@ -5,9 +5,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from jobloom.llm import block_naming, gear_chunks, one_permutation, token_combinations
+from jobloom.llm import bbit_minhash, block_naming, gear_chunks, one_permutation, set_links, token_combinations
 from jobloom.llm.components import components as cc
 
 from .messy import ASCII_LOWER, PASSAGE, ROWS, components, documents, shingles
@@ -80,11 +81,96 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert {r["component_id"] for r in got} == {0} and len(got) == 300
 
 
+def _shared_opening(n=260):
+    """Documents that share an opening, in pairs that link: under its frequent shingles meet many of different components."""
+    rng = random.Random(11)
+    opening = [f"open{i}" for i in range(60)]
+    rows = []
+    for d in range(n):
+        own = [f"d{d // 2}w{i}" for i in range(50)]
+        if d % 2:
+            own[rng.randrange(50)] = "edited"
+        rows.append((d, " ".join(opening + own), "en", "s"))
+    return rows
+
+
+def test_many_unlinked_documents_under_one_key(spark, monkeypatch):
+    rows = _shared_opening()
+    sets = [(d, shingles(t)) for d, t, *_ in rows]
+    want = components(sets)
+    assert len(set(want)) == 130
+    for growth, salted in ((4096, 1024), (3, 7)):
+        monkeypatch.setattr(set_links, "GROWTH", growth)
+        monkeypatch.setattr(set_links, "SALTED", salted)
+        got = {r["doc_id"]: r["component_id"] for r in token_combinations.jaccard_components(documents(spark, rows)).collect()}
+        assert [got[d] for d, *_ in rows] == want
+
+
+def test_words_that_cancel_under_powers_do_not_link(spark):
+    rows = []
+    for k, size in enumerate((1024, 2048, 4096, 8192)):
+        bits = [bin(i).count("1") & 1 for i in range(size)]  # Thue-Morse
+        rows += [(2 * k, "".join("ab"[x] for x in bits), "en", "s"), (2 * k + 1, "".join("ba"[x] for x in bits), "en", "s")]
+    for op in (token_combinations.jaccard_components, bbit_minhash.near_duplicates):
+        assert all(r["component_id"] == r["doc_id"] for r in op(documents(spark, rows)).collect())
+
+
+def test_pivots_of_sorted_postings():
+    rng = random.Random(2)
+    rows = sorted((rng.randrange(40), rng.random(), i) for i in range(120))
+    for size in (1, 2, 7, 200):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in x], pa.int64()), pa.array([r[2] for r in x], pa.int64()), pa.array([r[1] for r in x]),
+                                               pa.array([r[2] * 10 for r in x], pa.int64())], ["key", "sid", "pri", "n"])
+                   for x in (rows[i:i + size] for i in range(0, len(rows), size))]
+        got = [tuple(r.values()) for b in set_links._pivot_rows(iter(batches)) for r in b.to_pylist()]
+        head = {}
+        for k, p, i in rows:
+            head.setdefault(k, i)
+        count = Counter(r[0] for r in rows)
+        want = [(k, i, p, i * 10, head[k], head[k] * 10) for k, p, i in rows if count[k] > 1 or k in (rows[0][0], rows[-1][0])]
+        assert got == want
+
+
+def test_bbit_components(spark):
+    rows = ROWS + _variants() + _shared_opening(60)
+    rng = random.Random(9)
+    words = [f"q{i}" for i in range(150)]
+    for d in range(2000, 2200):
+        own = list(words)
+        for _ in range(rng.choice([1, 2, 6, 12])):
+            own[rng.randrange(150)] = f"x{d}"
+        rows.append((d, " ".join(own), "en", "s"))
+    got = bbit_minhash.near_duplicates(documents(spark, rows)).collect()
+    sets = [(d, shingles(t, 3)) for d, t, *_ in rows]
+    want = sorted((str(d), len(s), str(c if s else d), (c if s else d) == d) for (d, s), c in zip(sets, components(sets, 85), strict=True))
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in got) == want
+
+
+def test_bbit_estimates_are_corrected(spark):
+    """Packed estimates of pairs of known similarity: no bias, error as for so many minima."""
+    rng = np.random.default_rng(4)
+    rows, truth = [], []
+    for share in (0, 100, 300, 500, 800, 1000):
+        for _ in range(20):
+            a, b = rng.integers(0, 1 << 63, (2, 1000), dtype=np.uint64)
+            b[:share] = a[:share]
+            planes = bbit_minhash.packed(bbit_minhash.minima([np.unique(a), np.unique(b)]))
+            rows.append([int(x) for x in planes.ravel()])
+            truth.append(share / (2000 - share))
+    names = [f"{x}_{c}" for x in "ab" for c in bbit_minhash.PLANES]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ", ".join(["i long", *(f"{c} long" for c in names)]))
+    got = [r["e"] for r in frame.selectExpr("i", f"{set_links._prefixed(bbit_minhash.ESTIMATE, 'a_', 'b_')} as e").orderBy("i").collect()]
+    error = np.array(got) - np.array(truth)
+    assert abs(error.mean()) < 0.01 and error.std() < 0.04 and np.abs(error[-20:]).max() == 0
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r["v"]: r["label"] for r in cc(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 140), 100)}
     assert cc(spark.createDataFrame([], "a long, b long")).count() == 0
+    joined = {r["v"]: r["label"] for r in cc(spark.createDataFrame(edges, "a long, b long").repartition(8), local_edges=9).collect()}
+    assert joined == got
 
 
 def test_repeated_passages(spark):
@@ -140,7 +226,7 @@ def test_fingerprints(spark):
     assert PASSAGE in by_text
 
 
-@pytest.mark.parametrize("op", [block_naming.exact_duplicates, token_combinations.jaccard_components, gear_chunks.repeated_passages,
-                                one_permutation.fingerprints])
+@pytest.mark.parametrize("op", [block_naming.exact_duplicates, token_combinations.jaccard_components, bbit_minhash.near_duplicates,
+                                gear_chunks.repeated_passages, one_permutation.fingerprints])
 def test_no_rows(spark, op):
     assert op(documents(spark, [])).count() == 0
