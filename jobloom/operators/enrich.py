@@ -1,9 +1,10 @@
 """Enrichment projection (SCR-8): complexity score, category and seniority per row.
 
-One narrow ``select`` -- no shuffle, no Python. The text and the explicit years
-are computed in an earlier projection and referenced, so each regex family runs
+One narrow ``select`` -- no Python, and no shuffle but for an input of few splits (``spread``). The
+text, the hits of the one scan over it and the explicit years
+are computed in an earlier projection and referenced, so the scan runs
 once per row (the optimizer does not inline a non-trivial expression that is
-used twice).
+used twice), and a rule's own pattern only where the scan found one of its terms.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import scoring as S
 from jobloom.functions.text import combined_text
+from jobloom.operators.spread import spread
 
 INDEX, TITLE, DESCRIPTION, TEXT = "Index", "Position title", "job_description", "combined_text"
 ENRICHED_COLUMNS = (INDEX, TITLE, "complexity_score", "category", "seniority_level")
@@ -34,19 +36,20 @@ def require_columns(df: DataFrame, cols: Sequence[str], what: str) -> None:
         raise ValueError(f"{what}: missing columns {missing}; got {df.columns}")
 
 
-LOWER = "_text_lc"
+LOWER, HITS = "_text_lc", "_rule_hits"
 
 
 def score_parts(df: DataFrame, text: str = TEXT) -> DataFrame:
     """Adds the four signals: ``leadership``, ``explicit_years``, ``inferred_years``, ``skills``
-    (and ``_text_lc``, the lower-cased text shared by the word rules)."""
+    (and ``_text_lc`` and ``_rule_hits``, the lower-cased text and what the one scan found in it)."""
     t = F.col(text)
     df = df.withColumn(LOWER, F.lower(t)) if LOWER not in df.columns else df
-    lc = F.col(LOWER)
-    return (df.withColumn("leadership", S.leadership_score(t, lc))
-              .withColumn("explicit_years", S.max_years(t))
-              .withColumn("skills", S.count_skills(t, lc))
-              .withColumn("inferred_years", S.inferred_years(t, F.col("explicit_years"), lc)))
+    lc, hits = F.col(LOWER), F.col(HITS)
+    df = df.withColumn(HITS, S.rule_hits(lc))
+    return (df.withColumn("leadership", S.leadership_score(t, lc, hits))
+              .withColumn("explicit_years", S.max_years(t, hits))
+              .withColumn("skills", S.count_skills(t, lc, hits))
+              .withColumn("inferred_years", S.inferred_years(t, F.col("explicit_years"), lc, hits)))
 
 
 def enrich(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -56,15 +59,15 @@ def enrich(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     Every other column is dropped, the title is passed through unchanged.
     """
     require_columns(df, [INDEX, TITLE], "enrich")
-    src = with_combined_text(df)
+    src = with_combined_text(spread(df))
     parts = score_parts(src.select(*keep, INDEX, TITLE, TEXT))
-    t, lc = F.col(TEXT), F.col(LOWER)
+    t, lc, hits = F.col(TEXT), F.col(LOWER), F.col(HITS)
     return parts.select(
         *keep, INDEX, TITLE,
         S.complexity_score(F.col("leadership"), F.col("explicit_years"), F.col("inferred_years"),
                            F.col("skills")).alias("complexity_score"),
-        S.category(t, lc).alias("category"),
-        S.seniority_level(t, lc).alias("seniority_level"),
+        S.category(t, lc, hits).alias("category"),
+        S.seniority_level(t, lc, hits).alias("seniority_level"),
     )
 
 

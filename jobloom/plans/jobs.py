@@ -22,6 +22,7 @@ from jobloom.sources.config import load_sources, sources_without_pages
 from jobloom.sources.messages import broker_options, consumer_options, read_messages
 from jobloom.sources.pages import cap_body_size, read_pages, rejected_pages
 from jobloom.streaming.consumer import ConsumerConfig, consume
+from jobloom.streaming.storage import record_failure
 
 
 #: messages (or files of a file stream) of one micro-batch
@@ -79,16 +80,21 @@ def consume_job(spark: SparkSession, *, out_path: str, messages_path: str | None
                 kafka: dict | None = None, topic: str | None = None, starting_offsets: str = "earliest",
                 enrich: bool = True, failures_path: str | None = None, checkpoint_path: str | None = None,
                 max_offsets_per_trigger: int | None = BATCH_MESSAGES, timeout_s: float | None = None, blob_prefix: str | None = None,
-                layout: str = "batch", available_now: bool = True):
-    """Messages (Kafka or a Parquet file stream with the Kafka row shape) -> stored rows."""
-    if kafka:
-        opts = consumer_options(topic or "", starting_offsets=starting_offsets,
-                                max_offsets_per_trigger=max_offsets_per_trigger, **kafka)
-        stream = read_messages(spark, kafka_options=opts)
-    else:
-        stream = read_messages(spark, path=messages_path, max_files_per_trigger=max_offsets_per_trigger)
+                layout: str = "batch", available_now: bool = True, max_messages: int | None = None):
+    """Messages (Kafka or a Parquet file stream with the Kafka row shape) -> stored rows. A broker or stream that cannot be
+    set up leaves a failure record of the kind ``startup``."""
+    try:
+        if kafka:
+            opts = consumer_options(topic or "", starting_offsets=starting_offsets,
+                                    max_offsets_per_trigger=max_offsets_per_trigger, **kafka)
+            stream = read_messages(spark, kafka_options=opts)
+        else:
+            stream = read_messages(spark, path=messages_path, max_files_per_trigger=max_offsets_per_trigger)
+    except Exception as exc:
+        record_failure(spark, failures_path, "startup", exc)
+        raise
     cfg = ConsumerConfig(output_path=out_path, checkpoint_path=checkpoint_path, failures_path=failures_path,
-                         enrich=enrich, blob_prefix=blob_prefix, layout=layout)
+                         enrich=enrich, blob_prefix=blob_prefix, layout=layout, max_messages=max_messages)
     return consume(spark, stream, cfg, available_now=available_now, timeout_s=timeout_s)
 
 
@@ -119,6 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--checkpoint", required=True)
     c.add_argument("--batch-messages", type=int, default=BATCH_MESSAGES)
     c.add_argument("--timeout", type=float)
+    c.add_argument("--max-messages", type=int)
     args = ap.parse_args(argv)
     spark = get_spark()
     broker = None
@@ -134,7 +141,8 @@ def main(argv: list[str] | None = None) -> int:
         consume_job(spark, out_path=args.out, messages_path=args.messages, kafka=broker, topic=args.topic,
                     starting_offsets=args.starting_offsets, enrich=not args.no_enrich,
                     failures_path=args.failures, checkpoint_path=args.checkpoint,
-                    max_offsets_per_trigger=args.batch_messages, timeout_s=args.timeout)
+                    max_offsets_per_trigger=args.batch_messages, timeout_s=args.timeout,
+                    max_messages=args.max_messages)
     return 0
 
 

@@ -1,10 +1,8 @@
 """Storage of consumed messages and of failure records (SNK-6, SNK-8).
 
 Rows are stored with dynamic partition overwrite, by micro-batch
-(``topic=/first_message=``) or by message (``topic=/partition=/offset=``): storing
-the same batch or message again replaces exactly its own partition, so a replay
-leaves one copy (the documented "redelivery overwrites" behaviour, which a name
-with a wall-clock part cannot give). The object name of each message (TXT-6) is
+(``topic=/first_message=``) or by message (``topic=/partition=/offset=``); which messages a batch
+still has to store says the offset ledger. The object name of each message (TXT-6) is
 kept as a column.
 """
 
@@ -39,21 +37,21 @@ def with_object_name(rows: DataFrame, key: str = "key", enriched: bool = False,
 
 
 def failure_rows(spark: SparkSession, kind: str, exc: BaseException | None = None, message: str | None = None,
-                 coords: list[tuple] | None = None) -> DataFrame:
+                 coords: list[tuple] | None = None, detail: str | None = None) -> DataFrame:
     """Failure records: one per message coordinate (or one without coordinates)."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     etype = type(exc).__name__ if exc is not None else None
     text = message if message is not None else (str(exc) if exc is not None else "")
-    detail = "".join(traceback.format_exception(exc)) if exc is not None else None
+    detail = "".join(traceback.format_exception(exc)) if exc is not None else detail
     rows = [(kind, t, p, o, etype, text, detail, now) for (t, p, o) in (coords or [(None, None, None)])]
     return spark.createDataFrame(rows, FAILURE_SCHEMA)
 
 
 def record_failure(spark: SparkSession, path: str | None, kind: str, exc: BaseException | None = None,
-                   message: str | None = None, coords: list[tuple] | None = None) -> None:
+                   message: str | None = None, coords: list[tuple] | None = None, detail: str | None = None) -> None:
     """Append failure records (kinds: startup, message, validation, query)."""
     if path:
-        failure_rows(spark, kind, exc, message, coords).write.mode("append").parquet(path)
+        failure_rows(spark, kind, exc, message, coords, detail).write.mode("append").parquet(path)
 
 
 def record_failures(bad: DataFrame, path: str | None, kind: str, exc: BaseException) -> None:

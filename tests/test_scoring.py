@@ -95,3 +95,32 @@ def test_sql_functions_match_columns(spark):
     for text, lead, yrs, inf, sk, _score, cat, sen in GOLDEN:
         r = by_text[text]
         assert (r["l"], r["y"], r["i"], r["s"], r["c"], r["n"]) == (lead, yrs, inf, sk, cat, sen), text
+
+
+def test_one_scan_decides_like_the_patterns_alone(spark):
+    """Random mixtures of term pieces, joined with and without boundaries, ASCII and not."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from jobloom.functions import scoring as S
+    from jobloom.functions import vocab as V
+
+    rng = random.Random(8)
+    terms = [t for _, ts in (*V.LEADERSHIP_TIERS, *V.INFERRED_YEARS_TIERS, *V.CATEGORY_RULES, *V.SENIORITY_RULES) for t in ts] + V.SKILLS
+    plain = [t.replace("\\b", "").replace("\\", "").replace("?", rng.choice(["", "?"])).replace("[- ]", "-") for t in terms]
+    pieces = plain + ["5 years of", "12+ yrs", "3-4 years", "é", "ü", "ruſt", "Kafka", "x", "_", "7", "THE", "and", "́"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", " ", "", ".", "-", "é", "\n"]) for _ in range(rng.choice([1, 2, 4, 8]))) for _ in range(4000)]
+    texts = [t.title() if i % 7 == 0 else t for i, t in enumerate(texts)] + ["", None, *plain]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    df = df.withColumn("lc", F.lower("t")).withColumn("hits", S.rule_hits(F.col("lc")))
+    t, lc, hits = F.col("t"), F.col("lc"), F.col("hits")
+    pairs = [(S.leadership_score(t, lc), S.leadership_score(t, lc, hits)), (S.max_years(t), S.max_years(t, hits)),
+             (S.count_skills(t, lc), S.count_skills(t, lc, hits)), (S.category(t, lc), S.category(t, lc, hits)),
+             (S.seniority_level(t, lc), S.seniority_level(t, lc, hits)),
+             (S.inferred_years(t, F.lit(0), lc), S.inferred_years(t, F.lit(0), lc, hits))]
+    rows = df.select("t", *[c.alias(f"c{k}_{side}") for k, pair in enumerate(pairs) for side, c in zip("ab", pair, strict=True)]).collect()
+    wrong = [(k, r["t"], r[f"c{k}_a"], r[f"c{k}_b"]) for r in rows for k in range(len(pairs)) if r[f"c{k}_a"] != r[f"c{k}_b"]]
+    assert not wrong, wrong[:5]
+    for k in range(len(pairs)):
+        assert len({r[f"c{k}_a"] for r in rows}) > 2
