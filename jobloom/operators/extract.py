@@ -16,6 +16,9 @@ Per page, in document order:
 5. anchor text becomes a normalized title (TXT-1), a slug a title-cased one
    (TXT-2); rows with an empty title are dropped (FLT-5).
 
+Pages whose markup needs a parser (nested anchors, unusual character references and the like, see ``markup.py``) have their anchors
+read by a tokenizer with a stack; all other pages stay in built-in expressions.
+
 Step 4 sorts the candidates by (key, phase, position), keeps each element
 whose key differs from its predecessor, and sorts back by (phase, position):
 O(n log n) per page, no join and no shuffle.
@@ -30,6 +33,8 @@ from jobloom.functions import vocab as V
 from jobloom.functions.common import built_once, let
 from jobloom.functions.text import html_unescape, normalize_title, title_from_slug, unicode_strip
 from jobloom.functions.urls import canonical_join, is_job_href, job_slug, site_origin, split_url
+from jobloom.operators.markup import needs_parser, parsed_anchors
+from jobloom.operators.spread import spread
 
 # Markup whose text is not page text: comments, scripts, styles. Replaced by an
 # empty tag so that text on both sides stays two separate text nodes.
@@ -46,7 +51,8 @@ ANCHOR_FROM_OPEN = "(?is)(" + ANCHOR_OPEN + ".*)$"
 ANCHOR_HREF = (r"""(?is)^<a(?:[^<>=]*?=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*?[^<>=]*?"""
                r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 OPEN_INNER = "(?is)^" + ANCHOR_OPEN + "(.*)$"
-TAG = r"<[^>]*>"
+# a tag inside an anchor: quotes behind "=" may hold ">"
+TAG = r"""<[a-zA-Z/!?](?:[^<>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^<>=]*+)*+)?>"""
 
 
 def career_slug_pattern(marker: str = V.JOB_PATH_MARKER) -> str:
@@ -80,18 +86,38 @@ def nonblank(html: Column) -> Column:
     return F.coalesce(F.regexp_like(html, F.lit(r"(?U)\S")), F.lit(False))
 
 
+def _pieces(visible_html: Column) -> Column:
+    return F.split(visible_html, ANCHOR_CLOSE, -1)
+
+
+def with_anchors(pages: DataFrame, html: str, most_texts: int | None = None) -> DataFrame:
+    """Adds ``_anchors``: array<struct<pos, href, inner, lo, hi>> of the page's anchors in document order, and ``_texts``: the text nodes of a
+    page that was parsed; the text of an anchor is nodes [lo, hi) there, else still in ``inner``."""
+    raw = F.coalesce(F.col(html), F.lit(""))
+    df = pages.withColumn("_visible", F.regexp_replace(raw, HIDDEN_MARKUP, "<!>"))
+    df = df.withColumn("_spans", anchor_spans(F.col("_visible")))
+    df = df.withColumn("_parsed", parsed_anchors(F.when(needs_parser(F.col("_visible"), F.col("_spans"), _pieces(F.col("_visible"))), raw), most_texts))
+    read = F.transform(F.col("_spans"), lambda a, i: F.struct(
+        i.alias("pos"), _anchor_href(a).alias("href"), F.regexp_extract(a, OPEN_INNER, 1).alias("inner"),
+        F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi")))
+    parsed = F.transform(F.col("_parsed.anchors"), lambda a, i: F.struct(
+        i.alias("pos"), a["href"].alias("href"), F.lit("").alias("inner"), a["lo"].alias("lo"), a["hi"].alias("hi")))
+    return df.withColumn("_anchors", F.when(F.col("_parsed").isNotNull(), parsed).otherwise(read)) \
+        .withColumn("_texts", F.col("_parsed.texts")).drop("_visible", "_spans", "_parsed")
+
+
+def _text_of(inner: Column, lo: Column, hi: Column) -> Column:
+    nodes = F.slice(F.col("_texts"), lo + 1, hi - lo)
+    return F.when(lo.isNotNull(), F.array_join(nodes, " ")).otherwise(anchor_text(inner))
+
+
 def _candidate_columns(marker: str) -> dict:
-    """The per-page arrays as Columns over ``_html`` and ``_base_parts`` (built once)."""
+    """The per-page arrays as Columns over ``_html``, ``_anchors`` and ``_base_parts`` (built once)."""
     html = F.coalesce(F.col("_html"), F.lit(""))
     base = F.col("_base_parts")  # split_url(origin + "/"), parsed once per page
-    visible = F.regexp_replace(html, HIDDEN_MARKUP, "<!>")
-    anchors = anchor_spans(visible)
-    anchor_links = F.filter(F.transform(anchors, lambda a, i: F.struct(
-        i.alias("pos"), _anchor_href(a).alias("href"),
-        F.regexp_extract(a, OPEN_INNER, 1).alias("inner"))),
-        lambda x: x["href"].isNotNull() & is_job_href(x["href"], marker))
+    anchor_links = F.filter(F.col("_anchors"), lambda x: x["href"].isNotNull() & is_job_href(x["href"], marker))
     job_links = F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
-        x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"),
+        x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"), x["lo"].alias("lo"), x["hi"].alias("hi"),
         job_slug(x["href"], marker).alias("slug"),
         canonical_join(base, x["href"]).alias("url"))),
         lambda x: x["slug"].isNotNull() & x["url"].isNotNull())
@@ -104,7 +130,7 @@ def _candidate_columns(marker: str) -> dict:
 
 
 def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
-                    url: str = "url", marker: str = V.JOB_PATH_MARKER) -> DataFrame:
+                    url: str = "url", marker: str = V.JOB_PATH_MARKER, title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
     """Adds per-page arrays: ``anchor_links`` (candidates after FLT-2), ``job_links``
     (after FLT-3/FLT-4, with key and canonical URL), ``slugs`` and ``slug_links``.
 
@@ -114,10 +140,12 @@ def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column |
                   else (F.col(origin) if isinstance(origin, str) else origin))
     cols = built_once(("page_candidates", marker), lambda: _candidate_columns(marker))
     base = F.concat(F.regexp_replace(origin_col, "/+$", ""), F.lit("/"))
-    df = pages.withColumn("_html", F.col(html)).withColumn("_base_parts", split_url(base))
+    df = spread(pages).withColumn("_html", F.col(html)).withColumn("_base_parts", split_url(base))
+    # a title keeps title_max_chars characters: more text nodes than that, each a character at least, cannot matter
+    df = with_anchors(df, "_html", max(1, title_max_chars) + 64)
     for name in ("anchor_links", "job_links", "slugs", "slug_links"):
         df = df.withColumn(name, cols[name])
-    return df.drop("_html", "_base_parts")
+    return df.drop("_html", "_anchors", "_base_parts")
 
 
 def unique_slugs(slugs: Column) -> Column:
@@ -138,16 +166,16 @@ def _first_per_key(col: str) -> Column:
 def _row_columns(title_max_chars: int) -> dict:
     anchor_c = F.transform(F.col("job_links"), lambda x: F.struct(
         F.lower(x["url"]).alias("key"), F.lit(0).alias("phase"), x["pos"].alias("pos"),
-        x["url"].alias("url"), x["inner"].alias("text")))
+        x["url"].alias("url"), x["inner"].alias("text"), x["lo"].alias("lo"), x["hi"].alias("hi")))
     slug_c = F.transform(F.col("slug_links"), lambda x: F.struct(
         F.lower(x["url"]).alias("key"), F.lit(1).alias("phase"), x["pos"].alias("pos"),
-        x["url"].alias("url"), x["slug"].alias("text")))
+        x["url"].alias("url"), x["slug"].alias("text"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi")))
     by_key = F.array_sort(F.concat(anchor_c, F.filter(slug_c, lambda x: x["url"].isNotNull())))
     firsts = F.transform(_first_per_key("_by_key"), lambda x: F.struct(
-        x["phase"].alias("phase"), x["pos"].alias("pos"), x["url"].alias("job_url"), x["text"].alias("text")))
+        x["phase"].alias("phase"), x["pos"].alias("pos"), x["url"].alias("job_url"), x["text"].alias("text"), x["lo"].alias("lo"), x["hi"].alias("hi")))
     titled = F.transform(F.array_sort(firsts), lambda x: F.struct(
         x["phase"].alias("phase"), x["pos"].alias("pos"),
-        F.when(x["phase"] == 0, normalize_title(anchor_text(x["text"]), title_max_chars))
+        F.when(x["phase"] == 0, normalize_title(_text_of(x["text"], x["lo"], x["hi"]), title_max_chars))
         .otherwise(title_from_slug(x["text"])).alias("position_title"),
         x["job_url"].alias("job_url")))
     return {"by_key": by_key, "titled": titled}
@@ -159,14 +187,14 @@ def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | N
     """Per page: the ordered job rows (``rows``: phase, pos, position_title, job_url)
     plus the arrays behind the counters of AGG-6. Blank pages give no rows (FLT-1).
     ``include_slugs=False`` gives the anchor rows alone (AGG-2)."""
-    df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker)
+    df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker, title_max_chars)
     if not include_slugs:
         df = df.withColumn("slug_links", F.array().cast(df.schema["slug_links"].dataType))
     cols = built_once(("extract_rows", title_max_chars), lambda: _row_columns(title_max_chars))
     df = df.withColumn("_by_key", cols["by_key"])
     titled = cols["titled"]
     df = df.withColumn("rows", F.filter(titled, lambda r: r["position_title"] != ""))
-    return df.drop("_by_key")
+    return df.drop("_by_key", "_texts")
 
 
 def extract_jobs(pages: DataFrame, keep: list[str] | tuple = ("page_id",), **kw) -> DataFrame:
@@ -176,6 +204,12 @@ def extract_jobs(pages: DataFrame, keep: list[str] | tuple = ("page_id",), **kw)
     return df.select(*keep, F.inline("rows"))
 
 
+def extract_titles(pages: DataFrame, keep: list[str] | tuple = ("page_id",), **kw) -> DataFrame:
+    """Titles alone, one for each job of a page in the order they are found: ``keep..., nth, position_title``."""
+    df = extract_pages(pages, **kw)
+    return df.select(*keep, F.posexplode(F.transform("rows", lambda r: r["position_title"])).alias("nth", "position_title"))
+
+
 def extract_metrics(pages: DataFrame, html: str = "html", keep: list[str] | tuple = ("page_id",),
                     **kw) -> DataFrame:
     """Per-page extraction counters (AGG-6) and the short-page warning flag."""
@@ -196,7 +230,6 @@ def extract_metrics(pages: DataFrame, html: str = "html", keep: list[str] | tupl
 def page_anchors(pages: DataFrame, html: str = "html", keep: list[str] | tuple = ("page_id", "url")) -> DataFrame:
     """Every anchor outside comments/scripts/styles as a row:
     ``keep..., pos, href (decoded, stripped; null without href), text``."""
-    visible = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), HIDDEN_MARKUP, "<!>")
-    return pages.select(*keep, F.posexplode(anchor_spans(visible)).alias("pos", "_a")).select(
-        *keep, "pos", _anchor_href(F.col("_a")).alias("href"),
-        anchor_text(F.regexp_extract(F.col("_a"), OPEN_INNER, 1)).alias("text"))
+    rows = with_anchors(spread(pages), html).select(*keep, "_texts", F.explode("_anchors").alias("_a"))
+    return rows.select(*keep, F.col("_a.pos").alias("pos"), F.col("_a.href").alias("href"),
+                       _text_of(F.col("_a.inner"), F.col("_a.lo"), F.col("_a.hi")).alias("text"))

@@ -79,3 +79,34 @@ def batch_index(numbered: DataFrame, rows_per_batch: int = V.ROWS_PER_PAYLOAD, r
     r0 = F.col(rn) - 1
     return (numbered.withColumn(batch_col, F.expr(f"(`{rn}` - 1) div {int(rows_per_batch)}"))
             .withColumn(index_col, r0 % rows_per_batch + 1))
+
+
+def byte_batches(df: DataFrame, group: Sequence[str], order: str | Column | Sequence, size: Column, max_bytes: int,
+                 max_rows: int, part_col: str = "part", index_col: str = "Index", num_partitions: int | None = None) -> DataFrame:
+    """Adds ``index_col``, 1..n within each ``group`` by ``order``, and ``part_col``, which cuts the group into pieces of consecutive rows.
+
+    A piece has at most ``max_rows`` rows, and fewer than ``max_bytes`` bytes (sums of ``size``) before its last row. A distributed
+    prefix sum: rows are dealt over ranges of (group, order), so a group of any size spans many tasks, and only one
+    row for each range and group is summed in sequence. Parts increase from 0 and may leave out numbers.
+    """
+    if max_bytes < 1 or max_rows < 1:
+        raise ValueError("a piece needs room for a byte and a row")
+    spark, group = df.sparkSession, list(group)
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order_cols = [*[F.col(g) for g in group], *_cols(order)]
+    keys = [f"_o{i}" for i in range(len(order_cols))]
+    tagged = (df.select("*", size.cast("long").alias("_size"), *[c.alias(k) for c, k in zip(order_cols, keys, strict=True)])
+              .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+              .drop(*keys).checkpoint(eager=True))
+    sums = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_b"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_b").over(earlier), F.lit(0)).alias("_b0"))
+    inside = Window.partitionBy("_pid", *group).orderBy("_pos")
+    same = [F.col("_pid") == F.col("_p"), *[F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]]
+    rows = tagged.withColumn("_r", F.row_number().over(inside)).withColumn("_run", F.sum("_size").over(inside)).join(sums, same)
+    return rows.select(
+        *[F.col(c) for c in df.columns], (F.col("_n0") + F.col("_r")).alias(index_col),
+        F.expr(f"(_n0 + _r - 1) div {int(max_rows)} + (_b0 + _run - _size) div {int(max_bytes)}").alias(part_col))

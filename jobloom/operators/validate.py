@@ -1,7 +1,9 @@
 """Checks that enrichment kept every producer row and produced valid labels (AGG-8, JN-3).
 
-Rows are matched on ``(coordinates..., Index)``, null matching null; rows that repeat an
-``Index`` are matched in the order of their titles. The checks, in
+The two sides are compared as multisets of ``(coordinates..., Index, title)``, null matching null: each producer row counts +1, each
+enriched row -1, and equal rows cancel in one aggregation that combines on the map side. An Index that half of all rows share, or a
+null one, costs no more than another. What does not cancel is paired within its Index in the order of the titles: a pair is a changed title,
+a row without partner a lost or added row. The pairing numbers the rest over ranges, so it has no hot group either. The checks, in
 the order a failure is reported:
 
  1 row count      rows per payload differ
@@ -19,12 +21,17 @@ counts in one pass and raises ``ValidationError`` for the first failing rule.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import vocab as V
 from jobloom.functions.text import unicode_strip
+from jobloom.operators.joins import join_small
+from jobloom.operators.ordering import global_index
+from jobloom.session import checkpoint_dir
 
 KEYS = ("Index", "Position title")
 LABELS = ("complexity_score", "category", "seniority_level")
@@ -35,15 +42,15 @@ class ValidationError(ValueError):
 
 
 RULES = {
-    1: ("row count", "Enrichment row count mismatch: producer and enriched payload must be 1:1"),
-    2: ("Index", "Enrichment altered producer column 'Index'"),
-    3: ("Position title", "Enrichment altered producer column 'Position title'"),
-    4: ("score missing", "complexity_score is null or non-numeric"),
-    5: ("score range", "complexity_score out of range [0, 100]"),
-    6: ("category blank", "category must be non-empty string on every row"),
-    7: ("category unknown", "unknown category"),
-    8: ("seniority blank", "seniority_level must be non-empty string on every row"),
-    9: ("seniority unknown", "unknown seniority_level"),
+    1: ("row count", "the two sides have different numbers of rows"),
+    2: ("Index", "rows whose Index has no partner on the other side"),
+    3: ("Position title", "titles that are not those of the producer"),
+    4: ("score missing", "complexity_score holds no number"),
+    5: ("score range", "complexity_score lies outside 0 to 100"),
+    6: ("category blank", "category is blank"),
+    7: ("category unknown", "category is none of the known ones"),
+    8: ("seniority blank", "seniority_level is blank"),
+    9: ("seniority unknown", "seniority_level is none of the known ones"),
 }
 
 
@@ -67,62 +74,65 @@ def _label_checks() -> list[tuple[int, Column, Column]]:
     return out
 
 
-def _check_schema(producer: DataFrame, enriched: DataFrame) -> None:
-    for col in KEYS:
-        if col not in producer.columns:
-            raise ValidationError(f"validate: producer data missing column {col!r}")
-        if col not in enriched.columns:
-            raise ValidationError(f"validate: enriched data missing column {col!r}")
-    for col in LABELS:
-        if col not in enriched.columns:
-            raise ValidationError(f"validate: enriched data missing column {col!r}")
+def _require(side: str, df: DataFrame, columns: Sequence[str]) -> None:
+    lacking = [c for c in columns if c not in df.columns]
+    if lacking:
+        raise ValidationError(f"the {side} rows lack {', '.join(map(repr, lacking))}")
+
+
+def _key_type(producer: DataFrame, enriched: DataFrame):
+    """How Index values are compared: integers by value, others as text, like a string cast."""
+    integral = ("tinyint", "smallint", "int", "bigint")
+    if dict(producer.dtypes)["Index"] in integral and dict(enriched.dtypes)["Index"] in integral:
+        return lambda c: c.cast("long")
+    return _as_text
+
+
+def _row(coords: Sequence[str], rule: int, value: Column, index: Column) -> list[Column]:
+    return [*[F.col(c) for c in coords], index.cast("long").alias("Index"), F.lit(rule).alias("rule_no"), F.lit(RULES[rule][0]).alias("rule"), value.alias("value")]
+
+
+def _unmatched(rest: DataFrame, coords: Sequence[str], sign: int) -> DataFrame:
+    """The rows of one side that did not cancel, numbered 1.. within (coordinates, Index) in the order of their titles."""
+    group = [*coords, "_k"]
+    rows = rest.filter(F.col("_net") * sign > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_net") * sign))).drop("_net")
+    rows = global_index(rows, [*group, "_t", "_copy"], index_col="_rn")
+    starts = rows.groupBy(*group).agg(F.min("_rn").alias("_start"))
+    starts = starts.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(group)], "_start")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(group)])
+    return join_small(rows, starts, same).select(*group, "_i", "_t", (F.col("_rn") - F.col("_start")).alias("_nth"))
 
 
 def violations(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] = ()) -> DataFrame:
-    """One row per failed check: ``coords..., Index, rule_no, rule, value``."""
-    _check_schema(producer, enriched)
+    """One row per failed check: ``coords..., Index, rule_no, rule, value``. The rows that do not cancel are checkpointed while the
+    plan is built: nothing is numbered where all rows match."""
+    _require("producer", producer, KEYS)
+    _require("enriched", enriched, KEYS + LABELS)
     coords = list(coords)
-    p = producer.select(*coords, F.lit(True).alias("_ph"), F.col("Index").alias("_pi"), F.col("Position title").alias("_pt"))
-    e = enriched.select(*coords, F.lit(True).alias("_eh"), F.col("Index").alias("_ei"), F.col("Position title").alias("_et"),
-                        *LABELS)
-    # rows that share an Index are matched in the order of their titles
-    nth = lambda d, i, t: d.withColumn("_nth", F.row_number().over(
-        Window.partitionBy(*coords, i).orderBy(_as_text(F.col(t)))))
-    p, e = nth(p, "_pi", "_pt"), nth(e, "_ei", "_et")
-    # (1) rows per payload on each side: one tagged union, one aggregation (no join)
+    key = _key_type(producer, enriched)
+    side = lambda d, sign: d.select(
+        *coords, key(F.col("Index")).alias("_k"), F.col("Index").cast("string").try_cast("long").alias("_i"), _as_text(F.col("Position title")).alias("_t"),
+        F.lit(sign).cast("long").alias("_n"))
+    counted = side(producer, 1).unionByName(side(enriched, -1)).groupBy(*coords, "_k", "_t").agg(F.sum("_n").alias("_net"), F.min("_i").alias("_i"))
+    checkpoint_dir(producer.sparkSession)
+    rest = counted.filter("_net <> 0").checkpoint(eager=True)
+    out = label_violations(enriched, coords)
+    # (1) rows per payload on each side
     sides = (producer.select(*coords, F.lit(1).alias("_p"), F.lit(0).alias("_e"))
              .unionByName(enriched.select(*coords, F.lit(0).alias("_p"), F.lit(1).alias("_e"))))
-    counts = sides.groupBy(*coords).agg(F.sum("_p").alias("_np"), F.sum("_e").alias("_ne"))
-    count_rows = counts.filter(F.col("_np") != F.col("_ne")).select(
-        *coords, F.lit(None).cast("long").alias("Index"), F.lit(1).alias("rule_no"),
-        F.lit(RULES[1][0]).alias("rule"),
-        F.concat_ws(" vs ", F.col("_np").cast("string"), F.col("_ne").cast("string")).alias("value"))
-    # (2)-(9) row level, matched on coordinates + Index (compared as text, like the
-    # producer's string cast; integer keys compare by value, which is the same thing)
-    integral = ("tinyint", "smallint", "int", "bigint")
-    if dict(producer.dtypes)["Index"] in integral and dict(enriched.dtypes)["Index"] in integral:
-        key_eq = p["_pi"].cast("long").eqNullSafe(e["_ei"].cast("long"))
-    else:
-        key_eq = _as_text(p["_pi"]) == _as_text(e["_ei"])
-    cond = [p[c].eqNullSafe(e[c]) for c in coords] + [key_eq, p["_nth"] == e["_nth"]]
-    j = p.join(e, cond, "full")
-    co = [F.coalesce(p[c], e[c]).alias(c) for c in coords]
-    idx = F.coalesce(p["_pi"].cast("long"), e["_ei"].cast("long"))
-    score = _score()
-    checks = [
-        (2, p["_ph"].isNull() | e["_eh"].isNull(), _as_text(F.coalesce(p["_pi"], e["_ei"]))),
-        (3, p["_ph"].isNotNull() & e["_eh"].isNotNull() & (_as_text(p["_pt"]) != _as_text(e["_et"])),
-         F.concat_ws(" vs ", _as_text(p["_pt"]), _as_text(e["_et"]))),
-        (4, e["_eh"].isNotNull() & score.isNull(), F.col("complexity_score").cast("string")),
-        (5, score.isNotNull() & ((score < 0) | (score > 100)), F.col("complexity_score").cast("string")),
-        *[(n, e["_eh"].isNotNull() & c, v) for n, c, v in _label_checks()],
-    ]
-    found = F.filter(F.array(*[
-        F.when(c, F.struct(F.lit(n).alias("rule_no"), F.lit(RULES[n][0]).alias("rule"), v.alias("value")))
-        for n, c, v in checks]), lambda x: x.isNotNull())
-    row_rows = j.select(*co, idx.alias("Index"), F.explode(found).alias("_v")).select(
-        *coords, "Index", "_v.rule_no", "_v.rule", "_v.value")
-    return count_rows.unionByName(row_rows)
+    counts = sides.groupBy(*coords).agg(F.sum("_p").alias("_np"), F.sum("_e").alias("_ne")).filter("_np <> _ne")
+    out = out.unionByName(counts.select(*_row(coords, 1, F.concat_ws(" vs ", F.col("_np").cast("string"), F.col("_ne").cast("string")), F.lit(None))))
+    if rest.isEmpty():
+        return out
+    # (2), (3): the n-th row of an Index that is left on one side against the n-th on the other
+    p, e = _unmatched(rest, coords, 1), _unmatched(rest, coords, -1)
+    e = e.select(*[F.col(c).alias(f"_e{c}") for c in e.columns])
+    pairs = p.join(e, [F.col(c).eqNullSafe(F.col(f"_e{c}")) for c in [*coords, "_k"]] + [F.col("_nth") == F.col("_e_nth")], "full")
+    pairs = pairs.select(*[F.coalesce(c, f"_e{c}").alias(c) for c in coords], F.coalesce("_i", "_e_i").alias("_index"),
+                         _as_text(F.coalesce("_k", "_e_k")).alias("_key"), "_t", "_e_t", (F.col("_nth").isNotNull() & F.col("_e_nth").isNotNull()).alias("_both"))
+    changed = pairs.filter("_both").select(*_row(coords, 3, F.concat_ws(" vs ", "_t", "_e_t"), F.col("_index")))
+    single = pairs.filter("not _both").select(*_row(coords, 2, F.col("_key"), F.col("_index")))
+    return out.unionByName(changed).unionByName(single)
 
 
 def assert_valid(producer: DataFrame, enriched: DataFrame, coords: Sequence[str] = ()) -> None:
@@ -139,9 +149,7 @@ def label_violations(enriched: DataFrame, coords: Sequence[str] = ()) -> DataFra
     ``enrich``), keys and row counts are preserved by construction and only the
     label checks can fail; a streaming consumer runs this form per micro-batch.
     """
-    for col in KEYS + LABELS:
-        if col not in enriched.columns:
-            raise ValidationError(f"validate: enriched data missing column {col!r}")
+    _require("enriched", enriched, KEYS + LABELS)
     score = _score()
     checks = [
         (4, score.isNull(), F.col("complexity_score").cast("string")),
@@ -164,5 +172,5 @@ def first_violation(violation_rows: DataFrame) -> str | None:
     if not first:
         return None
     r = first[0]
-    where = "" if r["first"]["Index"] is None else f"first Index={r['first']['Index']}, "
-    return f"validate: {RULES[r['rule_no']][1]} ({r['n']} row(s); {where}value={r['first']['value']!r})"
+    where = "" if r["first"]["Index"] is None else f"first at Index {r['first']['Index']}, "
+    return f"{RULES[r['rule_no']][1]}: {r['n']} row(s), {where}value {r['first']['value']!r}"

@@ -17,7 +17,7 @@ from jobloom.operators.enrich import enrich
 # ----------------------------------------------------------------- FIXED VALUES
 # Title recipe: level[key % 9] + ' ' + role[key % 13], description extra[key % 6].
 LEVELS = ["Senior", "Junior", "Lead", "Principal", "Staff", "Intern", "Head of", "VP", ""]
-ROLES = ["Backend Engineer", "Product Manager", "UX Designer", "HR Generalist",
+ROLES = ["Backend Engineer", "Product Manager", "UX Designer", "HR Business Partner",
          "Data Engineer (Python, SQL)", "Sales Manager", "QA Engineer II", "DevOps Engineer",
          "Accountant", "Motion Artist", "C++ Developer", "Full-Stack Developer",
          "International Partnerships"]
@@ -81,15 +81,15 @@ def dirty_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job records ``id, source, position_title, job_url``: URL of page ``id % n_pages``,
-    every 5th without URL, every 17th with a ``mailto:`` URL."""
+    every 5th without URL, every 17th with a ``mailto:`` URL. A job whose page does not exist keeps its row, without a URL."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    n_pages = pages.count()
+    n_pages = max(1, pages.count())
     j = dirty_titles(spark, sf_dir).withColumn("page_id", F.col("id") % n_pages)
     k = F.col("id")
     url = (F.when(k % 5 == 0, F.lit(None).cast("string"))
            .when(k % 17 == 0, F.lit("mailto:x"))
            .otherwise(F.col("url")))
-    return j.join(pages, "page_id").select(
+    return j.join(pages, "page_id", "left").select(
         k, F.concat(F.lit("src"), (k % 4).cast("string")).alias("source"),
         F.col("title").alias("position_title"), url.alias("job_url"))
 

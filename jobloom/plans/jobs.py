@@ -68,7 +68,7 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
     n_batches = 0
     if topic and (sink_path or kafka):
         msgs = PR.single_message(result.merged, topic, max_message_bytes) if single_message else \
-            PR.messages(result.batches, topic=topic)
+            PR.messages(result.batches, topic=topic, max_message_bytes=max_message_bytes)
         opts = publish_options(kafka, event_hubs=event_hubs) if kafka else None
         publish(msgs, options=opts, sink_path=sink_path, with_headers=include_headers(event_hubs),
                 max_message_bytes=max_message_bytes)

@@ -29,24 +29,39 @@ PAYLOAD_FIELDS = {
     "seniority_level": pa.string(),
 }
 
+
+class PayloadTooLarge(ValueError):
+    """A payload exceeds the message cap."""
+
+
 def pack_payloads(rows: DataFrame, batch_cols: Sequence[str], columns: Sequence[str],
-                  order_by: str = "Index") -> DataFrame:
-    """``batch_cols..., n_rows, value``: one Parquet file (bytes) per batch, rows sorted by
-    ``order_by``. Columns keep their Arrow types; the file has no index column."""
+                  order_by: str = "Index", max_bytes: int | None = None) -> DataFrame:
+    """``batch_cols..., part, n_rows, value``: one Parquet file (bytes) per batch, rows sorted by
+    ``order_by``. Columns keep their Arrow types; the file has no index column. With ``max_bytes`` no value is longer: a batch
+    whose file is goes into halves until each fits, ``part`` 0, 1, ... in row order; a single row that does not fit fails the job."""
     batch_cols, columns = list(batch_cols), list(columns)
     schema = pa.schema([(c, PAYLOAD_FIELDS.get(c, pa.string())) for c in columns])
 
-    def pack(table: pa.Table) -> pa.Table:
-        body = table.select(columns).sort_by(order_by).cast(schema)
+    def files(body: pa.Table) -> list[tuple[int, bytes]]:
         buf = io.BytesIO()
         pq.write_table(body, buf)
-        out = {c: table.column(c).slice(0, 1) for c in batch_cols}
-        out["n_rows"] = pa.array([body.num_rows], pa.int64())
-        out["value"] = pa.array([buf.getvalue()], pa.binary())
+        if max_bytes is None or buf.tell() <= max_bytes:
+            return [(body.num_rows, buf.getvalue())]
+        if body.num_rows < 2:
+            raise PayloadTooLarge(f"a payload of one row has {buf.tell()} bytes, the cap is {max_bytes}")
+        half = body.num_rows // 2
+        return files(body.slice(0, half)) + files(body.slice(half))
+
+    def pack(table: pa.Table) -> pa.Table:
+        found = files(table.select(columns).sort_by(order_by).cast(schema))
+        out = {c: pa.repeat(table.column(c)[0], len(found)) for c in batch_cols}
+        out["part"] = pa.array(range(len(found)), pa.int64())
+        out["n_rows"] = pa.array([n for n, _ in found], pa.int64())
+        out["value"] = pa.array([data for _, data in found], pa.binary())
         return pa.table(out)
 
     out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields
-                            if f.name in batch_cols] + ["n_rows bigint", "value binary"])
+                            if f.name in batch_cols] + ["part bigint", "n_rows bigint", "value binary"])
     return rows.select(*batch_cols, *columns).groupBy(*batch_cols).applyInArrow(pack, out_schema)
 
 
@@ -174,10 +189,6 @@ def payload_info(messages: DataFrame, keep: Sequence[str] = ("topic", "partition
     return messages.select(*keep, value).mapInArrow(read, out_schema)
 
 
-class PayloadTooLarge(ValueError):
-    """A payload exceeds the message cap."""
-
-
 def max_payload_bytes(limit: int | None = None) -> int:
     return max(V.MAX_MESSAGE_BYTES_FLOOR, int(limit if limit is not None else V.MAX_MESSAGE_BYTES))
 

@@ -9,7 +9,7 @@ Stages (each a DataFrame, the whole plan is lazy until written):
 3. ``numbered``: global 1..n by case-folded title (SRT-1, WIN-1);
 4. ``merged`` (SNK-1) and ``batches`` (WIN-2) from the same numbering;
 5. ``messages``: one Parquet payload per batch with key ``parquet-batch-{i}``
-   (SNK-2, SNK-4), size-checked before anything is sent (SNK-3).
+   (SNK-2, SNK-4), in parts where one would exceed the message cap (SNK-3); ``source_messages``: one per source.
 
 Shuffles: one per cleaning pass (keyed on the job URL, partial aggregation on
 the map side), one range shuffle for the numbering, one for packing batches.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import vocab as V
 from jobloom.functions.urls import site_origin
 from jobloom.operators.extract import extract_jobs
-from jobloom.operators.ordering import batch_index, global_index, title_sort_key
+from jobloom.operators.ordering import batch_index, byte_batches, global_index, title_sort_key
 from jobloom.operators.sanitize import sanitize_records
 from jobloom.plans.payload import PayloadTooLarge, max_payload_bytes, pack_payloads
 from jobloom.sources.config import attach_source
@@ -79,30 +79,47 @@ def batches(numbered_records: DataFrame, rows_per_batch: int = V.ROWS_PER_PAYLOA
     return b.select("batch_no", "Index", F.col("position_title").alias("Position title"))
 
 
-def messages(batch_rows: DataFrame, topic: str, headers: bool = True) -> DataFrame:
-    """Kafka sink rows ``topic, key, value, headers, batch_no, n_rows``: one Parquet
-    payload per batch, key ``parquet-batch-{batch_no}``. ``publish`` checks the sizes."""
-    packed = pack_payloads(batch_rows, ["batch_no"], ["Index", "Position title"])
+def _kafka_rows(packed: DataFrame, topic: str, name: F.Column, headers: bool, *more: str) -> DataFrame:
+    """Sink rows of packed payloads; the key of a further piece or part of a batch has the numbers of both behind."""
     hdr = (F.array(F.struct(F.lit("format").alias("key"), F.lit(b"parquet").cast("binary").alias("value")),
                    F.struct(F.lit("content-type").alias("key"),
                             F.encode(F.lit(V.PAYLOAD_CONTENT_TYPE), "UTF-8").alias("value")))
            if headers else F.lit(None).cast("array<struct<key:string,value:binary>>"))
-    out = packed.select(
-        F.lit(topic).alias("topic"),
-        F.encode(F.concat(F.lit("parquet-batch-"), F.col("batch_no").cast("string")), "UTF-8").alias("key"),
-        "value", hdr.alias("headers"), "batch_no", "n_rows")
-    return out
+    piece = F.col("piece") if "piece" in packed.columns else F.lit(0)
+    number = F.concat(F.lit("-part-"), piece.cast("string"), F.lit("."), F.col("part").cast("string"))
+    key = F.concat(name, F.when((piece > 0) | (F.col("part") > 0), number).otherwise(F.lit("")))
+    return packed.select(F.lit(topic).alias("topic"), F.encode(key, "UTF-8").alias("key"), "value", hdr.alias("headers"), *more, "part", "n_rows")
+
+
+def messages(batch_rows: DataFrame, topic: str, headers: bool = True, max_message_bytes: int | None = None) -> DataFrame:
+    """Kafka sink rows ``topic, key, value, headers, batch_no, part, n_rows``: one Parquet
+    payload per batch, key ``parquet-batch-{batch_no}``. No payload exceeds the cap: a batch that would goes out in parts."""
+    packed = pack_payloads(batch_rows, ["batch_no"], ["Index", "Position title"], max_bytes=max_payload_bytes(max_message_bytes))
+    return _kafka_rows(packed, topic, F.concat(F.lit("parquet-batch-"), F.col("batch_no").cast("string")), headers, "batch_no")
+
+
+def source_messages(records: DataFrame, topic: str, rows_per_batch: int = V.ROWS_PER_PAYLOAD, headers: bool = True,
+                    max_message_bytes: int | None = None) -> DataFrame:
+    """One message for each source (SNK-4): its titles in title order, ``Index`` 1..n within the source, key
+    ``open_positions/{source}``. A source over the row or byte budget goes out in parts, cut by a distributed prefix sum of
+    the rows' bytes, so no task holds more than a message. Columns ``topic, key, value, headers, source, piece, part, n_rows``."""
+    cap = max_payload_bytes(max_message_bytes)
+    size = F.octet_length("position_title") + F.lit(16)
+    cut = byte_batches(records, ["source"], title_sort_key("position_title", "job_url"), size, max(1, cap // 2), rows_per_batch, part_col="piece")
+    rows = cut.select("source", "piece", "Index", F.col("position_title").alias("Position title"))
+    packed = pack_payloads(rows, ["source", "piece"], ["Index", "Position title"], max_bytes=cap)
+    return _kafka_rows(packed, topic, F.concat(F.lit(f"{V.TITLE_ONLY_KEY}/"), F.coalesce("source", F.lit(""))), headers, "source", "piece")
 
 
 def single_message(merged_rows: DataFrame, topic: str, max_message_bytes: int | None = None) -> DataFrame:
-    """The whole merged output as one message with the key ``open_positions`` (SNK-4). A message has a size cap, so one
-    task may hold it; an output whose titles alone are far over the cap is refused before any packing."""
+    """The whole merged output of a small run as one message with the key ``open_positions`` (SNK-4). A message has a size cap, so one
+    task may hold it; an output whose titles alone are far over the cap is refused before any packing (``source_messages`` splits)."""
     cap = max_payload_bytes(max_message_bytes)
     size = merged_rows.agg(F.sum(F.octet_length("Position title"))).first()[0] or 0
     if size > 16 * cap:
         raise PayloadTooLarge(f"the titles have {size} bytes, one message holds {cap}; publish batches instead")
-    out = messages(merged_rows.withColumn("batch_no", F.lit(0).cast("long")), topic)
-    return out.withColumn("key", F.encode(F.lit(V.TITLE_ONLY_KEY), "UTF-8"))
+    packed = pack_payloads(merged_rows.withColumn("batch_no", F.lit(0).cast("long")), ["batch_no"], ["Index", "Position title"])
+    return _kafka_rows(packed, topic, F.lit(V.TITLE_ONLY_KEY), True, "batch_no")
 
 
 @dataclass

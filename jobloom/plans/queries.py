@@ -193,15 +193,14 @@ def failed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-4: a whole (small) run as one message, published and read back."""
+    """SNK-4: one message for each source, in parts over the cap, published and read back."""
     from jobloom.sinks.kafka import publish
 
     path = _scratch(spark, "single")
-    rows = _produce(spark, sf_dir).merged
-    publish(PR.single_message(rows, topic=FX.MESSAGE_TOPIC), sink_path=path)
+    publish(PR.source_messages(_produce(spark, sf_dir).records, topic=FX.MESSAGE_TOPIC), sink_path=path)
     sent = spark.read.parquet(path)
     back = PL.unpack_payloads(sent, ["Index", "Position title"], keep=["topic", "key"])
-    return back.select(F.col("key").cast("string").alias("key"), "Index", "Position title")
+    return back.select(F.regexp_replace(F.col("key").cast("string"), "-part-[0-9.]+$", "").alias("key"), "Index", "Position title")
 
 
 def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +373,18 @@ def decode_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.length(decoded).alias("n_chars"), (decoded == F.col("html")).alias("same"))
 
 
+def decode_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3: page bodies in four encodings in one call: plain UTF-8, UTF-16 known by its byte order mark, UTF-16 as declared, and UTF-8 with a
+    byte order mark in front and a bad byte at the end."""
+    k = F.col("page_id") % 4
+    body = (F.when(k == 0, F.encode("html", "UTF-8")).when(k == 1, F.concat(F.lit(b"\xff\xfe"), F.encode("html", "UTF-16LE")))
+            .when(k == 2, F.encode("html", "UTF-16BE")).otherwise(F.concat(F.lit(b"\xef\xbb\xbf"), F.encode("html", "UTF-8"), F.lit(b"\xff"))))
+    pages = FX.table(spark, sf_dir, "pages").select("page_id", "html", body.alias("body"), F.when(k == 2, F.lit("UTF-16BE")).alias("declared"))
+    text = PG.decode_body(F.col("body"), F.col("declared"), detect=True)
+    return pages.select("page_id", "html", text.alias("text")).select(
+        "page_id", F.length("text").alias("n_chars"), (F.col("text") == F.col("html")).alias("same"), F.endswith("text", F.lit("\ufffd")).alias("replaced"))
+
+
 def write_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1: the producer's merged output written as Parquet and read back."""
     path = _scratch(spark, "merged")
@@ -473,6 +484,7 @@ REGISTRY = {
     "produce_enriched": produce_enriched,
     "read_pages": read_pages,
     "decode_body": decode_body,
+    "decode_charsets": decode_charsets,
     "write_merged": write_merged,
     "publish_messages": publish_messages,
     "land_raw_pages": land_raw_pages,

@@ -342,7 +342,7 @@ BATCH_ROWS = 500
 BODY_CAP = 8192
 RECORDS = f"""SELECT d.id, 'src' || CAST(d.id % 4 AS VARCHAR) AS source, d.title AS position_title,
        CASE WHEN d.id % 5 = 0 THEN NULL WHEN d.id % 17 = 0 THEN 'mailto:x' ELSE p.url END AS job_url
-    FROM ({DIRTY}) d JOIN pages p ON p.page_id = d.id % (SELECT count(*) FROM pages)"""
+    FROM ({DIRTY}) d LEFT JOIN pages p ON p.page_id = d.id % (SELECT greatest(count(*), 1) FROM pages)"""
 
 
 def sanitize_sql(inner: str, cols: str, order: str) -> str:
@@ -394,8 +394,8 @@ def group3() -> dict[str, str]:
         "rejected_pages": f"SELECT page_id, url, CAST(strlen(html) AS INTEGER) AS n_bytes FROM pages WHERE strlen(html) > {BODY_CAP}",
         "failed_sources": (f"SELECT CAST(page_id AS VARCHAR) AS id, url FROM pages WHERE url NOT IN "
                            f"(SELECT url FROM pages WHERE coalesce(strlen(html) <= {BODY_CAP}, true))"),
-        "publish_single": (f"SELECT 'open_positions' AS key, rn AS \"Index\", position_title AS \"Position title\" "
-                           f"FROM ({PRODUCED})"),
+        "publish_single": (f"SELECT 'open_positions/' || source AS key, row_number() OVER (PARTITION BY source ORDER BY rn) AS \"Index\", "
+                           f"position_title AS \"Position title\" FROM ({PRODUCED})"),
         "listing_urls": listing_urls_sql(),
         "attach_source": f"SELECT page_id, origin AS source FROM ({PAGE_ORIGIN}) WHERE origin IS NOT NULL",
         "source_records": f"SELECT source, page_id, phase, pos, position_title, job_url FROM ({SOURCE_RECORDS})",
@@ -489,6 +489,8 @@ def group5() -> dict[str, str]:
     return {
         "read_pages": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages",
         "decode_body": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, true AS same FROM pages",
+        "decode_charsets": ("SELECT page_id, CAST(length(html) + CASE WHEN page_id % 4 = 3 THEN 1 ELSE 0 END AS INTEGER) AS n_chars, "
+                            "page_id % 4 <> 3 AS same, page_id % 4 = 3 OR suffix(html, chr(65533)) AS replaced FROM pages"),
         "write_merged": f"SELECT rn AS \"Index\", position_title AS \"Position title\" FROM ({PRODUCED})",
         "publish_messages": (f"SELECT {q(MESSAGE_TOPIC)} AS topic, "
                              f"'parquet-batch-' || CAST((rn - 1) // {BATCH_ROWS} AS VARCHAR) AS key, "

@@ -85,11 +85,47 @@ def test_extraction_does_not_depend_on_partitioning(spark, parts):
     assert base == again and base
 
 
-def test_nested_anchor_is_text_of_the_outer_one(spark):
-    html = '<a href="/career/a/">A <a href="/career/b/">B</a> tail'
-    # the outer anchor ends at the first </a>; /career/b is only found by the slug scan
-    assert jobs_of(spark, html) == [("A B", "https://jobs-site.example/career/a"),
-                                    ("B", "https://jobs-site.example/career/b")]
+@pytest.mark.parametrize("html, found", [
+    # a nested anchor keeps its own title and is text of the outer one, which is open to the end of the page
+    ('<a href="/career/a/">A <a href="/career/b/">B</a> tail', [("A B tail", "a"), ("B", "b")]),
+    ('<a href="/career/z/">Z <i>x</i><a href="/career/in-z/">Inner role</a></a>', [("Z x Inner role", "z"), ("Inner role", "in-z")]),
+    # the end of an element around an anchor closes it
+    ('<div><a href="/career/a/">A</div> more</a> end', [("A", "a")]),
+    ('<li><a href="/career/a/">A<li><a href="/career/b/">B</li> c</li> d', [("A B c", "a"), ("B", "b")]),
+    ('<a href="/career/self/" />Text', []),  # an empty anchor claims its URL
+    # quotes in tags inside an anchor
+    ('<a href="/career/q/"><img alt="a > b">Great Role</a>', [("Great Role", "q")]),
+    ("<a href='/career/q/'><b data-x='</a>'>Bold</b> < 3 y</a>", [("Bold < 3 y", "q")]),
+    # character references of HTML 5, without semicolon, by number
+    ('<a href="/career/r1/">C&num; &NotEqualTilde; R&amp D</a>', [("C# \u2242\u0338 R& D", "r1")]),
+    ('<a href="/career/r2/">A &copy B&reg;&nosuch; &copyright</a>', [("A \u00a9 B\u00ae&nosuch &copyright", "r2")]),
+    ('<a href="/career/r3/">&#128;&#x41;&#0; &#66 C</a>', [("\u20acA\ufffd B C", "r3")]),
+    ('<a href="/career/r4?a=1&amp;b=2">x</a>', [("x", "r4?a=1&b=2"), ("R4", "r4")]),
+])
+def test_markup_that_needs_a_parser(spark, html, found):
+    assert jobs_of(spark, html) == [(t, f"{ORIGIN}/career/{s}") for t, s in found]
+
+
+def test_parser_and_built_in_reading_agree(spark):
+    """On pages that do not need the parser both give the same anchors."""
+    from pyspark.sql import functions as F
+
+    from jobloom.operators.markup import parsed_anchors
+    from jobloom.plans.fixtures import career_pages
+    from tests.conftest import SF_SMOKE
+
+    pages = career_pages(spark, SF_SMOKE).union(spark.createDataFrame(
+        [(-1, "u", '<A HREF = "/career/caps">Caps &amp; more&nbsp;</A ><a>none</a><p>x<a class=x href=/career/q >1 <b>2</b> <br>3</a>')], "page_id long, url string, html string"))
+    read = sorted((r["page_id"], r["pos"], r["href"], r["text"]) for r in EX.page_anchors(pages).collect())
+    rows = pages.select("page_id", parsed_anchors(F.col("html")).alias("p")).select("page_id", "p.texts", F.posexplode("p.anchors").alias("pos", "a"))
+    rows = rows.selectExpr("page_id", "pos", "a.href", "array_join(slice(texts, a.lo + 1, a.hi - a.lo), ' ')").collect()
+    assert read == sorted(tuple(r) for r in rows) and len(read) > 50
+
+
+def test_titles_only(spark):
+    html = '<a href="/career/b/">Beta</a><a href="/career/a/">Alpha</a>/career/c-d'
+    pages = spark.createDataFrame([(1, ORIGIN, html), (2, ORIGIN, " ")], "page_id long, url string, html string")
+    assert [tuple(r) for r in EX.extract_titles(pages).collect()] == [(1, 0, "Beta"), (1, 1, "Alpha"), (1, 2, "C D")]
 
 
 @pytest.mark.parametrize("html, found", [

@@ -36,3 +36,24 @@ def test_land_raw_pages_is_idempotent(spark, tmp_path):
     landed = spark.read.parquet(out)
     assert landed.count() == 2
     assert sorted(r[0] for r in landed.select("label").collect()) == ["bad_label", "https_a.example_x"]
+
+
+def test_bodies_in_many_charsets(spark):
+    from pyspark.sql import functions as F
+
+    from jobloom.sources.pages import body_charset, decode_body
+
+    text = "Überschrift 日本 é"
+    meta = '<html><meta http-equiv="Content-Type" content="text/html; charset=Shift_JIS"><p>日本</p>'
+    rows = [
+        ("declared", text.encode("utf-16-be"), "UTF-16BE", text), ("declared jp", "日本".encode("shift_jis"), " Shift_JIS ", "日本"),
+        ("mark", b"\xff\xfe" + text.encode("utf-16-le"), None, text), ("utf-8 mark", b"\xef\xbb\xbf" + text.encode(), "", text),
+        ("meta", meta.encode("shift_jis"), None, meta), ("meta short", b"<META charset=windows-1252>\x80", None, "<META charset=windows-1252>€"),
+        ("bad jp", b"a\x81", "shift_jis", "a�"), ("bad utf-8", b"a\xffb", None, "a�b"), ("unknown", text.encode(), "klingon", text),
+        ("not text", b"abc", "base64", "abc"), ("empty", b"", "utf-16", ""), ("null", None, "utf-16", None), ("bad utf-16", b"\x00\xd8a", "utf-16-le", b"\x00\xd8a".decode("utf-16-le", "replace")),
+    ]
+    df = spark.createDataFrame([r[:3] for r in rows], "name string, body binary, charset string")
+    got = {r["name"]: r["t"] for r in df.select("name", decode_body(F.col("body"), F.col("charset"), detect=True).alias("t")).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+    assert df.select(body_charset(F.col("body")).alias("c")).distinct().count() == 4
+    assert [r["t"] for r in spark.createDataFrame([("日本".encode("shift_jis"),)], "b binary").select(decode_body(F.col("b"), "shift_jis").alias("t")).collect()] == ["日本"]
