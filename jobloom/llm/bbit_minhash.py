@@ -6,7 +6,8 @@
    plane differs. Different minima agree in their low bits by chance with a probability of 2^-BITS, so the share m of agreeing ones
    is corrected to (m - 2^-BITS) / (1 - 2^-BITS).
 3. Candidates whose estimate is within ``MARGIN`` of the threshold or above are compared on their whole sets, which alone decides. How candidates
-   meet without all pairs of a band: ``set_links``.
+   meet without all pairs of a band: ``set_links``. Exact bounds go before: two sets have no more shingles in common than either has
+   in common with any other candidate, so a set with many shingles of its own meets no other.
 
 What can be lost, for a pair just at the threshold of 0.85: no band in common, (1 - 0.85^6)^42 = 2e-9; an estimate over six standard deviations
 too low, 1e-9. More similar pairs are safer. Sets are sets of 64-bit hashes.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table, written
-from .set_links import filter_bits, linked, named_rows, pivoted, priority, similar, token_sets
+from .set_links import filter_bits, linked, named_rows, pivoted, priority, similar, spread_evenly, token_sets
 from .shingles import mixed, set_digest, shingle_sets, slices
 
 #: words of a shingle, and the least similarity of a link in percent
@@ -37,7 +38,8 @@ MARGIN = 0.14
 
 WORDS = MINIMA // 64
 PLANES = [f"g{p}_{w}" for p in range(BITS) for w in range(WORDS)]
-BOUND = f"100 * {{a}}n >= {PERCENT} * {{b}}n and 100 * {{b}}n >= {PERCENT} * {{a}}n"
+BOUND = (f"100 * {{a}}n >= {PERCENT} * {{b}}n and 100 * {{b}}n >= {PERCENT} * {{a}}n "
+         f"and {100 + PERCENT} * least({{a}}shared, {{b}}shared) >= {PERCENT} * ({{a}}n + {{b}}n)")
 _DIFFER = " + ".join("bit_count(" + " | ".join(f"({{a}}g{p}_{w} ^ {{b}}g{p}_{w})" for p in range(BITS)) + ")" for w in range(WORDS))
 _CHANCE = 2.0 ** -BITS
 ESTIMATE = f"((1 - ({_DIFFER}) / {MINIMA}D - {_CHANCE}D) / {1 - _CHANCE}D)"
@@ -106,11 +108,19 @@ def _signed(width: int):
 
 
 def _postings(batches):
-    """(key, sid, n): one row for each band of sets (sid, n, bands)."""
+    """(key, sid): one row for each band of sets (sid, bands)."""
     for batch in batches:
         if batch.num_rows:
-            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.repeat(np.asarray(batch.column(k)), BANDS)) for k in (0, 1))], ["key", "sid", "n"])
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.asarray(batch.column(0)), BANDS))], ["key", "sid"])
+
+
+def _shingles(batches):
+    """(token, sid): the shingles of sets (sid, tokens)."""
+    for batch in batches:
+        for sid, tokens in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(tokens.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid))], ["token", "sid"])
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -129,12 +139,18 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     signed = written(texts.mapInArrow(_signed(width), schema), "signatures")
     sets = signed.filter("bands is not null").dropDuplicates(["c1", "c2"]).withColumn("sid", F.monotonically_increasing_id()).drop("doc_id")
     sets = written(sets, "sets")
-    postings = sets.select("sid", "n", "bands").mapInArrow(_postings, "key long, sid long, n long").select("key", "sid", priority().alias("pri"), "n")
-    busy = pivoted(postings, "shared-bands")
+    postings = sets.select("sid", "bands").mapInArrow(_postings, "key long, sid long").select("key", "sid", spread_evenly().alias("pri"))
+    met = pivoted(postings, "shared-bands").select("key", "sid")
     # whole sets of those under a shared band only
-    met = written(sets.drop("bands").join(busy.select("sid").distinct(), "sid", "left_semi"), "candidate-sets")
-    tokens = token_sets(texts, filter_bits(met), width, "shingle-sets").filter("tokens is not null").select("c1", "c2", "tokens")
-    full = written(met.join(tokens.dropDuplicates(["c1", "c2"]), ["c1", "c2"]).select("sid", "n", "tokens", *PLANES), "candidate-shingles")
+    candidates = written(sets.drop("bands").join(met.select("sid").distinct(), "sid", "left_semi"), "candidate-sets")
+    tokens = token_sets(texts, filter_bits(candidates), width, "shingle-sets").filter("tokens is not null").select("c1", "c2", "tokens")
+    full = written(candidates.join(tokens.dropDuplicates(["c1", "c2"]), ["c1", "c2"]).select("sid", "n", "tokens", *PLANES), "candidate-shingles")
+    # shingles that no other candidate has: a row for each shingle, no join back
+    alone = full.select("sid", "tokens").mapInArrow(_shingles, "token long, sid long").groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).filter("sets = 1").groupBy("sid").agg(F.count(F.lit(1)).alias("own"))
+    known = full.select("sid", "n").join(alone, "sid", "left").select("sid", "n", F.expr("n - coalesce(own, 0)").alias("shared"))
+    known = written(known.filter(f"100 * shared >= {PERCENT} * n").withColumn("pri", priority("n - shared")), "screened-sets")
+    busy = pivoted(met.join(known, "sid").select("key", "sid", "pri", "n", "shared"), "busy-bands")
     labels = linked(busy, full, BOUND, NEAR, similar(PERCENT), PLANES)
     return named_rows(signed, sets, labels).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

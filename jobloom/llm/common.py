@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,11 +69,28 @@ def running_totals(df: DataFrame, value: str, order: Sequence[str], group: Seque
             .drop("inside", "range_before", "range_no"))
 
 
-def keep_documents(docs: DataFrame, kept: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in ``kept`` (nulls match), all columns as they are.
-    Of rows that repeat both doc_id and text one stays."""
-    mark = f"row_of_text_{uuid.uuid4().hex[:8]}"
-    ids = kept.select(F.col("doc_id").alias(f"{mark}_id")).distinct()
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids[f"{mark}_id"]), "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64(text_col), F.octet_length(text_col)).orderBy(F.lit(1))
-    return rows.withColumn(mark, F.row_number().over(same)).filter(F.col(mark) == 1).drop(mark)
+ROW = ("row_file", "row_number")
+
+
+def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column that tells its rows apart, also those that are alike in all columns, and that column's name.
+
+    Rows of Parquet files are named by file and row, which any later scan finds again. Other inputs are written once with a number.
+    """
+    name = f"row_{uuid.uuid4().hex[:8]}"
+    try:
+        place = F.struct(F.col("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
+        named = docs.withColumn(name, place)
+        if not any("_metadata" == c.lower() for c in docs.columns):
+            return named, name
+    except AnalysisException:
+        pass
+    number = F.struct(F.lit("").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1]))
+    return written(docs.withColumn(name, number), "rows"), name
+
+
+def keep_rows(docs: DataFrame, row: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``row`` struct is in the column ``row`` of ``kept``, without that column."""
+    chosen = kept.select(*[F.col(f"{row}.{c}").alias(f"{row}_{c}") for c in ROW])
+    same = [docs[row][c] == chosen[f"{row}_{c}"] for c in ROW]
+    return docs.join(chosen, same, "left_semi").drop(row)

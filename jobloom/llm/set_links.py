@@ -1,8 +1,8 @@
 """Links and components among sets that share index keys, without all pairs of a key.
 
 Postings (key, sid, pri, own columns) are sorted by (key, pri) over ranges, so that a key with any share of the rows spans many tasks.
-In the first round each row meets one pivot: the row of its key with the least priority in its range. Priorities are global, so the
-many keys of a group of near copies mostly choose the same pivot, and the distinct pairs are few. Links that hold join components.
+In the first round each row meets one pivot: the row of its key with the least priority in its range. Priorities are global, sets with few
+shingles of their own come first: the many keys of a group of near copies mostly choose the same central pivot, and the distinct pairs are few. Links that hold join components.
 Keys whose rows are in one component are done; under the others rows of different components meet, the pivots in rounds that grow
 ``GROWTH``-fold, until every pair of different components under a common key has been compared. No such pair is left out.
 """
@@ -30,11 +30,16 @@ GROWTH = 4096
 SALTED = 1024
 
 
-def priority(sid: str = "sid") -> F.Column:
-    """A number in [0, 1) that depends on the set alone."""
+def spread_evenly(sid: str = "sid") -> F.Column:
+    """A number in [0, 1) that depends on the set's number alone."""
     return F.expr(f"xxhash64({sid}) / 18446744073709551616.0D + 0.5D")
 
 
+def priority(own: str, n: str = "n") -> F.Column:
+    """A number in [0, 1) for a set with ``own`` of its ``n`` shingles in no other set: central sets first, in 64 steps, and even inside a step."""
+    return (F.expr(f"least(floor(64 * ({own}) / {n}), 63)") + spread_evenly()) / 64
+
+
 def filter_bits(classes: DataFrame) -> np.ndarray:
     """A bit array of the column ``c1`` of ``classes``: no member is missed, others may pass."""
     words = classes.groupBy(F.shiftrightunsigned("c1", 48).alias("word")).agg(
@@ -183,7 +188,7 @@ def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Calla
     labels = None if links.isEmpty() else written(components(links), "labels")
     reach = 0
     while True:
-        rows = busy.select("key", "sid", "pri", *own)
+        rows = busy.select("key", "sid", spread_evenly().alias("pri"), *own)
         if labels is None:
             rows = rows.withColumn("comp", F.col("sid"))
         else:

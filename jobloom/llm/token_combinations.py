@@ -152,7 +152,7 @@ def _keys(sets: DataFrame, rare: int) -> DataFrame:
     single = F.expr(f"df <= {rare} and place <= n div 4 + 1")
     double = F.expr(f"df > {rare} and next is not null and place + 1 <= 2 * (n div 3) + 2")
     return ranked.filter(single | double).select(
-        F.when(double, F.xxhash64("token", "next")).otherwise(F.col("token")).alias("key"), "sid", priority().alias("pri"), "n", "shared", "place")
+        F.when(double, F.xxhash64("token", "next")).otherwise(F.col("token")).alias("key"), "sid", priority("n - shared").alias("pri"), "n", "shared", "place")
 
 
 def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
