@@ -1,16 +1,17 @@
 """The corpus pipeline over ``documents``; its stages apply operators of ``jobloom.llm``.
 
-Every stage but the last returns the columns of its documents, extra ones included. Stages that drop documents decide
-by doc_id: a null doc_id is an id like any other, and of rows that repeat doc_id and text one stays.
+Every stage but the last returns the columns of its documents, extra ones included. Stages that drop documents decide row by row:
+each row has an identity of its own, which the operators carry, so ids that are null or repeated keep or drop nothing else.
 Empty tables stay empty through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobloom.llm import block_naming, cutting_stock, mixing, token_combinations, weak_labels
-from jobloom.llm.common import keep_documents, table, written
+from jobloom.llm.common import keep_rows, table, with_row, written
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,14 +21,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased) the row with the largest doc_id stays."""
-    return keep_documents(docs, block_naming.exact_duplicates(docs).filter("kept"))
+    """Of equal texts (A-Z lower-cased) the row with the largest doc_id stays; a null id is smaller than any other, and of rows that
+    repeat the largest id one stays."""
+    docs, row = with_row(docs)
+    ranked = docs.select(F.struct("doc_id", F.col(row).alias("row")).alias("doc_id"), "text")
+    kept = block_naming.exact_duplicates(ranked).filter("kept")
+    return keep_rows(docs, row, kept.select(F.col("doc_id.row").alias(row)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by Jaccard similarities of 0.75 or more on 5-word shingles the smallest doc_id stays."""
-    found = token_combinations.jaccard_components(docs)
-    return keep_documents(docs, found.filter("doc_id <=> component_id"))
+    """Of each group linked by Jaccard similarities of 0.75 or more on 5-word shingles the row with the smallest doc_id stays; a null
+    id comes after all others, and of rows that repeat the smallest id one stays."""
+    docs, row = with_row(docs)
+    ranked = docs.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(row).alias("row")).alias("doc_id"), "text")
+    found = token_combinations.jaccard_components(ranked)
+    return keep_rows(docs, row, found.filter("doc_id = component_id").select(F.col("doc_id.row").alias(row)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
