@@ -108,11 +108,13 @@ def _signed(width: int):
 
 
 def _postings(batches):
-    """(key, sid): one row for each band of sets (sid, bands)."""
+    """(key, sid, prev): one row for each band of sets (sid, bands), with the key of the band before."""
     for batch in batches:
         if batch.num_rows:
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.asarray(batch.column(0)), BANDS))], ["key", "sid"])
+            sid = np.repeat(np.asarray(batch.column(0)), BANDS)
+            prev = np.where(np.arange(len(keys)) % BANDS == 0, sid, np.roll(keys, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sid), pa.array(prev)], ["key", "sid", "prev"])
 
 
 def _shingles(batches):
@@ -139,8 +141,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     signed = written(texts.mapInArrow(_signed(width), schema), "signatures")
     sets = signed.filter("bands is not null").dropDuplicates(["c1", "c2"]).withColumn("sid", F.monotonically_increasing_id()).drop("doc_id")
     sets = written(sets, "sets")
-    postings = sets.select("sid", "bands").mapInArrow(_postings, "key long, sid long").select("key", "sid", spread_evenly().alias("pri"))
-    met = pivoted(postings, "shared-bands").select("key", "sid")
+    postings = sets.select("sid", "bands").mapInArrow(_postings, "key long, sid long, prev long").select("key", "sid", spread_evenly().alias("pri"), "prev")
+    met = pivoted(postings, "shared-bands").select("key", "sid", "prev")
     # whole sets of those under a shared band only
     candidates = written(sets.drop("bands").join(met.select("sid").distinct(), "sid", "left_semi"), "candidate-sets")
     tokens = token_sets(texts, filter_bits(candidates), width, "shingle-sets").filter("tokens is not null").select("c1", "c2", "tokens")
@@ -150,7 +152,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).filter("sets = 1").groupBy("sid").agg(F.count(F.lit(1)).alias("own"))
     known = full.select("sid", "n").join(alone, "sid", "left").select("sid", "n", F.expr("n - coalesce(own, 0)").alias("shared"))
     known = written(known.filter(f"100 * shared >= {PERCENT} * n").withColumn("pri", priority("n - shared")), "screened-sets")
-    busy = pivoted(met.join(known, "sid").select("key", "sid", "pri", "n", "shared"), "busy-bands")
+    busy = pivoted(met.join(known, "sid").select("key", "sid", "pri", "n", "shared", "prev"), "busy-bands")
     labels = linked(busy, full, BOUND, NEAR, similar(PERCENT), PLANES)
     return named_rows(signed, sets, labels).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

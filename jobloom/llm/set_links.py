@@ -5,6 +5,9 @@ In the first round each row meets one pivot: the row of its key with the least p
 shingles of their own come first: the many keys of a group of near copies mostly choose the same central pivot, and the distinct pairs are few. Links that hold join components.
 Keys whose rows are in one component are done; under the others rows of different components meet, the pivots in rounds that grow
 ``GROWTH``-fold, until every pair of different components under a common key has been compared. No such pair is left out.
+
+Postings may carry ``prev``, the key before theirs in the set's own order (the set's number for the first). Two sets that share a key and the one before it have met there, so a pair
+is made once for each stretch of common keys and not for each key.
 """
 
 from __future__ import annotations
@@ -155,16 +158,22 @@ def pivoted(postings: DataFrame, name: str) -> DataFrame:
     return written(dealt.mapInArrow(_pivot_rows, schema), name)
 
 
+def join_salted(rows: DataFrame, side: DataFrame, key: Sequence[str], by: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side``, which has one row for each ``key``. Keys of more than ``SALTED`` rows are dealt out under several
+    salts by a hash of ``by``, and their row of ``side`` goes to each. Keys must not be null where ``how`` is inner."""
+    key = list(key)
+    heavy = written(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).filter(f"c > {SALTED}").select(
+        *key, F.expr(f"cast(ceil(c / {SALTED}) as int)").alias("salts_")), "heavy-keys")
+    left = rows.join(heavy, key, "left").withColumn("salt_", F.pmod(F.xxhash64(*by), F.coalesce("salts_", F.lit(1))).cast("int")).drop("salts_")
+    right = side.join(heavy, key, "left").withColumn("salt_", F.explode(F.expr("sequence(0, coalesce(salts_, 1) - 1)"))).drop("salts_")
+    return left.join(right, [*key, "salt_"], how).drop("salt_")
+
+
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with all columns of both sets (a_..., b_...). A set with many partners in ``b`` is joined under several salts."""
-    heavy = written(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("c")).filter(f"c > {SALTED}").select(
-        "b", F.expr(f"cast(ceil(c / {SALTED}) as int)").alias("salts")), "heavy-sets")
+    """``pairs`` (a, b) with all columns of both sets (a_..., b_...); a set may have many partners in ``b``, few in ``a``."""
     columns = [c for c in sets.columns if c != "sid"]
-    left = sets.select(F.col("sid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    right = sets.select(F.col("sid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns]).join(heavy, "b", "left") \
-        .withColumn("salt", F.explode(F.expr("sequence(0, coalesce(salts, 1) - 1)"))).drop("salts")
-    rows = pairs.join(heavy, "b", "left").withColumn("salt", F.expr("cast(pmod(xxhash64(a), coalesce(salts, 1)) as int)")).drop("salts")
-    return rows.join(left, "a").join(right, ["b", "salt"])
+    named = lambda x: sets.select(F.col("sid").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in columns])
+    return join_salted(pairs.join(named("a"), "a"), named("b"), ["b"], ["a"])
 
 
 def _prefixed(condition: str, a: str, b: str) -> str:
@@ -207,7 +216,10 @@ def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Calla
             "key", "salt", F.col("sid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
         y = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select(
             "key", "salt", F.col("sid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
-        once = f"(a_pri > b_pri or (a_pri = b_pri and a > b)) and a_comp <> b_comp and {_prefixed(bound, 'a_', 'b_')} and {_prefixed(near, 'a_', 'b_')}"
+        once = "(a_pri > b_pri or (a_pri = b_pri and a > b)) and a_comp <> b_comp"
+        if "prev" in own:
+            once += " and a_prev <> b_prev"
+        once += f" and {_prefixed(bound, 'a_', 'b_')} and {_prefixed(near, 'a_', 'b_')}"
         found = verified(written(x.join(y, ["key", "salt"]).filter(once).select("a", "b").distinct(), "pairs"))
         if not found.isEmpty():
             links = links.union(found)
@@ -224,8 +236,10 @@ def named_rows(shingled: DataFrame, sets: DataFrame, labels: DataFrame | None) -
     classes = shingled.filter("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("own"))
     named = sets.select("c1", "c2", "sid").join(labels.withColumnRenamed("v", "sid"), "sid").select("c1", "c2", "label")
     classes = written(classes.join(named, ["c1", "c2"], "left"), "classes")
-    joined = classes.filter("label is not null").groupBy("label").agg(F.min("own").alias("group"))
-    ids = classes.join(joined, "label", "left").select("c1", "c2", F.coalesce("group", "own").alias("component_id"))
+    member = classes.filter("label is not null")
+    joined = member.groupBy("label").agg(F.min("own").alias("group"))
+    ids = join_salted(member, joined, ["label"], ["c1", "c2"]).select("c1", "c2", F.col("group").alias("component_id"))
+    ids = ids.unionByName(classes.filter("label is null").select("c1", "c2", F.col("own").alias("component_id")))
     rows = shingled.select("doc_id", F.col("n").alias("n_shingles"), "c1", "c2")
-    out = rows.filter("n_shingles > 0").join(ids, ["c1", "c2"]).select("doc_id", "n_shingles", "component_id")
+    out = join_salted(rows.filter("n_shingles > 0"), ids, ["c1", "c2"], ["doc_id"]).select("doc_id", "n_shingles", "component_id")
     return out.union(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

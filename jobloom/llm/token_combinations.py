@@ -141,7 +141,7 @@ def _sketched(batches):
 
 
 def _keys(sets: DataFrame, rare: int) -> DataFrame:
-    """The index: (key, sid, pri, n, shared, place)."""
+    """The index: (key, sid, pri, n, shared, place, prev)."""
     tokens = sets.select("sid", "n", "tokens").mapInArrow(_unpacked, "token long, sid long, n long")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     order = Window.partitionBy("sid").orderBy("df", "token")
@@ -151,8 +151,8 @@ def _keys(sets: DataFrame, rare: int) -> DataFrame:
     ranked = ranked.filter("4 * shared >= 3 * n").withColumn("place", F.expr("n - shared + rank"))
     single = F.expr(f"df <= {rare} and place <= n div 4 + 1")
     double = F.expr(f"df > {rare} and next is not null and place + 1 <= 2 * (n div 3) + 2")
-    return ranked.filter(single | double).select(
-        F.when(double, F.xxhash64("token", "next")).otherwise(F.col("token")).alias("key"), "sid", priority("n - shared").alias("pri"), "n", "shared", "place")
+    keyed = ranked.filter(single | double).withColumn("key", F.when(double, F.xxhash64("token", "next")).otherwise(F.col("token")))
+    return keyed.select("key", "sid", priority("n - shared").alias("pri"), "n", "shared", "place", F.coalesce(F.lag("key").over(order), F.col("sid")).alias("prev"))
 
 
 def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
