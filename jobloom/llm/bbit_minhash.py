@@ -7,7 +7,8 @@
    is corrected to (m - 2^-BITS) / (1 - 2^-BITS).
 3. Candidates whose estimate is within ``MARGIN`` of the threshold or above are compared on their whole sets, which alone decides. How candidates
    meet without all pairs of a band: ``set_links``. Exact bounds go before: two sets have no more shingles in common than either has
-   in common with any other candidate, so a set with many shingles of its own meets no other.
+   in common with any other candidate, so a set with many shingles of its own meets no other; and parity sketches of 512 bits differ in no more
+   classes than two sets differ in shingles.
 
 What can be lost, for a pair just at the threshold of 0.85: no band in common, (1 - 0.85^6)^42 = 2e-9; an estimate over six standard deviations
 too low, 1e-9. More similar pairs are safer. Sets are sets of 64-bit hashes.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table, written
-from .set_links import filter_bits, linked, named_rows, pivoted, priority, similar, spread_evenly, token_sets
+from .set_links import SKETCH, filter_bits, jaccard_sql, linked, named_rows, parity_bound, pivoted, priority, similar, spread_evenly, token_sets, with_sketches
 from .shingles import mixed, set_digest, shingle_sets, slices
 
 #: words of a shingle, and the least similarity of a link in percent
@@ -43,7 +44,7 @@ BOUND = (f"100 * {{a}}n >= {PERCENT} * {{b}}n and 100 * {{b}}n >= {PERCENT} * {{
 _DIFFER = " + ".join("bit_count(" + " | ".join(f"({{a}}g{p}_{w} ^ {{b}}g{p}_{w})" for p in range(BITS)) + ")" for w in range(WORDS))
 _CHANCE = 2.0 ** -BITS
 ESTIMATE = f"((1 - ({_DIFFER}) / {MINIMA}D - {_CHANCE}D) / {1 - _CHANCE}D)"
-NEAR = f"{ESTIMATE} >= {PERCENT / 100 - MARGIN:.4f}D"
+NEAR = f"{parity_bound(PERCENT)} and {ESTIMATE} >= {PERCENT / 100 - MARGIN:.4f}D"
 
 _rng = np.random.default_rng(20250611)
 _XOR = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,16 +147,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # whole sets of those under a shared band only
     candidates = written(sets.drop("bands").join(met.select("sid").distinct(), "sid", "left_semi"), "candidate-sets")
     tokens = token_sets(texts, filter_bits(candidates), width, "shingle-sets").filter("tokens is not null").select("c1", "c2", "tokens")
-    full = written(candidates.join(tokens.dropDuplicates(["c1", "c2"]), ["c1", "c2"]).select("sid", "n", "tokens", *PLANES), "candidate-shingles")
+    full = candidates.join(tokens.dropDuplicates(["c1", "c2"]), ["c1", "c2"]).select("sid", "n", "tokens", *PLANES)
+    full = written(with_sketches(full), "candidate-shingles")
     # shingles that no other candidate has: a row for each shingle, no join back
     alone = full.select("sid", "tokens").mapInArrow(_shingles, "token long, sid long").groupBy("token").agg(
         F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).filter("sets = 1").groupBy("sid").agg(F.count(F.lit(1)).alias("own"))
     known = full.select("sid", "n").join(alone, "sid", "left").select("sid", "n", F.expr("n - coalesce(own, 0)").alias("shared"))
     known = written(known.filter(f"100 * shared >= {PERCENT} * n").withColumn("pri", priority("n - shared")), "screened-sets")
     busy = pivoted(met.join(known, "sid").select("key", "sid", "pri", "n", "shared", "prev"), "busy-bands")
-    labels = linked(busy, full, BOUND, NEAR, similar(PERCENT), PLANES)
+    labels = linked(busy, full, BOUND, NEAR, similar(PERCENT), [*SKETCH, *PLANES])
     return named_rows(signed, sets, labels).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op11_bbit_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL = jaccard_sql(WIDTH, PERCENT, ", l.doc_id = component_id AS kept")

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from .words import text_bytes
 
 #: every repeat of this many bytes is found
 LEAST_BYTES = 96
+#: documents without an id are told apart by numbers from here on, far below all ids
+NAMELESS = -(1 << 63)
 #: one of this many neighbouring places at least is a boundary: chunks of about 21 bytes
 REACH = 41
 _rng = np.random.default_rng(7)
@@ -75,7 +79,12 @@ def digests(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 def _windows(window: int):
     def run(batches):
+        nameless = NAMELESS + (TaskContext.get().partitionId() << 33)
         for batch in batches:
+            ids = batch.column(0)
+            if ids.null_count:
+                own = np.cumsum(np.asarray(ids.is_null())) + nameless
+                ids, nameless = pc.if_else(ids.is_null(), pa.array(own), ids), int(own[-1])
             for a, b in slices(batch.column(1)):
                 flat, offsets = text_bytes(batch.column(1).slice(a, b - a))
                 _, ends = chunk_spans(flat, offsets, window)
@@ -90,7 +99,7 @@ def _windows(window: int):
                 last = np.append(first[1:], len(ends))[:len(first)] - 1
                 start, row = ends[first] - window, row[first]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(digest[first].view(np.int64)), batch.column(0).slice(a, b - a).take(pa.array(row)),
+                    pa.array(digest[first].view(np.int64)), ids.slice(a, b - a).take(pa.array(row)),
                     pa.array(start - offsets[row]), pa.array((ends[last] - start).astype(np.int32))], ["digest", "doc_id", "start", "length"])
 
     return run
@@ -102,17 +111,19 @@ def repeated_passages(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFr
 
     Every byte of a passage lies in a repeat of ``least_bytes - REACH + 1`` bytes or more. Every repeat of ``least_bytes`` bytes or more is
     reported, short of fewer than REACH bytes at either end. Documents without such a passage have no row. Null and empty texts have no chunks;
-    rows with a null doc_id have no identity to report and are left out; rows that repeat a doc_id count as one document. ``docs`` needs
-    doc_id (a whole number) and text; other columns are not read. No rows give no rows.
+    a row with a null doc_id is a document of its own, its passages are reported under a null doc_id, and first_doc_id is null where no document
+    with an id has the passage; rows that repeat a doc_id count as one document, and what repeats inside one document alone is no passage. ``docs`` needs
+    doc_id (a whole number, above -2^62) and text; other columns are not read. No rows give no rows.
     """
     window = least_bytes - REACH + 1
     if window < REACH:
         raise ValueError(f"least_bytes must be {2 * REACH - 1} or more")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunks = texts.mapInArrow(_windows(window), "digest long, doc_id long, start long, length int")
     # combined before the shuffle: a digest of any number of rows is one row per task
-    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")) \
-        .filter("first_doc_id <> last").drop("last")
+    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"),
+                                          F.min(F.when(F.col("doc_id") > -(1 << 62), F.col("doc_id"))).alias("first_doc_id")) \
+        .filter("least <> last").drop("least", "last")
     found = written(chunks.join(written(shared, "shared-chunks"), "digest").drop("digest"), "repeated-chunks")
     place = Window.partitionBy("doc_id").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
     found = found.distinct().withColumn("gap", ~F.coalesce(
@@ -120,7 +131,8 @@ def repeated_passages(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFr
     found = found.withColumn("run", F.sum(F.col("gap").cast("int")).over(place.rowsBetween(Window.unboundedPreceding, 0)))
     return found.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"),
-        F.count(F.lit(1)).alias("chunks"), F.min("first_doc_id").alias("first_doc_id")).drop("run")
+        F.count(F.lit(1)).alias("chunks"), F.min("first_doc_id").alias("first_doc_id")).drop("run") \
+        .withColumn("doc_id", F.when(F.col("doc_id") > -(1 << 62), F.col("doc_id")))
 
 
 def op3_gear_chunks(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,10 @@ REGISTRY = {
 }
 
 ORACLE = {
+    "op1_warc": warc.SQL,
     "op6_block_naming": block_naming.SQL,
     "op7_url_automaton": url_automaton.SQL,
+    "op9_token_combinations": token_combinations.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_bbit_minhash": bbit_minhash.SQL,
 }

@@ -33,6 +33,32 @@ GROWTH = 4096
 SALTED = 1024
 
 
+SKETCH = [f"s{i}" for i in range(8)]
+
+
+def parity_bound(percent: int) -> str:
+    """SQL that holds for all links: the parity sketches of two sets differ in no more classes than the sets differ in shingles."""
+    differ = " + ".join(f"bit_count({{a}}{c} ^ {{b}}{c})" for c in SKETCH)
+    return f"{100 + percent} * ({differ}) <= {100 - percent} * ({{a}}n + {{b}}n)"
+
+
+def _sketched(batches):
+    """Sets (tokens, ...) with s0..s7: for each of 512 classes of shingles whether their number is odd."""
+    for batch in batches:
+        bits = np.zeros((batch.num_rows, 512), dtype=bool)
+        for i, tokens in enumerate(batch.column(0)):
+            x = np.frombuffer(tokens.as_buffer(), dtype=np.uint64)
+            bits[i] = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
+        words = np.packbits(bits, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(words[:, k].copy()) for k in range(8))], [*batch.schema.names, *SKETCH])
+
+
+def with_sketches(sets: DataFrame) -> DataFrame:
+    """``sets`` with the parity sketch of its column ``tokens``."""
+    rows = sets.select("tokens", *[c for c in sets.columns if c != "tokens"])
+    return rows.mapInArrow(_sketched, T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in SKETCH)]))
+
+
 def spread_evenly(sid: str = "sid") -> F.Column:
     """A number in [0, 1) that depends on the set's number alone."""
     return F.expr(f"xxhash64({sid}) / 18446744073709551616.0D + 0.5D")
@@ -243,3 +269,21 @@ def named_rows(shingled: DataFrame, sets: DataFrame, labels: DataFrame | None) -
     rows = shingled.select("doc_id", F.col("n").alias("n_shingles"), "c1", "c2")
     out = join_salted(rows.filter("n_shingles > 0"), ids, ["c1", "c2"], ["doc_id"]).select("doc_id", "n_shingles", "component_id")
     return out.union(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def jaccard_sql(width: int, percent: int, more: str = "") -> str:
+    """DuckDB SQL of the components by plain comparison: a join on shingles and a recursive closure."""
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 1}, least(len(w), 1)) + 1)) AS i FROM words),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {width - 1}], ' ') AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * m >= {percent} * (x.n + y.n - m)),
+reach(v, r) AS (SELECT doc_id, doc_id FROM words UNION SELECT v, b FROM reach JOIN links ON r = a),
+least_ AS (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v)
+SELECT l.doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
+FROM least_ l LEFT JOIN sizes z ON z.doc_id = l.doc_id
+"""

@@ -23,19 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table, written
-from .set_links import filter_bits, linked, named_rows, pivoted, priority, similar, token_sets
+from .set_links import SKETCH, filter_bits, jaccard_sql, linked, named_rows, parity_bound, pivoted, priority, similar, token_sets, with_sketches
 from .shingles import set_digest, shingle_sets, slices
 
 #: shingles in at most this many documents are indexed singly
 RARE = 8
 #: share of the hash space that the screen counts
 SCREENED = 0.4
-SKETCH = [f"s{i}" for i in range(8)]
 #: what links under a key keep: sizes, and enough shared shingles before and after the places of the key
 BOUND = ("4 * {a}n >= 3 * {b}n and 4 * {b}n >= 3 * {a}n and 7 * least({a}shared, {b}shared) >= 3 * ({a}n + {b}n) "
          "and 7 * (least({a}place - 1, {b}place - 1) + least({a}n - {a}place + 1, {b}n - {b}place + 1)) >= 3 * ({a}n + {b}n)")
-#: what all links keep: the parities differ in no more classes than the sets differ in shingles
-NEAR = "7 * (" + " + ".join(f"bit_count({{a}}{c} ^ {{b}}{c})" for c in SKETCH) + ") <= {a}n + {b}n"
+NEAR = parity_bound(75)
+
 
 _LEFT = T.StructType([T.StructField(c, T.LongType()) for c in ("token", "cls", "w")])
 _VOTE = T.StructType([T.StructField("cls", T.LongType()), T.StructField("v", T.LongType())])
@@ -129,17 +128,6 @@ def _unpacked(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid)), pa.array(np.full(len(x), n))], ["token", "sid", "n"])
 
 
-def _sketched(batches):
-    """Sets (..., tokens) with s0..s7: for each of 512 classes of shingles whether their number is odd."""
-    for batch in batches:
-        bits = np.zeros((batch.num_rows, 512), dtype=bool)
-        for i, tokens in enumerate(batch.column(batch.num_columns - 1)):
-            x = np.frombuffer(tokens.as_buffer(), dtype=np.uint64)
-            bits[i] = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
-        words = np.packbits(bits, axis=1).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(words[:, k].copy()) for k in range(8))], [*batch.schema.names, *SKETCH])
-
-
 def _keys(sets: DataFrame, rare: int) -> DataFrame:
     """The index: (key, sid, pri, n, shared, place, prev)."""
     tokens = sets.select("sid", "n", "tokens").mapInArrow(_unpacked, "token long, sid long, n long")
@@ -169,11 +157,13 @@ def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     shingled = token_sets(texts, filter_bits(screened), 5, "shingle-sets")
     sets = shingled.filter("tokens is not null").join(screened, "c1", "left_semi") \
         .dropDuplicates(["c1", "c2"]).select(F.monotonically_increasing_id().alias("sid"), "c1", "c2", "n", "tokens")
-    sketched = T.StructType([*sets.schema.fields, *(T.StructField(c, T.LongType()) for c in SKETCH)])
-    sets = written(sets.mapInArrow(_sketched, sketched), "sets")
+    sets = written(with_sketches(sets), "sets")
     labels = linked(pivoted(_keys(sets, rare), "keys"), sets.select("sid", "n", "tokens", *SKETCH), BOUND, NEAR, similar(75), SKETCH)
     return named_rows(shingled, sets, labels)
 
 
 def op9_token_combinations(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+SQL = jaccard_sql(5, 75)

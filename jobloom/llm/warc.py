@@ -30,7 +30,9 @@ PREFIX = "urn:jobloom:page:"
 DATE = "1970-01-01T00:00:00Z"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 3
-RECORDS_PER_FILE = 5000
+#: bytes of gzip members that are written as one row of the sink, and bytes of a file
+BUNDLE_BYTES = 1 << 20
+FILE_BYTES = 64 << 20
 
 
 def base32_sha1(data) -> str:
@@ -208,31 +210,47 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 # ---------------------------------------------------------------- writing
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """Archive ``pages`` (page_id, url, html): one record per row, equal payloads as revisits of the smallest page_id.
 
+    Files are cut by bytes: the sink gets bundles of members of about ``BUNDLE_BYTES``, and a file so many that ``file_bytes`` holds them even if
+    each ended with the largest record of the table; a larger record has a file of its own. So a reader can take any file as one value.
     A null html is an empty payload, a null url has no target. A null page_id is never the smallest unless its group has no other; rows that
     repeat the smallest page_id of a payload are all responses. No rows make no records.
     """
     src = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     src = src.withColumn("sha", F.unhex(F.sha1("payload")))
-    repeated = written(src.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
-                       "repeated-payloads")
-    rows = join_small(src, repeated, "sha", "left").select(
+    groups = src.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"),
+                                    F.max(F.octet_length("payload") + F.coalesce(F.octet_length("url"), F.lit(0))).alias("bytes"))
+    groups = written(groups, "payloads")
+    largest = groups.agg(F.max("bytes")).first()[0] or 0
+    # headers and what gzip adds to data that does not shrink are small beside that
+    bundles = max(1, file_bytes // (BUNDLE_BYTES + largest + largest // 1000 + 4096))
+    rows = join_small(src, groups.filter("n > 1").select("sha", "first"), "sha", "left").select(
         "page_id", "url", "payload", "first",
         (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).alias("revisit"))
 
+    def row_of(members):
+        # the sink ends each row with a zero byte: that of the last member itself, or of an empty member after it
+        data = b"".join(members)
+        return pa.RecordBatch.from_arrays([pa.array([data[:-1] if data.endswith(b"\0") else data + _EMPTY[:-1]], pa.binary())], ["members"])
+
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            out = []
-            for page_id, url, payload, first, revisit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                member = gzip_member(record("revisit" if revisit else "response", page_id, url, payload, first if revisit else None))
-                # the sink ends each row with a zero byte: that of the member itself, or of an empty member after it
-                out.append(member[:-1] if member.endswith(b"\0") else member + _EMPTY[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+            for page_id, url, payload, first, revisit in zip(*batch.columns, strict=True):
+                member = gzip_member(record("revisit" if revisit.as_py() else "response", page_id.as_py(), url.as_py(), payload.as_py(),
+                                            first.as_py() if revisit.as_py() else None))
+                held.append(member)
+                size += len(member)
+                if size >= BUNDLE_BYTES:
+                    yield row_of(held)
+                    held, size = [], 0
+        if held:
+            yield row_of(held)
 
-    members = rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
-    members.write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path)
+    members = rows.mapInArrow(run, "members binary").select(F.col("members").cast("string").alias("value"))
+    members.write.option("lineSep", "\0").option("maxRecordsPerFile", bundles).text(path)
 
 
 def archived_pages(pages: DataFrame) -> DataFrame:
@@ -247,3 +265,16 @@ def archived_pages(pages: DataFrame) -> DataFrame:
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
+
+
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id,
+             list_transform(range(8), lambda k: ('0x' || substr(hex, CAST(k * 5 + 1 AS INTEGER), 5))::INTEGER) AS fives FROM p)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((fives[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31) AS INTEGER), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from jobloom.operators.joins import join_small
+
 from .common import table, written
 from .shingles import _BYTE, _STEP, mixed, slices, word_hashes
 from .words import text_bytes
@@ -27,8 +29,7 @@ from .words import text_bytes
 #: label model and classifier see at most about this many labelled rows: up to half of either class, and what one class leaves of the
 #: other, chosen by a hash of their id and weighted by their class's share of all. The terms come from all labelled rows.
 SAMPLE_ROWS = 8000
-#: terms of the classifier, and how many voters they are dealt to
-TERMS = 1024
+#: voters that the terms of the classifier are dealt to
 VOTERS = 32
 #: a term needs this many toxic texts, this log-likelihood ratio, and to be this many times as frequent in toxic texts
 LEAST_TEXTS, LEAST_G2, LEAST_LIFT = 3, 10.0, 6.0
@@ -189,11 +190,13 @@ def sample_sizes(toxic: int, clean: int, rows: int) -> tuple[int, int]:
     return min(toxic, max(rows // 2, rows - clean)), min(clean, max(rows // 2, rows - toxic))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int = TERMS, voters: int = VOTERS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, voters: int = VOTERS) -> Model:
     """The model. Without labelled rows of both classes it has no terms and scores every text 0."""
     known = known_labels(labels)
     texts = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = {r["toxic"]: r["count"] for r in texts.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
+    # labels of documents that are there: others are no part of the counts nor of the sample
+    known = written(known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), "known-labels")
+    counts = {r["toxic"]: r["count"] for r in join_small(texts.select("doc_id"), known, "doc_id").groupBy("toxic").count().collect()}
     toxic, clean = counts.get(True, 0), counts.get(False, 0)
     nothing = Model(np.empty(0, np.uint64), np.empty(0), -1e3, np.empty((2, 0)), np.empty((0, 0)))
     if not toxic or not clean:
@@ -201,18 +204,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     share = [n / m for n, m in zip(sample_sizes(toxic, clean, rows), (toxic, clean), strict=True)]
     place = F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5
     chosen = known.filter(place < F.when(F.col("toxic"), share[0]).otherwise(share[1]))
-    # the sample's ids are about ``rows`` at any size; all labels are not bounded, so that join is dealt at every size alike
-    sample = written(texts.filter(place < max(share)).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "training-rows")
-    found = texts.join(known.hint("merge"), "doc_id").select("text", "toxic").mapInArrow(_document_counts, "term long, toxic long, clean long") \
+    # labels are broadcast where they are measured small, which spares the texts a shuffle, else dealt with the texts by id
+    sample = written(join_small(texts.filter(place < max(share)), chosen, "doc_id").select("text", "toxic"), "training-rows")
+    found = join_small(texts, known, "doc_id").select("text", "toxic").mapInArrow(_document_counts, "term long, toxic long, clean long") \
         .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     expected = f"(a + b) * {toxic / (toxic + clean)}D"
     part = lambda x, e: f"{x} * ln(greatest({x}, 1e-9D) / greatest({e}, 1e-9D))"
     found = found.filter(f"a >= {LEAST_TEXTS} and (a + 0.5D) / {toxic + 1} >= {LEAST_LIFT} * (b + 0.5D) / {clean + 1}").withColumn(
         "g2", F.expr(f"2 * ({part('a', expected)} + {part('b', f'(a + b - {expected})')})")).filter(f"g2 >= {LEAST_G2}")
-    best = found.orderBy(F.desc("g2"), "term").limit(terms).select("term").collect()
+    # every term that passes: words of toxic texts alone pass, so their number grows with that vocabulary and not with the corpus
+    best = sorted((-r["g2"], r["term"]) for r in found.select("g2", "term").collect())
     if not best:
         return nothing
-    ranked = np.array([r["term"] for r in best], dtype=np.int64).view(np.uint64)
+    ranked = np.array([t for _, t in best], dtype=np.int64).view(np.uint64)
     names = np.sort(ranked)
     model = Model(names, np.zeros(len(names)), 0.0, np.empty((2, 0)), np.empty((0, 0)))
     patterns = pattern_votes(pa.array([""])).shape[1]
@@ -227,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
                                                   pa.ListArray.from_arrays(first, pa.array(strength)),
                                                   pa.array(pattern_votes(texts.slice(a, b - a)).tolist(), pa.list_(pa.bool_()))], ["toxic", "terms", "strengths", "patterns"])
 
-    # about SAMPLE_ROWS rows of at most TERMS small numbers: a bound that does not grow with the corpus
+    # about SAMPLE_ROWS rows of the terms they hold: a bound that does not grow with the corpus
     seen = sample.mapInArrow(votes, "toxic boolean, terms array<long>, strengths array<double>, patterns array<boolean>").collect()
     seen.sort(key=lambda r: (r["toxic"], r["terms"], r["strengths"], r["patterns"]))
     row = np.repeat(np.arange(len(seen)), [len(r["terms"]) for r in seen])

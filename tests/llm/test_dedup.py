@@ -185,6 +185,10 @@ def test_repeated_passages(spark):
         assert data.decode() in f" {passages[r['doc_id'] % 12]} " and r["first_doc_id"] == r["doc_id"] % 12
     found = gear_chunks.repeated_passages(documents(spark)).collect()
     assert {r["doc_id"] for r in found} >= {10, 11, 12} and None not in {r["doc_id"] for r in found}
+    # documents without an id share passages like others
+    nameless = [(None, passages[0], "en", "s"), (None, f"x {passages[1]}", "en", "s"), (None, passages[1], "en", "s"), (7, f"{passages[0]} y", "en", "s")]
+    shared = sorted((str(r["doc_id"]), str(r["first_doc_id"])) for r in gear_chunks.repeated_passages(documents(spark, nameless)).collect())
+    assert shared == [("7", "7"), ("None", "7"), ("None", "None"), ("None", "None")]
 
 
 def test_an_insertion_moves_few_chunk_boundaries():

@@ -30,9 +30,10 @@ def test_archives_round_trip(spark):
     assert warc.archived_pages(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_archives_are_gzip_members_that_any_reader_takes(spark):
+def test_archives_are_gzip_members_that_any_reader_takes(spark, monkeypatch):
     path = scratch(spark, "warc-test")
-    warc.write_archives(spark.createDataFrame(PAGES, SCHEMA), path, records_per_file=3)
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 1)
+    warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), path, file_bytes=1000000)
     rows = warc.read_archives(spark, path).collect()
     assert {r["kind"] for r in rows} == {"record"} and len({r["archive"] for r in rows}) > 1
     assert {bytes(r["payload"]) for r in rows if r["payload"] is not None} == {(h or "").encode() for _, _, h in PAGES}
@@ -46,6 +47,19 @@ def test_archives_are_gzip_members_that_any_reader_takes(spark):
         assert out.count(b"WARC/1.1\r\nWARC-Type") <= 3
 
 
+def test_files_are_cut_by_bytes(spark):
+    """Payloads that do not shrink, of very different sizes: no file is over the limit, and all come back."""
+    rng = random.Random(6)
+    html = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789", k=k)) for k in [700_000] * 4 + [1000] * 500 + [0, 5]]
+    path = scratch(spark, "warc-bytes")
+    pages = spark.createDataFrame([(i, "http://h/", h) for i, h in enumerate(html)], SCHEMA).repartition(2)
+    warc.write_archives(pages, path, file_bytes=3 << 20)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert len(sizes) > 2 and max(sizes) <= 3 << 20
+    rows = warc.read_archives(spark, path).collect()
+    assert sorted(int(r["record_id"].rsplit(":", 1)[1]) for r in rows if r["kind"] == "record") == list(range(len(html)))
+
+
 def _archive(n=30, plain=False):
     records = [warc.record("response", i, f"http://h/{i}", hashlib.sha256(bytes([i])).hexdigest().encode() * (1 + i % 5)) for i in range(n)]
     return [r if plain else warc.gzip_member(r) for r in records]
@@ -127,6 +141,56 @@ def test_url_rules(spark):
     assert url_automaton.judge_urls(pages.limit(0)).count() == 0
 
 
+CONFIG = """intro text
+[storage]
+# the account
+CLIENT_ID={}
+
+region: eu
+{}
+client-secret = "{}"
+endpoint = https://s3.host
+prose begins here
+"""
+
+
+def test_weak_identifiers_and_configuration_blocks(spark):
+    blob = "aB3" * 14
+    far = "\n".join(f"option{i} = {i}" for i in range(60))  # parts of one block may stand far apart
+    texts = [CONFIG.format("someone1", far, blob), CONFIG.format("someone1", "A line of prose cuts the block.\n" + far, blob)]
+    texts += [f"{name}=someone1 {blob} https://s3.host/x" for name in ("CLIENT_ID", "clientId", "client-id", "Account-Name", "USERNAME", "ACCOUNTID")]
+    rows = credentials.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    kinds = {r["doc_id"]: {s.split(":")[0] for s in r["spans"].split(",") if s} for r in rows}
+    assert {"assign", "weak_id", "endpoint"} <= kinds[0] and kinds[1] == {"assign"}
+    for i in range(2, len(texts)):
+        assert kinds[i] == {"weak_id", "weak_secret", "endpoint"}, texts[i]
+
+
+def _plain_base(text):
+    """Base spans by the contract's words alone: one pattern after the other, leftmost, non-overlapping, short ones dropped."""
+    found = []
+    for kind, pattern, least in (("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+                                  r"""[aA][pP][iI]_?[kK][eE][yY])["']?[ ]*[:=][ ]*["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", 6),
+                                 ("access", r"(?P<v>AKIA[A-Z0-9]+)", 20), ("hex", r"(?P<v>[0-9a-f]+)", 24)):
+        at = 0
+        while (m := re.compile(pattern).search(text, at)):
+            if len(m["v"]) >= least:
+                found.append((m.start(), ("assign", "access", "hex").index(kind), kind, m.end()))
+            at = m.end()
+    return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(found))
+
+
+def test_base_spans_against_the_words_of_the_contract(spark):
+    rng = random.Random(12)
+    pieces = ["password", "PassWD", "secret", "ToKen", "api_key", "APIKEY", "=", ":", " ", '"', "'", "abc", "0123456789abcdef" * 2, "AKIA", "Z9" * 9, "é", "deadbeef", "\n", "x" * 5, "_", "."]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 40))) for _ in range(1500)]
+    for r in credentials.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        plain = _plain_base(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(plain.encode()).hexdigest(), texts[r["doc_id"]]
+        counts = [plain.count(f"{k}:") for k in ("assign", "access", "hex")]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == counts
+
+
 KEY = "AKIA" + "Z" * 16
 BLOB = "aB3" * 14
 
