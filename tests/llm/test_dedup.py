@@ -230,6 +230,35 @@ def test_fingerprints(spark):
     assert PASSAGE in by_text
 
 
+def test_fingerprints_are_those_of_a_plain_one_permutation_minhash(spark):
+    """Bins, minima, random orders of empty bins and packed bits by plain Python over the hashed shingles; very long and null-id rows too."""
+    import re
+
+    rows = ROWS + [(300 + i, " ".join(f"t{j}" for j in range(i * i)), "en", "s") for i in range(30)]
+    got = {r["doc_id"]: r for r in one_permutation.fingerprints(documents(spark, rows)).collect() if r["doc_id"] is not None}
+    begin, step = ([int(x) for x in re.findall(r"\d+", text)] for text in one_permutation._orders())
+    words = spark.createDataFrame([(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t, *_ in rows], "d long, w array<string>")
+    hashed = words.selectExpr("d", "transform(w, x -> xxhash64(x)) as w").selectExpr(
+        "d", "case when size(w) >= 5 then transform(sequence(0, size(w) - 5), i -> xxhash64(w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])) "
+             "when size(w) > 0 then array(xxhash64(w)) else array() end as h")
+    for r in hashed.filter("d is not null").collect():
+        least: dict[int, int] = {}
+        for h in r["h"]:
+            u = h & (1 << 64) - 1
+            least[u >> 57] = min(least.get(u >> 57, u), u)
+        codes = []
+        for b in range(128 if least else 0):
+            t = 0
+            while (begin[b] + t * step[b]) % 128 not in least and b not in least:
+                t += 1
+            codes.append((least[b] if b in least else least[(begin[b] + t * step[b]) % 128]) & 255)
+        assert got[r["d"]]["fingerprint"].lower() == bytes(codes).hex()
+    by_code = lambda a, b: max(0.0, (sum(x == y for x, y in zip(bytes.fromhex(a), bytes.fromhex(b), strict=True)) / 128 - 1 / 256) / (1 - 1 / 256))
+    for r in got.values():
+        if r["fingerprint"] and r["edited_fingerprint"]:
+            assert abs(r["near_edited"] - by_code(r["fingerprint"], r["edited_fingerprint"])) < 1e-12
+
+
 @pytest.mark.parametrize("op", [block_naming.exact_duplicates, token_combinations.jaccard_components, bbit_minhash.near_duplicates,
                                 gear_chunks.repeated_passages, one_permutation.fingerprints])
 def test_no_rows(spark, op):

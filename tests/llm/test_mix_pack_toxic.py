@@ -193,6 +193,29 @@ def test_label_model_finds_good_bad_and_repeated_voters():
     assert abs(rates[0, 5] - rates[1, 5]) < 0.1 and correlations[0, 4] > 0.7 and abs(correlations[0, 1]) < 0.2
 
 
+@pytest.mark.parametrize("written_first", [True, False])
+def test_dedup_stages_decide_by_row(spark, tmp_path, written_first):
+    """Ids that are null or repeated keep and drop nothing but their own rows; extra columns stay those of the row kept."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, "dup X", "a"), (9, "DUP x", "b"), (5, "unique five", "c"), (1, "Same text", "d"), (None, "same text", "e"), (None, "other text", "f"),
+            (None, "Other Text", "g"), (7, near, "h"), (None, near + " more", "i"), (7, "seven", "j"), (3, None, "k"), (4, "", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    if written_first:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    exact = stages["exact_dedup"](spark, docs, "")
+    assert exact.columns == docs.columns
+    kept = sorted(r["source"] for r in exact.collect())
+    assert kept in (["b", "c", "d", "f", "h", "i", "j", "l"], ["b", "c", "d", "g", "h", "i", "j", "l"])
+    assert kept == sorted(r["source"] for r in stages["exact_dedup"](spark, docs, "").collect())
+    near_rows = sorted(r["source"] for r in stages["near_dedup"](spark, docs, "").collect())
+    # of equal texts the smallest id stays, of near copies too: 5 before 9, 1 and 7 before null
+    assert near_rows in (["a", "c", "d", "f", "h", "j", "k", "l"], ["a", "c", "d", "g", "h", "j", "k", "l"])
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
