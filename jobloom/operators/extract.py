@@ -111,7 +111,7 @@ def _text_of(inner: Column, lo: Column, hi: Column) -> Column:
     return F.when(lo.isNotNull(), F.array_join(nodes, " ")).otherwise(anchor_text(inner))
 
 
-def _candidate_columns(marker: str) -> dict:
+def _candidate_columns(marker: str, keep_all: bool) -> dict:
     """The per-page arrays as Columns over ``_html``, ``_anchors`` and ``_base_parts`` (built once)."""
     html = F.coalesce(F.col("_html"), F.lit(""))
     base = F.col("_base_parts")  # split_url(origin + "/"), parsed once per page
@@ -119,7 +119,7 @@ def _candidate_columns(marker: str) -> dict:
     job_links = F.filter(F.transform(F.col("anchor_links"), lambda x: F.struct(
         x["pos"].alias("pos"), x["href"].alias("href"), x["inner"].alias("inner"), x["lo"].alias("lo"), x["hi"].alias("hi"),
         job_slug(x["href"], marker).alias("slug"),
-        canonical_join(base, x["href"]).alias("url"))),
+        canonical_join(base, x["href"], keep_all).alias("url"))),
         lambda x: x["slug"].isNotNull() & x["url"].isNotNull())
     raw_slugs = F.regexp_extract_all(html, F.lit(career_slug_pattern(marker)), F.lit(1))
     slugs = F.filter(raw_slugs, lambda s: ~F.lower(s).isin(*V.NOT_A_SLUG))
@@ -130,7 +130,8 @@ def _candidate_columns(marker: str) -> dict:
 
 
 def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
-                    url: str = "url", marker: str = V.JOB_PATH_MARKER, title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
+                    url: str = "url", marker: str = V.JOB_PATH_MARKER, title_max_chars: int = V.TITLE_MAX_CHARS,
+                    keep_all_query_params: bool = False) -> DataFrame:
     """Adds per-page arrays: ``anchor_links`` (candidates after FLT-2), ``job_links``
     (after FLT-3/FLT-4, with key and canonical URL), ``slugs`` and ``slug_links``.
 
@@ -138,7 +139,7 @@ def page_candidates(pages: DataFrame, html: str = "html", origin: str | Column |
     """
     origin_col = (site_origin(F.col(url)) if origin is None
                   else (F.col(origin) if isinstance(origin, str) else origin))
-    cols = built_once(("page_candidates", marker), lambda: _candidate_columns(marker))
+    cols = built_once(("page_candidates", marker, keep_all_query_params), lambda: _candidate_columns(marker, keep_all_query_params))
     base = F.concat(F.regexp_replace(origin_col, "/+$", ""), F.lit("/"))
     df = spread(pages).withColumn("_html", F.col(html)).withColumn("_base_parts", split_url(base))
     # a title keeps title_max_chars characters: more text nodes than that, each a character at least, cannot matter
@@ -183,11 +184,11 @@ def _row_columns(title_max_chars: int) -> dict:
 
 def extract_pages(pages: DataFrame, html: str = "html", origin: str | Column | None = None,
                   url: str = "url", marker: str = V.JOB_PATH_MARKER,
-                  title_max_chars: int = V.TITLE_MAX_CHARS, include_slugs: bool = True) -> DataFrame:
+                  title_max_chars: int = V.TITLE_MAX_CHARS, include_slugs: bool = True, keep_all_query_params: bool = False) -> DataFrame:
     """Per page: the ordered job rows (``rows``: phase, pos, position_title, job_url)
     plus the arrays behind the counters of AGG-6. Blank pages give no rows (FLT-1).
     ``include_slugs=False`` gives the anchor rows alone (AGG-2)."""
-    df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker, title_max_chars)
+    df = page_candidates(pages.filter(nonblank(F.col(html))), html, origin, url, marker, title_max_chars, keep_all_query_params)
     if not include_slugs:
         df = df.withColumn("slug_links", F.array().cast(df.schema["slug_links"].dataType))
     cols = built_once(("extract_rows", title_max_chars), lambda: _row_columns(title_max_chars))

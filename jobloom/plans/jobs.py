@@ -18,7 +18,7 @@ from jobloom.functions import vocab as V
 from jobloom.plans import produce as PR
 from jobloom.functions.urls import site_origin
 from jobloom.sinks.kafka import include_headers, publish, publish_options
-from jobloom.sources.config import load_sources, sources_without_pages
+from jobloom.sources.config import SourceConfigError, load_sources, merged_listings, sources_without_pages
 from jobloom.sources.messages import broker_options, consumer_options, read_messages
 from jobloom.sources.pages import cap_body_size, read_pages, rejected_pages
 from jobloom.streaming.consumer import ConsumerConfig, consume
@@ -37,18 +37,25 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
                 fallback_url: str | None = None, rows_per_batch: int = V.ROWS_PER_PAYLOAD,
                 max_response_bytes: int | None = None, topic: str | None = None, sink_path: str | None = None,
                 kafka: dict | None = None, event_hubs: bool = False, max_message_bytes: int | None = None,
-                join_on: str = "url", rejects_path: str | None = None, single_message: bool = False) -> dict:
+                join_on: str = "url", rejects_path: str | None = None, single_message: bool = False,
+                merge_urls: str | None = None, title_max_chars: int = V.TITLE_MAX_CHARS, keep_all_query_params: bool = False) -> dict:
     """Pages -> merged Parquet output (+ batched messages). Returns run counts.
 
     With ``sources_json`` (or ``fallback_url``) pages are matched to sources on
     ``join_on``; otherwise every page is its own source. Zero rows fail the run. Pages over the byte cap are left
     out, counted and, with ``rejects_path``, listed; a run over one listing (``fallback_url`` alone) fails on them. Sources without
-    an accepted page are counted. ``single_message`` publishes the whole output as one message.
+    an accepted page are counted. ``single_message`` publishes the whole output as one message. With ``merge_urls`` (comma-separated) the
+    jobs of further listings follow those of ``fallback_url``, first occurrence of a job kept. ``keep_all_query_params`` keeps job URLs
+    apart that differ in tracking parameters only.
     """
     landed = read_pages(spark, pages_path)
     pages = cap_body_size(landed, max_bytes=max_response_bytes)
-    sources = (load_sources(spark, sources_json, fallback_url)
-               if (sources_json or fallback_url) else None)
+    if merge_urls and not sources_json:
+        if not (fallback_url or "").strip():
+            raise SourceConfigError("a merge list needs the primary listing URL")
+        sources = merged_listings(spark, fallback_url, merge_urls)
+    else:
+        sources = load_sources(spark, sources_json, fallback_url) if (sources_json or fallback_url) else None
     rejects = rejected_pages(landed, max_bytes=max_response_bytes)
     if rejects_path:
         rejects.write.mode("overwrite").parquet(rejects_path)
@@ -58,7 +65,8 @@ def produce_job(spark: SparkSession, *, pages_path: str, merged_path: str, sourc
         raise EmptyRunError(f"{n_rejected} page(s) of the listing are over the byte cap")
     n_failed = 0 if sources is None else sources_without_pages(pages.withColumn(
         "origin", site_origin("url")) if join_on == "origin" else pages, sources, join_on).count()
-    result = PR.produce(pages, sources, rows_per_batch=rows_per_batch, on=join_on)
+    result = PR.produce(pages, sources, rows_per_batch=rows_per_batch, on=join_on, title_max_chars=title_max_chars,
+                        keep_all_query_params=keep_all_query_params)
     # a count over the checkpointed numbering (cheap); DataFrame.observe upstream of the
     # range sort would count twice, because the sort samples its input in a separate job
     n = result.merged.count()
@@ -108,6 +116,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True)
     p.add_argument("--sources")
     p.add_argument("--fallback-url")
+    p.add_argument("--merge-urls")
+    p.add_argument("--keep-all-query-params", action="store_true")
+    p.add_argument("--title-max-chars", type=int, default=V.TITLE_MAX_CHARS)
     p.add_argument("--rows-per-batch", type=int, default=V.ROWS_PER_PAYLOAD)
     p.add_argument("--topic")
     p.add_argument("--sink")
@@ -135,7 +146,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "produce":
         stats = produce_job(spark, pages_path=args.pages, merged_path=args.out, sources_json=args.sources,
                             fallback_url=args.fallback_url, rows_per_batch=args.rows_per_batch, topic=args.topic,
-                            sink_path=args.sink, kafka=broker, event_hubs=bool(args.eventhub_connection_string))
+                            sink_path=args.sink, kafka=broker, event_hubs=bool(args.eventhub_connection_string),
+                            merge_urls=args.merge_urls, title_max_chars=args.title_max_chars, keep_all_query_params=args.keep_all_query_params)
         print(f"wrote {stats['rows']} rows to {args.out}; {stats['batches']} payload message(s)")
     else:
         consume_job(spark, out_path=args.out, messages_path=args.messages, kafka=broker, topic=args.topic,

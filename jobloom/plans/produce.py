@@ -34,32 +34,32 @@ from jobloom.sources.config import attach_source
 RECORD_ORDER = ("source_order", "page_id", "phase", "pos")
 
 
-def gather_records(pages: DataFrame, sources: DataFrame | None = None, on: str = "origin") -> DataFrame:
+def gather_records(pages: DataFrame, sources: DataFrame | None = None, on: str = "origin", **extraction) -> DataFrame:
     """``source, source_order, page_id, phase, pos, position_title, job_url``.
 
     Without ``sources`` every page is its own source (id = page origin). With
     ``sources`` (``pos, id, url, origin``) pages join on ``on`` (a page column,
     computed as the page origin when absent); the source's ``origin`` resolves
-    relative links and ``pos`` orders sources.
+    relative links and ``pos`` orders sources. ``extraction``: ``title_max_chars``, ``keep_all_query_params``.
     """
     keep = ("source", "source_order", "page_id")
     if sources is None:
         o = site_origin(F.col("url"))
         tagged = pages.select("*", o.alias("src_origin"), o.alias("source"), o.alias("source_order"))
-        return extract_jobs(tagged, keep=keep, origin="src_origin")
+        return extract_jobs(tagged, keep=keep, origin="src_origin", **extraction)
     left = pages if on in pages.columns else pages.withColumn(on, site_origin(F.col("url")))
     order = F.col("pos") if "pos" in sources.columns else F.col("id")
     side = sources.select(F.col(on), F.col("id").alias("source"), F.col("origin").alias("src_origin"),
                           order.alias("source_order"))
     tagged = attach_source(left, side, on=on, source_cols=(on, "source", "src_origin", "source_order"))
-    return extract_jobs(tagged, keep=keep, origin="src_origin")
+    return extract_jobs(tagged, keep=keep, origin="src_origin", **extraction)
 
 
 def clean_records(records: DataFrame, passes: int = 2, order=RECORD_ORDER,
-                  title_max_chars: int = V.TITLE_MAX_CHARS) -> DataFrame:
+                  title_max_chars: int = V.TITLE_MAX_CHARS, keep_all_query_params: bool = False) -> DataFrame:
     out = records
     for _ in range(passes):
-        out = sanitize_records(out, order=list(order), title_max_chars=title_max_chars)
+        out = sanitize_records(out, order=list(order), title_max_chars=title_max_chars, keep_all_query_params=keep_all_query_params)
     return out
 
 
@@ -130,9 +130,10 @@ class ProduceResult:
 
 
 def produce(pages: DataFrame, sources: DataFrame | None = None, rows_per_batch: int = V.ROWS_PER_PAYLOAD,
-            on: str = "origin") -> ProduceResult:
+            on: str = "origin", title_max_chars: int = V.TITLE_MAX_CHARS, keep_all_query_params: bool = False) -> ProduceResult:
     """Plan the whole producer run; callers write ``merged`` and publish ``messages(batches)``."""
-    recs = clean_records(gather_records(pages, sources, on=on))
+    settings = {"title_max_chars": title_max_chars, "keep_all_query_params": keep_all_query_params}
+    recs = clean_records(gather_records(pages, sources, on=on, **settings), **settings)
     num = numbered(recs)
     return ProduceResult(records=recs, merged=merged(num), batches=batches(num, rows_per_batch))
 

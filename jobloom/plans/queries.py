@@ -167,6 +167,11 @@ def extract_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EX.extract_jobs(FX.career_pages(spark, sf_dir))
 
 
+def extract_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET-3, titles only: the titles of every page in the order they are found."""
+    return EX.extract_titles(FX.career_pages(spark, sf_dir))
+
+
 def extract_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-6: per-page counters and the short-page flag."""
     return EX.extract_metrics(FX.career_pages(spark, sf_dir))
@@ -210,6 +215,16 @@ def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.listing_urls(pages, "url", extras, keep=["page_id"])
 
 
+def source_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: a configuration entry for each page, some without id, with an id, with a given origin or with a URL that is no listing's: as validated rows."""
+    k = F.col("page_id")
+    entries = FX.table(spark, sf_dir, "pages").select(
+        k.alias("pos"), F.when(k % 3 == 1, F.concat(F.lit(" p"), k.cast("string"))).when(k % 3 == 2, F.lit("")).alias("id"),
+        F.when(k % 7 == 0, F.lit("ftp://old.test/")).otherwise(F.concat(F.lit("  "), F.col("url"), F.lit("\t"))).alias("url"),
+        F.when(k % 4 == 0, F.lit("https://given.test:81//")).alias("origin"))
+    return SRC.source_rows(entries)
+
+
 def attach_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-5 / JN-1: career pages joined to their source (one source per origin)."""
     pages = FX.career_pages(spark, sf_dir).withColumn("origin", U.site_origin("url"))
@@ -333,17 +348,19 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(spark, sf_dir).groupBy("rule_no", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _message_files(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
+    """A scratch folder, and the job messages with all columns of the Kafka row shape."""
+    rows = FX.messages(spark, sf_dir).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    return _scratch(spark, name), rows
+
+
 def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-1..6: the streaming consumer over the job messages (file stream with the Kafka
     row shape), enrichment on, stored per message and read back."""
-    import uuid
-
-    from jobloom.session import checkpoint_dir
     from jobloom.streaming.consumer import ConsumerConfig, consume
 
-    base = f"{checkpoint_dir(spark).rstrip('/')}/consume_stream-{uuid.uuid4().hex}"
-    FX.messages(spark, sf_dir).withColumn("timestamp", F.lit(None).cast("timestamp")) \
-        .write.mode("overwrite").parquet(f"{base}/in")
+    base, rows = _message_files(spark, sf_dir, "consume_stream")
+    rows.write.parquet(f"{base}/in")
     cfg = ConsumerConfig(output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt",
                          failures_path=f"{base}/failures", enrich=True)
     consume(spark, MSG.read_messages(spark, path=f"{base}/in"), cfg)
@@ -352,6 +369,45 @@ def consume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "complexity_score", "category", "seniority_level")
 
 
+def consume_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6, STR-2: a run over a part of the messages, then one with a new checkpoint over all of them in several batches: each is stored once."""
+    from jobloom.streaming.consumer import ConsumerConfig, consume
+
+    base, rows = _message_files(spark, sf_dir, "consume_redelivered")
+    rows.filter("offset % 3 <> 1").write.parquet(f"{base}/first")
+    rows.repartition(3, "offset").write.parquet(f"{base}/all")
+    for run, files in (("first", None), ("all", 1)):
+        cfg = ConsumerConfig(output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt-{run}", enrich=False)
+        consume(spark, MSG.read_messages(spark, path=f"{base}/{run}", max_files_per_trigger=files), cfg)
+    return spark.read.parquet(cfg.messages_path).groupBy(*COORDS).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def consume_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LIM-1, STR-5: a run that stops after a quarter of the messages and, restarted, after half of them: the first ones in order."""
+    from jobloom.streaming.consumer import ConsumerConfig, consume
+
+    base, rows = _message_files(spark, sf_dir, "consume_bounded")
+    rows.coalesce(1).write.parquet(f"{base}/in")
+    half = MSG.nonempty_messages(spark.read.parquet(f"{base}/in")).count() // 2
+    for most in (half // 2, half):
+        cfg = ConsumerConfig(output_path=f"{base}/out", checkpoint_path=f"{base}/ckpt", enrich=False, max_messages=most)
+        consume(spark, MSG.read_messages(spark, path=f"{base}/in"), cfg)
+    return spark.read.parquet(cfg.messages_path).select(*COORDS)
+
+
+def failure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8, STR-3: every fifth message is no payload: the consumer stops, stores nothing, and records each of them."""
+    from jobloom.streaming.consumer import ConsumerConfig, PayloadError, process_batch
+
+    base, rows = _message_files(spark, sf_dir, "failure_records")
+    broken = rows.withColumn("value", F.when((F.col("offset") % 5 == 0) & (F.octet_length("value") > 0), F.lit(b"no payload")).otherwise(F.col("value")))
+    cfg = ConsumerConfig(output_path=f"{base}/out", failures_path=f"{base}/failures")
+    try:
+        process_batch(broken, cfg)
+    except PayloadError:
+        pass
+    return spark.read.parquet(cfg.failures_path).select("kind", *COORDS, "error_type")
+
 
 # --------------------------------------------------------------------------- reads, writes, SQL API
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -457,12 +513,14 @@ REGISTRY = {
     "slug_scan": slug_scan,
     "unseen_slugs": unseen_slugs,
     "extract_jobs": extract_jobs,
+    "extract_titles": extract_titles,
     "extract_metrics": extract_metrics,
     "cap_body_size": cap_body_size,
     "rejected_pages": rejected_pages,
     "failed_sources": failed_sources,
     "publish_single": publish_single,
     "listing_urls": listing_urls,
+    "source_entries": source_entries,
     "attach_source": attach_source,
     "source_records": source_records,
     "run_counts": run_counts,
@@ -481,6 +539,9 @@ REGISTRY = {
     "violations": violations,
     "validation_summary": validation_summary,
     "consume_stream": consume_stream,
+    "consume_redelivered": consume_redelivered,
+    "consume_bounded": consume_bounded,
+    "failure_records": failure_records,
     "produce_enriched": produce_enriched,
     "read_pages": read_pages,
     "decode_body": decode_body,

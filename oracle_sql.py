@@ -387,6 +387,16 @@ def listing_urls_sql() -> str:
             f"v AS listing_url FROM ({firsts})")
 
 
+def source_entries_sql() -> str:
+    text = strip("'  ' || coalesce(url, '') || chr(9)")
+    entries = f"(SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'ftp://old.test/' ELSE {text} END AS u FROM pages)"
+    own, quote = origin_expr("_v_"), "chr(39)"
+    return (f"SELECT page_id AS pos, CASE WHEN page_id % 3 = 1 THEN 'p' || page_id ELSE own END AS id, u AS url, "
+            f"CASE WHEN page_id % 4 = 0 THEN 'https://given.test:81' ELSE own END AS origin, "
+            f"CASE WHEN u = '' THEN 'the url is blank' WHEN own IS NULL THEN 'url ' || {quote} || u || {quote} || ' is no http or https address' END AS fault "
+            f"FROM (SELECT page_id, u, {own} AS own FROM {url_parts(entries, 'u', '_v_')})")
+
+
 def group3() -> dict[str, str]:
     return {
         "cap_body_size": (f"SELECT page_id, CAST(strlen(html) AS INTEGER) AS n_bytes, "
@@ -397,6 +407,7 @@ def group3() -> dict[str, str]:
         "publish_single": (f"SELECT 'open_positions/' || source AS key, row_number() OVER (PARTITION BY source ORDER BY rn) AS \"Index\", "
                            f"position_title AS \"Position title\" FROM ({PRODUCED})"),
         "listing_urls": listing_urls_sql(),
+        "source_entries": source_entries_sql(),
         "attach_source": f"SELECT page_id, origin AS source FROM ({PAGE_ORIGIN}) WHERE origin IS NOT NULL",
         "source_records": f"SELECT source, page_id, phase, pos, position_title, job_url FROM ({SOURCE_RECORDS})",
         "run_counts": (f"SELECT source, count(*) AS n FROM ("
@@ -480,6 +491,10 @@ def group4() -> dict[str, str]:
         "enrich_payloads": enriched.format(scored(MSG_ROWS, True, keep=MSG_COORDS)),
         "violations": violations_sql(),
         "validation_summary": f"SELECT rule_no, rule, count(*) AS n FROM ({violations_sql()}) GROUP BY ALL",
+        "consume_redelivered": f"SELECT DISTINCT {MSG_COORDS}, CAST(1 AS BIGINT) AS copies FROM ({MSG_ROWS})",
+        "consume_bounded": (f"SELECT * FROM (SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})) QUALIFY row_number() OVER (ORDER BY topic, partition, \"offset\") "
+                            f"<= (SELECT count(*) // 2 FROM (SELECT DISTINCT {MSG_COORDS} FROM ({MSG_ROWS})))"),
+        "failure_records": (f"SELECT DISTINCT 'message' AS kind, {MSG_COORDS}, 'PayloadError' AS error_type FROM ({MSG_ROWS}) WHERE \"offset\" % 5 = 0"),
         "consume_stream": enriched.format(scored(MSG_ROWS, True, keep=MSG_COORDS)),
     }
 
@@ -544,6 +559,8 @@ def oracle() -> dict[str, str]:
         "unseen_slugs": (f"SELECT page_id, pos, position_title, job_url FROM ({extract_sql(CAREER)}) "
                          f"WHERE phase = 1"),
         "extract_jobs": extract_sql(CAREER),
+        "extract_titles": (f"SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY phase, pos) - 1 AS INTEGER) AS nth, position_title "
+                           f"FROM ({extract_sql(CAREER)})"),
         "extract_metrics": metrics_sql(CAREER),
         **group3(),
         **group4(),
