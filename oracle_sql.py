@@ -159,6 +159,7 @@ def origin_expr(p: str) -> str:
 
 # written out for this dialect: an opening tag with quoted values, the anchor up to its end, its inner text, its href
 A_OPEN = r"""<a(?:[\s/][^<>=]*(?:=\s*(?:"[^"]*"|'[^']*')?[^<>=]*)*)?>"""
+TAG = r"""<[a-zA-Z/!?](?:[^<>=]*(?:=\s*(?:"[^"]*"|'[^']*')?[^<>=]*)*)?>"""
 A_WHOLE = "(?is)" + A_OPEN + r".*?(?:</a\s*>|\z)"
 A_INNER = "(?is)^" + A_OPEN + r"(.*?)(?:</a\s*>)?\z"
 A_HREF = (r"""(?is)^<a(?:[^<>=]*?=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*?[^<>=]*?"""
@@ -172,7 +173,7 @@ def anchors_sql(pages_sql: str, extra: str = "") -> str:
             f"ELSE regexp_extract(a, {hr}, 3) END")
     href = f"CASE WHEN regexp_matches(a, {hr}) THEN {strip(pick)} END"
     text = (f"array_to_string(list_filter(list_transform(regexp_split_to_array("
-            f"regexp_extract(a, {q(A_INNER)}, 1), {q(EX.TAG)}), lambda x: {strip('x')}), "
+            f"regexp_extract(a, {q(A_INNER)}, 1), {q(TAG)}), lambda x: {strip('x')}), "
             f"lambda x: x <> ''), ' ')")
     ex = f"{extra}, " if extra else ""
     return f"""(SELECT page_id, url, {ex}pos, {href} AS href, {text} AS text
