@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table, written
+from .common import ascii_lower, join_salted, table, written
 
 BLOCK_BYTES = 4096
 SEEDS = 8
@@ -58,8 +58,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.sha2("norm", 256).alias("text_sha256"), "bytes")
     rows = written(_blocks(rows, block_bytes, seed, ""), "document-blocks")
     heads = rows.filter("pos = 0").select("row", "doc_id", "n_bytes", "text_sha256")
-    state = rows.withColumn("width", F.greatest(F.ceil(F.col("n_bytes") / block_bytes), F.lit(1)).cast("int")) \
-        .join(names, ["h1", "h2"]).select("row", "pos", "width", "name")
+    state = rows.withColumn("width", F.greatest(F.ceil(F.col("n_bytes") / block_bytes), F.lit(1)).cast("int"))
+    state = join_salted(state, names, ["h1", "h2"], ["row"]).select("row", "pos", "width", "name")
     state = written(state, "names-0")
     widest = state.agg(F.max("width")).first()[0] or 1
     done, level = [state.filter("width = 1").select("row", "name")], 0
@@ -74,7 +74,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = written(heads.join(identity, "row"), "identities")
     groups = found.groupBy("n_bytes", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"),
                                                   F.count(F.lit(1)).alias("group_size"))
-    return found.join(groups, ["n_bytes", "name"]).select(
+    # the rows of a large group of copies are dealt out, not sent to one task
+    return join_salted(found, groups, ["n_bytes", "name"], ["row"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import shuffle_partitions, written
+from .common import join_salted, shuffle_partitions, written
 from .components import components
 from .shingles import set_digest, shingle_sets, slices
 
@@ -29,7 +29,7 @@ from .shingles import set_digest, shingle_sets, slices
 FILTER_WORDS = 1 << 16
 #: pivots of the second round; how many more each later round compares
 GROWTH = 4096
-#: rows of a key that one task compares with the pivots; rows that one task joins with one set
+#: rows of a key that one task compares with the pivots
 SALTED = 1024
 
 
@@ -184,17 +184,6 @@ def pivoted(postings: DataFrame, name: str) -> DataFrame:
     return written(dealt.mapInArrow(_pivot_rows, schema), name)
 
 
-def join_salted(rows: DataFrame, side: DataFrame, key: Sequence[str], by: Sequence[str], how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``side``, which has one row for each ``key``. Keys of more than ``SALTED`` rows are dealt out under several
-    salts by a hash of ``by``, and their row of ``side`` goes to each. Keys must not be null where ``how`` is inner."""
-    key = list(key)
-    heavy = written(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).filter(f"c > {SALTED}").select(
-        *key, F.expr(f"cast(ceil(c / {SALTED}) as int)").alias("salts_")), "heavy-keys")
-    left = rows.join(heavy, key, "left").withColumn("salt_", F.pmod(F.xxhash64(*by), F.coalesce("salts_", F.lit(1))).cast("int")).drop("salts_")
-    right = side.join(heavy, key, "left").withColumn("salt_", F.explode(F.expr("sequence(0, coalesce(salts_, 1) - 1)"))).drop("salts_")
-    return left.join(right, [*key, "salt_"], how).drop("salt_")
-
-
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with all columns of both sets (a_..., b_...); a set may have many partners in ``b``, few in ``a``."""
     columns = [c for c in sets.columns if c != "sid"]

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from jobloom.llm import bbit_minhash, block_naming, gear_chunks, one_permutation, set_links, token_combinations
+from jobloom.llm import bbit_minhash, block_naming, common, gear_chunks, one_permutation, set_links, token_combinations
 from jobloom.llm.components import components as cc
 
 from .messy import ASCII_LOWER, PASSAGE, ROWS, components, documents, shingles
@@ -60,6 +60,14 @@ def test_names_again_under_another_seed_if_addresses_collide(spark, monkeypatch)
     assert calls == [0, 1]
 
 
+def test_large_groups_of_copies_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(common, "SALTED", 10)
+    rows = [(d, ("same text", "SAME other", "y" * 9000, None)[d % 4], "en", "s") for d in range(200)] + [(500, "single", "en", "s")]
+    got = block_naming.exact_duplicates(documents(spark, rows)).collect()
+    assert Counter(r["keep_id"] for r in got) == {196: 50, 197: 50, 198: 50, 199: 50, 500: 1}
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == [196, 197, 198, 199, 500]
+
+
 @pytest.mark.parametrize("rare", [1, 8])
 def test_jaccard_components(spark, rare):
     rows = ROWS + _variants()
@@ -102,6 +110,7 @@ def test_many_unlinked_documents_under_one_key(spark, monkeypatch):
     for growth, salted in ((4096, 1024), (3, 7)):
         monkeypatch.setattr(set_links, "GROWTH", growth)
         monkeypatch.setattr(set_links, "SALTED", salted)
+        monkeypatch.setattr(common, "SALTED", salted)
         got = {r["doc_id"]: r["component_id"] for r in token_combinations.jaccard_components(documents(spark, rows)).collect()}
         assert [got[d] for d, *_ in rows] == want
 
