@@ -109,6 +109,5 @@ def nonempty_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def first_messages(messages: DataFrame, n: int) -> DataFrame:
     """LIM-1 for a bounded (batch) read: the first ``n`` non-empty messages in
-    (partition, offset) order. Streams bound a run with ``maxOffsetsPerTrigger`` and
-    ``availableNow`` instead."""
-    return nonempty_messages(messages).orderBy("partition", "offset").limit(int(n))
+    (topic, partition, offset) order. Streams stop after as many with ``ConsumerConfig(max_messages=...)``."""
+    return nonempty_messages(messages).orderBy("topic", "partition", "offset").limit(int(n))
