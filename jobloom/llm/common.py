@@ -45,6 +45,13 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, LOWER))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the CRC-32 of an ASCII text: its bytes, each followed by eight shifts (-1)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, x: "
+            "CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)")
+
+
 def running_totals(df: DataFrame, value: str, order: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Add ``before``: the sum of ``value`` over the earlier rows of the same ``group``.
 

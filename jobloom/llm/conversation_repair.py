@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import shuffle_partitions, table, written
+from .common import crc32_sql, shuffle_partitions, table, written
 from .words import give_back
 
 #: rows, and bytes of text, of a chunk
@@ -558,3 +558,50 @@ def repair(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHU
 
 def op13_conversation_repair(spark, sf_dir: str) -> DataFrame:
     return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+def _sql() -> str:
+    """DuckDB SQL: the cheapest edits from each row on, of the four states, from the last row to the first."""
+    space = "\\x20\\x09-\\x0D"
+    said = lambda c: f"coalesce(CAST({c} AS VARCHAR), ' ')"
+    way = lambda v, cost, edit, line: f"{{'c': {v}.c + {cost}, 'a': '{edit}' || {v}.a, 't': {line} || {v}.t}}"
+    least = lambda *x: f"list_min([{', '.join(x)}])"
+    more, line = "if(fault = 'truncated', 5, 0)", "chr(10) || role || ':' || text"
+    new = {"u": "chr(10) || 'user:'", "a": "chr(10) || 'assistant:'"}
+    free = "fault IN ('', 'truncated')"
+    keep = lambda initial, v: f"CASE WHEN {free} AND r = '{initial}' THEN {way(v, more, 'K', line)} END"
+    rerole = lambda to, v: f"CASE WHEN {free} THEN {way(v, f'1 + {more}', 'R', new[to] + ' || text')} END"
+    return f"""
+WITH RECURSIVE original AS (
+  SELECT conv_id, turn, {said('role')} AS role, {said('text')} AS text, {crc32_sql(f"({said('conv_id')} || ':' || {said('turn')})")} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM original WHERE kind <> 0),
+numbered AS (SELECT *, substr(role, 1, 1) AS r, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+                    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+faults AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{space}]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                          WHEN regexp_extract(text, '([^{space}])[{space}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  lag(r) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM numbered),
+counts AS (SELECT o.conv_id, coalesce(max(f.turn) - min(f.turn) + 1 - count(DISTINCT f.turn), 0) AS gaps,
+                  count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                  count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                  count(*) FILTER (WHERE before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, count(f.k) AS n
+           FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM o.conv_id GROUP BY o.conv_id),
+ways AS (
+  SELECT conv_id, n AS k, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS v0, {{'c': 10::BIGINT, 'a': 'II', 't': {new['u']} || {new['a']}}} AS vs,
+         {{'c': 5::BIGINT, 'a': 'I', 't': {new['a']}}} AS vu, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS va FROM counts
+  UNION ALL
+  SELECT conv_id, k, {least('b0', way('fu', 5, 'I', new['u']))}, {least('bs', way('fu', 5, 'I', new['u']))}, fu, fa
+  FROM (SELECT *, {least('bu', way('ba', 5, 'I', new['a']))} AS fu, {least('ba', way('bu', 5, 'I', new['u']))} AS fa
+        FROM (SELECT w.conv_id, w.k - 1 AS k,
+                     {least(way('v0', 2, 'D', "''"), keep('s', 'vs'), keep('u', 'vu'), rerole('u', 'vu'))} AS b0,
+                     {least(way('vs', 2, 'D', "''"), keep('u', 'vu'), rerole('u', 'vu'))} AS bs,
+                     {least(way('vu', 2, 'D', "''"), keep('a', 'va'), rerole('a', 'va'))} AS bu,
+                     {least(way('va', 2, 'D', "''"), keep('u', 'vu'), rerole('u', 'vu'))} AS ba
+              FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.k = w.k)))
+SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, v0.c AS cost, v0.a AS audit, sha256(substr(v0.t, 2)) AS repaired_sha256
+FROM counts c JOIN ways w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.k = 0
+"""
+
+
+SQL = _sql()

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import table
+from .common import crc32_sql, table
 from .shingles import mixed, word_hashes
 from .words import slices, text_bytes, word_spans
 
@@ -275,3 +275,23 @@ def op12_periodic_runs(spark, sf_dir: str) -> DataFrame:
                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
         "doc_id", "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
         F.expr("1000 * best.length div -best.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+SQL = f"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                      CASE WHEN doc_id IS NOT NULL THEN {crc32_sql("CAST(doc_id AS VARCHAR)")} END AS h FROM documents),
+marked AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM words),
+placed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM marked),
+texts AS (SELECT doc_id, i, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS x FROM placed),
+pairs AS (SELECT s.doc_id, s.i, t.i - s.i AS q FROM texts s JOIN texts t ON s.doc_id = t.doc_id AND s.x = t.x AND s.i < t.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest({LEAST}, 2 * q) GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT texts.doc_id, string_agg(x, ' ' ORDER BY texts.i) AS t FROM texts ANTI JOIN gone ON gone.doc_id = texts.doc_id AND gone.i = texts.i GROUP BY texts.doc_id),
+sums AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN sums USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -27,4 +27,6 @@ ORACLE = {
     "op9_token_combinations": token_combinations.SQL,
     "op10_mixing": mixing.SQL,
     "op11_bbit_minhash": bbit_minhash.SQL,
+    "op12_periodic_runs": periodic_runs.SQL,
+    "op13_conversation_repair": conversation_repair.SQL,
 }
