@@ -43,7 +43,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Texts are equal when identical after lower-casing A-Z. The row with the largest id of a group stays.
     Null text counts as empty; all empty texts are equal. A null id is smaller than any other. Of rows that repeat the
-    largest id of their group exactly one stays. Other columns are not read. An empty table gives none.
+    largest id of their group exactly one stays. Very long texts are taken whole, as many blocks.
+    Other columns are not read. An empty table gives none.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
     src = src.select("doc_id", "norm", F.col("norm").cast("binary").alias("bytes"), F.octet_length("norm").alias("n_bytes"))

@@ -149,7 +149,7 @@ def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     ``spans`` has all spans as kind:start:end (code points, end exclusive), by start, then kind; ``base_sha256`` is the digest of
     those that count by themselves. Null and empty texts have none. Null and repeated ids are rows like others. ``docs``
-    needs doc_id and text; other columns are not read. No rows give no rows.
+    needs doc_id and text; other columns are not read. Very long texts are scanned whole. No rows give no rows.
     """
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [
         T.StructField(c, _SPANS) for c in ("base", "weak")])

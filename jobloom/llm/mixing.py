@@ -88,7 +88,7 @@ def mixed_sizes(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int =
     """One row per document: doc_id, size, source_size, target, taken.
 
     ``docs`` needs doc_id, text, source; others are not read. Null text has size 0; a null source is a source of its own, the
-    last; null ids are ids like any other. No rows give no rows. Reruns agree row by row.
+    last; null ids are ids like any other. Very long texts count whole. No rows give no rows. Reruns agree row by row.
     """
     sized = written(docs.select("doc_id", *_source(), count_words("text").alias("size")), "sizes")
     last, passes = _taken(seed)

@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the next document,
     in descending doc_id, nulls last, after the last the first. Rows that repeat doc_id and text are one document in
     that order and each get its row; those that repeat only doc_id follow each other. Null texts are empty. A single document
-    is its own next one. ``docs`` needs doc_id and text; other columns are not read. No rows give no rows.
+    is its own next one. Very long texts are fingerprinted whole. ``docs`` needs doc_id and text; other columns are not read. No rows give no rows.
     """
     id_type = docs.schema["doc_id"].dataType
     src = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("t"))

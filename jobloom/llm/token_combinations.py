@@ -150,7 +150,7 @@ def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     its words as one with fewer; documents without words (null or empty texts too) have an empty set, link with nothing and are
     their own component. Two link at a Jaccard similarity of 0.75 or more; component_id is the smallest doc_id
     reachable. Null ids are passed over by the smallest (null if there is no other); repeated rows are documents of
-    equal sets. ``docs`` needs doc_id and text; other columns are not read. No rows give no rows.
+    equal sets. Very long texts are taken whole. ``docs`` needs doc_id and text; other columns are not read. No rows give no rows.
     """
     texts = docs.select("doc_id", "text")
     screened = _screen(texts.select("text"))

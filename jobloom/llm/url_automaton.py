@@ -104,7 +104,7 @@ def judge_urls(pages: DataFrame, rules=RULES, globs=GLOBS, otherwise: str = OTHE
 
     The longest rule that fits decides (host and path together; the earlier of equally long ones); without one the first glob that fits,
     else ``otherwise``, and ``rule`` is null. Null or malformed urls have empty host and path, which no rule fits. Ids
-    may be null or repeated: each row is judged by itself. No rows give no rows; other columns are not read.
+    may be null or repeated: each row is judged by itself, very long URLs whole. No rows give no rows; other columns are not read.
     """
     ranked = sorted(rules, key=lambda r: -len(r[1] + r[2]))
     split = [(v, *(g.split("/", 1) if "/" in g else (g, "*"))) for v, g in globs]

@@ -216,7 +216,7 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) ->
     Files are cut by bytes: the sink gets bundles of members of about ``BUNDLE_BYTES``, and a file so many that ``file_bytes`` holds them even if
     each ended with the largest record of the table; a larger record has a file of its own. So a reader can take any file as one value.
     A null html is an empty payload, a null url has no target. A null page_id is never the smallest unless its group has no other; rows that
-    repeat the smallest page_id of a payload are all responses. No rows make no records.
+    repeat the smallest page_id of a payload are all responses. Very long payloads are kept whole. No rows make no records.
     """
     src = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     src = src.withColumn("sha", F.unhex(F.sha1("payload")))

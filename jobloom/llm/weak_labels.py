@@ -268,7 +268,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic; other columns are not read. Null texts are empty; null labels are passed
-    over, of labels that repeat a doc_id the highest counts; repeated rows are scored alike. No rows give no rows.
+    over, of labels that repeat a doc_id the highest counts; repeated rows are scored alike, very long texts whole. No rows give no rows.
     """
     score = scored(fit(docs, labels))
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score")) \

@@ -43,9 +43,11 @@ def test_mix_meets_targets(spark):
         if r["doc_id"] is not None:
             s = source[r["doc_id"]]
             assert (r["source_size"], r["target"]) == (size[s], target[s])
+        taken[r["source_size"], r["target"]] += r["taken"]
         assert 0 <= r["taken"] <= 3 * r["size"]
-    for d, _, _, s in ROWS:
-        taken[s] = target[s]
+    for group, words in taken.items():  # sources of the same size and target together; repeated rows share a cut evenly
+        alike = sum((size[s], target[s]) == group for s in size)
+        assert abs(words - alike * int(group[1])) <= 2 * alike, group
     total = sum(r["taken"] for r in rows)
     assert abs(total - sum(int(t) for t in target.values())) <= 4  # repeated rows share a cut evenly
     again = mixing.mixed_sizes(documents(spark).repartition(3)).collect()
@@ -151,10 +153,13 @@ def _toxic_corpus(n=900):
 
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = _toxic_corpus()
-    extra = [(5000, None, None, None), (5001, "", "en", "s"), (None, "grobnik grobnik", "en", "s")]
+    extra = [(5000, None, None, None), (5001, "", "en", "s"), (None, "grobnik grobnik", "en", "s"),
+             (5002, "bab " * 40000 + "y" * 70000, "en", "s"), (5003, "grobnik zwatch " * 30000, "en", "s"), docs[5], docs[5]]
     table = spark.createDataFrame(labels + [(0, 1, 0), (7777, None, 0), (None, 1, 1)], "doc_id long, toxic int, score int")
     rows = weak_labels.toxicity(documents(spark, docs + extra), table).collect()
-    assert len(rows) == len(docs) + 3
+    assert len(rows) == len(docs) + len(extra)
+    assert {r["predicted"] for r in rows if r["doc_id"] == 5002} == {0} and {r["predicted"] for r in rows if r["doc_id"] == 5003} == {1}
+    assert len({r["score"] for r in rows if r["doc_id"] == docs[5][0]}) == 1
     truth = {d: t for d, t, _ in labels}
     for r in rows:
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
