@@ -49,3 +49,22 @@ def test_enrichment_reads_only_needed_columns(spark):
     plan = physical(E.queries()["enrich_documents"](spark, SF_SMOKE))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     assert "hashpartitioning" not in plan
+
+
+def test_few_splits_are_rebalanced_without_a_job(spark):
+    """A small input is dealt out by a lazy hint, a large one keeps its splits; building the plan runs no job for that."""
+    from jobloom.operators.spread import spread
+
+    docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
+    spark.sparkContext.setJobGroup("plan-only", "plans")
+    dealt = spread(docs)
+    assert "REBALANCE" in physical(dealt)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        assert "REBALANCE" not in physical(spread(docs))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r["doc_id"] for r in dealt.select("doc_id").collect()) == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
