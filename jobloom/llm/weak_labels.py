@@ -33,6 +33,9 @@ SAMPLE_ROWS = 8000
 VOTERS = 32
 #: a term needs this many toxic texts, this log-likelihood ratio, and to be this many times as frequent in toxic texts
 LEAST_TEXTS, LEAST_G2, LEAST_LIFT = 3, 10.0, 6.0
+#: and it must tell this share of what there is to know about the label: its ratio against that of a term that only and all toxic texts have.
+#: Ratios grow with the corpus, so a fixed one alone would let ever weaker terms pass: words of a text that has some copies
+LEAST_SHARE = 0.01
 #: a voter votes when the strengths of its terms add up to this
 LEAST_STRENGTH = 0.3
 PREFIXES = (3, 4, 5, 6, 7)
@@ -208,10 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, voters: int
     sample = written(join_small(texts.filter(place < max(share)), chosen, "doc_id").select("text", "toxic"), "training-rows")
     found = join_small(texts, known, "doc_id").select("text", "toxic").mapInArrow(_document_counts, "term long, toxic long, clean long") \
         .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    most = -2 * (toxic * np.log(toxic / (toxic + clean)) + clean * np.log(clean / (toxic + clean)))
     expected = f"(a + b) * {toxic / (toxic + clean)}D"
     part = lambda x, e: f"{x} * ln(greatest({x}, 1e-9D) / greatest({e}, 1e-9D))"
     found = found.filter(f"a >= {LEAST_TEXTS} and (a + 0.5D) / {toxic + 1} >= {LEAST_LIFT} * (b + 0.5D) / {clean + 1}").withColumn(
-        "g2", F.expr(f"2 * ({part('a', expected)} + {part('b', f'(a + b - {expected})')})")).filter(f"g2 >= {LEAST_G2}")
+        "g2", F.expr(f"2 * ({part('a', expected)} + {part('b', f'(a + b - {expected})')})")).filter(f"g2 >= {max(LEAST_G2, LEAST_SHARE * most)}")
     # every term that passes: words of toxic texts alone pass, so their number grows with that vocabulary and not with the corpus
     best = sorted((-r["g2"], r["term"]) for r in found.select("g2", "term").collect())
     if not best:
