@@ -8,6 +8,11 @@ Keys whose rows are in one component are done; under the others rows of differen
 
 Postings may carry ``prev``, the key before theirs in the set's own order (the set's number for the first). Two sets that share a key and the one before it have met there, so a pair
 is made once for each stretch of common keys and not for each key.
+
+With ``sharpened`` the sets under open keys also carry ``ANCHORS`` keys of theirs, the smallest of each class of keys. Two sets with an equal one
+have it in common and are paired under the first such key alone, else as above. Anchors are chosen once, before the first of these rounds: all common keys of
+sets in different components are open then, so the key of a pair stays the same through all rounds and is open until the two are in one component. Shingles that no
+other of these sets has are counted apart from the sketches, in which they would cancel: a sharper bound, which holds for all links too.
 """
 
 from __future__ import annotations
@@ -31,14 +36,17 @@ FILTER_WORDS = 1 << 16
 GROWTH = 4096
 #: rows of a key that one task compares with the pivots
 SALTED = 1024
+#: keys that a set carries to tell where it meets another
+ANCHORS = 4
 
 
 SKETCH = [f"s{i}" for i in range(8)]
 
 
-def parity_bound(percent: int) -> str:
-    """SQL that holds for all links: the parity sketches of two sets differ in no more classes than the sets differ in shingles."""
-    differ = " + ".join(f"bit_count({{a}}{c} ^ {{b}}{c})" for c in SKETCH)
+def parity_bound(percent: int, alone: bool = False) -> str:
+    """SQL that holds for all links: the parity sketches of two sets differ in no more classes than the sets differ in shingles.
+    ``alone``: the sketches are without the ``alone`` shingles that no other set has, in which any two sets differ."""
+    differ = " + ".join([f"bit_count({{a}}{c} ^ {{b}}{c})" for c in SKETCH] + ["{a}alone + {b}alone"] * alone)
     return f"{100 + percent} * ({differ}) <= {100 - percent} * ({{a}}n + {{b}}n)"
 
 
@@ -191,16 +199,45 @@ def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return join_salted(pairs.join(named("a"), "a"), named("b"), ["b"], ["a"])
 
 
+def _shingles(batches):
+    """(token, sid): the shingles of sets (sid, tokens)."""
+    for batch in batches:
+        for sid, tokens in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(tokens.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), sid))], ["token", "sid"])
+
+
+def _marks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sid, mark) of the sets in ``rows`` (key, sid). A mark holds n, alone (how many of its shingles no other of the sets has), the sketch s0..s7 of the
+    other shingles, and the anchors k0.. (null in classes without a key)."""
+    anchors = [F.min(F.expr(f"if(pmod(key, {ANCHORS}) = {i}, key, null)")).alias(f"k{i}") for i in range(ANCHORS)]
+    anchored = written(rows.groupBy("sid").agg(*anchors), "anchors")
+    tokens = sets.select("sid", "tokens").join(anchored.select("sid"), "sid", "left_semi").mapInArrow(_shingles, "token long, sid long")
+    # the bit of a shingle's class, as in ``_sketched``
+    bits = [F.expr(f"bit_xor(if(token & 448 = {64 * i}, shiftleft(1L, cast((token & 63) ^ 7 as int)), 0L))").alias(f"x{i}") for i in range(len(SKETCH))]
+    alone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).filter("sets = 1") \
+        .groupBy("sid").agg(F.count(F.lit(1)).alias("alone"), *bits)
+    return anchored.join(sets.select("sid", "n", *SKETCH), "sid").join(alone, "sid", "left").select("sid", F.struct(
+        "n", F.coalesce("alone", F.lit(0)).alias("alone"), *[F.expr(f"{c} ^ coalesce(x{i}, 0L)").alias(c) for i, c in enumerate(SKETCH)],
+        *[f"k{i}" for i in range(ANCHORS)]).alias("mark"))
+
+
+def _meetings(x: DataFrame, y: DataFrame, once: str) -> DataFrame:
+    """(a, b): the rows of ``x`` and ``y`` under common keys for which ``once`` holds."""
+    return x.join(y, ["key", "salt"]).filter(once).select("a", "b")
+
+
 def _prefixed(condition: str, a: str, b: str) -> str:
     return condition.replace("{a}", a).replace("{b}", b)
 
 
-def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Callable, sketch: Sequence[str]) -> DataFrame | None:
+def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Callable, sketch: Sequence[str], sharpened: str = "") -> DataFrame | None:
     """(v, label): the sets that have links and the component of each; None without any.
 
-    ``busy``: as ``pivoted`` gives it. ``sets``: (sid, tokens, sketch columns). ``bound``: SQL that holds for all links under a key, in the
+    ``busy``: as ``pivoted`` gives it. ``sets``: (sid, n, tokens, sketch columns). ``bound``: SQL that holds for all links under a key, in the
     postings' own columns ({a}n, {b}n, ...); ``near``: SQL that holds for all links, in the sketches ({a}, {b} as well).
-    ``check(tokens, tokens)`` decides.
+    ``check(tokens, tokens)`` decides. ``sharpened``: SQL that holds for all links, in the marks of ``_marks``, instead of ``near`` under keys
+    that are open after the pivots.
     """
     own = [c.name for c in busy.schema.fields if not c.name.startswith("p_") and c.name not in ("key", "sid", "pri")]
 
@@ -210,7 +247,7 @@ def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Calla
     pairs = busy.filter("sid <> p_sid").filter(_prefixed(bound, "", "p_")).select(F.col("sid").alias("a"), F.col("p_sid").alias("b")).distinct()
     links = verified(written(pairs, "pairs"))
     labels = None if links.isEmpty() else written(components(links), "labels")
-    reach = 0
+    reach, marks = 0, None
     while True:
         rows = busy.select("key", "sid", spread_evenly().alias("pri"), *own)
         if labels is None:
@@ -219,23 +256,31 @@ def linked(busy: DataFrame, sets: DataFrame, bound: str, near: str, check: Calla
             rows = rows.join(labels.withColumnRenamed("v", "sid"), "sid", "left").withColumn("comp", F.coalesce("label", "sid")).drop("label")
         open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1")) \
             .filter("c0 <> c1").select("key", "c")
-        rows = written(rows.join(open_, "key").join(sets.select("sid", *sketch), "sid"), "open-keys")
+        rows = rows.join(open_, "key")
+        rows = written(rows if sharpened else rows.join(sets.select("sid", *sketch), "sid"), "open-keys")
         most = rows.agg(F.max("c")).first()[0]
         if not most:
             return labels
+        if sharpened:
+            if marks is None:
+                marks = written(_marks(rows, sets), "marks")
+            rows = written(rows.join(marks, "sid"), "marked-keys")
         # the rows of this round that all others meet; all of them at last
         pivots = rows.filter(f"pri * c >= {reach} and pri * c < {max(1, reach) * GROWTH}")
         salts = F.expr(f"cast(ceil(c / {SALTED}) as int)")
-        columns = [*own, *sketch, "pri", "comp"]
+        columns = [*own, *(["mark"] if sharpened else sketch), "pri", "comp"]
         x = rows.withColumn("salt", F.pmod(F.xxhash64("sid"), salts).cast("int")).select(
             "key", "salt", F.col("sid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
         y = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select(
             "key", "salt", F.col("sid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
         once = "(a_pri > b_pri or (a_pri = b_pri and a > b)) and a_comp <> b_comp"
-        if "prev" in own:
-            once += " and a_prev <> b_prev"
-        once += f" and {_prefixed(bound, 'a_', 'b_')} and {_prefixed(near, 'a_', 'b_')}"
-        found = verified(written(x.join(y, ["key", "salt"]).filter(once).select("a", "b").distinct(), "pairs"))
+        first = "a_prev <> b_prev" if "prev" in own else "true"
+        if sharpened:
+            meeting = ", ".join(f"if(a_mark.k{i} = b_mark.k{i}, a_mark.k{i}, null)" for i in range(ANCHORS))
+            first = f"coalesce(key = coalesce({meeting}), {first})"
+        close = _prefixed(sharpened, "a_mark.", "b_mark.") if sharpened else _prefixed(near, "a_", "b_")
+        once += f" and {first} and {_prefixed(bound, 'a_', 'b_')} and {close}"
+        found = verified(written(_meetings(x, y, once).distinct(), "pairs"))
         if not found.isEmpty():
             links = links.union(found)
             labels = written(components(links), "labels")

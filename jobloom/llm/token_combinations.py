@@ -8,8 +8,9 @@
    2 D + 2 of the merged sequence two common ones are neighbours; adjacent frequent shingles are indexed as
    combinations of two, in the extended prefix of 2 floor(n / 3) + 2.
 3. Documents under one key are compared with one pivot of the key, not pair by pair, and then as ``set_links`` says until every pair of
-   different components under a key has been compared. Exact bounds (sizes, shared shingles, places in the order, and the distance of 512-bit
-   parity sketches, which is at most the symmetric difference) drop pairs inside the join. What passes is verified on the whole sets.
+   different components under a key has been compared, mostly once. Exact bounds (sizes, shared shingles, places in the order, and the distance of
+   512-bit parity sketches, at most the symmetric difference; under open keys shingles of one set alone are counted apart) drop pairs inside the join.
+   What passes is verified on the whole sets.
 
 Sets are compared as sets of 64-bit hashes. Two different shingles of the documents compared share a hash with a probability of about 2^-63.
 """
@@ -34,6 +35,7 @@ SCREENED = 0.4
 BOUND = ("4 * {a}n >= 3 * {b}n and 4 * {b}n >= 3 * {a}n and 7 * least({a}shared, {b}shared) >= 3 * ({a}n + {b}n) "
          "and 7 * (least({a}place - 1, {b}place - 1) + least({a}n - {a}place + 1, {b}n - {b}place + 1)) >= 3 * ({a}n + {b}n)")
 NEAR = parity_bound(75)
+SHARPENED = parity_bound(75, alone=True)
 
 
 _LEFT = T.StructType([T.StructField(c, T.LongType()) for c in ("token", "cls", "w")])
@@ -158,7 +160,7 @@ def jaccard_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     sets = shingled.filter("tokens is not null").join(screened, "c1", "left_semi") \
         .dropDuplicates(["c1", "c2"]).select(F.monotonically_increasing_id().alias("sid"), "c1", "c2", "n", "tokens")
     sets = written(with_sketches(sets), "sets")
-    labels = linked(pivoted(_keys(sets, rare), "keys"), sets.select("sid", "n", "tokens", *SKETCH), BOUND, NEAR, similar(75), SKETCH)
+    labels = linked(pivoted(_keys(sets, rare), "keys"), sets.select("sid", "n", "tokens", *SKETCH), BOUND, NEAR, similar(75), SKETCH, SHARPENED)
     return named_rows(shingled, sets, labels)
 
 

@@ -115,6 +115,60 @@ def test_many_unlinked_documents_under_one_key(spark, monkeypatch):
         assert [got[d] for d, *_ in rows] == want
 
 
+def _near_misses(n=30):
+    """Pairs that link, all edited from one text so that documents of different pairs mostly fall short of a link by little."""
+    rng = random.Random(21)
+    template = [f"t{i}" for i in range(400)]
+    rows = []
+    for d in range(n):
+        own = list(template)
+        for at in rng.sample(range(0, 400, 6), 7):
+            own[at] = f"x{d}at{at}"
+        rows.append((2 * d, " ".join(own), "en", "s"))
+        own[rng.randrange(400)] = f"y{d}"
+        rows.append((2 * d + 1, " ".join(own), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("growth, salted", [(4096, 1024), (3, 7)])
+def test_near_misses_meet_once(spark, monkeypatch, growth, salted):
+    rows = _near_misses()
+    made = []
+    real = set_links._meetings
+
+    def counted(x, y, once):
+        found = real(x, y, once)
+        made.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(set_links, "_meetings", counted)
+    monkeypatch.setattr(set_links, "GROWTH", growth)
+    monkeypatch.setattr(set_links, "SALTED", salted)
+    got = {r["doc_id"]: r["component_id"] for r in token_combinations.jaccard_components(documents(spark, rows)).collect()}
+    want = components([(d, shingles(t)) for d, t, *_ in rows])
+    assert [got[d] for d, *_ in rows] == want and len(set(want)) > 5
+    # under hundreds of common keys each
+    rows_made, pairs = map(sum, zip(*made, strict=True))
+    assert 0 < pairs and rows_made <= 2 * pairs
+
+
+def test_shingles_alone_are_taken_out_of_the_sketches(spark):
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    sets = [np.concatenate([common[:200], rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]), common[50:250], common[100:300]]
+    frame = spark.createDataFrame([(i, len(x), bytearray(x.tobytes())) for i, x in enumerate(sets)], "sid long, n long, tokens binary")
+    keys = spark.createDataFrame([(k, i) for i in range(3) for k in (8, 4 + 4 * i, -3, 7 - i)], "key long, sid long")
+    got = {r["sid"]: r["mark"] for r in set_links._marks(keys, set_links.with_sketches(frame)).collect()}
+    several = [x for x, n in Counter(int(t) for s in sets for t in s).items() if n > 1]
+    rest = [np.array([t for t in s if int(t) in several], dtype=np.uint64) for s in sets]
+    plain = spark.createDataFrame([(i, len(x), bytearray(x.tobytes())) for i, x in enumerate(rest)], "sid long, n long, tokens binary")
+    want = {r["sid"]: r for r in set_links.with_sketches(plain).collect()}
+    for i, s in enumerate(sets):
+        assert [got[i][c] for c in set_links.SKETCH] == [want[i][c] for c in set_links.SKETCH]
+        assert got[i]["n"] == len(s) and got[i]["alone"] == len(s) - len(rest[i]) and (i == 1 or got[i]["alone"] > 0)
+    assert [got[i]["k0"] for i in range(3)] == [4, 8, 8] and {got[i]["k1"] for i in range(3)} == {-3}
+
+
 def test_words_that_cancel_under_powers_do_not_link(spark):
     rows = []
     for k, size in enumerate((1024, 2048, 4096, 8192)):
