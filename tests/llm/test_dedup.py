@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from jobloom.llm import bbit_minhash, block_naming, common, gear_chunks, one_permutation, set_links, token_combinations
 from jobloom.llm.components import components as cc
 
@@ -152,6 +153,23 @@ def test_near_misses_meet_once(spark, monkeypatch, growth, salted):
     assert 0 < pairs and rows_made <= 2 * pairs
 
 
+def test_near_misses_meet_once_in_the_pipeline(spark, monkeypatch):
+    rows = _near_misses(20)
+    made = []
+    real = set_links._meetings
+
+    def counted(x, y, once):
+        found = real(x, y, once)
+        made.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(set_links, "_meetings", counted)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect()}
+    assert kept == set(components([(d, shingles(t)) for d, t, *_ in rows])) and len(kept) > 5
+    rows_made, pairs = map(sum, zip(*made, strict=True))
+    assert 0 < pairs and rows_made <= 2 * pairs
+
+
 def test_shingles_alone_are_taken_out_of_the_sketches(spark):
     rng = np.random.default_rng(8)
     common = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
